@@ -138,28 +138,24 @@ def dwd_order_cancel(log: DataFrame, database: str | None = None) -> DataFrame:
         cancelled_lines(log, database), activities(log, database), coupons(log, database)))
 
 
-def successful_payments(log: DataFrame, dictionary: DataFrame,
-                        require_success: bool = True) -> DataFrame:
-    """Payments with the name of their type; ``log`` carries ``row_time``."""
+def paid_lines(log: DataFrame, order_detail: DataFrame, require_success: bool = True,
+               lower: timedelta = PAY_LOWER, upper: timedelta = PAY_UPPER) -> DataFrame:
+    """Payments joined with the order lines written around their time.
+
+    ``log`` and ``order_detail`` both carry the event time ``row_time``.
+    """
     paid = payments(log, require_success).select(
         F.col("data")["order_id"].alias("pay_order_id"),
         F.col("data")["payment_type"].alias("payment_type_code"),
         *fields("callback_time"), F.col("row_time").alias("pay_time"), F.col("ts").alias("pay_ts"))
-    return joins.lookup_join(paid, dictionary, "payment_type_code", "payment_type_name")
-
-
-def dwd_pay_success(log: DataFrame, order_detail: DataFrame, dictionary: DataFrame,
-                    require_success: bool = True, lower: timedelta = PAY_LOWER,
-                    upper: timedelta = PAY_UPPER) -> DataFrame:
-    """Payments joined with the order lines written around their time. Key: order_detail_id.
-
-    ``log`` and ``order_detail`` both carry the event time ``row_time``.
-    """
-    paid = successful_payments(log, dictionary, require_success)
-    pairs = joins.interval_join(
+    return joins.interval_join(
         order_detail, paid, F.col("order_id") == F.col("pay_order_id"),
         "row_time", "pay_time", lower, upper)
-    return pairs.select(
+
+
+def shape_pay_success(pairs: DataFrame, dictionary: DataFrame) -> DataFrame:
+    named = joins.lookup_join(pairs, dictionary, "payment_type_code", "payment_type_name")
+    return named.select(
         F.col("id").alias("order_detail_id"), "order_id", "user_id", "sku_id", "sku_name",
         "province_id", "activity_id", "activity_rule_id", "coupon_id", "payment_type_code",
         "payment_type_name", "callback_time", "source_id",
@@ -168,16 +164,27 @@ def dwd_pay_success(log: DataFrame, order_detail: DataFrame, dictionary: DataFra
         F.col("split_total_amount").alias("split_payment_amount"), F.col("pay_ts").alias("ts"))
 
 
+def dwd_pay_success(log: DataFrame, order_detail: DataFrame, dictionary: DataFrame,
+                    require_success: bool = True, lower: timedelta = PAY_LOWER,
+                    upper: timedelta = PAY_UPPER) -> DataFrame:
+    """Payments with their type's name and the order lines they pay. Key: order_detail_id."""
+    return shape_pay_success(
+        paid_lines(log, order_detail, require_success, lower, upper), dictionary)
+
+
 def orders_changed_to(log: DataFrame, code: str, columns: str) -> DataFrame:
     return status_changed_to(log, "order_info", "order_status", code).select(
         F.col("data")["id"].alias("_order"), *fields(columns))
 
 
-def dwd_order_refund(log: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """Refund requests with their order's province and two names. Key: id."""
+def refund_requests(log: DataFrame) -> DataFrame:
+    """Refund requests joined with the order that turned to refund."""
     refunds = table_events(log, "order_refund_info", "insert").select(*fields(REFUND), "ts")
     orders = orders_changed_to(log, ORDER_REFUND_REQUESTED, "province_id")
-    joined = refunds.join(orders, F.col("order_id") == F.col("_order"), "inner").drop("_order")
+    return refunds.join(orders, F.col("order_id") == F.col("_order"), "inner").drop("_order")
+
+
+def shape_order_refund(joined: DataFrame, dictionary: DataFrame) -> DataFrame:
     named = joins.double_lookup_join(
         joined, dictionary, ("refund_type", "refund_type_name"),
         ("refund_reason_type", "refund_reason_type_name"))
@@ -190,18 +197,26 @@ def dwd_order_refund(log: DataFrame, dictionary: DataFrame) -> DataFrame:
         scalars.write_time().alias("row_op_ts"))
 
 
-def dwd_refund_pay_success(log: DataFrame, dictionary: DataFrame) -> DataFrame:
-    """Refund payments with their order, request and payment type. Key: id."""
+def dwd_order_refund(log: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """Refund requests with their order's province and two names. Key: id."""
+    return shape_order_refund(refund_requests(log), dictionary)
+
+
+def refunded_payments(log: DataFrame) -> DataFrame:
+    """Refund payments joined with the refunded order and the request of the same article."""
     paid = table_events(log, "refund_payment").select(*fields(REFUND_PAYMENT), "ts")
     orders = orders_changed_to(log, ORDER_REFUNDED, "user_id province_id")
     requests = table_events(log, "order_refund_info").select(
         F.col("data")["order_id"].alias("_request_order"),
         F.col("data")["sku_id"].alias("_request_sku"), *fields("refund_num"))
-    joined = (
+    return (
         paid.join(orders, F.col("order_id") == F.col("_order"), "inner").drop("_order")
         .join(requests, (F.col("order_id") == F.col("_request_order"))
               & (F.col("sku_id") == F.col("_request_sku")), "inner")
         .drop("_request_order", "_request_sku"))
+
+
+def shape_refund_pay_success(joined: DataFrame, dictionary: DataFrame) -> DataFrame:
     return joins.lookup_join(joined, dictionary, "payment_type", "payment_type_name").select(
         "id", "user_id", "order_id", "sku_id", "province_id",
         F.col("payment_type").alias("payment_type_code"), "payment_type_name",
@@ -210,6 +225,11 @@ def dwd_refund_pay_success(log: DataFrame, dictionary: DataFrame) -> DataFrame:
         scalars.write_time().alias("row_op_ts"))
 
 
+def dwd_refund_pay_success(log: DataFrame, dictionary: DataFrame) -> DataFrame:
+    """Refund payments with their order, request and payment type. Key: id."""
+    return shape_refund_pay_success(refunded_payments(log), dictionary)
+
+
 def last_by_ts(fact: DataFrame, key: str) -> DataFrame:
     """The upsert table of a fact: the last row of each key."""
     return latest.latest_per_key(fact, [key], [F.col("ts").try_cast("bigint")])
