@@ -50,7 +50,10 @@ def keyword_dictionary_match(rows: DataFrame, text: str, dictionary: DataFrame,
         *others, (F.col("_at") + 1).alias("position"), "_window",
         F.explode(F.sequence(F.lit(1), F.length("_window"))).alias("_size"),
     ).select(*others, "position", F.col("_window").substr(F.lit(1), F.col("_size")).alias(word))
-    vocabulary = dictionary.select(F.lower("word").alias("_word")).distinct()
+    # The word leaves as an expression: if the dictionary is too large for a broadcast, both
+    # sides are shuffled for the join, and adaptive execution splits a hot word.
+    vocabulary = dictionary.select(F.lower("word").alias("_key")).distinct().select(
+        F.concat("_key", F.lit("")).alias("_word"))
     side = joins.checked_broadcast(vocabulary)
     return candidates.join(side, F.col(word) == F.col("_word"), "inner").drop("_word")
 

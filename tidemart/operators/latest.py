@@ -28,6 +28,17 @@ def latest_per_key(rows: DataFrame, keys: list[str], order: list[Column]) -> Dat
     return top.select(*[by_name[c] for c in rows.columns])
 
 
+def one_per_key(rows: DataFrame, key: str, order: list[Column]) -> DataFrame:
+    """The last row of each key, as the unique side of a join.
+
+    Copies of a key are gone before the join can pair them up. The key leaves as an expression,
+    so the join shuffles this side again, on its own: adaptive execution splits a hot key of
+    the other side only where both inputs of the join are shuffles, not an aggregate.
+    """
+    last = latest_per_key(rows.where(F.col(key).isNotNull()), [key], order)
+    return last.withColumn(key, F.concat(F.col(key), F.lit("")))
+
+
 def keyed_changes(feed: DataFrame, keys: list[str], sequence: Column) -> DataFrame:
     """Change records as keyed writes: ``row`` is the new row, or null for a removal.
 

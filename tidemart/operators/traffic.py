@@ -26,25 +26,33 @@ def first_visits(records: DataFrame, arrival: str) -> DataFrame:
 def clear_repeated(records: DataFrame, first: DataFrame) -> DataFrame:
     """Sets ``is_new`` to 0 on records flagged new on a later day than the first visit.
 
-    Only records flagged new can change. The others pass without a shuffle, and devices
-    that never sent the flag do not take part in the join.
+    Only records flagged new can change. The others pass without a shuffle, dirty ones among
+    them, and devices that never sent the flag do not take part in the join. The device of
+    the joined side is an expression, so that both sides are shuffled for the join and
+    adaptive execution can split a hot device.
     """
-    flagged = F.coalesce(F.col("is_new") == "1", F.lit(False))
-    kept = records.where(~flagged)
-    side = first.where("has_new").select("mid", "first_day")
+    flagged = F.coalesce((F.col("is_new") == "1") & F.col("mid").isNotNull(), F.lit(False))
+    if "dirty" in records.columns:
+        flagged = flagged & ~F.col("dirty")
+    side = first.where("has_new").select(
+        F.concat("mid", F.lit("")).alias("_device"), "first_day")
     again = visit_day() != F.col("first_day")
-    joined = records.where(flagged).join(side, "mid", "left")
+    joined = records.where(flagged).join(side, F.col("mid") == F.col("_device"), "left")
     common = F.when(again, F.transform_values(
         "common", lambda k, v: F.when(k == "is_new", F.lit("0")).otherwise(v))
     ).otherwise(F.col("common"))
     repaired = joined.withColumn("common", common).withColumn(
         "is_new", F.when(again, F.lit("0")).otherwise(F.col("is_new")))
-    return kept.select(*records.columns).unionByName(repaired.select(*records.columns))
+    return records.where(~flagged).unionByName(repaired.select(*records.columns))
 
 
 def visitor_flag_repair(records: DataFrame, arrival: str) -> DataFrame:
-    """Repair over a whole log; ``arrival`` is the order in which records came in."""
-    return clear_repeated(records, first_visits(records, arrival))
+    """Repair over a whole log; ``arrival`` is the order in which records came in.
+
+    Dirty records, if the log still holds them, neither count nor change.
+    """
+    good = records.where(~F.col("dirty")) if "dirty" in records.columns else records
+    return clear_repeated(records, first_visits(good, arrival))
 
 
 def _record(*names: str, **renamed: Column) -> Column:
@@ -60,13 +68,17 @@ def _tagged(output: str, value: Column) -> Column:
     return F.struct(F.lit(output).alias("output"), value.alias("value"))
 
 
+OUTPUTS = "array<struct<output:string,value:string>>"
+
+
 def log_split(records: DataFrame) -> DataFrame:
     """Each record as its outputs, rows of ``output`` and JSON ``value``.
 
-    A record with an error goes to ``error`` in full, and on without it. With start data it
-    is a ``start`` record. Otherwise it gives one ``display`` per display, one ``action``
-    per action (without the record's time) and one ``page`` record without those lists.
-    One pass makes all outputs; written by ``output`` no branch is computed twice.
+    A dirty record gives its text as ``dirty``. A record with an error goes to ``error`` in
+    full, and on without it. With start data it is a ``start`` record. Otherwise it gives one
+    ``display`` per display, one ``action`` per action (without the record's time) and one
+    ``page`` record without those lists. One pass makes all outputs; written by ``output``
+    no branch is computed twice.
     """
     failed = F.col("err").isNotNull()
     started = F.col("start").isNotNull()
@@ -81,15 +93,18 @@ def log_split(records: DataFrame) -> DataFrame:
     ), lambda o: o.isNotNull())
 
     def of_page(items: str, each) -> Column:
-        return F.when(started | F.col(items).isNull(), F.array().cast(
-            "array<struct<output:string,value:string>>")).otherwise(F.transform(items, each))
+        return F.when(started | F.col(items).isNull(), F.array().cast(OUTPUTS)).otherwise(
+            F.transform(items, each))
 
     displays = of_page("displays", lambda d: _tagged(
         "display", _record("common", "page", display=d, ts=F.col("ts"))))
     actions = of_page("actions", lambda a: _tagged(
         "action", _record("common", "page", action=a)))
-    return records.select(
-        F.explode(F.concat(single, displays, actions)).alias("out")).select("out.*")
+    outputs = F.concat(single, displays, actions)
+    if "dirty" in records.columns:
+        outputs = F.when(
+            F.col("dirty"), F.array(_tagged("dirty", F.col("value")))).otherwise(outputs)
+    return records.select(F.inline(outputs))
 
 
 def pages_only(records: DataFrame) -> DataFrame:

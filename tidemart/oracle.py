@@ -247,6 +247,11 @@ SELECT lines.id, order_id, user_id, sku_id, sku_name, province_id, activity_id,
 FROM lines JOIN changed ON order_id = changed.id AND code = '1003'"""
 
 LOG_IDENTITY = "SELECT tbl AS \"table\", kind AS type, CAST(ts AS VARCHAR) AS ts, id FROM dimensions"
+# The last refund request of each article of an order.
+REQUESTS = """
+requests AS (SELECT order_id, sku_id, sku_num AS refund_num FROM lines WHERE l_returnflag = 'R'
+  QUALIFY row_number() OVER (PARTITION BY order_id, sku_id
+    ORDER BY CAST(ts AS BIGINT) DESC, sku_num DESC) = 1)"""
 CART_ROWS = f"""
 cart AS (
   SELECT *, CASE WHEN l_linenumber = 1 THEN 'insert' ELSE 'update' END AS type, CAST(sku_num AS INT) AS now,
@@ -352,9 +357,9 @@ FROM lines JOIN dictionary t ON t.dic_code = 'N' || (l_suppkey % 30)
 JOIN dictionary r ON r.dic_code = 'R' || (l_partkey % 6) WHERE l_returnflag = 'R'""",
     "stream_inner_join": f"""WITH {LINES}, {PLACED}
 SELECT id, order_id, sku_id, user_id, total_amount FROM lines JOIN placed USING (order_id)""",
-    "multi_key_join": f"""WITH {LINES}, returned AS (SELECT * FROM lines WHERE l_returnflag = 'R')
-SELECT p.order_id, p.sku_id, p.id, r.sku_num AS refund_num
-FROM returned p JOIN returned r ON p.order_id = r.order_id AND p.sku_id = r.sku_id""",
+    "multi_key_join": f"""WITH {LINES}, {REQUESTS}
+SELECT order_id, sku_id, id, refund_num FROM lines JOIN requests USING (order_id, sku_id)
+WHERE l_returnflag = 'R'""",
     "stream_left_join_retracting": f"""WITH {LINES}
 SELECT id, sku_id, activity_id, activity_rule_id, coupon_id, coupon_use_id FROM lines""",
     "interval_join": f"""WITH {PAYMENTS}, {SEEN}
@@ -375,9 +380,9 @@ SELECT tbl AS "table", kind AS type, id, 'dim_' || tbl AS sink_table, CASE tbl
     "keyword_tumbling_count": KEYWORD_COUNTS,
     "visitor_flag_repair": f"""WITH {RECORDS}
 SELECT event_id AS arrival, mid, is_new, is_new AS common_is_new, ms AS ts FROM fixed""",
-    "log_split": f"WITH {RECORDS.replace('day - INTERVAL 1 DAY', 'day')} {SPLIT}".replace(
-        "CASE WHEN started AND CAST(d0 AS DATE) = day THEN '1' ELSE '0' END AS is_new",
-        "CASE WHEN started THEN '1' ELSE '0' END AS is_new"),
+    # Before the repair a record's flag is as it was sent.
+    "log_split": f"WITH {RECORDS} {SPLIT}".replace(
+        "CASE WHEN started AND CAST(d0 AS DATE) = day", "CASE WHEN started"),
     "explode_displays": f"""WITH {RECORDS}
 SELECT mid, page_id, CAST(j AS VARCHAR) AS item, CAST(j AS VARCHAR) AS pos_seq, ms AS ts FROM (
   SELECT 'mid_' || user_id AS mid, event_type AS page_id, ms, unnest(range(k % 4)) AS j FROM events_k
@@ -423,9 +428,7 @@ SELECT lines.id, CAST(l_suppkey AS VARCHAR) AS user_id, order_id, sku_id, provin
 FROM lines JOIN changed ON order_id = changed.id AND code = '1005'
 JOIN dictionary t ON t.dic_code = 'N' || (l_suppkey % 30)
 JOIN dictionary r ON r.dic_code = 'R' || (l_partkey % 6) WHERE l_returnflag = 'R'""",
-    "dwd_refund_pay_success": f"""WITH {LINES}, {CHANGED}, {DICTIONARY},
-requests AS (SELECT order_id, sku_id, max(sku_num) AS refund_num FROM lines
-  WHERE l_returnflag = 'R' GROUP BY ALL)
+    "dwd_refund_pay_success": f"""WITH {LINES}, {CHANGED}, {DICTIONARY}, {REQUESTS}
 SELECT lines.id, user_id, lines.order_id, lines.sku_id, province_id, dic_code AS payment_type_code,
   dic_name AS payment_type_name, left(create_time, 10) AS date_id, create_time AS callback_time,
   refund_num, order_price AS refund_amount, lines.ts

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from datetime import timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemart.functions import scalars
@@ -69,10 +69,13 @@ def coupons(log: DataFrame, database: str | None = None) -> DataFrame:
         *fields("order_detail_id coupon_id coupon_use_id"), "ts")
 
 
+def by_ts() -> list[Column]:
+    return [F.col("ts").try_cast("bigint")]
+
+
 def last_of_line(rows: DataFrame) -> DataFrame:
-    """One row per order line. The grouping is also the partitioning that the join needs."""
-    order = [F.col("ts").try_cast("bigint")]
-    return latest.latest_per_key(rows, ["order_detail_id"], order).drop("ts")
+    """One row per order line."""
+    return latest.one_per_key(rows, "order_detail_id", by_ts()).drop("ts")
 
 
 def with_promotions(lines: DataFrame, activity: DataFrame, coupon: DataFrame) -> DataFrame:
@@ -82,12 +85,20 @@ def with_promotions(lines: DataFrame, activity: DataFrame, coupon: DataFrame) ->
             .join(last_of_line(coupon), line, "left").drop("order_detail_id"))
 
 
+def last_of_order(rows: DataFrame) -> DataFrame:
+    """The last change of each order in a batch; a stream keeps all of them, for the
+    upsert table to choose the last."""
+    return rows if rows.isStreaming else latest.one_per_key(
+        rows, "_order", [F.col("order_ts").try_cast("bigint")])
+
+
 def placed_lines(log: DataFrame, database: str | None = None) -> DataFrame:
     """Order lines joined with the order as it was placed."""
-    orders = table_events(log, "order_info", "insert", database=database).select(
-        *[F.col("data")[n].alias("_order" if n == "id" else n) for n in ORDER.split()])
+    orders = last_of_order(table_events(log, "order_info", "insert", database=database).select(
+        *[F.col("data")[n].alias("_order" if n == "id" else n) for n in ORDER.split()],
+        F.col("ts").alias("order_ts")))
     return order_lines(log, database).join(
-        orders, F.col("order_id") == F.col("_order"), "inner").drop("_order")
+        orders, F.col("order_id") == F.col("_order"), "inner").drop("_order", "order_ts")
 
 
 ORDER_DETAIL = (LINE + " " + ORDER.removeprefix("id ")
@@ -113,15 +124,21 @@ def dwd_order_detail(log: DataFrame, dictionary: DataFrame | None = None,
     return shape_order_detail(wide, dictionary)
 
 
+def orders_changed_to(log: DataFrame, code: str, columns: str,
+                      database: str | None = None) -> DataFrame:
+    """Orders whose status has become ``code``, as ``_order``, columns and ``order_ts``."""
+    return last_of_order(status_changed_to(
+        log, "order_info", "order_status", code, database).select(
+        F.col("data")["id"].alias("_order"), *fields(columns), F.col("ts").alias("order_ts")))
+
+
 def cancelled_lines(log: DataFrame, database: str | None = None) -> DataFrame:
-    """Order lines joined with the cancellation of their order."""
-    cancelled = status_changed_to(
-        log, "order_info", "order_status", ORDER_CANCELLED, database).select(
-        F.col("data")["id"].alias("_order"),
-        *fields("user_id province_id operate_time"), F.col("ts").alias("cancel_ts"))
-    return order_lines(log, database).join(
+    """Order lines joined with the cancellation of their order, whose time they take."""
+    cancelled = orders_changed_to(
+        log, ORDER_CANCELLED, "user_id province_id operate_time", database)
+    return order_lines(log, database).drop("ts").join(
         cancelled, F.col("order_id") == F.col("_order"), "inner"
-    ).drop("_order", "ts").withColumnRenamed("cancel_ts", "ts")
+    ).drop("_order").withColumnRenamed("order_ts", "ts")
 
 
 def shape_order_cancel(rows: DataFrame) -> DataFrame:
@@ -138,24 +155,30 @@ def dwd_order_cancel(log: DataFrame, database: str | None = None) -> DataFrame:
         cancelled_lines(log, database), activities(log, database), coupons(log, database)))
 
 
-def paid_lines(log: DataFrame, order_detail: DataFrame, require_success: bool = True,
-               lower: timedelta = PAY_LOWER, upper: timedelta = PAY_UPPER) -> DataFrame:
-    """Payments joined with the order lines written around their time.
-
-    ``log`` and ``order_detail`` both carry the event time ``row_time``.
-    """
-    paid = payments(log, require_success).select(
+def paid(log: DataFrame, require_success: bool = True) -> DataFrame:
+    return payments(log, require_success).select(
         F.col("data")["order_id"].alias("pay_order_id"),
         F.col("data")["payment_type"].alias("payment_type_code"),
         *fields("callback_time"), F.col("row_time").alias("pay_time"), F.col("ts").alias("pay_ts"))
+
+
+def paid_lines(order_detail: DataFrame, paid_rows: DataFrame, lower: timedelta = PAY_LOWER,
+               upper: timedelta = PAY_UPPER) -> DataFrame:
+    """Payments joined with the order lines written around their time.
+
+    The inputs carry the event times ``row_time`` and ``pay_time``.
+    """
     return joins.interval_join(
-        order_detail, paid, F.col("order_id") == F.col("pay_order_id"),
+        order_detail, paid_rows, F.col("order_id") == F.col("pay_order_id"),
         "row_time", "pay_time", lower, upper)
 
 
-def shape_pay_success(pairs: DataFrame, dictionary: DataFrame) -> DataFrame:
-    named = joins.lookup_join(pairs, dictionary, "payment_type_code", "payment_type_name")
-    return named.select(
+def name_payment_type(rows: DataFrame, dictionary: DataFrame) -> DataFrame:
+    return joins.lookup_join(rows, dictionary, "payment_type_code", "payment_type_name")
+
+
+def shape_pay_success(pairs: DataFrame) -> DataFrame:
+    return pairs.select(
         F.col("id").alias("order_detail_id"), "order_id", "user_id", "sku_id", "sku_name",
         "province_id", "activity_id", "activity_rule_id", "coupon_id", "payment_type_code",
         "payment_type_name", "callback_time", "source_id",
@@ -167,21 +190,45 @@ def shape_pay_success(pairs: DataFrame, dictionary: DataFrame) -> DataFrame:
 def dwd_pay_success(log: DataFrame, order_detail: DataFrame, dictionary: DataFrame,
                     require_success: bool = True, lower: timedelta = PAY_LOWER,
                     upper: timedelta = PAY_UPPER) -> DataFrame:
-    """Payments with their type's name and the order lines they pay. Key: order_detail_id."""
-    return shape_pay_success(
-        paid_lines(log, order_detail, require_success, lower, upper), dictionary)
+    """Payments with their type's name and the order lines they pay. Key: order_detail_id.
 
-
-def orders_changed_to(log: DataFrame, code: str, columns: str) -> DataFrame:
-    return status_changed_to(log, "order_info", "order_status", code).select(
-        F.col("data")["id"].alias("_order"), *fields(columns))
+    ``log`` and ``order_detail`` carry the event time ``row_time``. Of an order's payments in
+    one second only the last can stay in the upsert table, so only that is joined: a line
+    never meets more payments than the interval has seconds.
+    """
+    named = name_payment_type(paid(log, require_success), dictionary)
+    last = latest.latest_per_key(named, ["pay_order_id", "pay_time"], [])
+    return shape_pay_success(paid_lines(order_detail, last, lower, upper))
 
 
 def refund_requests(log: DataFrame) -> DataFrame:
     """Refund requests joined with the order that turned to refund."""
     refunds = table_events(log, "order_refund_info", "insert").select(*fields(REFUND), "ts")
     orders = orders_changed_to(log, ORDER_REFUND_REQUESTED, "province_id")
-    return refunds.join(orders, F.col("order_id") == F.col("_order"), "inner").drop("_order")
+    return refunds.join(
+        orders, F.col("order_id") == F.col("_order"), "inner").drop("_order", "order_ts")
+
+
+def last_requests(log: DataFrame) -> DataFrame:
+    """The last refund request of each article of an order; a stream keeps all of them."""
+    requests = table_events(log, "order_refund_info").select(
+        F.col("data")["order_id"].alias("_request_order"),
+        F.col("data")["sku_id"].alias("_request_sku"), *fields("refund_num"),
+        F.col("ts").alias("request_ts"))
+    if requests.isStreaming:
+        return requests
+    keys = ["_request_order", "_request_sku"]
+    last = latest.latest_per_key(requests, keys, [F.col("request_ts").try_cast("bigint")])
+    # Expressions, for the same reason as in one_per_key.
+    return last.withColumns({k: F.concat(F.col(k), F.lit("")) for k in keys})
+
+
+def join_requests(paid_back: DataFrame, requests: DataFrame) -> DataFrame:
+    """Join on two keys, order and article."""
+    return paid_back.join(
+        requests, (F.col("order_id") == F.col("_request_order"))
+        & (F.col("sku_id") == F.col("_request_sku")), "inner"
+    ).drop("_request_order", "_request_sku", "request_ts")
 
 
 def shape_order_refund(joined: DataFrame, dictionary: DataFrame) -> DataFrame:
@@ -204,16 +251,11 @@ def dwd_order_refund(log: DataFrame, dictionary: DataFrame) -> DataFrame:
 
 def refunded_payments(log: DataFrame) -> DataFrame:
     """Refund payments joined with the refunded order and the request of the same article."""
-    paid = table_events(log, "refund_payment").select(*fields(REFUND_PAYMENT), "ts")
+    paid_back = table_events(log, "refund_payment").select(*fields(REFUND_PAYMENT), "ts")
     orders = orders_changed_to(log, ORDER_REFUNDED, "user_id province_id")
-    requests = table_events(log, "order_refund_info").select(
-        F.col("data")["order_id"].alias("_request_order"),
-        F.col("data")["sku_id"].alias("_request_sku"), *fields("refund_num"))
-    return (
-        paid.join(orders, F.col("order_id") == F.col("_order"), "inner").drop("_order")
-        .join(requests, (F.col("order_id") == F.col("_request_order"))
-              & (F.col("sku_id") == F.col("_request_sku")), "inner")
-        .drop("_request_order", "_request_sku"))
+    joined = paid_back.join(
+        orders, F.col("order_id") == F.col("_order"), "inner").drop("_order", "order_ts")
+    return join_requests(joined, last_requests(log))
 
 
 def shape_refund_pay_success(joined: DataFrame, dictionary: DataFrame) -> DataFrame:
@@ -232,7 +274,7 @@ def dwd_refund_pay_success(log: DataFrame, dictionary: DataFrame) -> DataFrame:
 
 def last_by_ts(fact: DataFrame, key: str) -> DataFrame:
     """The upsert table of a fact: the last row of each key."""
-    return latest.latest_per_key(fact, [key], [F.col("ts").try_cast("bigint")])
+    return latest.latest_per_key(fact, [key], by_ts())
 
 
 def emp_dept_interval(employees: DataFrame, departments: DataFrame,

@@ -8,21 +8,17 @@ from pyspark.sql import functions as F
 from tidemart.functions import predicates, scalars
 from tidemart.operators import keywords, latest, routing, traffic
 from tidemart.schemas import ROUTE
-from tidemart.sources import page_log, tables
+from tidemart.sources import tables
 
 
-def traffic_outputs(parsed: DataFrame, repaired: DataFrame) -> DataFrame:
-    """All outputs of the page log as ``output`` and ``value``; dirty text is one of them."""
-    _, dirty = page_log.split_dirty(parsed)
-    return traffic.log_split(repaired).unionByName(
-        dirty.select(F.lit("dirty").alias("output"), "value"))
+def dwd_traffic_log(parsed: DataFrame, arrival: str) -> DataFrame:
+    """Parsed page log to dirty, error, start, page, display and action records.
 
-
-def dwd_traffic_log(raw: DataFrame, arrival: str) -> DataFrame:
-    """Page log to dirty, error, start, page, display and action records."""
-    parsed = page_log.parse_page_log(raw)
-    good, _ = page_log.split_dirty(parsed)
-    return traffic_outputs(parsed, traffic.visitor_flag_repair(good, arrival))
+    The log is read three times: for the first visits, for records that cannot change, and
+    for those flagged new. On a large log land it first (``page_log.land_page_log``), so that
+    the text is parsed once and the first pass reads three columns.
+    """
+    return traffic.log_split(traffic.visitor_flag_repair(parsed, arrival))
 
 
 def search_words(page_view: DataFrame) -> DataFrame:

@@ -334,9 +334,7 @@ def multi_key_join(spark, d):
     log = log_of(feeds.refund_payments(spark, d), feeds.refunds(spark, d))
     paid = predicates.table_events(log, "refund_payment").select(
         *predicates.fields("id order_id sku_id"))
-    requests = predicates.table_events(log, "order_refund_info").select(
-        *predicates.fields("order_id sku_id refund_num"))
-    return paid.join(requests, ["order_id", "sku_id"], "inner")
+    return facts.join_requests(paid, facts.last_requests(log))
 
 
 @query
@@ -449,7 +447,8 @@ def fact_route(spark, d):
 
 @query
 def dwd_traffic_log(spark, d):
-    return warehouse.dwd_traffic_log(feeds.page_log(spark, d), "arrival")
+    parsed = page_log.parse_page_log(feeds.page_log(spark, d))
+    return warehouse.dwd_traffic_log(parsed, "arrival")
 
 
 @query

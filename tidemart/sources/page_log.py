@@ -37,6 +37,13 @@ def split_dirty(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
     return good, parsed.where("dirty").select("value")
 
 
+def land_page_log(raw: DataFrame, path: str, mode: str = "append") -> None:
+    """Parse the log once and store it in columns, the text of dirty records only."""
+    parsed = parse_page_log(raw)
+    kept = F.when(F.col("dirty"), F.col("value"))
+    parsed.withColumn("value", kept).write.mode(mode).parquet(path)
+
+
 def read_page_view(raw: DataFrame, delay: str = "2 seconds") -> DataFrame:
     """``common``, ``page`` and ``ts`` with event time ``rt`` and its watermark."""
     parsed = raw.where(F.col("value").isNotNull()).select(

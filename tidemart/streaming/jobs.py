@@ -26,16 +26,12 @@ from tidemart.schemas import ROUTE
 Snapshot = Callable[[], DataFrame]
 
 
-def _by_ts() -> list:
-    return [F.col("ts").try_cast("bigint")]
-
-
 def upsert(stream: DataFrame, table: KeyedTable, checkpoint: str,
            shape: Callable[[DataFrame], DataFrame] = lambda rows: rows,
            mode: str = "append") -> StreamingQuery:
     """Run a stream into an upsert table, shaping each micro-batch on the way."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        table.merge(shape(batch), batch_id, _by_ts())
+        table.merge(shape(batch), batch_id, facts.by_ts())
     return writers.start(stream, write, checkpoint, mode)
 
 
@@ -126,8 +122,9 @@ def pay_job(log: DataFrame, order_detail: DataFrame, dictionary: Snapshot, table
             checkpoint: str, lower: timedelta = facts.PAY_LOWER,
             upper: timedelta = facts.PAY_UPPER) -> StreamingQuery:
     """Interval join of two watermarked streams; both carry ``row_time``."""
-    pairs = facts.paid_lines(log, order_detail, True, lower, upper)
-    return upsert(pairs, table, checkpoint, lambda b: facts.shape_pay_success(b, dictionary()))
+    pairs = facts.paid_lines(order_detail, facts.paid(log), lower, upper)
+    return upsert(pairs, table, checkpoint, lambda b: facts.shape_pay_success(
+        facts.name_payment_type(b, dictionary())))
 
 
 def refund_job(log: DataFrame, dictionary: Snapshot, table: KeyedTable,
@@ -174,7 +171,7 @@ def dim_job(log: DataFrame, routes: Snapshot, table: KeyedTable, checkpoint: str
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = warehouse.dim_rows(batch, routes(), apply_deletes).select(
             "sink_table", "row_key", "payload", REMOVED, "ts")
-        table.merge(rows, batch_id, _by_ts())
+        table.merge(rows, batch_id, facts.by_ts())
     return writers.start(log, write, checkpoint)
 
 
@@ -201,7 +198,7 @@ def traffic_job(raw: DataFrame, arrival: str, visits: KeyedTable, path: str,
         visits.merge(first.where("known_day IS NULL").select("mid", "first_day"), batch_id)
         settled = first.select(
             "mid", F.coalesce("known_day", "first_day").alias("first_day"), "has_new")
-        write(warehouse.traffic_outputs(parsed, traffic.clear_repeated(good, settled)), batch_id)
+        write(traffic.log_split(traffic.clear_repeated(parsed, settled)), batch_id)
         first.unpersist()
         parsed.unpersist()
 
