@@ -462,3 +462,33 @@ candidates AS (SELECT conv_id, turn, position, unnest(range(1, least(3, len(t) -
 SELECT conv_id, turn, CAST(position AS INT) AS position, word
 FROM candidates JOIN vocabulary ON substr(t, position, size) = word""",
 }
+
+SQL |= {
+    # Sinks give back what was written
+    "write_topic": SQL["read_text_stream"].replace("WHERE o_orderpriority <> '5-LOW'", ""),
+    "write_by_destination": SQL["dwd_simple_facts"],
+    "write_append_table": SQL["dwd_cart_add"],
+    "create_dim_if_absent": """
+SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, CAST(c_nationkey AS VARCHAR) AS province_id
+FROM customer""",
+    "upsert_dim": "SELECT p_brand AS tm_id, arg_max(p_name, p_partkey) AS tm_name FROM part GROUP BY p_brand",
+    "write_olap_json": KEYWORD_COUNTS,
+
+    # Streams give what the batch gives
+    "stream_read_text": SQL["read_text_stream"].replace("WHERE o_orderpriority <> '5-LOW'", ""),
+    "stream_order_detail": ORDER_DETAIL.replace(
+        "dic_name AS source_type_name, ", "").replace("LEFT JOIN dictionary ON source_type = dic_code", ""),
+    # A line comes out when both its parts are there, or when the watermark has left it behind.
+    "state_ttl": f"""WITH {LINES}, ends AS (
+  SELECT least(max(epoch(l_shipdate)), max(epoch(l_shipdate)) FILTER (l_discount >= 0.05),
+    max(epoch(l_shipdate)) FILTER (l_returnflag = 'R')) AS mark FROM lineitem)
+SELECT id, activity_id, coupon_id FROM lines, ends
+WHERE (activity_id IS NOT NULL AND coupon_id IS NOT NULL) OR CAST(ts AS BIGINT) + 910 < mark""",
+    # The watermark stands two seconds before the last search.
+    "watermark_bounded": KEYWORD_COUNTS + """
+HAVING (slot + 1) * 10000 <= (SELECT max(ts) FROM views WHERE last_page_id = 'search') - 2000""",
+    "watermark_monotonous": SQL["emp_dept_interval"],
+    "stream_traffic_log": SQL["dwd_traffic_log"],
+    "stream_refund": SQL["dwd_order_refund"],
+    "stream_routes": SQL["apply_config_changes"],
+}

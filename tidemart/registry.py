@@ -12,7 +12,10 @@ from tidemart import feeds, schemas, session
 from tidemart.functions import predicates, scalars
 from tidemart.operators import joins, keywords, latest, routing, traffic
 from tidemart.plans import facts, warehouse
+from tidemart.sinks import writers
+from tidemart.sinks.keyed import KeyedTable
 from tidemart.sources import change_log, messages, page_log, tables
+from tidemart.streaming import jobs
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -534,9 +537,14 @@ def emp_dept_interval(spark, d):
 
 @query
 def upsert_by_key(spark, d):
+    """Three batches of events, one per kind of day, into one keyed table; read at the end."""
     events = feeds.table(spark, d, "events").select(
-        "user_id", "event_id", "event_type", feeds.money("value").alias("value"))
-    return latest.latest_per_key(events, ["user_id"], [F.col("event_id")])
+        "user_id", "event_id", "event_type", feeds.money("value").alias("value"), "ts")
+    table = KeyedTable(spark, session.shared_dir(spark, "upsert"), ["user_id"])
+    day = F.dayofmonth("ts")
+    for number, part in enumerate((day <= 10, (day > 10) & (day <= 20), day > 20)):
+        table.merge(events.where(part).drop("ts"), number, [F.col("event_id")])
+    return table.read()
 
 
 @query
@@ -553,3 +561,175 @@ def keyword_dictionary_match(spark, d):
     heard = turns.where("role <> 'user'").select("text")
     words = keywords.keyword_split(heard, "text").where("length(word) <= 3").distinct()
     return keywords.keyword_dictionary_match(said, "text", words, 3)
+
+
+# Sinks: written below the shared folder and read back
+
+@query
+def write_topic(spark, d):
+    path = session.shared_dir(spark, "topic")
+    writers.write_text_topic(feeds.comments(spark, d), path)
+    return messages.read_text(spark, path)
+
+
+@query
+def write_by_destination(spark, d):
+    path = session.shared_dir(spark, "destinations")
+    log = log_of(feeds.dimension_rows(spark, d), feeds.comments(spark, d))
+    writers.write_by_destination(
+        warehouse.dwd_simple_facts(log, routes(spark, routing.FACT)), path)
+    return spark.read.text(path).select("sink_table", "value")
+
+
+@query
+def write_append_table(spark, d):
+    path = session.shared_dir(spark, "append")
+    log = log_of(feeds.cart(spark, d))
+    writers.write_append_table(facts.dwd_cart_add(log, database=feeds.DATABASE), path)
+    return spark.read.parquet(path)
+
+
+def _users(spark):
+    return routes(spark, routing.DIM).where("source_table = 'user_info'")
+
+
+@query
+def create_dim_if_absent(spark, d):
+    """The dimension table of the users: created twice, then filled."""
+    path = session.shared_dir(spark, "dims")
+    route = _users(spark).first()
+    for _ in range(2):
+        home = writers.create_dim_if_absent(
+            spark, path, route.sink_table, route.sink_columns, route.sink_pk, route.sink_extend)
+    rows = warehouse.dim_tables(log_of(feeds.dimension_rows(spark, d)), _users(spark))
+    writers.write_append_table(
+        writers.dim_table(rows, route.sink_table, route.sink_columns), home)
+    return spark.read.parquet(home)
+
+
+@query
+def upsert_dim(spark, d):
+    """Dimension rows merged twice; the table of brands is read."""
+    table = KeyedTable(spark, session.shared_dir(spark, "dims"), ["sink_table", "row_key"])
+    rows = warehouse.dim_rows(log_of(feeds.dimension_rows(spark, d)), routes(spark, routing.DIM))
+    for batch in range(2):
+        table.merge(rows.select("sink_table", "row_key", "payload", "removed", "ts"), batch,
+                    [F.col("ts")])
+    return writers.dim_table(table.read(), "dim_base_brand", "tm_id,tm_name")
+
+
+@query
+def write_olap_json(spark, d):
+    path = session.shared_dir(spark, "olap")
+    view = page_log.read_page_view(feeds.search_log(spark, d))
+    writers.write_olap_json(warehouse.dws_keyword_window(view), path)
+    return spark.read.schema(schemas.KEYWORD_WINDOW).json(path).drop("ts")
+
+
+# Streams: the whole input through a started query, the result read back
+
+def landed(spark: SparkSession, raw: DataFrame, purpose: str) -> str:
+    """Raw messages as files below the shared folder, for a stream to read."""
+    path = session.shared_dir(spark, purpose)
+    raw.write.parquet(path)
+    return path
+
+
+def stream_of(spark: SparkSession, raw: DataFrame, purpose: str) -> DataFrame:
+    return spark.readStream.schema(raw.schema).parquet(landed(spark, raw, purpose))
+
+
+def finish(started) -> None:
+    started.awaitTermination()
+
+
+@query
+def stream_read_text(spark, d):
+    topic = session.shared_dir(spark, "in")
+    writers.write_text_topic(feeds.comments(spark, d), topic)
+    out = session.shared_dir(spark, "out")
+    finish(writers.stream_text_topic(
+        messages.read_text_stream(spark, topic), out, session.shared_dir(spark, "ck")))
+    return messages.read_text(spark, out)
+
+
+@query
+def stream_order_detail(spark, d):
+    """Order lines by two native joins: inner with the order, retracting left with the rest."""
+    raw = feeds.union(feeds.order_details(spark, d), feeds.new_orders(spark, d),
+                      feeds.detail_activities(spark, d), feeds.detail_coupons(spark, d))
+    log = change_log.read_change_log(stream_of(spark, raw, "in"))
+    lines, path = facts.placed_lines(log), session.shared_dir(spark, "lines")
+    finish(jobs.lines_job(lines, path, session.shared_dir(spark, "ck")))
+    stored = spark.readStream.schema(lines.schema).parquet(path)
+    table = KeyedTable(spark, session.shared_dir(spark, "fact"), ["id"])
+    finish(jobs.promotion_job(stored, facts.activities(log), facts.coupons(log), table,
+                              session.shared_dir(spark, "ck"), facts.shape_order_detail))
+    return table.read().drop("source_type_name")
+
+
+@query
+def state_ttl(spark, d):
+    """Cancelled lines with the state of the left joins kept for 910 seconds; the rows that
+    are out when the input ends."""
+    raw = feeds.union(feeds.order_details(spark, d), feeds.order_updates(spark, d),
+                      feeds.detail_activities(spark, d), feeds.detail_coupons(spark, d))
+    log = change_log.read_change_log(stream_of(spark, raw, "in"))
+    lines = facts.order_lines(log)
+    table = KeyedTable(spark, session.shared_dir(spark, "fact"), ["id"])
+    finish(jobs.bounded_promotion_job(
+        lines, facts.activities(log), facts.coupons(log), table, session.shared_dir(spark, "ck"),
+        timedelta(seconds=910), lambda b: b))
+    return table.read().select("id", "activity_id", "coupon_id")
+
+
+@query
+def watermark_bounded(spark, d):
+    """Keyword windows that a watermark of two seconds has closed."""
+    view = page_log.read_page_view(stream_of(spark, feeds.search_log(spark, d), "in"))
+    out = session.shared_dir(spark, "out")
+    finish(jobs.keyword_job(
+        view, lambda b, n: b.write.mode("overwrite").parquet(f"{out}/batch={n}"),
+        session.shared_dir(spark, "ck")))
+    return spark.read.parquet(out).drop("batch", "ts")
+
+
+@query
+def watermark_monotonous(spark, d):
+    """The interval join of two streams whose watermarks follow without delay."""
+    def lines(raw: DataFrame, schema) -> DataFrame:
+        return tables.with_event_ms(tables.parse_csv_lines(stream_of(spark, raw, "in"), schema))
+
+    out = session.shared_dir(spark, "out")
+    minutes = timedelta(minutes=30)
+    finish(jobs.emp_dept_job(
+        lines(feeds.employee_lines(spark, d), schemas.EMPLOYEE),
+        lines(feeds.department_lines(spark, d), schemas.DEPARTMENT),
+        out, session.shared_dir(spark, "ck"), -minutes, minutes))
+    return spark.read.parquet(out)
+
+
+@query
+def stream_traffic_log(spark, d):
+    visits = KeyedTable(spark, session.shared_dir(spark, "visits"), ["mid"])
+    out = session.shared_dir(spark, "out")
+    finish(jobs.traffic_job(stream_of(spark, feeds.page_log(spark, d), "in"), "arrival", visits,
+                            out, session.shared_dir(spark, "ck")))
+    return spark.read.text(out).select("output", "value")
+
+
+@query
+def stream_refund(spark, d):
+    raw = feeds.union(feeds.refunds(spark, d), feeds.order_updates(spark, d))
+    table = KeyedTable(spark, session.shared_dir(spark, "fact"), ["id"])
+    finish(jobs.refund_job(change_log.read_change_log(stream_of(spark, raw, "in")),
+                           lambda: feeds.dictionary(spark, d), table, session.shared_dir(spark, "ck")))
+    return table.read().drop(*facts.VOLATILE)
+
+
+@query
+def stream_routes(spark, d):
+    table = KeyedTable(spark, session.shared_dir(spark, "routes"), ["source_table"])
+    finish(jobs.routes_job(stream_of(spark, feeds.route_changes(spark, d), "in"), routing.DIM, table,
+                           session.shared_dir(spark, "ck")))
+    return table.read()
