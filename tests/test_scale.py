@@ -94,4 +94,4 @@ def test_other_tables_are_not_read(spark, small):
 def test_latest_combines_before_the_shuffle(spark, small):
     events = feeds.table(spark, small, "events")
     plan = latest.latest_per_key(events, ["user_id"], [F.col("event_id")])
-    assert "partial_max" in plan._jdf.queryExecution().executedPlan().toString()
+    assert "partial_max_by" in plan._jdf.queryExecution().executedPlan().toString()

@@ -10,22 +10,17 @@ def latest_per_key(rows: DataFrame, keys: list[str], order: list[Column]) -> Dat
     """The last row of each key in the given order.
 
     The maximum is taken in each task before the shuffle, so that a hot key sends one
-    row per task. Rows equal in ``order`` are told apart by their own values; columns
-    that cannot be ordered (maps) are carried along.
+    row per task. Rows equal in ``order`` are told apart by a hash of their values, so that
+    a repeated task finds the same row.
     """
     others = [c for c in rows.columns if c not in keys]
-    kinds = {f.name: f.dataType.typeName() for f in rows.schema.fields}
-    plain = [c for c in others if kinds[c] not in ("map", "variant")]
-    rank = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)], *plain)
-    if plain == others:
-        best = F.max(rank).alias("best")
-        picked = [F.col("best")[c].alias(c) for c in others]
-    else:
-        best = F.max_by(F.struct(*others), rank).alias("best")
-        picked = [F.col("best")[c].alias(c) for c in others]
-    top = rows.groupBy(*keys).agg(best)
-    by_name = {**{k: F.col(k) for k in keys}, **dict(zip(others, picked))}
-    return top.select(*[by_name[c] for c in rows.columns])
+    hashable = [f.name for f in rows.schema.fields
+                if f.name in others and f.dataType.typeName() not in ("map", "variant")]
+    rank = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)],
+                    F.xxhash64(F.lit(0), *hashable).alias("tie"))
+    top = rows.groupBy(*keys).agg(F.max_by(F.struct(*others), rank).alias("last"))
+    return top.select(*[
+        F.col(c) if c in keys else F.col("last")[c].alias(c) for c in rows.columns])
 
 
 def one_per_key(rows: DataFrame, key: str, order: list[Column]) -> DataFrame:

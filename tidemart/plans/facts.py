@@ -197,7 +197,8 @@ def dwd_pay_success(log: DataFrame, order_detail: DataFrame, dictionary: DataFra
     never meets more payments than the interval has seconds.
     """
     named = name_payment_type(paid(log, require_success), dictionary)
-    last = latest.latest_per_key(named, ["pay_order_id", "pay_time"], [])
+    last = latest.latest_per_key(named, ["pay_order_id", "pay_time"], [
+        F.col("payment_type_code"), F.col("payment_type_name"), F.col("callback_time")])
     return shape_pay_success(paid_lines(order_detail, last, lower, upper))
 
 
@@ -218,7 +219,8 @@ def last_requests(log: DataFrame) -> DataFrame:
     if requests.isStreaming:
         return requests
     keys = ["_request_order", "_request_sku"]
-    last = latest.latest_per_key(requests, keys, [F.col("request_ts").try_cast("bigint")])
+    last = latest.latest_per_key(
+        requests, keys, [F.col("request_ts").try_cast("bigint"), F.col("refund_num")])
     # Expressions, for the same reason as in one_per_key.
     return last.withColumns({k: F.concat(F.col(k), F.lit("")) for k in keys})
 
@@ -272,9 +274,9 @@ def dwd_refund_pay_success(log: DataFrame, dictionary: DataFrame) -> DataFrame:
     return shape_refund_pay_success(refunded_payments(log), dictionary)
 
 
-def last_by_ts(fact: DataFrame, key: str) -> DataFrame:
-    """The upsert table of a fact: the last row of each key."""
-    return latest.latest_per_key(fact, [key], by_ts())
+def last_by_ts(fact: DataFrame, key: str, *then: str) -> DataFrame:
+    """The upsert table of a fact: the last row of each key by time, then by more columns."""
+    return latest.latest_per_key(fact, [key], [*by_ts(), *[F.col(c) for c in then]])
 
 
 def emp_dept_interval(employees: DataFrame, departments: DataFrame,

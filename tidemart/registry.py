@@ -91,14 +91,9 @@ def read_page_view(spark, d):
                        F.col("page")["last_page_id"].alias("last_page_id"), "ts", second_text("rt"))
 
 
-def fact_stream(raw: DataFrame) -> DataFrame:
-    rows = raw.select(F.from_json("value", schemas.ORDER_LINE_FACT).alias("row")).select("row.*")
-    return change_log.with_event_time(rows)
-
-
 @query
 def read_fact_stream(spark, d):
-    return fact_stream(feeds.order_line_facts(spark, d)).select(
+    return tables.read_fact_stream(feeds.order_line_facts(spark, d)).select(
         "id", "order_id", "sku_id", "province_id", "split_total_amount", "source_id", "ts",
         second_text("row_time"))
 
@@ -354,7 +349,7 @@ def _payment_log(spark, d):
 
 
 def _order_line_facts(spark, d):
-    return fact_stream(feeds.order_line_facts(spark, d))
+    return tables.read_fact_stream(feeds.order_line_facts(spark, d))
 
 
 @query
@@ -484,7 +479,7 @@ def dwd_order_cancel(spark, d):
 def dwd_pay_success(spark, d):
     fact = facts.dwd_pay_success(
         _payment_log(spark, d), _order_line_facts(spark, d), feeds.dictionary(spark, d))
-    return facts.last_by_ts(fact, "order_detail_id")
+    return facts.last_by_ts(fact, "order_detail_id", "payment_type_code", "callback_time")
 
 
 @query
@@ -493,7 +488,7 @@ def dwd_pay_any_status_day(spark, d):
     fact = facts.dwd_pay_success(
         _payment_log(spark, d), _order_line_facts(spark, d), feeds.dictionary(spark, d),
         require_success=False, lower=timedelta(days=-1))
-    return facts.last_by_ts(fact, "order_detail_id")
+    return facts.last_by_ts(fact, "order_detail_id", "payment_type_code", "callback_time")
 
 
 @query

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemart import schemas
 from tidemart.functions import scalars
 from tidemart.functions.predicates import LANDED_BY
+from tidemart.sources import messages
 
 
 def may_name(value: Column, tables: list[str]) -> Column:
@@ -26,13 +27,11 @@ def read_change_log(raw: DataFrame, tables: list[str] | None = None) -> DataFram
     """Typed envelope of each message; works on a batch and on a stream.
 
     Text that is no JSON object parses to an envelope of nulls, which no table filter keeps.
-    With ``tables`` other messages are dropped before the costly parse. Filters on the
-    envelope stay above the generator, so that a message is parsed once.
+    With ``tables`` other messages are dropped before the costly parse.
     """
-    others = [c for c in raw.columns if c != "value"]
     if tables:
         raw = raw.where(may_name(F.col("value"), tables))
-    return raw.select(*others, F.inline(F.array(F.from_json("value", schemas.CHANGE))))
+    return messages.parsed(raw, schemas.CHANGE)
 
 
 def with_event_time(log: DataFrame, delay: str = "0 seconds") -> DataFrame:

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def read_topic_stream(spark: SparkSession, servers: str, topic: str, **options: str) -> DataFrame:
@@ -31,3 +32,14 @@ def messages(raw: DataFrame, *keep: str) -> DataFrame:
     names = [c for c in raw.columns if c in keep or c == "src_table"]
     return raw.select(F.col("value").cast("string").alias("value"), *names).where(
         F.col("value").isNotNull())
+
+
+def parsed(raw: DataFrame, schema: T.StructType, *keep: str, text: Column | None = None) -> DataFrame:
+    """JSON messages as the columns of ``schema``, beside all columns other than ``value``.
+
+    Messages without content are dropped; ``keep`` may name ``value``, to have the text too.
+    The columns come out of a generator: filters on them are not pushed into a second parse.
+    """
+    source = F.col("value") if text is None else text
+    rows = F.when(F.col("value").isNotNull(), F.array(F.from_json(source, schema)))
+    return raw.select(*[c for c in raw.columns if c != "value"], *keep, F.inline(rows))

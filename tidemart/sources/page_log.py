@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemart import schemas
 from tidemart.functions import scalars
+from tidemart.sources import messages
 
 
 def parse_page_log(raw: DataFrame) -> DataFrame:
@@ -19,13 +20,11 @@ def parse_page_log(raw: DataFrame) -> DataFrame:
     others = [c for c in raw.columns if c != "value"]
     text = F.btrim("value", F.lit(" \t\r\n"))
     whole = text.startswith("{") & text.endswith("}")
-    # The generator keeps later filters from parsing the text a second time.
-    log = raw.select(*others, "value", F.inline(F.array(
-        F.from_json(F.when(whole, F.col("value")), schemas.PAGE_LOG))))
+    log = messages.parsed(raw, schemas.PAGE_LOG, "value", text=F.when(whole, F.col("value")))
     maps = [scalars.without_nulls(F.col(n)).alias(n) for n in ("common", "page", "start", "err")]
     lists = [F.transform(n, scalars.without_nulls).alias(n) for n in ("displays", "actions")]
     mid, ts = F.col("common")["mid"], F.col("ts").try_cast("bigint")
-    return log.where(F.col("value").isNotNull()).select(
+    return log.select(
         *others, "value", *maps, *lists, ts.alias("ts"), mid.alias("mid"),
         F.col("common")["is_new"].alias("is_new"),
         (mid.isNull() | ts.isNull()).alias("dirty"))
@@ -46,7 +45,6 @@ def land_page_log(raw: DataFrame, path: str, mode: str = "append") -> None:
 
 def read_page_view(raw: DataFrame, delay: str = "2 seconds") -> DataFrame:
     """``common``, ``page`` and ``ts`` with event time ``rt`` and its watermark."""
-    parsed = raw.where(F.col("value").isNotNull()).select(
-        F.from_json("value", schemas.PAGE_VIEW).alias("view")).select("view.*")
-    return parsed.withColumn(
+    view = messages.parsed(raw.select("value"), schemas.PAGE_VIEW)
+    return view.withColumn(
         "rt", scalars.epoch_ms_to_timestamp(F.col("ts"))).withWatermark("rt", delay)

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from tidemart import schemas
 from tidemart.functions import scalars
+from tidemart.sources import messages
 
 
 def read_table(spark: SparkSession, fmt: str, path: str | None = None, **options: str) -> DataFrame:
@@ -34,17 +35,13 @@ def routes_of(config: DataFrame, sink_type: str) -> DataFrame:
 
 def read_table_changes(raw: DataFrame, row: T.StructType) -> DataFrame:
     """Change records ``before``, ``after``, ``op``, ``ts_ms`` of one watched table."""
-    others = [c for c in raw.columns if c != "value"]
-    return raw.where(F.col("value").isNotNull()).select(
-        *others, F.from_json("value", schemas.table_change(row)).alias("change")
-    ).select(*others, "change.*")
+    return messages.parsed(raw, schemas.table_change(row))
 
 
 def parse_csv_lines(lines: DataFrame, schema: T.StructType) -> DataFrame:
     """Comma separated text lines as typed rows."""
-    return lines.select(
-        F.from_csv("value", schema.simpleString()[len("struct<"):-1].replace(":", " ")).alias("row")
-    ).select("row.*")
+    columns = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema.fields)
+    return lines.select(F.inline(F.array(F.from_csv("value", columns))))
 
 
 def read_csv_stream(spark: SparkSession, path: str, schema: T.StructType,
@@ -52,6 +49,13 @@ def read_csv_stream(spark: SparkSession, path: str, schema: T.StructType,
     return spark.readStream.schema(schema).options(**options).csv(path)
 
 
+def read_fact_stream(raw: DataFrame, delay: str = "0 seconds") -> DataFrame:
+    """Order-line facts out of their topic, with event time: each upsert is a new row."""
+    rows = messages.parsed(raw, schemas.ORDER_LINE_FACT)
+    return rows.withColumn("row_time", scalars.epoch_seconds_to_timestamp(
+        F.col("ts"))).withWatermark("row_time", delay)
+
+
 def with_event_ms(rows: DataFrame, column: str = "ts", name: str = "event_time",
                   delay: str = "0 seconds") -> DataFrame:
     """Event time from an epoch-millisecond column, with its watermark."""
