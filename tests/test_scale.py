@@ -6,9 +6,10 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from tidemart import feeds, registry
+from tidemart import feeds, registry, session
 from tidemart.operators import latest, traffic
 from tidemart.plans import facts
+from tidemart.sinks import writers
 from tidemart.sources import page_log
 
 # Small limits, so that adaptive execution treats test data as a cluster treats large data.
@@ -95,3 +96,22 @@ def test_latest_combines_before_the_shuffle(spark, small):
     events = feeds.table(spark, small, "events")
     plan = latest.latest_per_key(events, ["user_id"], [F.col("event_id")])
     assert "partial_max_by" in plan._jdf.queryExecution().executedPlan().toString()
+
+
+def test_shuffles_grow_with_the_input(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    cores = spark.sparkContext.defaultParallelism
+    gigabyte = 1024 ** 3
+    assert session.size_shuffles(spark, 1) == cores
+    assert session.size_shuffles(spark, 1000 * gigabyte) == 2000
+    assert session.size_shuffles(spark, 100_000 * gigabyte) == session.MOST_SHUFFLE_PARTITIONS
+    spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+def test_hot_destination_is_rebalanced(tiny, tmp_path):
+    rows = tiny.range(20000).repartition(8).selectExpr(
+        "if(id % 3 = 0, 'hot', concat('t', id % 7)) AS sink_table", "sha2(string(id), 256) AS value")
+    writers.write_by_destination(rows, str(tmp_path / "out"))
+    files = {p.name: len(list(p.glob("*.txt"))) for p in (tmp_path / "out").iterdir() if p.is_dir()}
+    assert files["sink_table=hot"] > 1
+    assert tiny.read.text(str(tmp_path / "out")).count() == 20000

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemart import session
 from tidemart.functions.scalars import MONEY, SECOND
 
 DATABASE = "shop"
@@ -19,14 +20,20 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(rows: DataFrame) -> DataFrame:
-    """Rows over all cores, when their files give fewer splits than there are cores.
+# Below this much per core a table's files give too few splits.
+BYTES_PER_CORE = 16 * 1024 * 1024
 
-    Making and parsing JSON is the bulk of the work, and a small table is a single row group.
-    A table of many files is left as it is: no shuffle at scale.
+
+def spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table over all cores, also where it is one small row group.
+
+    Making and parsing JSON is the bulk of the work. A table that is large for the cluster
+    is left as its files split it: no shuffle at scale.
     """
-    cores = rows.sparkSession.sparkContext.defaultParallelism
-    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+    cores = spark.sparkContext.defaultParallelism
+    rows = table(spark, sf_dir, name)
+    small = session.input_bytes(spark, f"{sf_dir}/{name}.parquet") < cores * BYTES_PER_CORE
+    return rows.repartition(cores) if small else rows
 
 
 def text(column: str | Column) -> Column:
@@ -71,7 +78,7 @@ def line_id() -> Column:
 
 
 def order_details(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = spread(table(spark, sf_dir, "lineitem"))
+    lines = spread(spark, sf_dir, "lineitem")
     return change(lines, "order_detail", "insert", F.unix_seconds(instant("l_shipdate")), {
         "id": line_id(), "order_id": F.col("l_orderkey"), "sku_id": F.col("l_partkey"),
         "sku_name": prefixed("sku-", F.col("l_partkey")), "order_price": money("l_extendedprice"),
@@ -82,7 +89,7 @@ def order_details(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def new_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = spread(table(spark, sf_dir, "orders"))
+    orders = spread(spark, sf_dir, "orders")
     return change(orders, "order_info", "insert", F.unix_seconds(instant("o_orderdate")), {
         "id": F.col("o_orderkey"), "consignee": prefixed("buyer-", F.col("o_custkey")),
         "consignee_tel": prefixed("13", F.col("o_custkey")), "total_amount": money("o_totalprice"),
@@ -96,7 +103,7 @@ def new_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One status change per order."""
-    orders = spread(table(spark, sf_dir, "orders"))
+    orders = spread(spark, sf_dir, "orders")
     code = (F.when(F.col("o_orderstatus") == "F", "1003")
             .when(F.col("o_orderstatus") == "P", "1005").otherwise("1006"))
     return change(orders, "order_info", "update", F.unix_seconds(instant("o_orderdate")), {
@@ -106,7 +113,7 @@ def order_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def detail_activities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = spread(table(spark, sf_dir, "lineitem")).where("l_discount >= 0.05")
+    lines = spread(spark, sf_dir, "lineitem").where("l_discount >= 0.05")
     return change(lines, "order_detail_activity", "insert", F.unix_seconds(instant("l_shipdate")), {
         "id": F.col("l_linenumber"), "order_id": F.col("l_orderkey"), "order_detail_id": line_id(),
         "activity_id": F.col("l_partkey") % 100, "activity_rule_id": F.col("l_suppkey") % 10,
@@ -114,7 +121,7 @@ def detail_activities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def detail_coupons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = spread(table(spark, sf_dir, "lineitem")).where("l_returnflag = 'R'")
+    lines = spread(spark, sf_dir, "lineitem").where("l_returnflag = 'R'")
     return change(lines, "order_detail_coupon", "insert", F.unix_seconds(instant("l_shipdate")), {
         "id": F.col("l_linenumber"), "order_id": F.col("l_orderkey"), "order_detail_id": line_id(),
         "coupon_id": F.col("l_partkey") % 50, "coupon_use_id": F.col("l_suppkey"),
@@ -122,7 +129,7 @@ def detail_coupons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def refunds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = spread(table(spark, sf_dir, "lineitem")).where("l_returnflag = 'R'")
+    lines = spread(spark, sf_dir, "lineitem").where("l_returnflag = 'R'")
     return change(lines, "order_refund_info", "insert", F.unix_seconds(instant("l_shipdate")), {
         "id": line_id(), "user_id": F.col("l_suppkey"), "order_id": F.col("l_orderkey"),
         "sku_id": F.col("l_partkey"), "refund_type": prefixed("N", F.col("l_suppkey") % 30),
@@ -132,7 +139,7 @@ def refunds(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def refund_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = spread(table(spark, sf_dir, "lineitem")).where("l_returnflag = 'R'")
+    lines = spread(spark, sf_dir, "lineitem").where("l_returnflag = 'R'")
     return change(lines, "refund_payment", "insert", F.unix_seconds(instant("l_shipdate")), {
         "id": line_id(), "order_id": F.col("l_orderkey"), "sku_id": F.col("l_partkey"),
         "payment_type": prefixed("N", F.col("l_partkey") % 30),
@@ -140,7 +147,7 @@ def refund_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = spread(table(spark, sf_dir, "lineitem"))
+    lines = spread(spark, sf_dir, "lineitem")
     first = F.col("l_linenumber") == 1
     return change(
         lines, "cart_info", F.when(first, "insert").otherwise("update"),
@@ -154,7 +161,7 @@ def cart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = spread(table(spark, sf_dir, "orders"))
+    orders = spread(spark, sf_dir, "orders")
     return change(orders, "comment_info", "insert", F.unix_seconds(instant("o_orderdate")), {
         "id": F.col("o_orderkey"), "user_id": F.col("o_custkey"),
         "sku_id": F.col("o_orderkey") % 100, "appraise": prefixed("N", F.col("o_custkey") % 30),
@@ -167,7 +174,7 @@ def _event_number() -> Column:
 
 def payment_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Purchases as payments; a third of them did not succeed."""
-    bought = spread(table(spark, sf_dir, "events")).where("event_type = 'purchase'")
+    bought = spread(spark, sf_dir, "events").where("event_type = 'purchase'")
     status = F.when(_event_number() % 3 == 0, "1601").otherwise("1602")
     return change(bought, "payment_info", "update", F.unix_seconds(instant("ts")), {
         "id": F.col("event_id"), "user_id": F.col("user_id"), "order_id": F.col("user_id"),
@@ -177,7 +184,7 @@ def payment_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_line_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Views and clicks as messages of the order-line fact topic."""
-    seen = spread(table(spark, sf_dir, "events")).where("event_type IN ('view', 'click')")
+    seen = spread(spark, sf_dir, "events").where("event_type IN ('view', 'click')")
     return seen.select(F.to_json(F.struct(
         text("event_id").alias("id"), text("user_id").alias("order_id"),
         text("user_id").alias("user_id"), text(_event_number()).alias("sku_id"),
@@ -230,7 +237,7 @@ def dimension_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def page_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as page-log text, with ``arrival``; some records are broken or lack the device."""
-    events = spread(table(spark, sf_dir, "events"))
+    events = spread(spark, sf_dir, "events")
     k = _event_number()
     started = F.col("event_type") == "signup"
     failed = F.col("event_type") == "error"
@@ -260,7 +267,7 @@ def page_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def search_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversation turns as page views: what the user says is a keyword search."""
-    turns = spread(table(spark, sf_dir, "conversations"))
+    turns = spread(spark, sf_dir, "conversations")
     return turns.select(F.to_json(F.struct(
         F.struct(prefixed("mid_", F.col("conv_id")).alias("mid")).alias("common"),
         F.struct(
@@ -300,7 +307,7 @@ def route_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def person_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as change records of a table with one row per user; errors delete the row."""
-    events = spread(table(spark, sf_dir, "events"))
+    events = spread(spark, sf_dir, "events")
     row = F.struct(F.col("user_id").alias("id"), F.col("event_type").alias("name"),
                    _event_number().alias("age"))
     gone = F.col("event_type") == "error"
@@ -311,14 +318,14 @@ def person_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def employee_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bought = spread(table(spark, sf_dir, "events")).where("event_type = 'purchase'")
+    bought = spread(spark, sf_dir, "events").where("event_type = 'purchase'")
     return bought.select(F.concat_ws(
         ",", text("event_id"), "event_type", text("user_id"),
         text(F.unix_millis(instant("ts")))).alias("value"))
 
 
 def department_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    seen = spread(table(spark, sf_dir, "events")).where("event_type = 'view'")
+    seen = spread(spark, sf_dir, "events").where("event_type = 'view'")
     return seen.select(F.concat_ws(
         ",", text("user_id"), prefixed("view-", F.col("event_id")),
         text(F.unix_millis(instant("ts")))).alias("value"))

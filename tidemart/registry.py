@@ -22,8 +22,9 @@ QUERIES: dict[str, Query] = {}
 
 
 def query(function: Query) -> Query:
-    """Register under the function's name, with the session prepared first."""
+    """Register under the function's name, with the session prepared for its input first."""
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        session.size_shuffles(spark, session.input_bytes(spark, sf_dir))
         return function(session.prepare(spark), sf_dir)
 
     QUERIES[function.__name__] = run
@@ -254,7 +255,7 @@ def window_bounds_format(spark, d):
 
 @query
 def epoch_to_timestamp(spark, d):
-    events = feeds.spread(feeds.table(spark, d, "events")).select(
+    events = feeds.spread(spark, d, "events").select(
         "event_id", F.unix_millis(feeds.instant("ts")).alias("ms"))
     seconds = scalars.epoch_seconds_to_timestamp((F.col("ms") / 1000).cast("bigint").cast("string"))
     return events.select(
@@ -293,7 +294,7 @@ def json_to_string(spark, d):
 
 @query
 def string_to_json(spark, d):
-    events = feeds.spread(feeds.table(spark, d, "events"))
+    events = feeds.spread(spark, d, "events")
     return events.select("event_id", scalars.json_to_map(F.col("props"))["k"].alias("k"))
 
 
@@ -544,14 +545,14 @@ def upsert_by_key(spark, d):
 
 @query
 def keyword_split(spark, d):
-    turns = feeds.spread(feeds.table(spark, d, "conversations")).select("conv_id", "turn", "text")
+    turns = feeds.spread(spark, d, "conversations").select("conv_id", "turn", "text")
     return keywords.keyword_split(turns, "text")
 
 
 @query
 def keyword_dictionary_match(spark, d):
     """Short words of the answers, wherever they stand in what the user says."""
-    turns = feeds.spread(feeds.table(spark, d, "conversations"))
+    turns = feeds.spread(spark, d, "conversations")
     said = turns.where("role = 'user'").select("conv_id", "turn", "text")
     heard = turns.where("role <> 'user'").select("text")
     words = keywords.keyword_split(heard, "text").where("length(word) <= 3").distinct()

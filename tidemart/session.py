@@ -38,6 +38,31 @@ def build_session(app: str = "tidemart", master: str | None = None, **conf: str)
     return prepare(builder.getOrCreate())
 
 
+# One shuffle partition per this much input, and no more partitions than a driver can track.
+SHUFFLE_BYTES = 512 * 1024 * 1024
+MOST_SHUFFLE_PARTITIONS = 50_000
+
+
+def input_bytes(spark: SparkSession, path: str) -> int:
+    """Size of a file or folder, from the file system's own records."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.getContentSummary(folder).getLength()
+
+
+def size_shuffles(spark: SparkSession, size: int) -> int:
+    """Set the number of shuffle partitions for an input of ``size`` bytes.
+
+    Adaptive execution merges partitions that turn out small, but it cannot cut evenly large
+    ones: the number must be high enough from the start. A stream keeps the number of its
+    first start, so call this before.
+    """
+    cores = spark.sparkContext.defaultParallelism
+    number = min(max(cores, -(-size // SHUFFLE_BYTES)), max(cores, MOST_SHUFFLE_PARTITIONS))
+    spark.conf.set("spark.sql.shuffle.partitions", str(number))
+    return number
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh directory below the shared folder named in ``spark.checkpoint.dir``.
 

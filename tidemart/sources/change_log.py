@@ -45,10 +45,11 @@ def land_change_log(raw: DataFrame, path: str, mode: str = "append") -> None:
     """Parse the log once and store it by table.
 
     Every fact job reads a few tables of one log. Landed, each job scans only the
-    directories of its tables and never parses JSON again.
+    directories of its tables and never parses JSON again. Rebalancing gathers a table's rows
+    into files of good size, and splits a table that holds most of the log.
     """
     log = read_change_log(raw).drop(LANDED_BY)
-    (log.withColumn(LANDED_BY, F.coalesce("table", F.lit("none")))
+    (log.withColumn(LANDED_BY, F.coalesce("table", F.lit("none"))).hint("rebalance", LANDED_BY)
         .write.mode(mode).partitionBy(LANDED_BY).parquet(path))
 
 
