@@ -67,6 +67,12 @@ def test_hot_device_is_split(tiny):
     assert got == {"1": same, "0": 2000 - same}
 
 
+def test_salted_join_is_whole(spark, small):
+    log = registry.log_of(hot_lines(spark, small), feeds.new_orders(spark, small))
+    plain, salted = facts.placed_lines(log), facts.placed_lines(log, salts=5)
+    assert sorted(r.id for r in plain.collect()) == sorted(r.id for r in salted.collect())
+
+
 def test_first_visits_combine_before_the_shuffle(spark, small):
     first = traffic.first_visits(registry.good_records(spark, small), "arrival")
     text = first._jdf.queryExecution().executedPlan().toString()

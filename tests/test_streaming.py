@@ -103,6 +103,38 @@ def test_bounded_left_join_keeps_state_for_ttl(spark, tmp_path):
     assert {k: got[k] for k in "123"} == {"1": ("A1", None), "2": (None, None), "3": (None, "C3")}
 
 
+def test_bounded_cancellations(spark, tmp_path):
+    import json
+
+    def change(table, kind, ts, data, old=None):
+        body = {"table": table, "type": kind, "ts": ts, "data": data}
+        return json.dumps(body if old is None else {**body, "old": old})
+
+    def line(key, order, ts):
+        return change("order_detail", "insert", ts, {"id": key, "order_id": order, "sku_num": 2, "order_price": "1.50"})
+
+    def cancel(order, ts):
+        return change("order_info", "update", ts, {"id": order, "order_status": "1003", "user_id": "u",
+                      "operate_time": "2024-01-02 03:04:05"}, {"order_status": "1001"})
+
+    def sentinels(ts):
+        return [line(f"x{ts}", "none", ts), cancel(f"none{ts}", ts)] + [
+            change(f"order_detail_{p}", "insert", ts, {"order_detail_id": f"none{ts}"})
+            for p in ("activity", "coupon")]
+
+    first = [line("1", "a", 1000), line("2", "b", 1000), line("3", "a", 1000), cancel("a", 1900),
+             cancel("b", 1911),
+             change("order_detail_activity", "insert", 1000, {"order_detail_id": "1", "activity_id": "A"})]
+    folder = put(tmp_path / "in", [first, sentinels(90_000), sentinels(95_000), sentinels(99_000)])
+    table = KeyedTable(spark, str(tmp_path / "t"), ["id"])
+    finish(jobs.bounded_cancel_job(log_stream(spark, folder), table, str(tmp_path / "ck")))
+    got = {r.id: (r.user_id, r.activity_id, r.date_id, r.split_original_amount, r.ts)
+           for r in table.read().collect()}
+    # The cancellation of order b came 911 seconds after its line.
+    assert got == {"1": ("u", "A", "2024-01-02", "3.0000", "1900"),
+                   "3": ("u", None, "2024-01-02", "3.0000", "1900")}
+
+
 def test_comments_use_dictionary_of_now(spark, small, tmp_path):
     folder = put(tmp_path / "in", chunks(texts(feeds.comments(spark, small)), 3))
     table = KeyedTable(spark, str(tmp_path / "t"), ["id"])

@@ -53,6 +53,22 @@ def config_join(log: DataFrame, routes: DataFrame, on: Column) -> DataFrame:
     return log.join(checked_broadcast(routes), on, "inner")
 
 
+def salted_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, salts: int,
+                spread_by: str) -> DataFrame:
+    """Inner equality join that spreads each key over ``salts`` tasks.
+
+    Left rows take a salt from ``spread_by``, right rows are copied to every salt. A batch
+    does not need this, adaptive execution splits its hot keys; a stream has no such help.
+    """
+    same = F.col(left_key) == F.col(right_key)
+    if salts <= 1:
+        return left.join(right, same, "inner")
+    spread = left.withColumn("_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int"))
+    copied = right.withColumn("_salts", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return spread.join(
+        copied, same & (F.col("_salt") == F.col("_salts")), "inner").drop("_salt", "_salts")
+
+
 def interval_join(left: DataFrame, right: DataFrame, on: Column, left_time: str, right_time: str,
                   lower: timedelta, upper: timedelta) -> DataFrame:
     """Pairs with ``right_time + lower <= left_time <= right_time + upper`` that meet ``on``.

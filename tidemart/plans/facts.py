@@ -92,13 +92,18 @@ def last_of_order(rows: DataFrame) -> DataFrame:
         rows, "_order", [F.col("order_ts").try_cast("bigint")])
 
 
-def placed_lines(log: DataFrame, database: str | None = None) -> DataFrame:
-    """Order lines joined with the order as it was placed."""
-    orders = last_of_order(table_events(log, "order_info", "insert", database=database).select(
+def placed_orders(log: DataFrame, database: str | None = None) -> DataFrame:
+    """Orders as they were placed, keyed by ``_order``."""
+    return last_of_order(table_events(log, "order_info", "insert", database=database).select(
         *[F.col("data")[n].alias("_order" if n == "id" else n) for n in ORDER.split()],
         F.col("ts").alias("order_ts")))
-    return order_lines(log, database).join(
-        orders, F.col("order_id") == F.col("_order"), "inner").drop("_order", "order_ts")
+
+
+def placed_lines(log: DataFrame, database: str | None = None, salts: int = 1) -> DataFrame:
+    """Order lines joined with the order as it was placed."""
+    joined = joins.salted_join(order_lines(log, database), placed_orders(log, database),
+                               "order_id", "_order", salts, "id")
+    return joined.drop("_order", "order_ts")
 
 
 ORDER_DETAIL = (LINE + " " + ORDER.removeprefix("id ")
@@ -132,13 +137,20 @@ def orders_changed_to(log: DataFrame, code: str, columns: str,
         F.col("data")["id"].alias("_order"), *fields(columns), F.col("ts").alias("order_ts")))
 
 
-def cancelled_lines(log: DataFrame, database: str | None = None) -> DataFrame:
-    """Order lines joined with the cancellation of their order, whose time they take."""
-    cancelled = orders_changed_to(
-        log, ORDER_CANCELLED, "user_id province_id operate_time", database)
-    return order_lines(log, database).drop("ts").join(
-        cancelled, F.col("order_id") == F.col("_order"), "inner"
-    ).drop("_order").withColumnRenamed("order_ts", "ts")
+def cancelled_orders(log: DataFrame, database: str | None = None) -> DataFrame:
+    return orders_changed_to(log, ORDER_CANCELLED, "user_id province_id operate_time", database)
+
+
+def take_order_time(joined: DataFrame) -> DataFrame:
+    """A cancelled line's time is that of the cancellation."""
+    return joined.drop("_order", "ts").withColumnRenamed("order_ts", "ts")
+
+
+def cancelled_lines(log: DataFrame, database: str | None = None, salts: int = 1) -> DataFrame:
+    """Order lines joined with the cancellation of their order."""
+    return take_order_time(joins.salted_join(
+        order_lines(log, database), cancelled_orders(log, database),
+        "order_id", "_order", salts, "id"))
 
 
 def shape_order_cancel(rows: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import timedelta
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -89,26 +89,41 @@ def promotion_job(lines: DataFrame, activity: DataFrame, coupon: DataFrame, tabl
     return upsert(retracting_left_join(lines, activity, coupon), table, checkpoint, shape, "update")
 
 
-def _timed(rows: DataFrame, name: str, delay: str) -> DataFrame:
+def _timed(rows: DataFrame, ts: str, name: str, delay: str) -> DataFrame:
     return rows.withColumn(
-        name, epoch_seconds_to_timestamp(F.col("ts"))).withWatermark(name, delay).drop("ts")
+        name, epoch_seconds_to_timestamp(F.col(ts))).withWatermark(name, delay)
+
+
+def _near(name: str, ttl: timedelta) -> Column:
+    gap = F.expr(f"interval {ttl // timedelta(microseconds=1)} microseconds")
+    return (F.col(name) >= F.col("line_time") - gap) & (F.col(name) <= F.col("line_time") + gap)
+
+
+def bounded_order_join(lines: DataFrame, orders: DataFrame, ttl: timedelta,
+                       delay: str = "0 seconds") -> DataFrame:
+    """Order lines joined with their order when at most ``ttl`` lies between the two.
+
+    Both sides drop older state. The line's event time goes on as ``line_time``.
+    """
+    timed = _timed(orders, "order_ts", "order_time", delay)
+    same = (F.col("order_id") == F.col("_order")) & _near("order_time", ttl)
+    return _timed(lines, "ts", "line_time", delay).join(timed, same, "inner").drop("order_time")
 
 
 def bounded_left_join(lines: DataFrame, activity: DataFrame, coupon: DataFrame,
                       ttl: timedelta, delay: str = "0 seconds") -> DataFrame:
-    """The same left joins with state kept for ``ttl`` only.
+    """Lines with activity and coupon, with state kept for ``ttl`` only.
 
     Parts are joined when their event times are at most ``ttl`` apart, so the engine drops
     older state. A line comes out once, when all that may still match has passed.
     """
-    gap = F.expr(f"interval {ttl // timedelta(microseconds=1)} microseconds")
-    wide = lines.withColumn(
-        "line_time", epoch_seconds_to_timestamp(F.col("ts"))).withWatermark("line_time", delay)
+    wide = lines if "line_time" in lines.columns else _timed(lines, "ts", "line_time", delay)
     for name, part in (("activity_time", activity), ("coupon_time", coupon)):
-        timed = _timed(part, name, delay).withColumnRenamed("order_detail_id", "_line")
-        near = ((F.col(name) >= F.col("line_time") - gap) & (F.col(name) <= F.col("line_time") + gap))
+        timed = _timed(part, "ts", name, delay).drop("ts").withColumnRenamed(
+            "order_detail_id", "_line")
         # One event-time column may remain for the next join.
-        wide = wide.join(timed, (F.col("id") == F.col("_line")) & near, "left").drop("_line", name)
+        wide = wide.join(timed, (F.col("id") == F.col("_line")) & _near(name, ttl), "left"
+                         ).drop("_line", name)
     return wide.drop("line_time")
 
 
@@ -118,6 +133,15 @@ def bounded_promotion_job(lines: DataFrame, activity: DataFrame, coupon: DataFra
     return upsert(bounded_left_join(lines, activity, coupon, ttl), table, checkpoint, shape)
 
 
+def bounded_cancel_job(log: DataFrame, table: KeyedTable, checkpoint: str,
+                       ttl: timedelta = timedelta(seconds=910)) -> StreamingQuery:
+    """Cancellations in one query: three native joins, all with state for ``ttl``."""
+    lines = bounded_order_join(facts.order_lines(log), facts.cancelled_orders(log), ttl)
+    return bounded_promotion_job(
+        lines, facts.activities(log), facts.coupons(log), table, checkpoint, ttl,
+        lambda b: facts.shape_order_cancel(facts.take_order_time(b)))
+
+
 def pay_job(log: DataFrame, order_detail: DataFrame, dictionary: Snapshot, table: KeyedTable,
             checkpoint: str, lower: timedelta = facts.PAY_LOWER,
             upper: timedelta = facts.PAY_UPPER) -> StreamingQuery:
