@@ -170,7 +170,7 @@ def test_refunds_in_any_order(spark, small, tmp_path, job, batch, inputs):
     folder = put(tmp_path / "in", chunks(lines, 3))
     table = KeyedTable(spark, str(tmp_path / "t"), ["id"])
     dictionary = feeds.dictionary(spark, small)
-    finish(job(log_stream(spark, folder), lambda: dictionary, table, str(tmp_path / "ck")))
+    finish(job(log_stream(spark, folder), lambda: dictionary, table, str(tmp_path / "ck"), salts=3))
     want = facts.last_by_ts(batch(registry.log_of(raw), dictionary).drop("row_op_ts"), "id")
     # A key with several matches keeps one of them: which one depends on arrival.
     assert rows(table.read(), "row_op_ts", "refund_num") == rows(want, "refund_num")
@@ -227,12 +227,14 @@ def test_traffic_state_over_batches(spark, small, tmp_path):
             os.utime(f, (1_700_000_000 + i, 1_700_000_000 + i))
     stream = spark.readStream.schema(raw.schema).option("maxFilesPerTrigger", "2").parquet(
         str(tmp_path / "in/f=*"))
-    visits = KeyedTable(spark, str(tmp_path / "visits"), ["mid"])
+    visits = KeyedTable(spark, str(tmp_path / "visits"), ["mid"], compact_every=2)
     out = str(tmp_path / "out")
     finish(jobs.traffic_job(stream, "arrival", visits, out, str(tmp_path / "ck")))
     got = spark.read.option(
         "basePath", out).text(f"{out}/batch=*/output=*").drop("batch")
     assert rows(got) == rows(registry.dwd_traffic_log(spark, small))
+    assert sorted(p.name for p in (tmp_path / "visits/base").iterdir()) == ["upto=1", "upto=3"]
+    assert visits.read().count() == visits.rows().count()
 
 
 def test_routes_then_dimensions_and_facts(spark, small, tmp_path):

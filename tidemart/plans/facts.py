@@ -214,12 +214,12 @@ def dwd_pay_success(log: DataFrame, order_detail: DataFrame, dictionary: DataFra
     return shape_pay_success(paid_lines(order_detail, last, lower, upper))
 
 
-def refund_requests(log: DataFrame) -> DataFrame:
+def refund_requests(log: DataFrame, salts: int = 1) -> DataFrame:
     """Refund requests joined with the order that turned to refund."""
     refunds = table_events(log, "order_refund_info", "insert").select(*fields(REFUND), "ts")
     orders = orders_changed_to(log, ORDER_REFUND_REQUESTED, "province_id")
-    return refunds.join(
-        orders, F.col("order_id") == F.col("_order"), "inner").drop("_order", "order_ts")
+    return joins.salted_join(
+        refunds, orders, "order_id", "_order", salts, "id").drop("_order", "order_ts")
 
 
 def last_requests(log: DataFrame) -> DataFrame:
@@ -263,12 +263,12 @@ def dwd_order_refund(log: DataFrame, dictionary: DataFrame) -> DataFrame:
     return shape_order_refund(refund_requests(log), dictionary)
 
 
-def refunded_payments(log: DataFrame) -> DataFrame:
+def refunded_payments(log: DataFrame, salts: int = 1) -> DataFrame:
     """Refund payments joined with the refunded order and the request of the same article."""
     paid_back = table_events(log, "refund_payment").select(*fields(REFUND_PAYMENT), "ts")
     orders = orders_changed_to(log, ORDER_REFUNDED, "user_id province_id")
-    joined = paid_back.join(
-        orders, F.col("order_id") == F.col("_order"), "inner").drop("_order", "order_ts")
+    joined = joins.salted_join(
+        paid_back, orders, "order_id", "_order", salts, "id").drop("_order", "order_ts")
     return join_requests(joined, last_requests(log))
 
 

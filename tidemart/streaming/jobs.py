@@ -152,14 +152,14 @@ def pay_job(log: DataFrame, order_detail: DataFrame, dictionary: Snapshot, table
 
 
 def refund_job(log: DataFrame, dictionary: Snapshot, table: KeyedTable,
-               checkpoint: str) -> StreamingQuery:
-    return upsert(facts.refund_requests(log), table, checkpoint,
+               checkpoint: str, salts: int = 1) -> StreamingQuery:
+    return upsert(facts.refund_requests(log, salts), table, checkpoint,
                   lambda b: facts.shape_order_refund(b, dictionary()))
 
 
 def refund_pay_job(log: DataFrame, dictionary: Snapshot, table: KeyedTable,
-                   checkpoint: str) -> StreamingQuery:
-    return upsert(facts.refunded_payments(log), table, checkpoint,
+                   checkpoint: str, salts: int = 1) -> StreamingQuery:
+    return upsert(facts.refunded_payments(log, salts), table, checkpoint,
                   lambda b: facts.shape_refund_pay_success(b, dictionary()))
 
 
