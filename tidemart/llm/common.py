@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterable
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -70,5 +70,13 @@ def join_hot(many: DataFrame, one: DataFrame, key: str, spread: Column, how: str
     return salted.join(copies, [key, salt], how).drop(salt)
 
 
-def run_name() -> str:
-    return uuid.uuid4().hex
+def importable(spark: SparkSession) -> None:
+    """Let Python workers find this package where the driver has found it.
+
+    Needed where the package is not installed but lies at one path on all machines, and the
+    workers start in another folder than the driver.
+    """
+    here = str(Path(__file__).resolve().parents[2])
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "")
+    if here not in paths.split(":"):
+        spark.sparkContext.environment["PYTHONPATH"] = f"{paths}:{here}".lstrip(":")

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import bpe
-from tidemart.llm.common import table
+from tidemart.llm import bpe, line_dedup
+from tidemart.llm.common import Workspace, importable, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -18,8 +19,13 @@ RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 
 
 def query(function: Callable[[SparkSession, str], DataFrame]):
-    QUERIES[function.__name__] = function
-    return function
+    @functools.wraps(function)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        importable(spark)
+        return function(spark, sf_dir)
+
+    QUERIES[function.__name__] = run
+    return run
 
 
 @query
@@ -29,3 +35,27 @@ def op2_bpe_round_trip(spark, sf_dir):
     return bpe.decode(ids, RANKS).select(
         "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+@query
+def op3_line_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", ["doc_id", "text"])
+    kept = line_dedup.dedup_lines(docs, Workspace(spark, "op3"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+SQL["op3_line_dedup"] = r"""
+WITH lines AS (
+  SELECT doc_id, unnest(parts) AS line, unnest(range(len(parts))) AS at
+  FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)),
+keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM lines),
+shared AS (
+  SELECT key, min(doc_id) AS first FROM keyed WHERE length(key) >= 10
+  GROUP BY key HAVING min(doc_id) <> max(doc_id)),
+marked AS (
+  SELECT k.*, coalesce(s.first <> k.doc_id, false) AS lost FROM keyed k LEFT JOIN shared s USING (key))
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE lost) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (WHERE NOT lost), '')) AS kept_sha256
+FROM marked GROUP BY doc_id"""
