@@ -46,7 +46,7 @@ def op3_line_dedup(spark, sf_dir):
 
 SQL["op3_line_dedup"] = r"""
 WITH lines AS (
-  SELECT doc_id, unnest(parts) AS line, unnest(range(len(parts))) AS at
+  SELECT doc_id, unnest(parts) AS line, unnest(range(len(parts))) AS pos
   FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents)),
 keyed AS (
   SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
@@ -57,5 +57,5 @@ shared AS (
 marked AS (
   SELECT k.*, coalesce(s.first <> k.doc_id, false) AS lost FROM keyed k LEFT JOIN shared s USING (key))
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE lost) AS n_dropped,
-       sha256(coalesce(string_agg(line, chr(10) ORDER BY at) FILTER (WHERE NOT lost), '')) AS kept_sha256
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT lost), '')) AS kept_sha256
 FROM marked GROUP BY doc_id"""
