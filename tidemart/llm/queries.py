@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import bpe, line_dedup
+from tidemart.llm import bpe, jaccard, line_dedup
 from tidemart.llm.common import Workspace, importable, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -28,6 +28,12 @@ def query(function: Callable[[SparkSession, str], DataFrame]):
     return run
 
 
+@query
+def op1_ngram_jaccard_join(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return jaccard.JaccardJoin(Workspace(spark, "op1"), words=4, percent=85).run(docs).components()
+
+
 @query
 def op2_bpe_round_trip(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", ["doc_id", "text"])
