@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import bpe, jaccard, line_dedup
+from tidemart.llm import bpe, jaccard, line_dedup, secret_scan
 from tidemart.llm.common import Workspace, importable, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -65,3 +65,23 @@ marked AS (
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE lost) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT lost), '')) AS kept_sha256
 FROM marked GROUP BY doc_id"""
+
+
+def secret_columns(scanned: DataFrame) -> DataFrame:
+    """Counts and digests of found spans."""
+    base = F.filter("spans", lambda x: x.kind != "markov")
+
+    def said(spans):
+        return F.concat_ws(",", F.transform(spans, lambda x: F.concat_ws(":", x.kind, x.start, x.end)))
+
+    counts = [F.size(F.filter("spans", lambda x, k=kind: x.kind == k)).cast("long").alias(f"n_{kind}")
+              for kind in ("assign", "access", "hex")]
+    return scanned.select("doc_id", *counts, F.sha2(said(base).cast("binary"), 256).alias("base_sha256"),
+                          said(F.col("spans")).alias("spans"))
+
+
+@query
+def op4_secret_scan(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", ["doc_id", "text"])
+    models = secret_scan.fit(secret_scan.labelled_runs(docs))
+    return secret_columns(secret_scan.scan(docs, models).drop("text"))
