@@ -74,8 +74,10 @@ def secret_columns(scanned: DataFrame) -> DataFrame:
     def said(spans):
         return F.concat_ws(",", F.transform(spans, lambda x: F.concat_ws(":", x.kind, x.start, x.end)))
 
-    counts = [F.size(F.filter("spans", lambda x, k=kind: x.kind == k)).cast("long").alias(f"n_{kind}")
-              for kind in ("assign", "access", "hex")]
+    def of(kind):
+        return F.size(F.filter("spans", lambda x: x.kind == kind)).cast("long").alias(f"n_{kind}")
+
+    counts = [of(kind) for kind in ("assign", "access", "hex")]
     return scanned.select("doc_id", *counts, F.sha2(said(base).cast("binary"), 256).alias("base_sha256"),
                           said(F.col("spans")).alias("spans"))
 
