@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import bpe, jaccard, line_dedup, secret_scan
+from tidemart.llm import bpe, jaccard, line_dedup, secret_scan, toxicity
 from tidemart.llm.common import Workspace, importable, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +87,13 @@ def op4_secret_scan(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", ["doc_id", "text"])
     models = secret_scan.fit(secret_scan.labelled_runs(docs))
     return secret_columns(secret_scan.scan(docs, models).drop("text"))
+
+
+@query
+def op9_toxicity(spark, sf_dir):
+    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    docs = table(spark, sf_dir, "documents", ["doc_id", "text"])
+    labels = table(spark, sf_dir, "labels", ["doc_id", "toxic"]).where(~held_out)
+    model = toxicity.train(docs, labels, Workspace(spark, "op9"))
+    return toxicity.score(docs, model).select(
+        "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
