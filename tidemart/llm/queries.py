@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import bpe, jaccard, line_dedup, secret_scan, toxicity
+from tidemart.llm import bpe, jaccard, language_id, line_dedup, secret_scan, toxicity
 from tidemart.llm.common import Workspace, importable, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,3 +97,12 @@ def op9_toxicity(spark, sf_dir):
     model = toxicity.train(docs, labels, Workspace(spark, "op9"))
     return toxicity.score(docs, model).select(
         "doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op6_language_id(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    pages = table(spark, sf_dir, "pages")
+    rows = (language_id.document_evidence(docs).withColumn("page_id", F.lit(None).cast("long"))
+            .unionByName(language_id.page_evidence(pages).withColumn("doc_id", F.lit(None).cast("long"))))
+    return language_id.identify(rows, language_id.train(docs), Workspace(spark, "op6"), key=("doc_id", "page_id"))
