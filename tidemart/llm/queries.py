@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import bpe, jaccard, language_id, line_dedup, secret_scan, toxicity
+from tidemart.llm import bpe, jaccard, language_id, line_dedup, secret_scan, toxicity, warc
 from tidemart.llm.common import Workspace, importable, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,25 @@ def op6_language_id(spark, sf_dir):
     rows = (language_id.document_evidence(docs).withColumn("page_id", F.lit(None).cast("long"))
             .unionByName(language_id.page_evidence(pages).withColumn("doc_id", F.lit(None).cast("long"))))
     return language_id.identify(rows, language_id.train(docs), Workspace(spark, "op6"), key=("doc_id", "page_id"))
+
+
+@query
+def op7_warc_round_trip(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    work = Workspace(spark, "op7")
+    root = warc.build_index(warc.write_archives(pages, work), work)
+    keys = pages.select(warc.capture_key(F.col("url"), F.col("page_id")).alias("key"))
+    records = warc.fetch(warc.lookup(keys, root), work, payloads=False)
+    return records.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+SQL["op7_warc_round_trip"] = """
+WITH rows AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes,
+         sha256(coalesce(html, '')) AS payload_digest FROM pages),
+first AS (
+  SELECT payload_digest, min(page_id) AS first FROM rows WHERE payload_bytes >= 100 GROUP BY payload_digest)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN f.first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN f.first <> page_id THEN f.first END AS refers_to
+FROM rows LEFT JOIN first f USING (payload_digest)"""

@@ -12,18 +12,23 @@ def opened(uri: str) -> tuple[fs.FileSystem, str]:
     return fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
 
 
-def put(folder: str, stem: str, data: bytes) -> str:
-    """Write a new file under a name of its own and return its URI.
+def fresh(folder: str, stem: str, ending: str = ""):
+    """Open a new file under a name of its own; gives its URI and the stream to write to.
 
     An attempt that is repeated writes another file; readers use the name that the finished
     attempt reported, so that half-written files are never read.
     """
     system, path = opened(folder)
     system.create_dir(path, recursive=True)
-    name = f"{stem}-{uuid.uuid4().hex}"
-    with system.open_output_stream(f"{path}/{name}") as out:
+    name = f"{stem}-{uuid.uuid4().hex}{ending}"
+    return f"{folder.rstrip('/')}/{name}", system.open_output_stream(f"{path}/{name}", compression=None)
+
+
+def put(folder: str, stem: str, data: bytes) -> str:
+    uri, out = fresh(folder, stem)
+    with out:
         out.write(data)
-    return f"{folder.rstrip('/')}/{name}"
+    return uri
 
 
 def get(uri: str) -> bytes:
