@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import bpe, jaccard, language_id, line_dedup, secret_scan, toxicity, warc
+from tidemart.llm import bpe, embedding_dedup, jaccard, language_id, line_dedup, secret_scan, toxicity, warc
 from tidemart.llm.common import Workspace, importable, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -128,3 +128,9 @@ SELECT page_id, payload_bytes, payload_digest,
        CASE WHEN f.first <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
        CASE WHEN f.first <> page_id THEN f.first END AS refers_to
 FROM rows LEFT JOIN first f USING (payload_digest)"""
+
+
+@query
+def op8_embedding_dedup(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings", ["vec_id", "embedding", "label"])
+    return embedding_dedup.link_vectors(vectors, Workspace(spark, "op8"))
