@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import bpe, embedding_dedup, jaccard, language_id, line_dedup, secret_scan, toxicity, warc
+from tidemart.llm import bpe, decontaminate, embedding_dedup, jaccard, language_id, line_dedup, secret_scan, toxicity, warc
 from tidemart.llm.common import Workspace, importable, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -134,3 +134,9 @@ FROM rows LEFT JOIN first f USING (payload_digest)"""
 def op8_embedding_dedup(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings", ["vec_id", "embedding", "label"])
     return embedding_dedup.link_vectors(vectors, Workspace(spark, "op8"))
+
+
+@query
+def op5_decontaminate(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"), Workspace(spark, "op5"))
