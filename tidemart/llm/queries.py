@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import bpe, decontaminate, embedding_dedup, jaccard, language_id, line_dedup, secret_scan, toxicity, warc
+from tidemart.llm import bpe, decontaminate, embedding_dedup, jaccard, language_id, licence_scan, line_dedup, secret_scan, toxicity, warc
 from tidemart.llm.common import Workspace, importable, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -140,3 +140,10 @@ def op8_embedding_dedup(spark, sf_dir):
 def op5_decontaminate(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", ["doc_id", "text"])
     return decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"), Workspace(spark, "op5"))
+
+
+@query
+def op10_licence_scan(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return licence_scan.scan(docs).select("doc_id", "known", F.array_join("licences", ",").alias("licences"),
+                                          F.array_join("rules", ",").alias("rules"))
