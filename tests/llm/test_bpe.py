@@ -20,15 +20,6 @@ def packed(ids):
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
-def test_queue_gives_lowest_rank_leftmost_first():
-    queue, rng = bpe.RankQueue(70_000), random.Random(1)
-    pushed = [(rng.randrange(70_000), rng.randrange(1000)) for _ in range(3000)]
-    for entry in pushed:
-        queue.push(*entry)
-    assert [queue.pop() for _ in pushed] == sorted(pushed)
-    assert queue.pop() is None
-
-
 def test_pieces_equal_the_library(oracle):
     encoder, rng = bpe.Encoder(bpe.read_ranks(RANKS), P.PATTERN), random.Random(2)
     texts = ["", " ", "\n\n  x", "it's we'll", "naïve Ünïcödé 漢字かな 🙂🙂", "\u0000​", "a" * 50_000,

@@ -1,10 +1,10 @@
 """Byte-level BPE encoding and decoding with a rank queue over a hierarchical bitmap.
 
 A pre-token is a linked list of byte positions. Every adjacent pair that some merge joins waits in
-the bucket of that merge's rank. A bitmap of several levels says which buckets hold anything: the
-lowest set bit of each level leads to the next rank, so the next merge is found in a few steps
-however long the pre-token is. A merge leaves entries of pairs that no longer exist behind; they
-are skipped when they come up. The work is n log n in the length of a pre-token.
+the bucket of that merge's rank. A bitmap of two levels (256 ranks to a word) says which buckets hold
+anything: the lowest set bit of either level leads to the next rank, so the next merge is found in
+two steps however long the pre-token is. A merge leaves entries of pairs that no longer exist
+behind; they are skipped when they come up. The work is n log n in the length of a pre-token.
 
 Defined results: a null text is an empty one; it has no ids and decodes to no bytes. Ties of a rank
 go to the leftmost pair. Null ids decode to null. All other columns pass through, ``_text`` and
@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import base64
 import functools
+import struct
 from collections.abc import Iterator
 from heapq import heappop, heappush
 
@@ -25,12 +26,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Pre-tokens kept with their ids by a worker; beyond it the store is begun anew.
-CACHED = 400_000
+# Pre-tokens kept with their ids by a worker, in each of two generations: when the younger is full
+# the older goes, but for what was met again.
+CACHED = 300_000
 # Longer pre-tokens are rare and are not kept.
 CACHED_CHARS = 48
 
-_WORD = 64
+_BIT = [1 << i for i in range(256)]
 
 
 @functools.cache
@@ -39,61 +41,13 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-class RankQueue:
-    """Positions by rank; ``pop`` gives the lowest rank, and of it the leftmost position."""
-
-    def __init__(self, ranks: int):
-        self.buckets: dict[int, list[int]] = {}
-        self.levels: list[list[int]] = []
-        size = max(ranks, 1)
-        while True:
-            size = -(-size // _WORD)
-            self.levels.append([0] * size)
-            if size == 1:
-                break
-        self._down = self.levels[::-1]
-
-    def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is not None:
-            heappush(bucket, position)
-            return
-        self.buckets[rank] = [position]
-        for level in self.levels:
-            rank, bit = rank >> 6, rank & 63
-            word = level[rank]
-            level[rank] = word | 1 << bit
-            if word:
-                return
-
-    def pop(self) -> tuple[int, int] | None:
-        rank = 0
-        for level in self._down:
-            word = level[rank]
-            if not word:
-                return None
-            rank = rank << 6 | (word & -word).bit_length() - 1
-        bucket = self.buckets[rank]
-        position = heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            index = rank
-            for level in self.levels:
-                index, bit = index >> 6, index & 63
-                word = level[index] & ~(1 << bit)
-                level[index] = word
-                if word:
-                    break
-        return rank, position
-
-
 class Encoder:
     """Encodes texts by a table of ranks; splits them by ``pattern`` first."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
         self.split = regex.compile(pattern).findall
-        self.queue = RankQueue(max(ranks.values(), default=0) + 1)
+        self.words = [0] * ((max(ranks.values(), default=0) >> 8) + 1)  # all bits clear between pieces
         self.packed = _Packed(self)
 
     def encode_piece(self, piece: bytes) -> list[int]:
@@ -103,35 +57,54 @@ class Encoder:
             return [whole]
         n = len(piece)
         after, before = list(range(1, n + 2)), list(range(-1, n))
-        waiting: list[int | None] = [None] * (n + 1)
-        push, pop = self.queue.push, self.queue.pop
+        waiting: list[int | None] = [None] * n  # rank of the pair that begins there now
+        # The queue: positions by rank, a bit per rank in words, and a bit per word in top.
+        buckets: dict[int, list[int]] = {}
+        words, top = self.words, 0
         for i in range(n - 1):
             rank = rank_of(piece[i:i + 2])
             if rank is not None:
                 waiting[i] = rank
-                push(rank, i)
-        while (entry := pop()) is not None:
-            rank, i = entry
+                if rank in buckets:
+                    buckets[rank].append(i)
+                else:
+                    buckets[rank] = [i]
+                    words[rank >> 8] |= _BIT[rank & 255]
+                    top |= 1 << (rank >> 8)
+        while top:
+            at = (top & -top).bit_length() - 1
+            word = words[at]
+            bit = word & -word
+            rank = at << 8 | bit.bit_length() - 1
+            bucket = buckets[rank]
+            if len(bucket) > 1:
+                i = heappop(bucket)
+            else:
+                i = bucket[0]
+                del buckets[rank]
+                words[at] = word ^ bit
+                if word == bit:
+                    top &= top - 1
             if waiting[i] != rank:
                 continue  # a merge beside it has changed this pair
             gone = after[i]
             end = after[gone]
             after[i] = end
-            waiting[gone] = None
+            waiting[gone] = waiting[i] = None
+            changed = (before[i], i) if end < n else (before[i],)
             if end < n:
                 before[end] = i
-                rank = rank_of(piece[i:after[end]])
-                waiting[i] = rank
-                if rank is not None:
-                    push(rank, i)
-            else:
-                waiting[i] = None
-            i = before[i]
-            if i >= 0:
-                rank = rank_of(piece[i:end])
-                waiting[i] = rank
-                if rank is not None:
-                    push(rank, i)
+            for j in changed:
+                if j >= 0:
+                    rank = rank_of(piece[j:after[after[j]]])
+                    waiting[j] = rank
+                    if rank is not None:
+                        if rank in buckets:
+                            heappush(buckets[rank], j)
+                        else:
+                            buckets[rank] = [j]
+                            words[rank >> 8] |= _BIT[rank & 255]
+                            top |= 1 << (rank >> 8)
         ids, i = [], 0
         while i < n:
             ids.append(self.ranks[piece[i:after[i]]])
@@ -148,12 +121,16 @@ class _Packed(dict):
 
     def __init__(self, encoder: Encoder):
         super().__init__()
-        self.encoder = encoder
+        self.encoder, self.older = encoder, {}
 
     def __missing__(self, piece: str) -> bytes:
-        packed = np.array(self.encoder.encode_piece(piece.encode()), "<u4").tobytes()
+        packed = self.older.get(piece)
+        if packed is None:
+            ids = self.encoder.encode_piece(piece.encode())
+            packed = struct.pack(f"<{len(ids)}I", *ids)
         if len(piece) <= CACHED_CHARS:
             if len(self) >= CACHED:
+                self.older = dict(self)
                 self.clear()
             self[piece] = packed
         return packed
