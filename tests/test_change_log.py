@@ -218,7 +218,7 @@ def test_dictionary_match_equals_brute_force(spark):
     texts = {1: "abca ABCA", 2: "程序员", 3: "", 4: "😀ab", 5: None}
     rows = spark.createDataFrame(list(texts.items()), "id int, text string")
     vocabulary = spark.createDataFrame([(w,) for w in words], "word string")
-    got = keywords.keyword_dictionary_match(rows, "text", vocabulary, 3)
+    got = keywords.keyword_dictionary_match(rows, "text", vocabulary)
     want = {(i, p + 1, w) for i, t in texts.items() if t for w in words
             for p in range(len(t)) if t.lower().startswith(w, p)}
     found = [(r.id, r.position, r.word) for r in got.collect()]
@@ -228,7 +228,7 @@ def test_dictionary_match_equals_brute_force(spark):
 def test_finest_words(spark):
     rows = spark.createDataFrame([(1, "Java程序员 好 v2")], "id int, text string")
     vocabulary = spark.createDataFrame([("程序",), ("程序员",)], "word string")
-    got = keywords.keyword_finest(rows, "text", ["id"], vocabulary, 3)
+    got = keywords.keyword_finest(rows, "text", ["id"], vocabulary)
     assert sorted(r.word for r in got.collect()) == sorted(["java", "程序", "程序员", "好", "v2"])
 
 

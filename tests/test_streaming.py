@@ -23,7 +23,7 @@ def log_stream(spark, folder, files=1):
 def trade_texts(spark, small):
     raw = feeds.union(
         feeds.order_details(spark, small), feeds.new_orders(spark, small),
-        feeds.order_updates(spark, small), feeds.detail_activities(spark, small),
+        feeds.order_changes(spark, small), feeds.detail_activities(spark, small),
         feeds.detail_coupons(spark, small))
     return texts(raw)
 
@@ -66,9 +66,10 @@ def test_retracting_left_join_pads_first(spark, tmp_path):
                 str(tmp_path / name / f"f={i}"))
         return (spark.readStream.schema(schema).parquet(str(tmp_path / name / "f=*")))
 
-    lines = parts("l", "id string, sku string, ts string", [("1", "s", "10")])
-    activity = parts("a", "order_detail_id string, activity_id string, activity_rule_id string, ts string", [])
-    coupon = parts("c", "order_detail_id string, coupon_id string, coupon_use_id string, ts string", [])
+    seq = "seq struct<second: bigint, offset: bigint>"
+    lines = parts("l", f"id string, sku string, {seq}", [("1", "s", (10, 1))])
+    activity = parts("a", f"order_detail_id string, activity_id string, activity_rule_id string, {seq}", [])
+    coupon = parts("c", f"order_detail_id string, coupon_id string, coupon_use_id string, {seq}", [])
     table = KeyedTable(spark, str(tmp_path / "t"), ["id"])
 
     def run():
@@ -76,11 +77,14 @@ def test_retracting_left_join_pads_first(spark, tmp_path):
         return [(r.id, r.activity_id, r.coupon_id) for r in table.read().collect()]
 
     assert run() == [("1", None, None)]
-    spark.createDataFrame([("1", "A", "R", "11")], activity.schema).write.parquet(str(tmp_path / "a/f=7"))
+    spark.createDataFrame([("1", "A", "R", (11, 5))], activity.schema).write.parquet(str(tmp_path / "a/f=7"))
     assert run() == [("1", "A", None)]
-    spark.createDataFrame([("1", "B", "R", "12"), ("2", "Z", "R", "12")], activity.schema).write.parquet(
+    spark.createDataFrame([("1", "B", "R", (11, 6)), ("2", "Z", "R", (12, 7))], activity.schema).write.parquet(
         str(tmp_path / "a/f=8"))
     assert run() == [("1", "B", None)]
+    # An older activity that arrives late changes nothing.
+    spark.createDataFrame([("1", "old", "R", (11, 2))], activity.schema).write.parquet(str(tmp_path / "a/f=9"))
+    assert run() == [("1", "B", None)]
 
 
 def test_bounded_left_join_keeps_state_for_ttl(spark, tmp_path):
@@ -159,9 +163,9 @@ def test_cart_is_appended(spark, small, tmp_path):
 
 
 @pytest.mark.parametrize("job,batch,inputs", [
-    (jobs.refund_job, facts.dwd_order_refund, (feeds.refunds, feeds.order_updates)),
+    (jobs.refund_job, facts.dwd_order_refund, (feeds.refunds, feeds.order_changes)),
     (jobs.refund_pay_job, facts.dwd_refund_pay_success,
-     (feeds.refund_payments, feeds.refunds, feeds.order_updates)),
+     (feeds.refund_payments, feeds.refunds, feeds.order_changes)),
 ])
 def test_refunds_in_any_order(spark, small, tmp_path, job, batch, inputs):
     raw = feeds.union(*[f(spark, small) for f in inputs])
@@ -171,9 +175,8 @@ def test_refunds_in_any_order(spark, small, tmp_path, job, batch, inputs):
     table = KeyedTable(spark, str(tmp_path / "t"), ["id"])
     dictionary = feeds.dictionary(spark, small)
     finish(job(log_stream(spark, folder), lambda: dictionary, table, str(tmp_path / "ck"), salts=3))
-    want = facts.last_by_ts(batch(registry.log_of(raw), dictionary).drop("row_op_ts"), "id")
-    # A key with several matches keeps one of them: which one depends on arrival.
-    assert rows(table.read(), "row_op_ts", "refund_num") == rows(want, "refund_num")
+    want = batch(registry.log_of(raw), dictionary)
+    assert rows(table.read(), "row_op_ts") == rows(want, "row_op_ts")
 
 
 def by_time(frame, column):
@@ -194,11 +197,10 @@ def test_payments_by_interval(spark, small, tmp_path):
     table = KeyedTable(spark, str(tmp_path / "t"), ["order_detail_id"])
     dictionary = feeds.dictionary(spark, small)
     finish(jobs.pay_job(log, facts_stream, lambda: dictionary, table, str(tmp_path / "ck"), lower=-day))
-    want = facts.last_by_ts(facts.dwd_pay_success(
+    want = facts.last_payment(facts.dwd_pay_success(
         registry._payment_log(spark, small), registry._order_line_facts(spark, small),
-        dictionary, lower=-day), "order_detail_id")
-    got = {r.order_detail_id for r in table.read().collect()}
-    assert got == {r.order_detail_id for r in want.collect()} and got
+        dictionary, lower=-day))
+    assert rows(table.read()) == rows(want) and want.count()
 
 
 def test_keyword_windows_close_and_drop_late_rows(spark, small, tmp_path):
@@ -271,11 +273,56 @@ def test_changes_job_replay_and_compaction(spark, small, tmp_path):
     table.compact()
     assert rows(table.read()) == want
     again = tables.read_table_changes(spark.read.text(folder + "/0002.txt"), schemas.PERSON)
-    last = latest.latest_per_key(latest.keyed_changes(again, ["id"], F.col("ts_ms")), ["key"], [F.col("seq")])
-    table.merge(last.select("row.*", "removed"), 2)
+    writes = latest.keyed_changes(again, ["id"], F.col("ts_ms")).select("row.*", "removed", "seq")
+    table.merge(writes, 2, [F.col("seq")], ("seq",))
     assert rows(table.read()) == want
 
 
+def test_later_change_wins_in_an_earlier_batch(spark, tmp_path):
+    def change(name, at):
+        row = f'{{"id":1,"name":"{name}","age":1}}'
+        return f'{{"before":{row},"after":{row},"op":"u","ts_ms":{at}}}'
+
+    folder = put(tmp_path / "in", [[change("new", 20)], [change("old", 10)], [change("older", 5)]])
+    table = KeyedTable(spark, str(tmp_path / "t"), ["id"], compact_every=2)
+    finish(jobs.changes_job(tables.read_table_changes(text_stream(spark, folder), schemas.PERSON),
+                            table, str(tmp_path / "ck")))
+    assert [r.name for r in table.read().collect()] == ["new"]
+
+
+@pytest.mark.parametrize("order", [[0, 1, 2, 3], [3, 2, 1, 0], [1, 3, 0, 2]])
+def test_offsets_decide_within_a_second(spark, tmp_path, order):
+    import json
+
+    def message(table, kind, offset, data, old=None):
+        body = {"table": table, "type": kind, "ts": 100, "xoffset": offset, "data": data}
+        return json.dumps({**body, "old": old} if old else body)
+
+    def turned(province, offset):
+        return message("order_info", "update", offset, {"id": "o", "order_status": "1005", "province_id": province},
+                       {"order_status": "1001"})
+
+    def refund(num, offset):
+        return message("order_refund_info", "insert", offset, {
+            "id": "r", "order_id": "o", "refund_type": "N1", "refund_reason_type": "N1", "refund_num": num})
+
+    lines = [turned("old", 1), turned("new", 2), refund("1", 3), refund("2", 4)]
+    dictionary = spark.createDataFrame([("N1", "one")], "dic_code string, dic_name string")
+    folder = put(tmp_path / "in", [[lines[i]] for i in order])
+    table = KeyedTable(spark, str(tmp_path / "t"), ["id"])
+    finish(jobs.refund_job(log_stream(spark, folder), lambda: dictionary, table, str(tmp_path / "ck")))
+    batch = facts.dwd_order_refund(change_log.read_change_log(spark.read.text(folder)), dictionary)
+    for got in (table.read(), batch):
+        assert [(r.id, r.province_id, r.refund_num) for r in got.collect()] == [("r", "new", "2")]
+
+
+def test_replayed_messages_leave_one_row_per_key(spark, small):
+    raw = feeds.union(feeds.order_details(spark, small), feeds.new_orders(spark, small),
+                      feeds.detail_activities(spark, small), feeds.detail_coupons(spark, small))
+    once, twice = registry.log_of(raw), registry.log_of(raw, raw)
+    assert rows(facts.dwd_order_detail(twice)) == rows(facts.dwd_order_detail(once))
+
+
 def test_employee_stream_bounds(spark, tmp_path):
     emp = put(tmp_path / "emp", [["1,ann,10,1000"], ["9,zoe,99,900000"], ["8,yes,98,990000"]])
     dept = put(tmp_path / "dept", [[f"10,d{gap},{1000 + gap}" for gap in (-6, -5, 0, 5, 6)],

@@ -10,30 +10,20 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart import session
 from tidemart.functions.scalars import MONEY, SECOND
 
 DATABASE = "shop"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-# Below this much per core a table's files give too few splits.
-BYTES_PER_CORE = 16 * 1024 * 1024
-
+# Setting that deals the tables over so many tasks as they are read. Making and parsing JSON is the
+# bulk of the work, and a table that is one row group would be one task. Unset: as the files are.
+FEED_PARTITIONS = "spark.tidemart.feed.partitions"
 
-def spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table over all cores, also where it is one small row group.
 
-    Making and parsing JSON is the bulk of the work. A table that is large for the cluster
-    is left as its files split it: no shuffle at scale.
-    """
-    cores = spark.sparkContext.defaultParallelism
-    rows = table(spark, sf_dir, name)
-    small = session.input_bytes(spark, f"{sf_dir}/{name}.parquet") < cores * BYTES_PER_CORE
-    return rows.repartition(cores) if small else rows
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    dealt = spark.conf.get(FEED_PARTITIONS, None)
+    return rows.repartition(int(dealt)) if dealt else rows
 
 
 def text(column: str | Column) -> Column:
@@ -58,11 +48,13 @@ def prefixed(prefix: str, number: Column) -> Column:
 
 def change(rows: DataFrame, source: str, kind: Column | str, ts: Column,
            data: dict[str, Column], old: dict[str, Column] | None = None,
-           only_old: Column | None = None) -> DataFrame:
-    """Rows as change messages of table ``source``."""
+           only_old: Column | None = None, offset: Column | None = None) -> DataFrame:
+    """Rows as change messages of table ``source``; ``offset`` is the place in the log."""
     kind = F.lit(kind) if isinstance(kind, str) else kind
     parts = [F.lit(DATABASE).alias("database"), F.lit(source).alias("table"), kind.alias("type"),
              ts.alias("ts"), F.struct(*[c.alias(n) for n, c in data.items()]).alias("data")]
+    if offset is not None:
+        parts.append(offset.alias("xoffset"))
     if old is not None:
         before = F.struct(*[c.alias(n) for n, c in old.items()])
         parts.append((before if only_old is None else F.when(only_old, before)).alias("old"))
@@ -78,7 +70,7 @@ def line_id() -> Column:
 
 
 def order_details(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = spread(spark, sf_dir, "lineitem")
+    lines = table(spark, sf_dir, "lineitem")
     return change(lines, "order_detail", "insert", F.unix_seconds(instant("l_shipdate")), {
         "id": line_id(), "order_id": F.col("l_orderkey"), "sku_id": F.col("l_partkey"),
         "sku_name": prefixed("sku-", F.col("l_partkey")), "order_price": money("l_extendedprice"),
@@ -89,7 +81,7 @@ def order_details(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def new_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = spread(spark, sf_dir, "orders")
+    orders = table(spark, sf_dir, "orders")
     return change(orders, "order_info", "insert", F.unix_seconds(instant("o_orderdate")), {
         "id": F.col("o_orderkey"), "consignee": prefixed("buyer-", F.col("o_custkey")),
         "consignee_tel": prefixed("13", F.col("o_custkey")), "total_amount": money("o_totalprice"),
@@ -103,7 +95,7 @@ def new_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def order_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One status change per order."""
-    orders = spread(spark, sf_dir, "orders")
+    orders = table(spark, sf_dir, "orders")
     code = (F.when(F.col("o_orderstatus") == "F", "1003")
             .when(F.col("o_orderstatus") == "P", "1005").otherwise("1006"))
     return change(orders, "order_info", "update", F.unix_seconds(instant("o_orderdate")), {
@@ -112,8 +104,23 @@ def order_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
         "order_status": code}, {"order_status": F.lit("1001")})
 
 
+def order_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two status changes per order within one second; the later one moves it to another province.
+
+    The messages of both are mixed, so that only their offsets tell which came later.
+    """
+    orders = table(spark, sf_dir, "orders").withColumn("_turn", F.explode(F.array(F.lit(2), F.lit(1))))
+    code = (F.when(F.col("o_orderstatus") == "F", "1003")
+            .when(F.col("o_orderstatus") == "P", "1005").otherwise("1006"))
+    return change(orders, "order_info", "update", F.unix_seconds(instant("o_orderdate")), {
+        "id": F.col("o_orderkey"), "user_id": F.col("o_custkey"),
+        "province_id": (F.col("o_custkey") + F.col("_turn") - 1) % 34,
+        "operate_time": when_text("o_orderdate"), "order_status": code},
+        {"order_status": F.lit("1001")}, offset=F.col("_turn"))
+
+
 def detail_activities(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = spread(spark, sf_dir, "lineitem").where("l_discount >= 0.05")
+    lines = table(spark, sf_dir, "lineitem").where("l_discount >= 0.05")
     return change(lines, "order_detail_activity", "insert", F.unix_seconds(instant("l_shipdate")), {
         "id": F.col("l_linenumber"), "order_id": F.col("l_orderkey"), "order_detail_id": line_id(),
         "activity_id": F.col("l_partkey") % 100, "activity_rule_id": F.col("l_suppkey") % 10,
@@ -121,7 +128,7 @@ def detail_activities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def detail_coupons(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = spread(spark, sf_dir, "lineitem").where("l_returnflag = 'R'")
+    lines = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'")
     return change(lines, "order_detail_coupon", "insert", F.unix_seconds(instant("l_shipdate")), {
         "id": F.col("l_linenumber"), "order_id": F.col("l_orderkey"), "order_detail_id": line_id(),
         "coupon_id": F.col("l_partkey") % 50, "coupon_use_id": F.col("l_suppkey"),
@@ -129,17 +136,18 @@ def detail_coupons(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def refunds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = spread(spark, sf_dir, "lineitem").where("l_returnflag = 'R'")
+    lines = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'")
     return change(lines, "order_refund_info", "insert", F.unix_seconds(instant("l_shipdate")), {
         "id": line_id(), "user_id": F.col("l_suppkey"), "order_id": F.col("l_orderkey"),
         "sku_id": F.col("l_partkey"), "refund_type": prefixed("N", F.col("l_suppkey") % 30),
         "refund_num": F.col("l_quantity").cast("int"), "refund_amount": money("l_extendedprice"),
         "refund_reason_type": prefixed("R", F.col("l_partkey") % 6),
-        "refund_reason_txt": F.col("l_linestatus"), "create_time": when_text("l_shipdate")})
+        "refund_reason_txt": F.col("l_linestatus"), "create_time": when_text("l_shipdate")},
+        offset=F.col("l_quantity").cast("int"))
 
 
 def refund_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = spread(spark, sf_dir, "lineitem").where("l_returnflag = 'R'")
+    lines = table(spark, sf_dir, "lineitem").where("l_returnflag = 'R'")
     return change(lines, "refund_payment", "insert", F.unix_seconds(instant("l_shipdate")), {
         "id": line_id(), "order_id": F.col("l_orderkey"), "sku_id": F.col("l_partkey"),
         "payment_type": prefixed("N", F.col("l_partkey") % 30),
@@ -147,7 +155,7 @@ def refund_payments(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = spread(spark, sf_dir, "lineitem")
+    lines = table(spark, sf_dir, "lineitem")
     first = F.col("l_linenumber") == 1
     return change(
         lines, "cart_info", F.when(first, "insert").otherwise("update"),
@@ -161,7 +169,7 @@ def cart(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = spread(spark, sf_dir, "orders")
+    orders = table(spark, sf_dir, "orders")
     return change(orders, "comment_info", "insert", F.unix_seconds(instant("o_orderdate")), {
         "id": F.col("o_orderkey"), "user_id": F.col("o_custkey"),
         "sku_id": F.col("o_orderkey") % 100, "appraise": prefixed("N", F.col("o_custkey") % 30),
@@ -174,17 +182,17 @@ def _event_number() -> Column:
 
 def payment_updates(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Purchases as payments; a third of them did not succeed."""
-    bought = spread(spark, sf_dir, "events").where("event_type = 'purchase'")
+    bought = table(spark, sf_dir, "events").where("event_type = 'purchase'")
     status = F.when(_event_number() % 3 == 0, "1601").otherwise("1602")
     return change(bought, "payment_info", "update", F.unix_seconds(instant("ts")), {
         "id": F.col("event_id"), "user_id": F.col("user_id"), "order_id": F.col("user_id"),
         "payment_type": prefixed("N", _event_number() % 30), "callback_time": when_text("ts"),
-        "payment_status": status})
+        "payment_status": status}, offset=F.col("event_id"))
 
 
 def order_line_facts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Views and clicks as messages of the order-line fact topic."""
-    seen = spread(spark, sf_dir, "events").where("event_type IN ('view', 'click')")
+    seen = table(spark, sf_dir, "events").where("event_type IN ('view', 'click')")
     return seen.select(F.to_json(F.struct(
         text("event_id").alias("id"), text("user_id").alias("order_id"),
         text("user_id").alias("user_id"), text(_event_number()).alias("sku_id"),
@@ -225,9 +233,10 @@ def dimension_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         change(supplier, "shop_info", "insert", start + F.col("s_suppkey"), {
             "id": F.col("s_suppkey"), "name": F.col("s_name"), "province_id": F.col("s_nationkey"),
             "balance": money("s_acctbal")}),
-        # Each brand's row is updated by every part of it.
-        change(part, "base_brand", "update", start + F.col("p_partkey"), {
-            "tm_id": F.col("p_brand"), "tm_name": F.col("p_name"), "size": F.col("p_size")}),
+        # Each brand's row is updated by every part of it, many times within a second.
+        change(part, "base_brand", "update", start + F.floor(F.col("p_partkey") / 100), {
+            "tm_id": F.col("p_brand"), "tm_name": F.col("p_name"), "size": F.col("p_size")},
+            offset=F.col("p_partkey")),
     ]
     out = feeds[0]
     for feed in feeds[1:]:
@@ -237,7 +246,7 @@ def dimension_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def page_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as page-log text, with ``arrival``; some records are broken or lack the device."""
-    events = spread(spark, sf_dir, "events")
+    events = table(spark, sf_dir, "events")
     k = _event_number()
     started = F.col("event_type") == "signup"
     failed = F.col("event_type") == "error"
@@ -261,13 +270,13 @@ def page_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(failed, F.struct((k + 1000).alias("error_code"), F.lit("timeout").alias("msg"))).alias("err"),
         F.unix_millis(instant("ts")).alias("ts")))
     # Broken text is a record cut off after 30 characters.
-    value = F.substring(record, F.lit(1), F.when(k == 13, 30).otherwise(1_000_000))
+    value = F.when(k == 13, F.substring(record, 1, 30)).otherwise(record)
     return events.select(F.col("event_id").alias("arrival"), value.alias("value"))
 
 
 def search_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Conversation turns as page views: what the user says is a keyword search."""
-    turns = spread(spark, sf_dir, "conversations")
+    turns = table(spark, sf_dir, "conversations")
     return turns.select(F.to_json(F.struct(
         F.struct(prefixed("mid_", F.col("conv_id")).alias("mid")).alias("common"),
         F.struct(
@@ -307,7 +316,7 @@ def route_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def person_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as change records of a table with one row per user; errors delete the row."""
-    events = spread(spark, sf_dir, "events")
+    events = table(spark, sf_dir, "events")
     row = F.struct(F.col("user_id").alias("id"), F.col("event_type").alias("name"),
                    _event_number().alias("age"))
     gone = F.col("event_type") == "error"
@@ -318,14 +327,14 @@ def person_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def employee_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bought = spread(spark, sf_dir, "events").where("event_type = 'purchase'")
+    bought = table(spark, sf_dir, "events").where("event_type = 'purchase'")
     return bought.select(F.concat_ws(
         ",", text("event_id"), "event_type", text("user_id"),
         text(F.unix_millis(instant("ts")))).alias("value"))
 
 
 def department_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    seen = spread(spark, sf_dir, "events").where("event_type = 'view'")
+    seen = table(spark, sf_dir, "events").where("event_type = 'view'")
     return seen.select(F.concat_ws(
         ",", text("user_id"), prefixed("view-", F.col("event_id")),
         text(F.unix_millis(instant("ts")))).alias("value"))

@@ -22,6 +22,11 @@ def keyword_split(rows: DataFrame, text: str, word: str = "word") -> DataFrame:
     return rows.select(*others, F.explode(words_of(F.col(text))).alias(word))
 
 
+def longest_word(dictionary: DataFrame) -> int:
+    """Characters of the longest dictionary word; 0 without a word."""
+    return dictionary.agg(F.max(F.length("word"))).first()[0] or 0
+
+
 def _windows(text: Column, longest: int) -> Column:
     """For each character position the text from there on, ``longest`` characters at most.
 
@@ -30,19 +35,20 @@ def _windows(text: Column, longest: int) -> Column:
     def cut(chars: Column) -> Column:
         return F.transform(
             F.sequence(F.lit(1), F.size(chars)),
-            lambda p: F.array_join(F.slice(chars, p, F.lit(longest)), ""))
+            lambda p: F.array_join(F.slice(chars, p, F.lit(max(longest, 1))), ""))
 
     return F.when(F.length(text) > 0, F.transform(F.array(F.split(text, "")), cut)[0])
 
 
 def keyword_dictionary_match(rows: DataFrame, text: str, dictionary: DataFrame,
-                             longest: int, word: str = "word") -> DataFrame:
+                             word: str = "word") -> DataFrame:
     """One row per occurrence of a dictionary word in ``text``, with its position from 1.
 
-    All words are found, also those inside or across others. ``longest`` is the length of
-    the longest dictionary word: each character gives that many candidates at most. They are
-    probed row by row; only a dictionary of checked size is broadcast.
+    All words are found, also those inside or across others. Each character gives as many
+    candidates as the longest word has characters, at most. They are probed row by row; only a
+    dictionary of checked size is broadcast. It is read three times: pass a stored one.
     """
+    longest = longest_word(dictionary)
     others = [c for c in rows.columns if c != text]
     starts = rows.select(
         *others, F.posexplode(_windows(F.lower(text), longest)).alias("_at", "_window"))
@@ -64,7 +70,7 @@ SEGMENT = r"\p{IsHan}+|[\p{L}\p{N}&&[^\p{IsHan}]]+"
 
 
 def keyword_finest(rows: DataFrame, text: str, key: list[str], dictionary: DataFrame,
-                   longest: int, word: str = "word") -> DataFrame:
+                   word: str = "word") -> DataFrame:
     """Finest-grained words of ``text``; ``key`` identifies a row.
 
     A run of other letters and digits is one word. A run of Han characters gives every
@@ -76,7 +82,7 @@ def keyword_finest(rows: DataFrame, text: str, key: list[str], dictionary: DataF
     is_han = F.col("_text").rlike(HAN_RUN)
     plain = runs.where(~is_han).select(*others, F.col("_text").alias(word))
     han = runs.where(is_han)
-    found = keyword_dictionary_match(han, "_text", dictionary, longest, word)
+    found = keyword_dictionary_match(han, "_text", dictionary, word)
     at = [*key, "_run", "position"]
     covered = found.select(*key, "_run", F.explode(F.sequence(
         F.col("position"), F.col("position") + F.length(word) - 1)).alias("position")).distinct()

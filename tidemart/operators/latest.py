@@ -10,14 +10,15 @@ def latest_per_key(rows: DataFrame, keys: list[str], order: list[Column]) -> Dat
     """The last row of each key in the given order.
 
     The maximum is taken in each task before the shuffle, so that a hot key sends one
-    row per task. Rows equal in ``order`` are told apart by a hash of their values, so that
-    a repeated task finds the same row.
+    row per task. ``order`` should tell all changes of a key apart, as the log's second and
+    offset do. Rows that it does not are copies of one message, or carry no offset; of those a
+    hash of their values chooses, so that a repeated task finds the same row.
     """
     others = [c for c in rows.columns if c not in keys]
-    hashable = [f.name for f in rows.schema.fields
-                if f.name in others and f.dataType.typeName() not in ("map", "variant")]
+    values = [F.array_sort(F.map_entries(f.name)) if f.dataType.typeName() == "map" else F.col(f.name)
+              for f in rows.schema.fields if f.name in others and f.dataType.typeName() != "variant"]
     rank = F.struct(*[c.alias(f"o{i}") for i, c in enumerate(order)],
-                    F.xxhash64(F.lit(0), *hashable).alias("tie"))
+                    F.xxhash64(F.lit(0), *values).alias("tie"))
     top = rows.groupBy(*keys).agg(F.max_by(F.struct(*others), rank).alias("last"))
     return top.select(*[
         F.col(c) if c in keys else F.col("last")[c].alias(c) for c in rows.columns])

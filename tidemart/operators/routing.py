@@ -48,7 +48,7 @@ def dim_route(log: DataFrame, routes: DataFrame, apply_deletes: bool = False) ->
         F.col("type").alias("operation"),
         scalars.keep_listed(F.col("data"), F.col("sink_columns")).alias("payload"),
         removed.alias("removed"),
-        F.col("ts").try_cast("bigint").alias("ts"))
+        F.col("ts").try_cast("bigint").alias("ts"), "seq")
 
 
 def fact_route(log: DataFrame, routes: DataFrame) -> DataFrame:

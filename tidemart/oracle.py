@@ -53,10 +53,11 @@ placed AS (
     CAST(NULL AS VARCHAR) AS feight_fee_reduce
   FROM orders)"""
 
+# Of an order's two changes in one second the second stays.
 CHANGED = f"""
 changed AS (
   SELECT CAST(o_orderkey AS VARCHAR) AS id, CAST(o_custkey AS VARCHAR) AS user_id,
-    CAST(o_custkey % 34 AS VARCHAR) AS province_id, {moment('o_orderdate')} AS operate_time,
+    CAST((o_custkey + 1) % 34 AS VARCHAR) AS province_id, {moment('o_orderdate')} AS operate_time,
     CASE o_orderstatus WHEN 'F' THEN '1003' WHEN 'P' THEN '1005' ELSE '1006' END AS code,
     CAST({seconds('o_orderdate')} AS VARCHAR) AS ts
   FROM orders)"""
@@ -91,20 +92,20 @@ dimensions AS (
   SELECT 'base_region' AS tbl, unnest(['bootstrap-start', 'bootstrap-insert', 'bootstrap-complete']) AS kind,
     1700000000 AS ts, CAST(r_regionkey AS VARCHAR) AS id, CAST(r_regionkey AS VARCHAR) AS pk,
     '{"id":"' || r_regionkey || '","region_name":"' || r_name || '"}' AS dim,
-    '{"id":"' || r_regionkey || '"}' AS fact FROM region
+    '{"id":"' || r_regionkey || '"}' AS fact, 0 AS place FROM region
   UNION ALL SELECT 'base_province', 'bootstrap-insert', 1700000000, CAST(n_nationkey AS VARCHAR),
     CAST(n_nationkey AS VARCHAR),
     '{"id":"' || n_nationkey || '","name":"' || n_name || '","region_id":"' || n_regionkey || '"}',
-    NULL FROM nation
+    NULL, 0 FROM nation
   UNION ALL SELECT 'user_info', 'insert', 1700000000 + c_custkey, CAST(c_custkey AS VARCHAR),
     CAST(c_custkey AS VARCHAR),
     '{"id":"' || c_custkey || '","name":"' || c_name || '","province_id":"' || c_nationkey || '"}',
-    '{"id":"' || c_custkey || '","name":"' || c_name || '","segment":"' || c_mktsegment || '"}' FROM customer
+    '{"id":"' || c_custkey || '","name":"' || c_name || '","segment":"' || c_mktsegment || '"}', 0 FROM customer
   UNION ALL SELECT 'shop_info', 'insert', 1700000000 + s_suppkey, CAST(s_suppkey AS VARCHAR),
     CAST(s_suppkey AS VARCHAR),
-    '{"id":"' || s_suppkey || '","name":"' || s_name || '"}', NULL FROM supplier
-  UNION ALL SELECT 'base_brand', 'update', 1700000000 + p_partkey, NULL, p_brand,
-    '{"tm_id":"' || p_brand || '","tm_name":"' || p_name || '"}', NULL FROM part)"""
+    '{"id":"' || s_suppkey || '","name":"' || s_name || '"}', NULL, 0 FROM supplier
+  UNION ALL SELECT 'base_brand', 'update', 1700000000 + p_partkey // 100, NULL, p_brand,
+    '{"tm_id":"' || p_brand || '","tm_name":"' || p_name || '"}', NULL, p_partkey FROM part)"""
 
 COMMENT_FACT = """SELECT 'dwd_comment' AS sink_table, '{"id":"' || o_orderkey || '","user_id":"' || o_custkey
     || '","appraise":"N' || (o_custkey % 30) || '"}' AS payload, CAST(epoch(o_orderdate) AS BIGINT) AS ts
@@ -213,8 +214,8 @@ def pay_query(success: bool, lower: int) -> str:
     status = "AND payment_status = '1602'" if success else ""
     return f"""WITH {PAYMENTS}, {SEEN}, {DICTIONARY}, paired AS (
   SELECT seen.* EXCLUDE (s), payment_type, dic_name, callback_time, payments.s,
-    row_number() OVER (PARTITION BY seen.id ORDER BY payments.s DESC, payment_type DESC,
-      dic_name DESC, callback_time DESC) AS place
+    row_number() OVER (PARTITION BY seen.id
+      ORDER BY payments.s DESC, CAST(payments.id AS BIGINT) DESC) AS place
   FROM seen JOIN payments ON seen.order_id = payments.order_id {status}
     AND seen.s BETWEEN payments.s - {lower} AND payments.s + 5
   JOIN dictionary ON payment_type = dic_code)
@@ -251,7 +252,7 @@ LOG_IDENTITY = "SELECT tbl AS \"table\", kind AS type, CAST(ts AS VARCHAR) AS ts
 REQUESTS = """
 requests AS (SELECT order_id, sku_id, sku_num AS refund_num FROM lines WHERE l_returnflag = 'R'
   QUALIFY row_number() OVER (PARTITION BY order_id, sku_id
-    ORDER BY CAST(ts AS BIGINT) DESC, sku_num DESC) = 1)"""
+    ORDER BY CAST(ts AS BIGINT) DESC, CAST(sku_num AS INT) DESC) = 1)"""
 CART_ROWS = f"""
 cart AS (
   SELECT *, CASE WHEN l_linenumber = 1 THEN 'insert' ELSE 'update' END AS type, CAST(sku_num AS INT) AS now,
@@ -319,7 +320,7 @@ SELECT type, id, sku_num, CAST(before AS VARCHAR) AS old_sku_num {CART_KEPT}""",
     "search_filter": f"""WITH {SEARCHES}
 SELECT item, {moment('make_timestamp(ts * 1000)')} AS rt FROM views WHERE last_page_id = 'search'""",
     "column_prune_by_config":
-        f"WITH {DIMENSIONS} SELECT pk AS row_key, dim AS payload FROM dimensions WHERE tbl = 'user_info'",
+        f"""WITH {DIMENSIONS} SELECT 'dim_' || tbl AS sink_table, pk AS row_key, dim AS payload FROM dimensions""",
     "remove_json_field": f"""WITH {RECORDS}
 SELECT '{{' || concat_ws(',', '"common":' || common_head || CASE WHEN started THEN '1' ELSE '0' END || common_tail,
   page, start, '"ts":' || ms) || '}}' AS value FROM fixed""",
@@ -417,6 +418,7 @@ SELECT id, CAST(l_suppkey AS VARCHAR) AS user_id, sku_id, order_price AS cart_pr
 {CART_KEPT}""",
     "dwd_order_detail": ORDER_DETAIL,
     "dwd_order_cancel": ORDER_CANCEL,
+    "landed_log": ORDER_CANCEL,
     "dwd_pay_success": pay_query(True, 900),
     "dwd_pay_any_status_day": pay_query(False, 86400),
     "dwd_order_refund": f"""WITH {LINES}, {CHANGED}, {DICTIONARY}
@@ -440,7 +442,7 @@ SELECT sink_table, left(payload, len(payload) - 1) || ',"ts":"' || ts || '"}}' A
     "dim_tables": f"""WITH {DIMENSIONS}
 SELECT 'dim_' || tbl AS sink_table, pk AS row_key, dim AS payload FROM dimensions
 WHERE kind NOT IN ('bootstrap-start', 'bootstrap-complete')
-QUALIFY row_number() OVER (PARTITION BY tbl, pk ORDER BY ts DESC) = 1""",
+QUALIFY row_number() OVER (PARTITION BY tbl, pk ORDER BY ts DESC, place DESC) = 1""",
     "dws_keyword_window": KEYWORD_COUNTS,
     "emp_dept_interval": emp_dept(1800, """CAST(empno AS INT) AS empno, ename, CAST(deptno AS INT) AS deptno, ts,
   CAST(dept_deptno AS INT) AS dept_deptno, dname, dept_ts"""),
@@ -451,13 +453,14 @@ SELECT user_id, event_id, event_type, {money('value')} AS value FROM events
 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY event_id DESC) = 1""",
     "keyword_split": f"""
 SELECT conv_id, turn, unnest({WORDS.format(text='text')}) AS word FROM conversations""",
+    "keyword_finest": f"""
+SELECT conv_id, turn, unnest({WORDS.format(text='text')}) AS word FROM conversations WHERE role = 'user'""",
     "keyword_dictionary_match": f"""
 WITH vocabulary AS (SELECT DISTINCT word FROM (
-  SELECT unnest({WORDS.format(text='text')}) AS word FROM conversations WHERE role <> 'user')
-  WHERE len(word) <= 3),
+  SELECT unnest({WORDS.format(text='text')}) AS word FROM conversations WHERE role <> 'user')),
 windows AS (SELECT conv_id, turn, lower(text) AS t, unnest(range(1, len(text) + 1)) AS position
   FROM conversations WHERE role = 'user'),
-candidates AS (SELECT conv_id, turn, position, unnest(range(1, least(3, len(t) - position + 1) + 1)) AS size, t
+candidates AS (SELECT conv_id, turn, position, unnest(range(1, least((SELECT max(len(word)) FROM vocabulary), len(t) - position + 1) + 1)) AS size, t
   FROM windows)
 SELECT conv_id, turn, CAST(position AS INT) AS position, word
 FROM candidates JOIN vocabulary ON substr(t, position, size) = word""",
@@ -471,24 +474,21 @@ SQL |= {
     "create_dim_if_absent": """
 SELECT CAST(c_custkey AS VARCHAR) AS id, c_name AS name, CAST(c_nationkey AS VARCHAR) AS province_id
 FROM customer""",
-    "upsert_dim": "SELECT p_brand AS tm_id, arg_max(p_name, p_partkey) AS tm_name FROM part GROUP BY p_brand",
+    "upsert_dim": SQL["dim_tables"],
     "write_olap_json": KEYWORD_COUNTS,
 
     # Streams give what the batch gives
     "stream_read_text": SQL["read_text_stream"].replace("WHERE o_orderpriority <> '5-LOW'", ""),
-    "stream_order_detail": ORDER_DETAIL.replace(
-        "dic_name AS source_type_name, ", "").replace("LEFT JOIN dictionary ON source_type = dic_code", ""),
-    # A line comes out when both its parts are there, or when the watermark has left it behind.
-    "state_ttl": f"""WITH {LINES}, ends AS (
-  SELECT least(max(epoch(l_shipdate)), max(epoch(l_shipdate)) FILTER (l_discount >= 0.05),
-    max(epoch(l_shipdate)) FILTER (l_returnflag = 'R')) AS mark FROM lineitem)
-SELECT id, activity_id, coupon_id FROM lines, ends
-WHERE (activity_id IS NOT NULL AND coupon_id IS NOT NULL) OR CAST(ts AS BIGINT) + 910 < mark""",
-    # The watermark stands two seconds before the last search.
-    "watermark_bounded": KEYWORD_COUNTS + """
-HAVING (slot + 1) * 10000 <= (SELECT max(ts) FROM views WHERE last_page_id = 'search') - 2000""",
+    "stream_order_detail": ORDER_DETAIL,
+    "stream_order_cancel": ORDER_CANCEL,
+    "state_ttl": f"WITH {LINES} SELECT id, activity_id, coupon_id FROM lines",
+    "watermark_bounded": KEYWORD_COUNTS,
     "watermark_monotonous": SQL["emp_dept_interval"],
     "stream_traffic_log": SQL["dwd_traffic_log"],
     "stream_refund": SQL["dwd_order_refund"],
+    "stream_refund_pay": SQL["dwd_refund_pay_success"],
+    "stream_comment_info": SQL["dwd_comment_info"],
+    "stream_changes": SQL["snapshot_changelog_table"],
+    "stream_dims": SQL["dim_tables"],
     "stream_routes": SQL["apply_config_changes"],
 }

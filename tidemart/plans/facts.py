@@ -7,6 +7,7 @@ from datetime import timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemart.functions import scalars
 from tidemart.functions.predicates import (
@@ -37,10 +38,17 @@ VOLATILE = ["row_op_ts"]
 
 def dwd_comment_info(log: DataFrame, dictionary: DataFrame) -> DataFrame:
     """Comments with the name of their rating. Key: id."""
-    comments = table_events(log, "comment_info", "insert").select(
-        *fields("id user_id sku_id appraise comment_txt"), "ts")
+    return shape_comment(last_per_id(comment_rows(log)), dictionary)
+
+
+def comment_rows(log: DataFrame) -> DataFrame:
+    return table_events(log, "comment_info", "insert").select(
+        *fields("id user_id sku_id appraise comment_txt"), "ts", "seq")
+
+
+def shape_comment(comments: DataFrame, dictionary: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return joins.lookup_join(comments, dictionary, "appraise", "appraise_name").select(
-        "id", "user_id", "sku_id", "appraise", "appraise_name", "comment_txt", "ts")
+        "id", "user_id", "sku_id", "appraise", "appraise_name", "comment_txt", "ts", *keep)
 
 
 def dwd_cart_add(log: DataFrame, database: str | None = None) -> DataFrame:
@@ -56,47 +64,75 @@ def order_lines(log: DataFrame, database: str | None = None) -> DataFrame:
         *fields(LINE),
         scalars.multiply_as_text(F.col("data")["sku_num"], F.col("data")["order_price"])
         .alias("split_original_amount"),
-        F.col("ts"))
+        "ts", "seq")
 
 
 def activities(log: DataFrame, database: str | None = None) -> DataFrame:
     return table_events(log, "order_detail_activity", "insert", database=database).select(
-        *fields("order_detail_id activity_id activity_rule_id"), "ts")
+        *fields("order_detail_id activity_id activity_rule_id"), "ts", "seq")
 
 
 def coupons(log: DataFrame, database: str | None = None) -> DataFrame:
     return table_events(log, "order_detail_coupon", "insert", database=database).select(
-        *fields("order_detail_id coupon_id coupon_use_id"), "ts")
+        *fields("order_detail_id coupon_id coupon_use_id"), "ts", "seq")
 
 
-def by_ts() -> list[Column]:
-    return [F.col("ts").try_cast("bigint")]
+# Places in the log of a row and of what it was joined with, which order the rows of a key: of all
+# pairs of a line and a change of its order, the last line with the last change comes last.
+SEQUENCES = ("seq", "order_seq", "request_seq", "pay_seq")
 
 
-def last_of_line(rows: DataFrame) -> DataFrame:
-    """One row per order line."""
-    return latest.one_per_key(rows, "order_detail_id", by_ts()).drop("ts")
+def sequences(rows: DataFrame) -> tuple[str, ...]:
+    return tuple(c for c in SEQUENCES if c in rows.columns)
+
+
+def last_per_id(rows: DataFrame) -> DataFrame:
+    """One row per ``id`` in a batch: a message sent again changes nothing. A stream keeps all
+    rows, for the upsert table to choose the last."""
+    return rows if rows.isStreaming else latest.latest_per_key(
+        rows, ["id"], [F.col(c) for c in sequences(rows)])
 
 
 def with_promotions(lines: DataFrame, activity: DataFrame, coupon: DataFrame) -> DataFrame:
-    """Left joins of the last activity and the last coupon of each order line."""
-    line = F.col("order_detail_id") == F.col("id")
-    return (lines.join(last_of_line(activity), line, "left").drop("order_detail_id")
-            .join(last_of_line(coupon), line, "left").drop("order_detail_id"))
+    """Order lines with their last activity and last coupon, or nulls. One row per line.
+
+    The three inputs are one input of parts keyed by order line, and an aggregation keeps the
+    last of each part: one shuffle for all three. In an update-mode stream a line comes out at
+    once, null padded, and again when a part arrives.
+    """
+    order = list(sequences(lines))
+    others = [c for c in lines.columns if c != "id" and c not in order]
+    parts = {
+        "line": (lines, "id", [*order, *others]),
+        "activity": (activity, "order_detail_id", ["seq", "activity_id", "activity_rule_id"]),
+        "coupon": (coupon, "order_detail_id", ["seq", "coupon_id", "coupon_use_id"])}
+
+    def kind(frame: DataFrame, names: list[str]) -> T.StructType:
+        return T.StructType([T.StructField(n, frame.schema[n].dataType) for n in names])
+
+    keyed = []
+    for own, (frame, key, names) in parts.items():
+        slots = [(F.struct(*names) if other == own else F.lit(None)).cast(kind(f, n)).alias(other)
+                 for other, (f, _, n) in parts.items()]
+        keyed.append(frame.select(F.col(key).alias("id"), *slots))
+    union = keyed[0].unionByName(keyed[1]).unionByName(keyed[2])
+    last = union.groupBy("id").agg(*[F.max(p).alias(p) for p in parts])
+    return last.where(F.col("line").isNotNull()).select(
+        "id", *[F.col("line")[n].alias(n) for n in [*order, *others]],
+        *[F.col(p)[n].alias(n) for p in ("activity", "coupon") for n in parts[p][2] if n != "seq"])
 
 
 def last_of_order(rows: DataFrame) -> DataFrame:
     """The last change of each order in a batch; a stream keeps all of them, for the
     upsert table to choose the last."""
-    return rows if rows.isStreaming else latest.one_per_key(
-        rows, "_order", [F.col("order_ts").try_cast("bigint")])
+    return rows if rows.isStreaming else latest.one_per_key(rows, "_order", [F.col("order_seq")])
 
 
 def placed_orders(log: DataFrame, database: str | None = None) -> DataFrame:
     """Orders as they were placed, keyed by ``_order``."""
     return last_of_order(table_events(log, "order_info", "insert", database=database).select(
         *[F.col("data")[n].alias("_order" if n == "id" else n) for n in ORDER.split()],
-        F.col("ts").alias("order_ts")))
+        F.col("ts").alias("order_ts"), F.col("seq").alias("order_seq")))
 
 
 def placed_lines(log: DataFrame, database: str | None = None, salts: int = 1) -> DataFrame:
@@ -134,7 +170,8 @@ def orders_changed_to(log: DataFrame, code: str, columns: str,
     """Orders whose status has become ``code``, as ``_order``, columns and ``order_ts``."""
     return last_of_order(status_changed_to(
         log, "order_info", "order_status", code, database).select(
-        F.col("data")["id"].alias("_order"), *fields(columns), F.col("ts").alias("order_ts")))
+        F.col("data")["id"].alias("_order"), *fields(columns), F.col("ts").alias("order_ts"),
+        F.col("seq").alias("order_seq")))
 
 
 def cancelled_orders(log: DataFrame, database: str | None = None) -> DataFrame:
@@ -153,12 +190,12 @@ def cancelled_lines(log: DataFrame, database: str | None = None, salts: int = 1)
         "order_id", "_order", salts, "id"))
 
 
-def shape_order_cancel(rows: DataFrame) -> DataFrame:
+def shape_order_cancel(rows: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return rows.select(
         "id", "order_id", "user_id", "sku_id", "sku_name", "province_id", "activity_id",
         "activity_rule_id", "coupon_id", scalars.format_day(F.col("operate_time")).alias("date_id"),
         F.col("operate_time").alias("cancel_time"), "sku_num", "split_original_amount",
-        "split_activity_amount", "split_coupon_amount", "split_total_amount", "ts")
+        "split_activity_amount", "split_coupon_amount", "split_total_amount", "ts", *keep)
 
 
 def dwd_order_cancel(log: DataFrame, database: str | None = None) -> DataFrame:
@@ -171,7 +208,8 @@ def paid(log: DataFrame, require_success: bool = True) -> DataFrame:
     return payments(log, require_success).select(
         F.col("data")["order_id"].alias("pay_order_id"),
         F.col("data")["payment_type"].alias("payment_type_code"),
-        *fields("callback_time"), F.col("row_time").alias("pay_time"), F.col("ts").alias("pay_ts"))
+        *fields("callback_time"), F.col("row_time").alias("pay_time"), F.col("ts").alias("pay_ts"),
+        F.col("seq").alias("pay_seq"))
 
 
 def paid_lines(order_detail: DataFrame, paid_rows: DataFrame, lower: timedelta = PAY_LOWER,
@@ -189,14 +227,14 @@ def name_payment_type(rows: DataFrame, dictionary: DataFrame) -> DataFrame:
     return joins.lookup_join(rows, dictionary, "payment_type_code", "payment_type_name")
 
 
-def shape_pay_success(pairs: DataFrame) -> DataFrame:
+def shape_pay_success(pairs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     return pairs.select(
         F.col("id").alias("order_detail_id"), "order_id", "user_id", "sku_id", "sku_name",
         "province_id", "activity_id", "activity_rule_id", "coupon_id", "payment_type_code",
         "payment_type_name", "callback_time", "source_id",
         F.col("source_type").alias("source_type_code"), "source_type_name", "sku_num",
         "split_original_amount", "split_activity_amount", "split_coupon_amount",
-        F.col("split_total_amount").alias("split_payment_amount"), F.col("pay_ts").alias("ts"))
+        F.col("split_total_amount").alias("split_payment_amount"), F.col("pay_ts").alias("ts"), *keep)
 
 
 def dwd_pay_success(log: DataFrame, order_detail: DataFrame, dictionary: DataFrame,
@@ -205,18 +243,19 @@ def dwd_pay_success(log: DataFrame, order_detail: DataFrame, dictionary: DataFra
     """Payments with their type's name and the order lines they pay. Key: order_detail_id.
 
     ``log`` and ``order_detail`` carry the event time ``row_time``. Of an order's payments in
-    one second only the last can stay in the upsert table, so only that is joined: a line
-    never meets more payments than the interval has seconds.
+    one second only the last to arrive can stay in the upsert table, so only that is joined: a
+    line never meets more payments than the interval has seconds. ``pay_seq`` orders a line's
+    payments.
     """
     named = name_payment_type(paid(log, require_success), dictionary)
-    last = latest.latest_per_key(named, ["pay_order_id", "pay_time"], [
-        F.col("payment_type_code"), F.col("payment_type_name"), F.col("callback_time")])
-    return shape_pay_success(paid_lines(order_detail, last, lower, upper))
+    last = latest.latest_per_key(named, ["pay_order_id", "pay_time"], [F.col("pay_seq")])
+    return shape_pay_success(paid_lines(order_detail, last, lower, upper), ("pay_seq",))
 
 
 def refund_requests(log: DataFrame, salts: int = 1) -> DataFrame:
     """Refund requests joined with the order that turned to refund."""
-    refunds = table_events(log, "order_refund_info", "insert").select(*fields(REFUND), "ts")
+    refunds = last_per_id(
+        table_events(log, "order_refund_info", "insert").select(*fields(REFUND), "ts", "seq"))
     orders = orders_changed_to(log, ORDER_REFUND_REQUESTED, "province_id")
     return joins.salted_join(
         refunds, orders, "order_id", "_order", salts, "id").drop("_order", "order_ts")
@@ -227,12 +266,11 @@ def last_requests(log: DataFrame) -> DataFrame:
     requests = table_events(log, "order_refund_info").select(
         F.col("data")["order_id"].alias("_request_order"),
         F.col("data")["sku_id"].alias("_request_sku"), *fields("refund_num"),
-        F.col("ts").alias("request_ts"))
+        F.col("seq").alias("request_seq"))
     if requests.isStreaming:
         return requests
     keys = ["_request_order", "_request_sku"]
-    last = latest.latest_per_key(
-        requests, keys, [F.col("request_ts").try_cast("bigint"), F.col("refund_num")])
+    last = latest.latest_per_key(requests, keys, [F.col("request_seq")])
     # Expressions, for the same reason as in one_per_key.
     return last.withColumns({k: F.concat(F.col(k), F.lit("")) for k in keys})
 
@@ -242,10 +280,10 @@ def join_requests(paid_back: DataFrame, requests: DataFrame) -> DataFrame:
     return paid_back.join(
         requests, (F.col("order_id") == F.col("_request_order"))
         & (F.col("sku_id") == F.col("_request_sku")), "inner"
-    ).drop("_request_order", "_request_sku", "request_ts")
+    ).drop("_request_order", "_request_sku")
 
 
-def shape_order_refund(joined: DataFrame, dictionary: DataFrame) -> DataFrame:
+def shape_order_refund(joined: DataFrame, dictionary: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     named = joins.double_lookup_join(
         joined, dictionary, ("refund_type", "refund_type_name"),
         ("refund_reason_type", "refund_reason_type_name"))
@@ -255,7 +293,7 @@ def shape_order_refund(joined: DataFrame, dictionary: DataFrame) -> DataFrame:
         F.col("refund_type").alias("refund_type_code"), "refund_type_name",
         F.col("refund_reason_type").alias("refund_reason_type_code"), "refund_reason_type_name",
         "refund_reason_txt", "refund_num", "refund_amount", "ts",
-        scalars.write_time().alias("row_op_ts"))
+        scalars.write_time().alias("row_op_ts"), *keep)
 
 
 def dwd_order_refund(log: DataFrame, dictionary: DataFrame) -> DataFrame:
@@ -265,20 +303,21 @@ def dwd_order_refund(log: DataFrame, dictionary: DataFrame) -> DataFrame:
 
 def refunded_payments(log: DataFrame, salts: int = 1) -> DataFrame:
     """Refund payments joined with the refunded order and the request of the same article."""
-    paid_back = table_events(log, "refund_payment").select(*fields(REFUND_PAYMENT), "ts")
+    paid_back = last_per_id(table_events(log, "refund_payment").select(*fields(REFUND_PAYMENT), "ts", "seq"))
     orders = orders_changed_to(log, ORDER_REFUNDED, "user_id province_id")
     joined = joins.salted_join(
         paid_back, orders, "order_id", "_order", salts, "id").drop("_order", "order_ts")
     return join_requests(joined, last_requests(log))
 
 
-def shape_refund_pay_success(joined: DataFrame, dictionary: DataFrame) -> DataFrame:
+def shape_refund_pay_success(joined: DataFrame, dictionary: DataFrame,
+                             keep: tuple[str, ...] = ()) -> DataFrame:
     return joins.lookup_join(joined, dictionary, "payment_type", "payment_type_name").select(
         "id", "user_id", "order_id", "sku_id", "province_id",
         F.col("payment_type").alias("payment_type_code"), "payment_type_name",
         scalars.format_day(F.col("callback_time")).alias("date_id"), "callback_time",
         "refund_num", F.col("total_amount").alias("refund_amount"), "ts",
-        scalars.write_time().alias("row_op_ts"))
+        scalars.write_time().alias("row_op_ts"), *keep)
 
 
 def dwd_refund_pay_success(log: DataFrame, dictionary: DataFrame) -> DataFrame:
@@ -286,9 +325,9 @@ def dwd_refund_pay_success(log: DataFrame, dictionary: DataFrame) -> DataFrame:
     return shape_refund_pay_success(refunded_payments(log), dictionary)
 
 
-def last_by_ts(fact: DataFrame, key: str, *then: str) -> DataFrame:
-    """The upsert table of a fact: the last row of each key by time, then by more columns."""
-    return latest.latest_per_key(fact, [key], [*by_ts(), *[F.col(c) for c in then]])
+def last_payment(fact: DataFrame) -> DataFrame:
+    """The upsert table of the payment fact: each line's last payment to arrive."""
+    return latest.latest_per_key(fact, ["order_detail_id"], [F.col("pay_seq")]).drop("pay_seq")
 
 
 def emp_dept_interval(employees: DataFrame, departments: DataFrame,

@@ -47,7 +47,7 @@ def dim_rows(log: DataFrame, routes: DataFrame, apply_deletes: bool = False) ->
 def dim_tables(log: DataFrame, routes: DataFrame, apply_deletes: bool = False) -> DataFrame:
     """Content of all dimension tables: the last row of each key."""
     rows = dim_rows(log, routes, apply_deletes)
-    last = latest.latest_per_key(rows, ["sink_table", "row_key"], [F.col("ts")])
+    last = latest.latest_per_key(rows, ["sink_table", "row_key"], [F.col("seq")])
     return last.where(~F.col("removed")).select("sink_table", "row_key", "payload")
 
 

@@ -215,8 +215,8 @@ def search_filter(spark, d):
 @query
 def column_prune_by_config(spark, d):
     routed = routing.dim_route(log_of(feeds.dimension_rows(spark, d)), routes(spark, routing.DIM))
-    return routed.where("sink_table = 'dim_user_info'").select(
-        "row_key", scalars.map_to_json(F.col("payload")).alias("payload"))
+    return routed.select(
+        "sink_table", "row_key", scalars.map_to_json(F.col("payload")).alias("payload"))
 
 
 @query
@@ -255,7 +255,7 @@ def window_bounds_format(spark, d):
 
 @query
 def epoch_to_timestamp(spark, d):
-    events = feeds.spread(spark, d, "events").select(
+    events = feeds.table(spark, d, "events").select(
         "event_id", F.unix_millis(feeds.instant("ts")).alias("ms"))
     seconds = scalars.epoch_seconds_to_timestamp((F.col("ms") / 1000).cast("bigint").cast("string"))
     return events.select(
@@ -294,7 +294,7 @@ def json_to_string(spark, d):
 
 @query
 def string_to_json(spark, d):
-    events = feeds.spread(spark, d, "events")
+    events = feeds.table(spark, d, "events")
     return events.select("event_id", scalars.json_to_map(F.col("props"))["k"].alias("k"))
 
 
@@ -341,7 +341,7 @@ def stream_left_join_retracting(spark, d):
     log = log_of(feeds.order_details(spark, d), feeds.detail_activities(spark, d),
                  feeds.detail_coupons(spark, d))
     wide = facts.with_promotions(
-        facts.order_lines(log).select("id", "sku_id"), facts.activities(log), facts.coupons(log))
+        facts.order_lines(log).select("id", "sku_id", "seq"), facts.activities(log), facts.coupons(log))
     return wide.select("id", "sku_id", "activity_id", "activity_rule_id", "coupon_id", "coupon_use_id")
 
 
@@ -464,7 +464,7 @@ def dwd_cart_add(spark, d):
 
 def trade_log(spark, d):
     return log_of(feeds.order_details(spark, d), feeds.new_orders(spark, d),
-                  feeds.order_updates(spark, d), feeds.detail_activities(spark, d),
+                  feeds.order_changes(spark, d), feeds.detail_activities(spark, d),
                   feeds.detail_coupons(spark, d))
 
 
@@ -478,11 +478,21 @@ def dwd_order_cancel(spark, d):
     return facts.dwd_order_cancel(trade_log(spark, d))
 
 
+@query
+def landed_log(spark, d):
+    """Cancelled lines from a mixed log that was landed by table."""
+    path = session.shared_dir(spark, "log")
+    raw = feeds.union(feeds.order_details(spark, d), feeds.order_changes(spark, d), feeds.comments(spark, d),
+                      feeds.detail_activities(spark, d), feeds.detail_coupons(spark, d))
+    change_log.land_change_log(raw.select("value"), path)
+    return facts.dwd_order_cancel(change_log.read_landed_log(spark, path))
+
+
 @query
 def dwd_pay_success(spark, d):
     fact = facts.dwd_pay_success(
         _payment_log(spark, d), _order_line_facts(spark, d), feeds.dictionary(spark, d))
-    return facts.last_by_ts(fact, "order_detail_id", "payment_type_code", "callback_time")
+    return facts.last_payment(fact)
 
 
 @query
@@ -491,21 +501,20 @@ def dwd_pay_any_status_day(spark, d):
     fact = facts.dwd_pay_success(
         _payment_log(spark, d), _order_line_facts(spark, d), feeds.dictionary(spark, d),
         require_success=False, lower=timedelta(days=-1))
-    return facts.last_by_ts(fact, "order_detail_id", "payment_type_code", "callback_time")
+    return facts.last_payment(fact)
 
 
 @query
 def dwd_order_refund(spark, d):
-    log = log_of(feeds.refunds(spark, d), feeds.new_orders(spark, d), feeds.order_updates(spark, d))
+    log = log_of(feeds.refunds(spark, d), feeds.new_orders(spark, d), feeds.order_changes(spark, d))
     return facts.dwd_order_refund(log, feeds.dictionary(spark, d)).drop(*facts.VOLATILE)
 
 
 @query
 def dwd_refund_pay_success(spark, d):
     log = log_of(feeds.refund_payments(spark, d), feeds.refunds(spark, d),
-                 feeds.order_updates(spark, d))
-    fact = facts.dwd_refund_pay_success(log, feeds.dictionary(spark, d)).drop(*facts.VOLATILE)
-    return facts.last_by_ts(fact, "id")
+                 feeds.order_changes(spark, d))
+    return facts.dwd_refund_pay_success(log, feeds.dictionary(spark, d)).drop(*facts.VOLATILE)
 
 
 @query
@@ -535,33 +544,44 @@ def emp_dept_interval(spark, d):
 
 @query
 def upsert_by_key(spark, d):
-    """Three batches of events, one per kind of day, into one keyed table; read at the end."""
+    """Three batches of events, the newest first, into one keyed table; read at the end."""
     events = feeds.table(spark, d, "events").select(
         "user_id", "event_id", "event_type", feeds.money("value").alias("value"), "ts")
     table = KeyedTable(spark, session.shared_dir(spark, "upsert"), ["user_id"])
     day = F.dayofmonth("ts")
-    for number, part in enumerate((day <= 10, (day > 10) & (day <= 20), day > 20)):
+    for number, part in enumerate((day > 20, (day > 10) & (day <= 20), day <= 10)):
         table.merge(events.where(part).drop("ts"), number, [F.col("event_id")])
     return table.read()
 
 
 @query
 def keyword_split(spark, d):
-    turns = feeds.spread(spark, d, "conversations").select("conv_id", "turn", "text")
+    turns = feeds.table(spark, d, "conversations").select("conv_id", "turn", "text")
     return keywords.keyword_split(turns, "text")
 
 
 @query
 def keyword_dictionary_match(spark, d):
-    """Short words of the answers, wherever they stand in what the user says."""
-    turns = feeds.spread(spark, d, "conversations")
+    """Words of the answers, wherever they stand in what the user says."""
+    turns = feeds.table(spark, d, "conversations")
     said = turns.where("role = 'user'").select("conv_id", "turn", "text")
     heard = turns.where("role <> 'user'").select("text")
-    words = keywords.keyword_split(heard, "text").where("length(word) <= 3").distinct()
+    words = keywords.keyword_split(heard, "text").distinct()
     # Stored, so that measuring the dictionary does not make it a second time.
     path = session.shared_dir(spark, "dictionary")
     words.write.parquet(path)
-    return keywords.keyword_dictionary_match(said, "text", spark.read.parquet(path), 3)
+    return keywords.keyword_dictionary_match(said, "text", spark.read.parquet(path))
+
+
+@query
+def keyword_finest(spark, d):
+    """Finest words of what the user says, by the words of the answers."""
+    turns = feeds.table(spark, d, "conversations")
+    said = turns.where("role = 'user'").select("conv_id", "turn", "text")
+    words = keywords.keyword_split(turns.where("role <> 'user'").select("text"), "text").distinct()
+    path = session.shared_dir(spark, "dictionary")
+    words.write.parquet(path)
+    return keywords.keyword_finest(said, "text", ["conv_id", "turn"], spark.read.parquet(path))
 
 
 # Sinks: written below the shared folder and read back
@@ -610,13 +630,14 @@ def create_dim_if_absent(spark, d):
 
 @query
 def upsert_dim(spark, d):
-    """Dimension rows merged twice; the table of brands is read."""
+    """Dimension rows merged twice, and read back from every destination."""
     table = KeyedTable(spark, session.shared_dir(spark, "dims"), ["sink_table", "row_key"])
     rows = warehouse.dim_rows(log_of(feeds.dimension_rows(spark, d)), routes(spark, routing.DIM))
     for batch in range(2):
-        table.merge(rows.select("sink_table", "row_key", "payload", "removed", "ts"), batch,
-                    [F.col("ts")])
-    return writers.dim_table(table.read(), "dim_base_brand", "tm_id,tm_name")
+        table.merge(rows.select("sink_table", "row_key", "payload", "removed", "ts", "seq"), batch,
+                    [F.col("seq")], ("seq",))
+    return table.read().select(
+        "sink_table", "row_key", scalars.map_to_json(F.col("payload")).alias("payload"))
 
 
 @query
@@ -641,8 +662,47 @@ def stream_of(spark: SparkSession, raw: DataFrame, purpose: str, **options: str)
         landed(spark, raw, purpose))
 
 
-# Where the order of rows does not matter, a micro-batch takes this many files at most.
-BOUNDED = {"maxFilesPerTrigger": "1000"}
+# Files that a micro-batch takes at most, and slices of the input, each of so many files.
+FILES, SLICES = 4, 4
+BOUNDED = {"maxFilesPerTrigger": str(FILES)}
+
+
+def ordered_stream(spark: SparkSession, raw: DataFrame, purpose: str, place: Column,
+                   bounds: list[float] | None = None, last: DataFrame | None = None) -> DataFrame:
+    """Raw messages as a stream that meets them in order, a slice of them in each micro-batch.
+
+    Slices are cut by ``place`` and written one after another, as a log's segments are. ``last``
+    are messages that end the input.
+    """
+    path = session.shared_dir(spark, purpose)
+    placed = raw.withColumn("_place", place)
+    bounds = bounds if bounds is not None else quantiles(placed)
+    edges = [None, *bounds, None]
+    for low, high in zip(edges, edges[1:], strict=False):
+        keep = F.lit(True)
+        if low is not None:
+            keep = keep & (F.col("_place") > low)
+        if high is not None:
+            keep = keep & (F.col("_place") <= high)
+        part = placed.where(keep).drop("_place")
+        part.repartition(FILES).write.mode("append").parquet(path)
+    if last is not None:
+        last.coalesce(1).write.mode("append").parquet(path)
+    return spark.readStream.schema(raw.schema).options(**BOUNDED).parquet(path)
+
+
+def quantiles(placed: DataFrame) -> list[float]:
+    return placed.approxQuantile("_place", [i / SLICES for i in range(1, SLICES)], 0.01)
+
+
+def json_number(path: str) -> Column:
+    return F.get_json_object("value", path).cast("double")
+
+
+def messages_of(spark: SparkSession, schema, *texts: str) -> DataFrame:
+    """Message texts as rows of a raw feed; other columns are null."""
+    row = [F.col("value").cast("string") if n == "value" else F.lit(None).alias(n) for n in schema.fieldNames()]
+    return spark.createDataFrame([(t,) for t in texts], "value string").select(*row).to(schema)
 
 
 def finish(started) -> None:
@@ -652,10 +712,10 @@ def finish(started) -> None:
 @query
 def stream_read_text(spark, d):
     topic = session.shared_dir(spark, "in")
-    writers.write_text_topic(feeds.comments(spark, d), topic)
+    writers.write_text_topic(feeds.comments(spark, d).repartition(2 * FILES), topic)
     out = session.shared_dir(spark, "out")
     finish(writers.stream_text_topic(
-        messages.read_text_stream(spark, topic), out, session.shared_dir(spark, "ck")))
+        messages.read_text_stream(spark, topic, **BOUNDED), out, session.shared_dir(spark, "ck")))
     return messages.read_text(spark, out)
 
 
@@ -667,32 +727,57 @@ def stream_order_detail(spark, d):
     log = change_log.read_change_log(stream_of(spark, raw, "in", **BOUNDED))
     lines, path = facts.placed_lines(log, salts=4), session.shared_dir(spark, "lines")
     finish(jobs.lines_job(lines, path, session.shared_dir(spark, "ck")))
-    stored = spark.readStream.schema(lines.schema).parquet(path)
+    stored = spark.readStream.schema(lines.schema).options(maxFilesPerTrigger="64").parquet(path)
+    table = KeyedTable(spark, session.shared_dir(spark, "fact"), ["id"])
+    finish(jobs.promotion_job(
+        stored, facts.activities(log), facts.coupons(log), table, session.shared_dir(spark, "ck"),
+        lambda b: facts.shape_order_detail(b, feeds.dictionary(spark, d))))
+    return table.read()
+
+
+@query
+def stream_order_cancel(spark, d):
+    """Lines of cancelled orders; an order changes twice within a second."""
+    raw = feeds.union(feeds.order_details(spark, d), feeds.order_changes(spark, d),
+                      feeds.detail_activities(spark, d), feeds.detail_coupons(spark, d))
+    log = change_log.read_change_log(stream_of(spark, raw, "in", **BOUNDED))
+    lines, path = facts.cancelled_lines(log, salts=4), session.shared_dir(spark, "lines")
+    finish(jobs.lines_job(lines, path, session.shared_dir(spark, "ck")))
+    stored = spark.readStream.schema(lines.schema).options(maxFilesPerTrigger="64").parquet(path)
     table = KeyedTable(spark, session.shared_dir(spark, "fact"), ["id"])
     finish(jobs.promotion_job(stored, facts.activities(log), facts.coupons(log), table,
-                              session.shared_dir(spark, "ck"), facts.shape_order_detail))
-    return table.read().drop("source_type_name")
+                              session.shared_dir(spark, "ck"), facts.shape_order_cancel))
+    return table.read()
 
 
 @query
 def state_ttl(spark, d):
-    """Cancelled lines with the state of the left joins kept for 910 seconds; the rows that
-    are out when the input ends."""
-    raw = feeds.union(feeds.order_details(spark, d), feeds.order_updates(spark, d),
+    """Lines with the state of the left joins kept for 910 seconds, over a log in order. Last
+    come messages far in the future, so that no line stays in the state."""
+    raw = feeds.union(feeds.order_details(spark, d),
                       feeds.detail_activities(spark, d), feeds.detail_coupons(spark, d))
-    log = change_log.read_change_log(stream_of(spark, raw, "in"))
-    lines = facts.order_lines(log)
+    end = [f'{{"database":"shop","table":"{t}","type":"insert","ts":4000000000,"data":{{"{k}":"end"}}}}'
+           for t, k in (("order_detail", "id"), ("order_detail_activity", "order_detail_id"),
+                        ("order_detail_coupon", "order_detail_id"))]
+    log = change_log.read_change_log(
+        ordered_stream(spark, raw.select("value"), "in", json_number("$.ts"),
+                       last=messages_of(spark, raw.select("value").schema, *end)))
     table = KeyedTable(spark, session.shared_dir(spark, "fact"), ["id"])
     finish(jobs.bounded_promotion_job(
-        lines, facts.activities(log), facts.coupons(log), table, session.shared_dir(spark, "ck"),
-        timedelta(seconds=910), lambda b: b))
-    return table.read().select("id", "activity_id", "coupon_id")
+        facts.order_lines(log), facts.activities(log), facts.coupons(log), table,
+        session.shared_dir(spark, "ck"), timedelta(seconds=910), lambda b, keep: b))
+    return table.read().where("id <> 'end'").select("id", "activity_id", "coupon_id")
 
 
 @query
 def watermark_bounded(spark, d):
-    """Keyword windows that a watermark of two seconds has closed."""
-    view = page_log.read_page_view(stream_of(spark, feeds.search_log(spark, d), "in"))
+    """Keyword windows that a watermark of two seconds has closed; a last search far in the
+    future closes them all."""
+    raw = feeds.search_log(spark, d)
+    end = ('{"common":{},"page":{"item":"end","item_type":"keyword","last_page_id":"search"},'
+           '"ts":4000000000000}')
+    view = page_log.read_page_view(ordered_stream(
+        spark, raw, "in", json_number("$.ts"), last=messages_of(spark, raw.schema, end)))
     out = session.shared_dir(spark, "out")
     finish(jobs.keyword_job(
         view, lambda b, n: b.write.mode("overwrite").parquet(f"{out}/batch={n}"),
@@ -703,14 +788,19 @@ def watermark_bounded(spark, d):
 @query
 def watermark_monotonous(spark, d):
     """The interval join of two streams whose watermarks follow without delay."""
+    emps, depts = feeds.employee_lines(spark, d), feeds.department_lines(spark, d)
+    place = F.element_at(F.split("value", ","), -1).cast("double")
+    # Both logs are cut at the same times, so that neither runs ahead of the other.
+    bounds = quantiles(depts.withColumn("_place", place))
+
     def lines(raw: DataFrame, schema) -> DataFrame:
-        return tables.with_event_ms(tables.parse_csv_lines(stream_of(spark, raw, "in"), schema))
+        return tables.with_event_ms(tables.parse_csv_lines(
+            ordered_stream(spark, raw, "in", place, bounds), schema))
 
     out = session.shared_dir(spark, "out")
     minutes = timedelta(minutes=30)
     finish(jobs.emp_dept_job(
-        lines(feeds.employee_lines(spark, d), schemas.EMPLOYEE),
-        lines(feeds.department_lines(spark, d), schemas.DEPARTMENT),
+        lines(emps, schemas.EMPLOYEE), lines(depts, schemas.DEPARTMENT),
         out, session.shared_dir(spark, "ck"), -minutes, minutes))
     return spark.read.parquet(out)
 
@@ -719,23 +809,68 @@ def watermark_monotonous(spark, d):
 def stream_traffic_log(spark, d):
     visits = KeyedTable(spark, session.shared_dir(spark, "visits"), ["mid"])
     out = session.shared_dir(spark, "out")
-    finish(jobs.traffic_job(stream_of(spark, feeds.page_log(spark, d), "in"), "arrival", visits,
-                            out, session.shared_dir(spark, "ck")))
+    raw = feeds.page_log(spark, d)
+    finish(jobs.traffic_job(
+        ordered_stream(spark, raw, "in", F.col("arrival").cast("double")), "arrival", visits,
+        out, session.shared_dir(spark, "ck")))
     return spark.read.text(out).select("output", "value")
 
 
 @query
 def stream_refund(spark, d):
-    raw = feeds.union(feeds.refunds(spark, d), feeds.order_updates(spark, d))
+    """Refund requests; the order they are joined with changes twice within a second."""
+    raw = feeds.union(feeds.refunds(spark, d), feeds.order_changes(spark, d))
     table = KeyedTable(spark, session.shared_dir(spark, "fact"), ["id"])
     finish(jobs.refund_job(change_log.read_change_log(stream_of(spark, raw, "in", **BOUNDED)),
                            lambda: feeds.dictionary(spark, d), table, session.shared_dir(spark, "ck")))
     return table.read().drop(*facts.VOLATILE)
 
 
+@query
+def stream_refund_pay(spark, d):
+    raw = feeds.union(feeds.refund_payments(spark, d), feeds.refunds(spark, d),
+                      feeds.order_changes(spark, d))
+    table = KeyedTable(spark, session.shared_dir(spark, "fact"), ["id"])
+    finish(jobs.refund_pay_job(
+        change_log.read_change_log(stream_of(spark, raw, "in", **BOUNDED)),
+        lambda: feeds.dictionary(spark, d), table, session.shared_dir(spark, "ck")))
+    return table.read().drop(*facts.VOLATILE)
+
+
+@query
+def stream_comment_info(spark, d):
+    table = KeyedTable(spark, session.shared_dir(spark, "fact"), ["id"])
+    finish(jobs.comment_job(
+        change_log.read_change_log(stream_of(spark, feeds.comments(spark, d), "in", **BOUNDED)),
+        lambda: feeds.dictionary(spark, d), table, session.shared_dir(spark, "ck")))
+    return table.read()
+
+
+@query
+def stream_changes(spark, d):
+    """A table kept current from its change feed, whose files come in no order."""
+    feed = tables.read_table_changes(
+        stream_of(spark, feeds.person_changes(spark, d).repartition(2 * FILES), "in", **BOUNDED), schemas.PERSON)
+    table = KeyedTable(spark, session.shared_dir(spark, "people"), ["id"])
+    finish(jobs.changes_job(feed, table, session.shared_dir(spark, "ck")))
+    return table.read()
+
+
+@query
+def stream_dims(spark, d):
+    """All dimension tables kept current, many changes of a key within a second."""
+    table = KeyedTable(spark, session.shared_dir(spark, "dims"), ["sink_table", "row_key"])
+    finish(jobs.dim_job(
+        change_log.read_change_log(stream_of(spark, feeds.dimension_rows(spark, d), "in", **BOUNDED)),
+        lambda: routes(spark, routing.DIM), table, session.shared_dir(spark, "ck")))
+    return table.read().select(
+        "sink_table", "row_key", scalars.map_to_json(F.col("payload")).alias("payload"))
+
+
 @query
 def stream_routes(spark, d):
+    """Routing rows kept current; the files of the feed come in no order."""
     table = KeyedTable(spark, session.shared_dir(spark, "routes"), ["source_table"])
-    finish(jobs.routes_job(stream_of(spark, feeds.route_changes(spark, d), "in"), routing.DIM, table,
-                           session.shared_dir(spark, "ck")))
+    feed = stream_of(spark, feeds.route_changes(spark, d).repartition(2 * FILES), "in", **BOUNDED)
+    finish(jobs.routes_job(feed, routing.DIM, table, session.shared_dir(spark, "ck")))
     return table.read()

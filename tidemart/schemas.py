@@ -17,6 +17,7 @@ CHANGE = T.StructType([
     T.StructField("table", T.StringType()),
     T.StructField("type", T.StringType()),
     T.StructField("ts", T.StringType()),
+    T.StructField("xoffset", T.LongType()),
     T.StructField("data", TEXT_MAP),
     T.StructField("old", TEXT_MAP),
 ])

@@ -38,9 +38,8 @@ def build_session(app: str = "tidemart", master: str | None = None, **conf: str)
     return prepare(builder.getOrCreate())
 
 
-# One shuffle partition per this much input, and no more partitions than a driver can track.
+# One shuffle partition per this much input.
 SHUFFLE_BYTES = 512 * 1024 * 1024
-MOST_SHUFFLE_PARTITIONS = 50_000
 
 
 def input_bytes(spark: SparkSession, path: str) -> int:
@@ -51,14 +50,15 @@ def input_bytes(spark: SparkSession, path: str) -> int:
 
 
 def size_shuffles(spark: SparkSession, size: int) -> int:
-    """Set the number of shuffle partitions for an input of ``size`` bytes.
+    """Raise the number of shuffle partitions to suit an input of ``size`` bytes.
 
-    Adaptive execution merges partitions that turn out small, but it cannot cut evenly large
+    A number that the user has set higher stays. Adaptive execution merges partitions that turn out small, but it cannot cut evenly large
     ones: the number must be high enough from the start. A stream keeps the number of its
     first start, so call this before.
     """
     cores = spark.sparkContext.defaultParallelism
-    number = min(max(cores, -(-size // SHUFFLE_BYTES)), max(cores, MOST_SHUFFLE_PARTITIONS))
+    number = max(cores, -(-size // SHUFFLE_BYTES))
+    number = max(number, int(spark.conf.get("spark.sql.shuffle.partitions")))
     spark.conf.set("spark.sql.shuffle.partitions", str(number))
     return number
 

@@ -27,17 +27,24 @@ Snapshot = Callable[[], DataFrame]
 
 
 def upsert(stream: DataFrame, table: KeyedTable, checkpoint: str,
-           shape: Callable[[DataFrame], DataFrame] = lambda rows: rows,
+           shape: Callable[[DataFrame, tuple[str, ...]], DataFrame] = lambda rows, keep: rows,
            mode: str = "append") -> StreamingQuery:
-    """Run a stream into an upsert table, shaping each micro-batch on the way."""
+    """Run a stream into an upsert table, shaping each micro-batch on the way.
+
+    Append-mode rows are ordered by their places in the log, which the shape keeps for that: a
+    later batch may bring an older change. Update-mode rows already are the last of their key.
+    """
+    keep = facts.sequences(stream) if mode == "append" else ()
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        table.merge(shape(batch), batch_id, facts.by_ts())
+        table.merge(shape(batch, keep), batch_id, [F.col(c) for c in keep], facts.SEQUENCES)
     return writers.start(stream, write, checkpoint, mode)
 
 
 def comment_job(log: DataFrame, dictionary: Snapshot, table: KeyedTable,
                 checkpoint: str) -> StreamingQuery:
-    return upsert(log, table, checkpoint, lambda b: facts.dwd_comment_info(b, dictionary()))
+    return upsert(facts.comment_rows(log), table, checkpoint,
+                  lambda b, keep: facts.shape_comment(b, dictionary(), keep))
 
 
 def cart_job(log: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
@@ -52,41 +59,12 @@ def lines_job(lines: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
     return writers.stream_append_table(lines, path, checkpoint)
 
 
-def retracting_left_join(lines: DataFrame, activity: DataFrame, coupon: DataFrame) -> DataFrame:
-    """Lines with their last activity and coupon, written anew whenever a part arrives.
-
-    The three streams are one stream of parts keyed by order line. An update-mode aggregation
-    keeps the last of each part, so a line comes out at once, null padded, and again when a
-    match arrives. Partial aggregation before the shuffle takes care of hot keys.
-    """
-    seq = F.col("ts").try_cast("bigint").alias("seq")
-    others = [c for c in lines.columns if c != "id"]
-    parts = {
-        "line": (lines, "id", others),
-        "activity": (activity, "order_detail_id", ["activity_id", "activity_rule_id"]),
-        "coupon": (coupon, "order_detail_id", ["coupon_id", "coupon_use_id"])}
-
-    def kind(frame: DataFrame, names: list[str]) -> T.StructType:
-        return T.StructType([T.StructField("seq", T.LongType())]
-                            + [T.StructField(n, frame.schema[n].dataType) for n in names])
-
-    keyed = []
-    for own, (frame, key, names) in parts.items():
-        slots = [
-            (F.struct(seq, *names) if other == own else F.lit(None)).cast(kind(f, n)).alias(other)
-            for other, (f, _, n) in parts.items()]
-        keyed.append(frame.select(F.col(key).alias("id"), *slots))
-    union = keyed[0].unionByName(keyed[1]).unionByName(keyed[2])
-    last = union.groupBy("id").agg(*[F.max(p).alias(p) for p in parts])
-    return last.where(F.col("line").isNotNull()).select(
-        "id", *[F.col("line")[n].alias(n) for n in others],
-        *[F.col(p)[n].alias(n) for p in ("activity", "coupon") for n in parts[p][2]])
-
-
 def promotion_job(lines: DataFrame, activity: DataFrame, coupon: DataFrame, table: KeyedTable,
                   checkpoint: str, shape: Callable[[DataFrame], DataFrame]) -> StreamingQuery:
-    """Second half of the order-detail and cancellation facts: retracting left joins."""
-    return upsert(retracting_left_join(lines, activity, coupon), table, checkpoint, shape, "update")
+    """Second half of the order-detail and cancellation facts: retracting left joins, as an
+    update-mode aggregation."""
+    return upsert(facts.with_promotions(lines, activity, coupon), table, checkpoint,
+                  lambda b, keep: shape(b), "update")
 
 
 def _timed(rows: DataFrame, ts: str, name: str, delay: str) -> DataFrame:
@@ -119,7 +97,7 @@ def bounded_left_join(lines: DataFrame, activity: DataFrame, coupon: DataFrame,
     """
     wide = lines if "line_time" in lines.columns else _timed(lines, "ts", "line_time", delay)
     for name, part in (("activity_time", activity), ("coupon_time", coupon)):
-        timed = _timed(part, "ts", name, delay).drop("ts").withColumnRenamed(
+        timed = _timed(part, "ts", name, delay).drop("ts", "seq").withColumnRenamed(
             "order_detail_id", "_line")
         # One event-time column may remain for the next join.
         wide = wide.join(timed, (F.col("id") == F.col("_line")) & _near(name, ttl), "left"
@@ -129,7 +107,7 @@ def bounded_left_join(lines: DataFrame, activity: DataFrame, coupon: DataFrame,
 
 def bounded_promotion_job(lines: DataFrame, activity: DataFrame, coupon: DataFrame,
                           table: KeyedTable, checkpoint: str, ttl: timedelta,
-                          shape: Callable[[DataFrame], DataFrame]) -> StreamingQuery:
+                          shape: Callable[[DataFrame, tuple[str, ...]], DataFrame]) -> StreamingQuery:
     return upsert(bounded_left_join(lines, activity, coupon, ttl), table, checkpoint, shape)
 
 
@@ -139,7 +117,7 @@ def bounded_cancel_job(log: DataFrame, table: KeyedTable, checkpoint: str,
     lines = bounded_order_join(facts.order_lines(log), facts.cancelled_orders(log), ttl)
     return bounded_promotion_job(
         lines, facts.activities(log), facts.coupons(log), table, checkpoint, ttl,
-        lambda b: facts.shape_order_cancel(facts.take_order_time(b)))
+        lambda b, keep: facts.shape_order_cancel(facts.take_order_time(b), keep))
 
 
 def pay_job(log: DataFrame, order_detail: DataFrame, dictionary: Snapshot, table: KeyedTable,
@@ -147,20 +125,20 @@ def pay_job(log: DataFrame, order_detail: DataFrame, dictionary: Snapshot, table
             upper: timedelta = facts.PAY_UPPER) -> StreamingQuery:
     """Interval join of two watermarked streams; both carry ``row_time``."""
     pairs = facts.paid_lines(order_detail, facts.paid(log), lower, upper)
-    return upsert(pairs, table, checkpoint, lambda b: facts.shape_pay_success(
-        facts.name_payment_type(b, dictionary())))
+    return upsert(pairs, table, checkpoint, lambda b, keep: facts.shape_pay_success(
+        facts.name_payment_type(b, dictionary()), keep))
 
 
 def refund_job(log: DataFrame, dictionary: Snapshot, table: KeyedTable,
                checkpoint: str, salts: int = 1) -> StreamingQuery:
     return upsert(facts.refund_requests(log, salts), table, checkpoint,
-                  lambda b: facts.shape_order_refund(b, dictionary()))
+                  lambda b, keep: facts.shape_order_refund(b, dictionary(), keep))
 
 
 def refund_pay_job(log: DataFrame, dictionary: Snapshot, table: KeyedTable,
                    checkpoint: str, salts: int = 1) -> StreamingQuery:
     return upsert(facts.refunded_payments(log, salts), table, checkpoint,
-                  lambda b: facts.shape_refund_pay_success(b, dictionary()))
+                  lambda b, keep: facts.shape_refund_pay_success(b, dictionary(), keep))
 
 
 def changes_job(feed: DataFrame, table: KeyedTable, checkpoint: str,
@@ -168,8 +146,7 @@ def changes_job(feed: DataFrame, table: KeyedTable, checkpoint: str,
     """Keep a table current from its change feed; its key columns are ``table.keys``."""
     def write(batch: DataFrame, batch_id: int) -> None:
         writes = latest.keyed_changes(batch, table.keys, F.col(sequence))
-        last = latest.latest_per_key(writes, ["key"], [F.col("seq")])
-        table.merge(last.select("row.*", REMOVED), batch_id)
+        table.merge(writes.select("row.*", REMOVED, "seq"), batch_id, [F.col("seq")], ("seq",))
     return writers.start(feed, write, checkpoint)
 
 
@@ -194,8 +171,8 @@ def dim_job(log: DataFrame, routes: Snapshot, table: KeyedTable, checkpoint: str
     """Configured dimension tables, all in one keyed table by destination and row key."""
     def write(batch: DataFrame, batch_id: int) -> None:
         rows = warehouse.dim_rows(batch, routes(), apply_deletes).select(
-            "sink_table", "row_key", "payload", REMOVED, "ts")
-        table.merge(rows, batch_id, facts.by_ts())
+            "sink_table", "row_key", "payload", REMOVED, "ts", "seq")
+        table.merge(rows, batch_id, [F.col("seq")], ("seq",))
     return writers.start(log, write, checkpoint)
 
 
