@@ -333,7 +333,7 @@ def multi_key_join(spark, d):
     log = log_of(feeds.refund_payments(spark, d), feeds.refunds(spark, d))
     paid = predicates.table_events(log, "refund_payment").select(
         *predicates.fields("id order_id sku_id"))
-    return facts.join_requests(paid, facts.last_requests(log))
+    return facts.join_requests(paid, facts.last_requests(log)).drop("request_seq")
 
 
 @query
