@@ -37,6 +37,10 @@ def difference(spark, con, name: str, query, sql: str, sf_dir: str) -> str | Non
     want_names, want = sql_rows(con, sql)
     if names != want_names:
         return f"{name}: columns {names} != {want_names}"
+    for i, column in enumerate(names):
+        kinds = [{type(r[i]) for r in rows if r[i] is not None} for rows in (got, want)]
+        if kinds[0] != kinds[1] and got and want:
+            return f"{name}: {column} is {kinds[0]}, wanted {kinds[1]}"
     if got != want:
         extra = [r for r in got if r not in set(want)][:2] if len(got) < 200_000 else []
         missing = [r for r in want if r not in set(got)][:2] if len(got) < 200_000 else []

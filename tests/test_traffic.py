@@ -40,8 +40,9 @@ def test_dirty_records(spark):
 
 def repaired(spark, *flags_and_days):
     values = [record(is_new=f, ts=NOON + d * DAY) for f, d in flags_and_days]
-    out = traffic.visitor_flag_repair(parsed(spark, *values), "arrival").orderBy("arrival").collect()
-    assert all(r.is_new == r.common.get("is_new") for r in out)
+    out = traffic.visitor_flag_repair(parsed(spark, *values), "arrival").orderBy("arrival").select(
+        "is_new", F.col("common")["is_new"].cast("string").alias("inner")).collect()
+    assert all(r.is_new == r.inner for r in out)
     return [r.is_new for r in out]
 
 
@@ -70,15 +71,18 @@ def test_split_of_page_with_error(spark):
     page = record(
         page={"page_id": "home", "during_time": 5, "item": None},
         displays=[{"item": "1", "pos_id": 4}, {"item": "2", "pos_id": 4}],
-        actions=[{"action_id": "favor", "ts": 3}], err={"error_code": 9, "msg": "x"})
+        actions=[{"action_id": "favor", "ts": 3}], err={"error_code": 9, "msg": "x"},
+        trace_id="t", extra={"n": [1, 2.5, None]}, nothing=None)
     got = {k: [json.loads(v) for v in vs] for k, vs in outputs(spark, page).items()}
-    common, shown = {"mid": "m", "ar": "1", "is_new": "0"}, {"page_id": "home", "during_time": "5"}
-    assert got["page"] == [{"common": common, "page": shown, "ts": NOON}]
+    common, shown = {"mid": "m", "ar": "1", "is_new": "0"}, {"page_id": "home", "during_time": 5}
+    more = {"trace_id": "t", "extra": {"n": [1, 2.5, None]}}
+    assert got["page"] == [{"common": common, "page": shown, "ts": NOON, **more}]
     assert sorted(d["display"]["item"] for d in got["display"]) == ["1", "2"]
     assert all(d["ts"] == NOON and d["common"] == common for d in got["display"])
     assert got["action"] == [
-        {"common": common, "page": shown, "action": {"action_id": "favor", "ts": "3"}}]
-    assert got["error"][0]["err"] == {"error_code": "9", "msg": "x"} and "displays" in got["error"][0]
+        {"common": common, "page": shown, "action": {"action_id": "favor", "ts": 3}}]
+    assert got["error"][0]["err"] == {"error_code": 9, "msg": "x"} and "displays" in got["error"][0]
+    assert got["error"][0]["extra"] == more["extra"]
     assert "start" not in got and "dirty" not in got
 
 
@@ -105,7 +109,7 @@ def test_explodes_skip_start_and_missing(spark):
     frame = parsed(spark, record(start={"a": "b"}, displays=[{"item": "1"}]), record(), record(
         page={"page_id": "p"}, displays=[{"item": "2"}], actions=[]))
     good, _ = page_log.split_dirty(frame)
-    assert [r.display["item"] for r in traffic.explode_displays(good).collect()] == ["2"]
+    assert [r.display["item"].toPython() for r in traffic.explode_displays(good).collect()] == ["2"]
     assert traffic.explode_actions(good).count() == 0
     assert "ts" not in traffic.explode_actions(good).columns
 

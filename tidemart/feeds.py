@@ -268,7 +268,8 @@ def page_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(started, F.struct(F.lit("icon").alias("entry"), k.alias("loading_time"))).alias("start"),
         F.when(~started, displays).alias("displays"), F.when(~started, actions).alias("actions"),
         F.when(failed, F.struct((k + 1000).alias("error_code"), F.lit("timeout").alias("msg"))).alias("err"),
-        F.unix_millis(instant("ts")).alias("ts")))
+        F.unix_millis(instant("ts")).alias("ts"),
+        F.when(k % 5 == 0, prefixed("t-", F.col("event_id"))).alias("trace")))
     # Broken text is a record cut off after 30 characters.
     value = F.when(k == 13, F.substring(record, 1, 30)).otherwise(record)
     return events.select(F.col("event_id").alias("arrival"), value.alias("value"))

@@ -39,7 +39,7 @@ def clear_repeated(records: DataFrame, first: DataFrame) -> DataFrame:
     again = visit_day() != F.col("first_day")
     joined = records.where(flagged).join(side, F.col("mid") == F.col("_device"), "left")
     common = F.when(again, F.transform_values(
-        "common", lambda k, v: F.when(k == "is_new", F.lit("0")).otherwise(v))
+        "common", lambda k, v: F.when(k == "is_new", F.parse_json(F.lit('"0"'))).otherwise(v))
     ).otherwise(F.col("common"))
     repaired = joined.withColumn("common", common).withColumn(
         "is_new", F.when(again, F.lit("0")).otherwise(F.col("is_new")))
@@ -60,6 +60,13 @@ def _record(*names: str, **renamed: Column) -> Column:
         *[F.col(n) for n in names], *[c.alias(n) for n, c in renamed.items()]))
 
 
+def _whole(record: Column) -> Column:
+    """A record's JSON text with its fields of other names."""
+    rest = F.concat(F.substring(record, F.lit(1), F.length(record) - 1), F.lit(","),
+                    F.substring(F.to_json("rest"), 2, 2**31 - 1))
+    return F.when(F.coalesce(F.size("rest"), F.lit(0)) > 0, rest).otherwise(record)
+
+
 def _or_nothing(items: Column) -> Column:
     return F.when(F.size(items) > 0, F.lit(None)).otherwise(items)
 
@@ -77,19 +84,20 @@ def log_split(records: DataFrame) -> DataFrame:
     A dirty record gives its text as ``dirty``. A record with an error goes to ``error`` in
     full, and on without it. With start data it is a ``start`` record. Otherwise it gives one
     ``display`` per display, one ``action`` per action (without the record's time) and one
-    ``page`` record without those lists. One pass makes all outputs; written by ``output``
+    ``page`` record without those lists. Records that pass on whole keep fields of any name, and
+    all values keep their JSON types. One pass makes all outputs; written by ``output``
     no branch is computed twice.
     """
     failed = F.col("err").isNotNull()
     started = F.col("start").isNotNull()
     single = F.filter(F.array(
-        F.when(failed, _tagged("error", _record(
-            "common", "page", "start", "displays", "actions", "err", "ts"))),
-        F.when(started, _tagged("start", _record(
-            "common", "page", "start", "displays", "actions", "ts"))),
-        F.when(~started, _tagged("page", F.to_json(F.struct(
+        F.when(failed, _tagged("error", _whole(_record(
+            "common", "page", "start", "displays", "actions", "err", "ts")))),
+        F.when(started, _tagged("start", _whole(_record(
+            "common", "page", "start", "displays", "actions", "ts")))),
+        F.when(~started, _tagged("page", _whole(F.to_json(F.struct(
             "common", "page", _or_nothing(F.col("displays")).alias("displays"),
-            _or_nothing(F.col("actions")).alias("actions"), "ts")))),
+            _or_nothing(F.col("actions")).alias("actions"), "ts"))))),
     ), lambda o: o.isNotNull())
 
     def of_page(items: str, each) -> Column:

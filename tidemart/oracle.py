@@ -126,22 +126,20 @@ parts AS (
     '"page":{{"page_id":"' || event_type || '","last_page_id":"home","item":"' || k
       || '","item_type":"sku_id","during_time":' AS page_head,
     '"start":{{"entry":"icon","loading_time":' AS start_head,
-    array_to_string(list_transform(range(k % 4), lambda j:
-      '{{"item":"' || j || '","item_type":"sku_id","pos_id":4,"pos_seq":' || j || '}}'), ',') AS raw_displays,
     list_transform(range(k % 4), lambda j:
-      '{{"item":"' || j || '","item_type":"sku_id","pos_id":"4","pos_seq":"' || j || '"}}') AS displays,
-    array_to_string(list_transform(range(k % 3), lambda j:
-      '{{"action_id":"favor_add","item":"' || (k + j) || '","ts":' || ms || '}}'), ',') AS raw_actions,
+      '{{"item":"' || j || '","item_type":"sku_id","pos_id":4,"pos_seq":' || j || '}}') AS displays,
     list_transform(range(k % 3), lambda j:
-      '{{"action_id":"favor_add","item":"' || (k + j) || '","ts":"' || ms || '"}}') AS actions
+      '{{"action_id":"favor_add","item":"' || (k + j) || '","ts":' || ms || '}}') AS actions,
+    CASE WHEN k % 5 = 0 THEN '"trace":"t-' || event_id || '"' END AS trace
   FROM events_k),
 dirty AS (
   SELECT CASE WHEN k = 13
     THEN left('{{"common":' || common_head || CASE WHEN started THEN '1' ELSE '0' END || common_tail, 30)
     ELSE '{{' || CASE WHEN started THEN start_head || k || '}},'
-        ELSE page_head || k || '}},"displays":[' || raw_displays || '],"actions":[' || raw_actions || '],' END
+        ELSE page_head || k || '}},"displays":[' || array_to_string(displays, ',')
+          || '],"actions":[' || array_to_string(actions, ',') || '],' END
       || CASE WHEN failed THEN '"err":{{"error_code":' || (k + 1000) || ',"msg":"timeout"}},' ELSE '' END
-      || '"ts":' || ms || '}}' END AS value
+      || '"ts":' || ms || coalesce(',' || trace, '') || '}}' END AS value
   FROM parts WHERE k IN (13, 27)),
 good AS (SELECT * FROM parts WHERE k NOT IN (13, 27)),
 first_day AS (
@@ -152,20 +150,20 @@ flagged AS (
   FROM good JOIN first_day USING (mid)),
 fixed AS (
   SELECT *, '"common":' || common_head || is_new || common_tail AS common,
-    CASE WHEN started THEN NULL ELSE page_head || '"' || k || '"}}' END AS page,
-    CASE WHEN started THEN start_head || '"' || k || '"}}' END AS start,
-    '"err":{{"error_code":"' || (k + 1000) || '","msg":"timeout"}}' AS err
+    CASE WHEN started THEN NULL ELSE page_head || k || '}}' END AS page,
+    CASE WHEN started THEN start_head || k || '}}' END AS start,
+    '"err":{{"error_code":' || (k + 1000) || ',"msg":"timeout"}}' AS err
   FROM flagged)"""
 
 SPLIT = """
 SELECT 'error' AS output, '{' || concat_ws(',', common, page, start,
     CASE WHEN NOT started THEN '"displays":[' || array_to_string(displays, ',') || ']' END,
     CASE WHEN NOT started THEN '"actions":[' || array_to_string(actions, ',') || ']' END,
-    err, '"ts":' || ms) || '}' AS value FROM fixed WHERE failed
-UNION ALL SELECT 'start', '{' || concat_ws(',', common, start, '"ts":' || ms) || '}' FROM fixed WHERE started
+    err, '"ts":' || ms, trace) || '}' AS value FROM fixed WHERE failed
+UNION ALL SELECT 'start', '{' || concat_ws(',', common, start, '"ts":' || ms, trace) || '}' FROM fixed WHERE started
 UNION ALL SELECT 'page', '{' || concat_ws(',', common, page,
     CASE WHEN len(displays) = 0 THEN '"displays":[]' END,
-    CASE WHEN len(actions) = 0 THEN '"actions":[]' END, '"ts":' || ms) || '}' FROM fixed WHERE NOT started
+    CASE WHEN len(actions) = 0 THEN '"actions":[]' END, '"ts":' || ms, trace) || '}' FROM fixed WHERE NOT started
 UNION ALL SELECT 'display', '{' || concat_ws(',', common, page, '"display":' || item, '"ts":' || ms) || '}'
   FROM (SELECT *, unnest(displays) AS item FROM fixed WHERE NOT started)
 UNION ALL SELECT 'action', '{' || concat_ws(',', common, page, '"action":' || item) || '}'

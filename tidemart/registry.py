@@ -400,7 +400,7 @@ def keyword_tumbling_count(spark, d):
 @query
 def visitor_flag_repair(spark, d):
     repaired = traffic.visitor_flag_repair(good_records(spark, d), "arrival")
-    return repaired.select("arrival", "mid", "is_new", F.col("common")["is_new"].alias("common_is_new"), "ts")
+    return repaired.select("arrival", "mid", "is_new", F.col("common")["is_new"].cast("string").alias("common_is_new"), "ts")
 
 
 @query
@@ -411,16 +411,16 @@ def log_split(spark, d):
 @query
 def explode_displays(spark, d):
     return traffic.explode_displays(good_records(spark, d)).select(
-        F.col("common")["mid"].alias("mid"), F.col("page")["page_id"].alias("page_id"),
-        F.col("display")["item"].alias("item"), F.col("display")["pos_seq"].alias("pos_seq"), "ts")
+        F.col("common")["mid"].cast("string").alias("mid"), F.col("page")["page_id"].cast("string").alias("page_id"),
+        F.col("display")["item"].cast("string").alias("item"), F.col("display")["pos_seq"].cast("string").alias("pos_seq"), "ts")
 
 
 @query
 def explode_actions(spark, d):
     return traffic.explode_actions(good_records(spark, d)).select(
-        F.col("common")["mid"].alias("mid"), F.col("page")["page_id"].alias("page_id"),
-        F.col("action")["action_id"].alias("action_id"), F.col("action")["item"].alias("item"),
-        F.col("action")["ts"].alias("action_ts"))
+        F.col("common")["mid"].cast("string").alias("mid"), F.col("page")["page_id"].cast("string").alias("page_id"),
+        F.col("action")["action_id"].cast("string").alias("action_id"), F.col("action")["item"].cast("string").alias("item"),
+        F.col("action")["ts"].cast("string").alias("action_ts"))
 
 
 @query

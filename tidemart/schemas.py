@@ -22,14 +22,15 @@ CHANGE = T.StructType([
     T.StructField("old", TEXT_MAP),
 ])
 
-# Page log. Maps keep fields that are not known in advance.
+# Page log. Maps keep fields that are not known in advance, and values keep their JSON types.
+VALUE_MAP = T.MapType(T.StringType(), T.VariantType())
 PAGE_LOG = T.StructType([
-    T.StructField("common", TEXT_MAP),
-    T.StructField("page", TEXT_MAP),
-    T.StructField("start", TEXT_MAP),
-    T.StructField("displays", T.ArrayType(TEXT_MAP)),
-    T.StructField("actions", T.ArrayType(TEXT_MAP)),
-    T.StructField("err", TEXT_MAP),
+    T.StructField("common", VALUE_MAP),
+    T.StructField("page", VALUE_MAP),
+    T.StructField("start", VALUE_MAP),
+    T.StructField("displays", T.ArrayType(VALUE_MAP)),
+    T.StructField("actions", T.ArrayType(VALUE_MAP)),
+    T.StructField("err", VALUE_MAP),
     T.StructField("ts", T.StringType()),
 ])
 

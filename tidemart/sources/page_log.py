@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemart import schemas
@@ -10,9 +10,15 @@ from tidemart.functions import scalars
 from tidemart.sources import messages
 
 
+def _without_nulls(values: Column) -> Column:
+    return F.map_filter(values, lambda k, v: ~F.is_variant_null(v))
+
+
 def parse_page_log(raw: DataFrame) -> DataFrame:
     """Parsed records with ``mid``, ``is_new``, ``ts`` and the flag ``dirty``.
 
+    ``rest`` holds a record's fields of other names, if it has any; only then are they parsed.
+
     A record is dirty when it is no JSON object, or when its device ``common.mid`` or
     its time cannot be read. ``value`` stays beside the parsed fields, so that the dirty
     output and the good one come from one pass.
@@ -21,12 +27,17 @@ def parse_page_log(raw: DataFrame) -> DataFrame:
     text = F.btrim("value", F.lit(" \t\r\n"))
     whole = text.startswith("{") & text.endswith("}")
     log = messages.parsed(raw, schemas.PAGE_LOG, "value", text=F.when(whole, F.col("value")))
-    maps = [scalars.without_nulls(F.col(n)).alias(n) for n in ("common", "page", "start", "err")]
-    lists = [F.transform(n, scalars.without_nulls).alias(n) for n in ("displays", "actions")]
-    mid, ts = F.col("common")["mid"], F.col("ts").try_cast("bigint")
+    maps = [_without_nulls(F.col(n)).alias(n) for n in ("common", "page", "start", "err")]
+    lists = [F.transform(n, _without_nulls).alias(n) for n in ("displays", "actions")]
+    mid = F.try_variant_get(F.col("common")["mid"], "$", "string")
+    ts = F.col("ts").try_cast("bigint")
+    known = schemas.PAGE_LOG.fieldNames()
+    more = F.exists(F.json_object_keys("value"), lambda k: ~k.isin(known))
+    rest = F.when(more, F.map_filter(F.from_json("value", schemas.VALUE_MAP),
+                                     lambda k, v: ~k.isin(known) & ~F.is_variant_null(v)))
     return log.select(
-        *others, "value", *maps, *lists, ts.alias("ts"), mid.alias("mid"),
-        F.col("common")["is_new"].alias("is_new"),
+        *others, "value", *maps, *lists, rest.alias("rest"), ts.alias("ts"), mid.alias("mid"),
+        F.try_variant_get(F.col("common")["is_new"], "$", "string").alias("is_new"),
         (mid.isNull() | ts.isNull()).alias("dirty"))
 
 
