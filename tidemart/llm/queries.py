@@ -147,3 +147,44 @@ def op10_licence_scan(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", ["doc_id", "text"])
     return licence_scan.scan(docs).select("doc_id", "known", F.array_join("licences", ",").alias("licences"),
                                           F.array_join("rules", ",").alias("rules"))
+
+
+SQL["op1_ngram_jaccard_join"] = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' '))) END AS grams
+  FROM words),
+grams AS (SELECT doc_id, len(grams) AS n, unnest(grams) AS gram FROM sets),
+shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, a.n AS n, b.n AS m, count(*) AS common
+  FROM grams a JOIN grams b ON a.gram = b.gram AND a.doc_id < b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n),
+links AS (SELECT x, y FROM shared WHERE 100 * common >= 85 * (n + m - common)),
+edges AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
+reached AS (
+  SELECT doc_id AS x, doc_id AS y FROM documents
+  UNION SELECT r.x, e.y FROM reached r JOIN edges e ON r.y = e.x)
+SELECT doc_id, CAST(len(grams) AS BIGINT) AS n_shingles, component_id
+FROM sets JOIN (SELECT x AS doc_id, min(y) AS component_id FROM reached GROUP BY x) USING (doc_id)"""
+
+# Every pair, where the operator finds them by filters; its recall is tested apart.
+SQL["op8_embedding_dedup"] = """
+WITH RECURSIVE usable AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+    AND list_bool_or(list_transform(embedding, lambda x: x <> 0))),
+links AS (
+  SELECT a.vec_id AS x, b.vec_id AS y FROM usable a JOIN usable b
+  ON a.label = b.label AND len(a.v) = len(b.v) AND a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.93),
+reached AS (
+  SELECT vec_id AS x, vec_id AS y FROM embeddings
+  UNION SELECT r.x, l.y FROM reached r JOIN links l ON r.y = l.x)
+SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM (SELECT x AS vec_id, min(y) AS component_id FROM reached GROUP BY x)
+LEFT JOIN (SELECT x AS vec_id, count(*) AS n FROM links GROUP BY x) USING (vec_id)"""
