@@ -71,7 +71,7 @@ def shared_dir(spark: SparkSession, purpose: str) -> str:
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        if not spark.sparkContext.master.split("[")[0] == "local":
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         root = "/tmp/tidemart"
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
