@@ -71,8 +71,7 @@ def corpus(seed):
     return [*rows, (None, texts[0]), (5, rows[1][1]), (6, rows[1][1]), (2, rows[3][1])]
 
 
-@pytest.mark.parametrize(("words", "percent", "unit"), [(4, 85, 2_000_000), (5, 80, 2_000_000), (4, 85, 9_000),
-                                                        (2, 60, 20_000)])
+@pytest.mark.parametrize(("words", "percent", "unit"), [(4, 85, jaccard.UNIT_GRAMS), (5, 80, 9_000), (2, 60, 20_000)])
 def test_equals_brute_force(spark, words, percent, unit):
     rows = corpus(words + percent)
     docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, n long").repartition(4)

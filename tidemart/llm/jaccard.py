@@ -48,7 +48,7 @@ MOST_MATCHES = 8
 # Share of the hashes whose grams are counted and come first in the global order.
 LOW_SHARE = 0.25
 # Grams (and a fixed weight per set) that a task verifies at once.
-UNIT_GRAMS = 2_000_000
+UNIT_GRAMS = 500_000
 SET_WEIGHT = 200
 # Cost of comparing a gram while verifying, against reading an entry of a list.
 VERIFY_COST = 0.05
