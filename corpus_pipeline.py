@@ -72,9 +72,9 @@ def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their token ids (packed, 4 bytes each), their number, and whether they decode to the text."""
     importable(spark)
-    ids = bpe.encode(docs, RANKS, public_tokenizers.PATTERN)
     exact = F.col("decoded") == F.encode(F.coalesce("text", F.lit("")), "UTF-8")
-    return (bpe.decode(ids, RANKS).withColumn("n_tokens", (F.length("ids") / 4).cast("long")).withColumn("exact", exact)
+    both = bpe.round_trip(docs, RANKS, public_tokenizers.PATTERN)
+    return (both.withColumn("n_tokens", (F.length("ids") / 4).cast("long")).withColumn("exact", exact)
             .drop("decoded"))
 
 

@@ -40,4 +40,7 @@ def test_frames(spark, oracle):
         want = oracle.encode_ordinary(row.text or "")
         assert bytes(row.ids) == packed(want) and row["list"] == want
         assert bytes(row.decoded) == (row.text or "").encode()
+    both = bpe.round_trip(docs, RANKS, P.PATTERN)
+    assert both.columns == ["doc_id", "text", "decoded", "ids"]
+    assert sorted(both.collect(), key=repr) == sorted(bpe.decode(bpe.encode(docs, RANKS, P.PATTERN), RANKS).collect(), key=repr)
     assert bpe.decode(bpe.encode(docs.limit(0), RANKS, P.PATTERN), RANKS).count() == 0

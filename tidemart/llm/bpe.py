@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 # Pre-tokens kept with their ids by a worker, in each of two generations: when the younger is full
 # the older goes, but for what was met again.
-CACHED = 300_000
+CACHED = 80_000
 # Longer pre-tokens are rare and are not kept.
 CACHED_CHARS = 48
 
@@ -161,37 +161,46 @@ def _mapped(batches: Iterator[pa.RecordBatch], source: str, target: str, kind: p
             yield part.set_column(at, target, made) if at >= 0 else part.append_column(target, made)
 
 
-def _with(frame: DataFrame, name: str) -> T.StructType:
-    """The frame's schema with a binary column of that name, in place if it exists."""
-    fields = [T.StructField(f.name, T.BinaryType()) if f.name == name else f for f in frame.schema]
-    if name not in frame.columns:
+def _with(schema: T.StructType, name: str) -> T.StructType:
+    """A schema with a binary column of that name, in place if it exists."""
+    fields = [T.StructField(f.name, T.BinaryType()) if f.name == name else f for f in schema]
+    if name not in schema.fieldNames():
         fields.append(T.StructField(name, T.BinaryType()))
     return T.StructType(fields)
 
 
+def _encoded(batches: Iterator[pa.RecordBatch], ranks: str, pattern: str, text: str, ids: str) -> Iterator[pa.RecordBatch]:
+    encoder = _encoder(ranks, pattern)
+    return _mapped(batches, text, ids, pa.binary(), lambda x: encoder.encode(x) if x else b"")
+
+
+def _decoded(batches: Iterator[pa.RecordBatch], ranks: str, ids: str, decoded: str) -> Iterator[pa.RecordBatch]:
+    piece = _pieces(ranks).__getitem__
+
+    def joined(packed):
+        return None if packed is None else b"".join(map(piece, np.frombuffer(packed, "<u4").tolist()))
+
+    return _mapped(batches, ids, decoded, pa.binary(), joined)
+
+
 def encode(frame: DataFrame, ranks: str, pattern: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """Add the ids of each whole text, packed as little-endian unsigned 32-bit integers.
 
     ``ranks`` names a rank file that every executor has (it comes with an installed package).
     """
-    def run(batches):
-        encoder = _encoder(ranks, pattern)
-        return _mapped(batches, text, ids, pa.binary(), lambda x: encoder.encode(x) if x else b"")
-
-    return frame.mapInArrow(run, _with(frame, ids))
+    return frame.mapInArrow(lambda x: _encoded(x, ranks, pattern, text, ids), _with(frame.schema, ids))
 
 
 def decode(frame: DataFrame, ranks: str, ids: str = "ids", decoded: str = "decoded") -> DataFrame:
     """Add the bytes that packed ids stand for; they are UTF-8 again if a whole text was encoded."""
-    def run(batches):
-        piece = _pieces(ranks).__getitem__
-
-        def joined(packed):
-            return None if packed is None else b"".join(map(piece, np.frombuffer(packed, "<u4").tolist()))
+    return frame.mapInArrow(lambda x: _decoded(x, ranks, ids, decoded), _with(frame.schema, decoded))
 
-        return _mapped(batches, ids, decoded, pa.binary(), joined)
 
-    return frame.mapInArrow(run, _with(frame, decoded))
+def round_trip(frame: DataFrame, ranks: str, pattern: str, text: str = "text", ids: str = "ids",
+               decoded: str = "decoded") -> DataFrame:
+    """Add both the ids and what they decode to; one worker does both for a task."""
+    return frame.mapInArrow(lambda x: _decoded(_encoded(x, ranks, pattern, text, ids), ranks, ids, decoded),
+                            _with(_with(frame.schema, ids), decoded))
 
 
 def unpack(ids: str = "ids"):

@@ -70,13 +70,28 @@ def join_hot(many: DataFrame, one: DataFrame, key: str, spread: Column, how: str
     return salted.join(copies, [key, salt], how).drop(salt)
 
 
+# Rows that go to a Python worker at once, unless the session says otherwise than Spark's default:
+# texts are long, and a worker holds a batch several times over.
+BATCH_ROWS = "1000"
+_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+# Workers live on after a task; with these they give large freed blocks back to the system.
+_WORKER_MEMORY = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "2",
+                  "MALLOC_MMAP_THRESHOLD_": "1048576", "MALLOC_TRIM_THRESHOLD_": "16777216"}
+
+
 def importable(spark: SparkSession) -> None:
-    """Let Python workers find this package where the driver has found it.
+    """Let Python workers find this package where the driver has found it, and keep batches small.
 
-    Needed where the package is not installed but lies at one path on all machines, and the
-    workers start in another folder than the driver.
+    The path is needed where the package is not installed but lies at one place on all machines,
+    and the workers start in another folder than the driver.
     """
+    if spark.conf.get(_BATCH_CONF) == "10000":
+        spark.conf.set(_BATCH_CONF, BATCH_ROWS)
     here = str(Path(__file__).resolve().parents[2])
-    paths = spark.sparkContext.environment.get("PYTHONPATH", "")
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "")
     if here not in paths.split(":"):
-        spark.sparkContext.environment["PYTHONPATH"] = f"{paths}:{here}".lstrip(":")
+        environment["PYTHONPATH"] = f"{paths}:{here}".lstrip(":")
+    for name, value in _WORKER_MEMORY.items():
+        environment.setdefault(name, value)

@@ -38,8 +38,8 @@ from tidemart.llm.shared_files import get, put
 
 LEAST_CHARS = 10
 SHARD_KEYS = 500_000
-BLOCK_CHARS = 32_000_000
-HELD_BYTES = 128_000_000
+BLOCK_CHARS = 16_000_000
+HELD_BYTES = 64_000_000
 
 _WHITE = b" \t\n\x0b\x0c\r"
 _NO_ID = np.iinfo(np.int64).max
@@ -87,7 +87,7 @@ def _found(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordB
                 ids.append((_NO_ID if doc is None else doc, len(at)))
                 hashes.append(packed)
                 held += len(at)
-        if held >= 500_000:
+        if held >= 100_000:
             yield summed()
             ids, hashes, held = [], [], 0
     if held:

@@ -37,8 +37,7 @@ def op1_ngram_jaccard_join(spark, sf_dir):
 @query
 def op2_bpe_round_trip(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", ["doc_id", "text"])
-    ids = bpe.encode(docs, RANKS, public_tokenizers.PATTERN).drop("text")
-    return bpe.decode(ids, RANKS).select(
+    return bpe.round_trip(docs, RANKS, public_tokenizers.PATTERN).select(
         "doc_id", (F.length("ids") / 4).cast("long").alias("n_tokens"),
         F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
 
