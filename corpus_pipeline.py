@@ -30,7 +30,7 @@ def _without(docs: DataFrame, ids: DataFrame, work: Workspace, name: str = "gone
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told; blank ones and those of too little evidence go."""
-    importable(spark)
+    importable(spark, lean=True)
     work = Workspace(spark, "language")
     models = language_id.train(docs)
     told = language_id.identify(language_id.document_evidence(docs), models, work)
@@ -39,7 +39,7 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def unrepeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without the lines that an earlier document holds; ``n_chars`` follows the text."""
-    importable(spark)
+    importable(spark, lean=True)
     kept = line_dedup.dedup_lines(docs.withColumns({f"own_{c}": F.col(c) for c in ("n_lines", "n_dropped") if c in docs.columns}),
                                   Workspace(spark, "lines"))
     columns = {c: F.col(f"`{c}`") for c in docs.columns}
@@ -51,7 +51,7 @@ def unrepeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of the least id of each group of near copies (five words, similarity 0.8)."""
-    importable(spark)
+    importable(spark, lean=True)
     work = Workspace(spark, "copies")
     found = work.save(jaccard.JaccardJoin(work, words=5, percent=80).run(docs).components(), "found")
     kept = _without(docs, found.where("component_id <> doc_id").select("doc_id"), work)
@@ -71,9 +71,9 @@ def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with their token ids (packed, 4 bytes each), their number, and whether they decode to the text."""
-    importable(spark)
+    importable(spark, lean=True)
     exact = F.col("decoded") == F.encode(F.coalesce("text", F.lit("")), "UTF-8")
-    both = bpe.round_trip(docs, RANKS, public_tokenizers.PATTERN)
+    both = bpe.round_trip(docs, RANKS, public_tokenizers.PATTERN, cached=80_000)
     return (both.withColumn("n_tokens", (F.length("ids") / 4).cast("long")).withColumn("exact", exact)
             .drop("decoded"))
 
@@ -91,7 +91,7 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    importable(spark)
+    importable(spark, lean=True)
     work = Workspace(spark, "pipeline")
     docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:

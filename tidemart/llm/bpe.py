@@ -28,7 +28,7 @@ from pyspark.sql import types as T
 
 # Pre-tokens kept with their ids by a worker, in each of two generations: when the younger is full
 # the older goes, but for what was met again.
-CACHED = 80_000
+CACHED = 300_000
 # Longer pre-tokens are rare and are not kept.
 CACHED_CHARS = 48
 
@@ -44,7 +44,8 @@ def read_ranks(path: str) -> dict[bytes, int]:
 class Encoder:
     """Encodes texts by a table of ranks; splits them by ``pattern`` first."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, cached: int = CACHED):
+        self.cached = cached
         self.ranks = ranks
         self.split = regex.compile(pattern).findall
         self.words = [0] * ((max(ranks.values(), default=0) >> 8) + 1)  # all bits clear between pieces
@@ -129,7 +130,7 @@ class _Packed(dict):
             ids = self.encoder.encode_piece(piece.encode())
             packed = struct.pack(f"<{len(ids)}I", *ids)
         if len(piece) <= CACHED_CHARS:
-            if len(self) >= CACHED:
+            if len(self) >= self.encoder.cached:
                 self.older = dict(self)
                 self.clear()
             self[piece] = packed
@@ -137,8 +138,8 @@ class _Packed(dict):
 
 
 @functools.cache
-def _encoder(path: str, pattern: str) -> Encoder:
-    return Encoder(read_ranks(path), pattern)
+def _encoder(path: str, pattern: str, cached: int = CACHED) -> Encoder:
+    return Encoder(read_ranks(path), pattern, cached)
 
 
 @functools.cache
@@ -169,8 +170,9 @@ def _with(schema: T.StructType, name: str) -> T.StructType:
     return T.StructType(fields)
 
 
-def _encoded(batches: Iterator[pa.RecordBatch], ranks: str, pattern: str, text: str, ids: str) -> Iterator[pa.RecordBatch]:
-    encoder = _encoder(ranks, pattern)
+def _encoded(batches: Iterator[pa.RecordBatch], ranks: str, pattern: str, text: str, ids: str,
+             cached: int = CACHED) -> Iterator[pa.RecordBatch]:
+    encoder = _encoder(ranks, pattern, cached)
     return _mapped(batches, text, ids, pa.binary(), lambda x: encoder.encode(x) if x else b"")
 
 
@@ -197,9 +199,9 @@ def decode(frame: DataFrame, ranks: str, ids: str = "ids", decoded: str = "decod
 
 
 def round_trip(frame: DataFrame, ranks: str, pattern: str, text: str = "text", ids: str = "ids",
-               decoded: str = "decoded") -> DataFrame:
+               decoded: str = "decoded", cached: int = CACHED) -> DataFrame:
     """Add both the ids and what they decode to; one worker does both for a task."""
-    return frame.mapInArrow(lambda x: _decoded(_encoded(x, ranks, pattern, text, ids), ranks, ids, decoded),
+    return frame.mapInArrow(lambda x: _decoded(_encoded(x, ranks, pattern, text, ids, cached), ranks, ids, decoded),
                             _with(_with(frame.schema, ids), decoded))
 
 

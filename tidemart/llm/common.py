@@ -80,7 +80,7 @@ _WORKER_MEMORY = {"ARROW_DEFAULT_MEMORY_POOL": "system", "MALLOC_ARENA_MAX": "2"
                   "MALLOC_MMAP_THRESHOLD_": "1048576", "MALLOC_TRIM_THRESHOLD_": "16777216"}
 
 
-def importable(spark: SparkSession) -> None:
+def importable(spark: SparkSession, lean: bool = False) -> None:
     """Let Python workers find this package where the driver has found it, and keep batches small.
 
     The path is needed where the package is not installed but lies at one place on all machines,
@@ -93,5 +93,6 @@ def importable(spark: SparkSession) -> None:
     paths = environment.get("PYTHONPATH", "")
     if here not in paths.split(":"):
         environment["PYTHONPATH"] = f"{paths}:{here}".lstrip(":")
-    for name, value in _WORKER_MEMORY.items():
-        environment.setdefault(name, value)
+    if lean:
+        for name, value in _WORKER_MEMORY.items():
+            environment.setdefault(name, value)
