@@ -65,7 +65,7 @@ def one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
     work = Workspace(spark, "leaks")
-    leaks = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"), work)
+    leaks = decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"), work, copies=True)
     return _without(docs, leaks.select("doc_id"), work)
 
 

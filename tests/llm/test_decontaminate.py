@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemart.llm import decontaminate as dc
 from tidemart.llm.common import Workspace
+from tidemart.llm.queries import QUERIES
 
 UNITS = set(dc._UNITS)
 
@@ -111,3 +112,18 @@ def test_empty(spark):
     docs, items = frames(spark, [(1, ITEM)], [(100, ITEM)])
     assert dc.contaminated(docs.where(F.lit(False)), items, Workspace(spark, "leaks")).count() == 0
     assert dc.contaminated(docs, items.where(F.lit(False)), Workspace(spark, "leaks")).count() == 0
+
+
+def query(spark, path, docs, items):
+    """{(doc, item): changed} of the registered query."""
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{path}/documents.parquet")
+    spark.createDataFrame(items, "item_id long, text string").write.parquet(f"{path}/benchmark.parquet")
+    return {tuple(r)[:2]: r.changed for r in QUERIES["op5_decontaminate"](spark, str(path)).collect()}
+
+
+def test_exact_copies_are_always_found(spark, tmp_path):
+    items = [(1, "What is 12 + 45 - 3 * 7?"), (2, "Compute 17 * 23 + 9."), (3, "1 2 3 4 5 6 7 8 9 10 11 12"),
+             (4, "Ein Kaufmann verkauft im Laden am Montag 12 Hemden und am Dienstag 15 Hosen zu je 20 Euro.")]
+    docs = [(10 * i, f"Words before it. {text} And words after it.") for i, text in items] + [
+        (50, "What is 12 + 46 - 3 * 7?"), (60, items[3][1].replace("20", "35"))]
+    assert query(spark, tmp_path, docs, items) == {**{(10 * i, i): False for i, _ in items}, (60, 4): True}

@@ -7,17 +7,22 @@ changed is met as well as a copy. Where matched windows hold placeholders, the v
 must be consistent: along one alignment of an item and a document, an item's value must always
 stand against the same value. Alignments that fail lose the windows with placeholders.
 
-A document holds an item when it matches at least ``LEAST_COVERAGE`` of the item's windows. Windows
+A document holds an item when it matches at least ``LEAST_COVERAGE`` of the item's windows. Template windows
 with fewer than ``LEAST_WORDS`` real words are not used; an item shorter than a window is one window.
 
+With ``copies``, windows are joined in two more forms, whichever is met counting: the plain tokens with their
+values, of any number of words, so that a copy is found whatever its numbers, names, case and white space; and
+templates without names, for changed numbers in a copy whose case differs. Coverage is then the greatest of
+the three: of template windows, of those without names, and, by plain tokens alone, of all windows.
+
 Only DataFrame functions are used. Documents are read once; their windows meet the benchmark's in a
 broadcast join while that table's counted size allows it, else in a shuffle by hash. Only documents
 with matched placeholders are read again. Matches are grouped by document and item, never by item.
 
 Defined results: null and empty texts hold nothing. Rows that repeat an id are one document; rows
 without an id share the null id. Benchmark rows that repeat an item are one; items of fewer than
-``LEAST_WORDS`` real words in a row are never found. Other columns are not read. Empty tables give an
-empty table.
+``LEAST_WORDS`` real words in a row are found as copies only, thus an item of one word wherever the word stands.
+Other columns are not read. Empty tables give an empty table.
 """
 
 from __future__ import annotations
@@ -57,6 +62,16 @@ def template(marked_text: Column) -> Column:
                   F.regexp_replace(marked_text, rf"([{_NAME}-{_UNIT}])\S+", "$1")).otherwise(marked_text)
 
 
+def plain(marked_text: Column) -> Column:
+    """Marked tokens as they stand in the text, in lower case."""
+    return F.translate(marked_text, _NAME + _NUMBER + _UNIT, "")
+
+
+def nameless(marked_text: Column) -> Column:
+    """Templates in which names are words."""
+    return template(F.translate(marked_text, _NAME, ""))
+
+
 def _tokens(text: Column) -> Column:
     return F.when(text == "", F.array().cast("array<string>")).otherwise(F.split(text, " "))
 
@@ -69,39 +84,70 @@ def _windows(tokens: Column, length: Column | int) -> Column:
 
 
 def benchmark_windows(benchmark: DataFrame, work: Workspace, item_id: str = "item_id", text: str = "text",
-                      window: int = WINDOW) -> tuple[DataFrame, DataFrame]:
-    """The items (item_id, marked tokens, length, windows) and their windows (hash, length, item_id, at, slots)."""
+                      window: int = WINDOW, copies: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The items (item_id, values, numbers of windows) and their windows (hash, length, item_id, at, slots, flags).
+
+    ``templated`` and ``unnamed`` say whether the item's window at that place is usable as a template, with and
+    without names. Plain windows have no slots.
+    """
     shown = benchmark.groupBy(F.col(f"`{item_id}`").alias("item_id")).agg(F.min(f"`{text}`").alias("text"))
     items = shown.select("item_id", marked(F.col("text")).alias("m"))
-    items = items.select("item_id", _tokens(F.col("m")).alias("values"), _tokens(template(F.col("m"))).alias("tokens"))
+    items = items.select("item_id", _tokens(F.col("m")).alias("values"), _tokens(template(F.col("m"))).alias("tokens"),
+                         _tokens(nameless(F.col("m"))).alias("words"), _tokens(plain(F.col("m"))).alias("plain"))
     items = work.save(items.where(F.size("tokens") > 0).withColumn(
         "length", F.least(F.size("tokens"), F.lit(window))), "items")
-    held = items.select("item_id", "length", "tokens", F.posexplode(_windows(F.col("tokens"), F.col("length"))).alias("at", "hash"))
-    slots = F.size(F.filter(F.slice("tokens", F.col("at") + 1, F.col("length")), lambda x: x.rlike(f"^[{_NAME}-{_UNIT}]$")))
-    windows = work.save(held.select("hash", "length", "item_id", "at", slots.alias("slots"))
-                        .where(F.col("length") - F.col("slots") >= LEAST_WORDS), "windows")
-    counts = windows.groupBy("item_id").agg(F.count("*").alias("windows"))
+
+    def slots(tokens: str) -> Column:
+        return F.size(F.filter(F.slice(tokens, F.col("at") + 1, F.col("length")), lambda x: x.rlike(f"^[{_NAME}-{_UNIT}]$")))
+
+    hashes = F.arrays_zip(*(_windows(F.col(x), F.col("length")).alias(x) for x in ("tokens", "words", "plain")))
+    held = items.select("item_id", "length", "tokens", "words", F.posexplode(hashes).alias("at", "hashes"))
+    held = held.select("item_id", "length", "at", "hashes", slots("tokens").alias("named"), slots("words").alias("numbered"))
+    held = held.withColumns({"templated": F.col("length") - F.col("named") >= LEAST_WORDS,
+                             "unnamed": F.lit(copies) & (F.col("length") - F.col("numbered") >= LEAST_WORDS)})
+    forms = [F.when(F.col("templated"), F.struct(F.col("hashes.tokens").alias("hash"), F.col("named").alias("slots")))]
+    if copies:
+        forms += [F.when(F.col("unnamed"), F.struct(F.col("hashes.words").alias("hash"), F.col("numbered").alias("slots"))),
+                  F.struct(F.col("hashes.plain").alias("hash"), F.lit(0).alias("slots"))]
+    # Forms that are equal are one.
+    windows = work.save(held.select("length", "item_id", "at", "templated", "unnamed", F.explode(
+        F.array_distinct(F.array_compact(F.array(*forms)))).alias("form")).select(
+        "form.hash", "length", "item_id", "at", "form.slots", "templated", "unnamed"), "windows")
+    counts = windows.groupBy("item_id").agg(
+        F.count_distinct("at").alias("windows"), F.count_distinct(F.when(F.col("templated"), F.col("at"))).alias("templates"),
+        F.count_distinct(F.when(F.col("unnamed"), F.col("at"))).alias("nameless"))
     return work.save(items.select("item_id", "values").join(counts, "item_id"), "item_values"), windows
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, work: Workspace, doc_id: str = "doc_id", text: str = "text",
-                 item_id: str = "item_id", window: int = WINDOW, least: float = LEAST_COVERAGE) -> DataFrame:
+                 item_id: str = "item_id", window: int = WINDOW, least: float = LEAST_COVERAGE,
+                 copies: bool = False) -> DataFrame:
     """Pairs of documents and items they hold: doc_id, item_id, n_windows, coverage, changed.
 
-    ``changed`` says that some number, unit or name differs from the item's.
+    ``changed`` says that some number, unit or name differs from the item's. ``copies`` finds exact copies of
+    any item too, in any case and white space.
     """
     docs = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
-    items, windows = benchmark_windows(benchmark, work, item_id, "text", window)
+    items, windows = benchmark_windows(benchmark, work, item_id, "text", window, copies)
     # At most ``window`` rows.
     lengths = [r.length for r in windows.select("length").distinct().collect()] or [window]
-    tokens = docs.where("text IS NOT NULL").select("doc_id", _tokens(template(marked(F.col("text")))).alias("tokens"))
+    texts = docs.where("text IS NOT NULL").select("doc_id", marked(F.col("text")).alias("m"))
+    forms = [template(F.col("m"))]
+    if copies:
+        # Other forms only where they differ; a template without placeholders is plain, so that forms need no kind.
+        named, numbered = F.contains("m", F.lit(_NAME)), F.contains("m", F.lit(_NUMBER))
+        forms.append(F.when(named | numbered, plain(F.col("m"))))
+        if not windows.where("slots > 0 AND unnamed").isEmpty():
+            forms.append(F.when(named & numbered, nameless(F.col("m"))))
+    tokens = texts.select("doc_id", F.explode(F.array_compact(F.array(*forms))).alias("form")).select(
+        "doc_id", _tokens(F.col("form")).alias("tokens")) if copies else texts.select("doc_id", _tokens(forms[0]).alias("tokens"))
     met = [tokens.select("doc_id", F.lit(n).alias("length"), F.posexplode(_windows(F.col("tokens"), n)).alias("place", "hash"))
            for n in sorted(lengths)]
     rows = met[0]
     for more in met[1:]:
         rows = rows.unionByName(more)
     matches = work.save(rows.join(small_side(windows), ["hash", "length"]).select(
-        "doc_id", "item_id", "place", "at", "length", "slots"), "matches")
+        "doc_id", "item_id", "place", "at", "length", "slots", "templated", "unnamed"), "matches")
 
     key = ["doc_id", "item_id", "shift"]
     shifted = matches.withColumn("shift", F.col("place") - F.col("at"))
@@ -126,11 +172,15 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, work: Workspace, doc_id:
             out = out & (a[name] == b[name])
         return out
 
-    sound = shifted.where("slots = 0").select("doc_id", "item_id", "at").unionByName(
-        holding.join(wrong, same(holding, wrong, ["item_id", "shift"]), "left_anti").select("doc_id", "item_id", "at"))
-    held = (sound.distinct().groupBy("doc_id", "item_id").agg(F.count("*").alias("n_windows"))
-            .join(items.select("item_id", "windows"), "item_id")
-            .withColumn("coverage", F.col("n_windows") / F.col("windows")).where(F.col("coverage") >= least))
+    columns = ["doc_id", "item_id", "at", "templated", "unnamed"]
+    sound = shifted.where("slots = 0").select(*columns, F.lit(True).alias("literal")).unionByName(
+        holding.join(wrong, same(holding, wrong, ["item_id", "shift"]), "left_anti").select(*columns, F.lit(False).alias("literal")))
+    held = (sound.groupBy(*columns).agg(F.max("literal").alias("literal"))
+            .groupBy("doc_id", "item_id").agg(F.count("*").alias("n_windows"), F.count_if("templated").alias("t"),
+                                              F.count_if("unnamed").alias("u"), F.count_if("literal").alias("l"))
+            .join(items.select("item_id", "windows", "templates", "nameless"), "item_id"))
+    shares = F.greatest(F.try_divide("t", "templates"), F.try_divide("u", "nameless"), F.col("l") / F.col("windows"))
+    held = held.withColumn("coverage", shares).where(F.col("coverage") >= least)
     marked_other = other.withColumn("changed", F.lit(True))
     return (held.join(marked_other, same(held, marked_other, ["item_id"]), "left")
             .select(held.doc_id, held.item_id, "n_windows", "coverage", F.coalesce("changed", F.lit(False)).alias("changed")))

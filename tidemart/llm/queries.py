@@ -138,7 +138,7 @@ def op8_embedding_dedup(spark, sf_dir):
 @query
 def op5_decontaminate(spark, sf_dir):
     docs = table(spark, sf_dir, "documents", ["doc_id", "text"])
-    return decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"), Workspace(spark, "op5"))
+    return decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark"), Workspace(spark, "op5"), copies=True)
 
 
 @query
