@@ -1,4 +1,5 @@
 import random
+import textwrap
 
 import pytest
 import regex
@@ -127,3 +128,20 @@ def test_exact_copies_are_always_found(spark, tmp_path):
     docs = [(10 * i, f"Words before it. {text} And words after it.") for i, text in items] + [
         (50, "What is 12 + 46 - 3 * 7?"), (60, items[3][1].replace("20", "35"))]
     assert query(spark, tmp_path, docs, items) == {**{(10 * i, i): False for i, _ in items}, (60, 4): True}
+
+
+NAMED = ("On the way to market Anna met Peter, Maria and old Georg near Vienna while Clara and Ludwig "
+         "sold bread and cheese there today")
+
+
+def test_case_and_white_space(spark, tmp_path):
+    items, docs, want = [(1, ITEM), (2, NAMED)], [], {}
+    for i, text in items:
+        for k, copy in enumerate([text.lower(), text.upper(), text.title(), textwrap.fill(text, 20), text.replace(" ", "  "),
+                                  text.replace(" ", "\u00a0\n")]):
+            docs.append((10 * i + k, copy))
+            want[(10 * i + k, i)] = False
+    # Other names and numbers across wrapped lines; other numbers in lower case.
+    docs += [(30, textwrap.fill(CHANGED, 20)), (31, CHANGED.replace(" ", "  ")), (32, CHANGED.replace("Peter", "Anna").lower()),
+             (33, TORN.replace(" ", "\n"))]
+    assert query(spark, tmp_path, docs, items) == want | {(30, 1): True, (31, 1): True, (32, 1): True}

@@ -12,7 +12,8 @@ with fewer than ``LEAST_WORDS`` real words are not used; an item shorter than a
 
 With ``copies``, windows are joined in two more forms, whichever is met counting: the plain tokens with their
 values, of any number of words, so that a copy is found whatever its numbers, names, case and white space; and
-templates without names, for changed numbers in a copy whose case differs. Coverage is then the greatest of
+templates without names, for changed numbers in a copy whose case differs. Names are then met after white space
+of any kind and length. Coverage is then the greatest of
 the three: of template windows, of those without names, and, by plain tokens alone, of all windows.
 
 Only DataFrame functions are used. Documents are read once; their windows meet the benchmark's in a
@@ -44,10 +45,13 @@ _UNITS = ("mm cm dm m km in inch inches ft foot feet yd yard yards mile miles g
           "kmh mph degree degrees w kw kwh v a j n pa hz khz mhz ghz b kb mb gb tb").split()
 
 
-def marked(text: Column) -> Column:
-    """Tokens apart by single spaces, placeholders with their values: ``\\x02` 12 as `\\x0212``."""
+def marked(text: Column, any_space: bool = False) -> Column:
+    """Tokens apart by single spaces, placeholders with their values: ``\\x02` 12 as `\\x0212``.
+
+    With ``any_space``, names are met after white space of any kind and length, else after one space.
+    """
     text = F.translate(F.coalesce(text, F.lit("")), _NAME + _NUMBER + _UNIT + _JOIN, "    ")
-    text = F.regexp_replace(text, r"(?<=[\p{Ll}\p{N},;] )(?=\p{Lu}\p{Ll})", _NAME)
+    text = F.regexp_replace(text, rf"(?<=[\p{{Ll}}\p{{N}},;]){r'[\s\p{Z}]+' if any_space else ' '}(?=\p{{Lu}}\p{{Ll}})", f" {_NAME}")
     numbers = F.regexp_replace(text, r"(?<=\p{N})[.,:/](?=\p{N})", _JOIN)
     numbers = F.regexp_replace(numbers, rf"(?<![\p{{L}}\p{{N}}{_JOIN}])\p{{N}}[\p{{N}}{_JOIN}]*", f"{_NUMBER}$0 ")
     text = F.when(text.rlike(r"\p{N}"), numbers).otherwise(text)
@@ -91,7 +95,7 @@ def benchmark_windows(benchmark: DataFrame, work: Workspace, item_id: str = "ite
     without names. Plain windows have no slots.
     """
     shown = benchmark.groupBy(F.col(f"`{item_id}`").alias("item_id")).agg(F.min(f"`{text}`").alias("text"))
-    items = shown.select("item_id", marked(F.col("text")).alias("m"))
+    items = shown.select("item_id", marked(F.col("text"), copies).alias("m"))
     items = items.select("item_id", _tokens(F.col("m")).alias("values"), _tokens(template(F.col("m"))).alias("tokens"),
                          _tokens(nameless(F.col("m"))).alias("words"), _tokens(plain(F.col("m"))).alias("plain"))
     items = work.save(items.where(F.size("tokens") > 0).withColumn(
@@ -131,7 +135,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, work: Workspace, doc_id:
     items, windows = benchmark_windows(benchmark, work, item_id, "text", window, copies)
     # At most ``window`` rows.
     lengths = [r.length for r in windows.select("length").distinct().collect()] or [window]
-    texts = docs.where("text IS NOT NULL").select("doc_id", marked(F.col("text")).alias("m"))
+    texts = docs.where("text IS NOT NULL").select("doc_id", marked(F.col("text"), copies).alias("m"))
     forms = [template(F.col("m"))]
     if copies:
         # Other forms only where they differ; a template without placeholders is plain, so that forms need no kind.
@@ -154,7 +158,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, work: Workspace, doc_id:
     holding = shifted.where("slots > 0")
     again = small_side(work.save(holding.select("doc_id").distinct(), "again"))
     values = (docs.join(again, docs.doc_id.eqNullSafe(again.doc_id), "left_semi")
-              .select("doc_id", _tokens(marked(F.col("text"))).alias("found")))
+              .select("doc_id", _tokens(marked(F.col("text"), copies)).alias("found")))
     # Each slot of an alignment once: neighbouring windows overlap.
     places = (holding.select(*key, F.explode(F.sequence(F.col("at"), F.col("at") + F.col("length") - 1)).alias("slot")).distinct())
     filled = (places.join(values, places.doc_id.eqNullSafe(values.doc_id)).drop(values.doc_id)
