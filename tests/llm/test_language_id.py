@@ -119,3 +119,30 @@ def test_held_out_accuracy(spark, small):
 
 def test_empty(spark, models):
     assert language_id.identify(spark.createDataFrame([], COLUMNS), models, Workspace(spark, "language")).count() == 0
+
+
+FOREIGN = ["В начале было слово, и слово было у всех людей, которые жили в этом большом городе на берегу широкой реки.",
+           "在很久以前有一个住在山里的老人每天早上都会走到河边去看太阳升起来的样子然后回家吃饭睡觉",
+           "W Szczebrzeszynie chrząszcz brzmi w trzcinie i Szczebrzeszyn z tego słynie, że wszyscy chcą go zobaczyć",
+           "xq zvkj wqpx jjkz vbqx zzpk qwxv kkjq xzvb pqjw vxkz qjzp wvkx bqzj xkpv jqwz kvbx zpqj wxkv"]
+
+
+def test_foreign_texts_are_not_kept(spark, small):
+    docs = spark.read.parquet(f"{small.replace('sf0.001', 'sf0.01')}/documents.parquet")
+    models = language_id.train(docs)
+    own = language_id.document_evidence(docs)
+    strange = spark.createDataFrame([(-1 - i, x, None, None, None, None) for i, x in enumerate(FOREIGN)], COLUMNS)
+    got = language_id.identify(own.unionByName(strange), models, Workspace(spark, "language")).collect()
+    assert not any(r.kept for r in got if r.doc_id < 0)
+    assert np.mean([r.kept for r in got if r.doc_id >= 0]) >= 0.99
+
+
+def test_languages_are_the_labels_met(spark):
+    rng = random.Random(3)
+    rows = [(text(rng, lang), lang) for lang in ("en", "de") for _ in range(80)]
+    rows += [(" ".join(rng.choices("il della che con casa acqua strada notte sono anche".split(), k=30)), "it") for _ in range(80)]
+    models = language_id.train(spark.createDataFrame([*rows, ("seldom met", "xx")], "text string, lang string"))
+    assert models.languages == ("en", "de", "it")
+    given = [(1, "della casa che sono anche con acqua della strada", None, None, None, None)]
+    got = language_id.identify(spark.createDataFrame(given, COLUMNS), models, Workspace(spark, "language")).collect()
+    assert got[0].language == "it" and got[0].kept

@@ -12,11 +12,18 @@ For each row the log chances of every language are added up from
 The last three are learned from all rows at once: the texts' own posteriors are summed by declared
 language, suffix, domain and host in grouped aggregations, which sum up in each task first. Rows
 travel without their texts. The trigram models are counted over all labelled rows, in tables of a
-fixed size for each of the languages named.
+fixed size for each language. Languages are the labels met: those of ``LANGUAGES`` with any row, others
+with ``LEAST_ROWS`` rows. Where no label is met, all of ``LANGUAGES`` have even models.
+
+A text must also fit some language: its mean log likelihood a trigram must reach that language's floor,
+which is taken from the labelled rows (their median less ``SPREADS`` times its distance to the twentieth
+part, less an allowance for short texts). A text that fits none is in a language not learned, or in none:
+it says nothing of its host, address or markup, and is not kept. Short texts of a foreign language, and
+those of one much like a learned one, may still fit.
 
 Defined results: evidence that is null or blank is left out. A null or empty text, or one without
 letters, has no language and is not kept; nor is a row whose best language has less than
-``LEAST_POSTERIOR``. Ties go to the language named first. Repeated rows get equal results. Columns
+``LEAST_POSTERIOR``, or whose text fits no language (the nearest is named). Ties go to the language named first. Repeated rows get equal results. Columns
 named in ``key`` come back; empty tables give empty tables.
 """
 
@@ -34,6 +41,12 @@ from tidemart.llm.common import Workspace, small_side
 LANGUAGES = ("en", "de", "fr", "es")
 TEXT_WEIGHT = 60.0
 LEAST_POSTERIOR = 0.5
+# Labelled rows that make a language of a label not named above.
+LEAST_ROWS = 50
+SPREADS = 3.0
+LEAST_SPREAD = 0.2
+# Allowance in a text of n trigrams: SHORT / sqrt(n).
+SHORT = 8.0
 # Rows that a domain's (host's) parent counts for.
 SMOOTHING = 20.0
 _BUCKETS = 1 << 15
@@ -61,14 +74,15 @@ def _bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class TrigramModels:
-    def __init__(self, counts: np.ndarray):
+    def __init__(self, counts: np.ndarray, languages: Sequence[str] = LANGUAGES, floors: Sequence[float] | None = None):
         smooth = counts + 0.5
         self.logs = np.log(smooth / smooth.sum(axis=1, keepdims=True)).astype(np.float32)
+        self.languages = tuple(languages)
+        self.floors = np.full(len(self.logs), -np.inf) if floors is None else np.array(floors)
 
-    def likelihoods(self, texts: pa.Array) -> list[list[float] | None]:
-        """Weighted log likelihoods by language, the best being 0; None without letters."""
+    def _sums(self, texts: pa.Array) -> Iterator[tuple[np.ndarray, int, bool]]:
+        """For each text the log likelihoods by language, its trigrams, and whether it has letters."""
         data, offsets = _bytes(texts)
-        out: list[list[float] | None] = []
         for start, end in zip(offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
             sums, n, letters = np.zeros(len(self.logs)), 0, False
             # Pieces overlap by two bytes, so that no trigram is lost between them.
@@ -79,17 +93,60 @@ class TrigramModels:
                     codes = _trigrams(piece)
                     n += codes.size
                     sums += [log[codes].sum(dtype=np.float64) for log in self.logs]
-            if not letters:
-                out.append(None)
-                continue
+            yield sums, n, letters
+
+    def evidence(self, texts: pa.Array) -> tuple[list[list[float] | None], list[bool]]:
+        """Weighted log likelihoods by language, the best being 0, None without letters; and whether any fits."""
+        out: list[list[float] | None] = []
+        fits: list[bool] = []
+        for sums, n, letters in self._sums(texts):
+            fits.append(n == 0 or bool((sums / n >= self.floors - SHORT / np.sqrt(n)).any()))
             weighted = sums / max(n, 1) * min(n, TEXT_WEIGHT)
-            out.append((weighted - weighted.max()).tolist())
-        return out
+            out.append((weighted - weighted.max()).tolist() if letters else None)
+        return out, fits
+
+    def likelihoods(self, texts: pa.Array) -> list[list[float] | None]:
+        return self.evidence(texts)[0]
 
+    def means(self, texts: pa.Array) -> list[np.ndarray | None]:
+        """Mean log likelihoods a trigram by language, of texts long enough to tell."""
+        return [sums / n if letters and n >= TEXT_WEIGHT else None for sums, n, letters in self._sums(texts)]
 
-def train(samples: DataFrame, languages: Sequence[str] = LANGUAGES, text: str = "text",
+
+def _languages(samples: DataFrame, language: str) -> tuple[str, ...]:
+    """Labels met often enough, those of ``LANGUAGES`` first."""
+    met = samples.where(F.trim(F.col(language)) != "").groupBy(F.col(language).alias("label")).agg(F.count("*").alias("n"))
+    # At most a row per language learned.
+    labels = {r.label for r in met.where(F.col("label").isin(*LANGUAGES) | (F.col("n") >= LEAST_ROWS)).collect()}
+    return (*(x for x in LANGUAGES if x in labels), *sorted(labels - set(LANGUAGES))) or LANGUAGES
+
+
+def _floors(samples: DataFrame, models: TrigramModels, text: str, language: str) -> list[float]:
+    """The least mean log likelihood of each language's texts; none where no labelled text is long enough."""
+    places = {name: i for i, name in enumerate(models.languages)}
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            labels = [places.get(x) for x in batch.column(1).to_pylist()]
+            found = [(i, float(m[i])) for i, m in zip(labels, models.means(batch.column(0)), strict=True)
+                     if i is not None and m is not None]
+            yield pa.record_batch([pa.array([i for i, _ in found], pa.int32()), pa.array([m for _, m in found], pa.float64())],
+                                  names=["language", "mean"])
+
+    floors = [-np.inf] * len(places)
+    means = samples.select(text, language).mapInArrow(run, "language int, mean double")
+    for row in means.groupBy("language").agg(F.percentile_approx("mean", [0.05, 0.5], 1000).alias("p")).collect():
+        low, middle = row.p
+        floors[row.language] = middle - SPREADS * max(middle - low, LEAST_SPREAD)
+    # A language without texts long enough is held to the loosest floor of the others.
+    known = [x for x in floors if np.isfinite(x)]
+    return [x if np.isfinite(x) or not known else min(known) for x in floors]
+
+
+def train(samples: DataFrame, languages: Sequence[str] | None = None, text: str = "text",
           language: str = "lang") -> TrigramModels:
     """Count trigrams of all samples by their labels; rows of other labels are not used."""
+    languages = _languages(samples, language) if languages is None else tuple(languages)
     places = {name: i for i, name in enumerate(languages)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,7 +173,8 @@ def train(samples: DataFrame, languages: Sequence[str] = LANGUAGES, text: str =
     # At most a row per language and bucket.
     for row in counted.groupBy("language", "bucket").agg(F.sum("n").alias("n")).collect():
         totals[row.language, row.bucket] = row.n
-    return TrigramModels(totals)
+    models = TrigramModels(totals, languages)
+    return TrigramModels(totals, languages, _floors(samples, models, text, language))
 
 
 def markup_language(html: Column) -> Column:
@@ -149,11 +207,12 @@ def _smoothed(table: DataFrame, parent: Column, size: int) -> Column:
 
 
 def identify(rows: DataFrame, models: TrigramModels, work: Workspace, key: Sequence[str] = ("doc_id",),
-             languages: Sequence[str] = LANGUAGES) -> DataFrame:
+             languages: Sequence[str] | None = None) -> DataFrame:
     """``key`` columns with language, posterior, text_language and kept, for every row.
 
     ``rows`` hold text, declared, suffix, domain and host (null where there is none).
     """
+    languages = models.languages if languages is None else languages
     size = len(languages)
     evidence = ["declared", "suffix", "domain", "host"]
     own = [f"key{i}" for i in range(len(key))]
@@ -162,17 +221,18 @@ def identify(rows: DataFrame, models: TrigramModels, work: Workspace, key: Seque
         for batch in batches:
             for start in range(0, batch.num_rows, 1000):
                 part = batch.slice(start, 1000)
-                likely = pa.array(models.likelihoods(part.column("text")), pa.list_(pa.float64()))
-                yield part.drop_columns(["text"]).append_column("likely", likely)
+                likely, fits = models.evidence(part.column("text"))
+                yield (part.drop_columns(["text"]).append_column("likely", pa.array(likely, pa.list_(pa.float64())))
+                       .append_column("fits", pa.array(fits, pa.bool_())))
 
     kinds = {f.name: f.dataType.simpleString() for f in rows.schema}
     plain = rows.select("text", *(F.col(f"`{k}`").alias(o) for k, o in zip(key, own, strict=True)),
                         *(F.nullif(F.trim(F.col(c).cast("string")), F.lit("")).alias(c) for c in evidence))
     schema = ", ".join([*(f"{o} {kinds[k]}" for k, o in zip(key, own, strict=True)),
-                        *(f"{c} string" for c in evidence), "likely array<double>"])
+                        *(f"{c} string" for c in evidence), "likely array<double>", "fits boolean"])
     weights = F.transform("likely", lambda x: F.exp(x))
-    scored = work.save(plain.mapInArrow(run, schema).withColumn("chance", F.transform(
-        weights, lambda x: x / F.aggregate(weights, F.lit(0.0), lambda a, b: a + b))), "scored")
+    scored = work.save(plain.mapInArrow(run, schema).withColumn("chance", F.when(F.col("fits"), F.transform(
+        weights, lambda x: x / F.aggregate(weights, F.lit(0.0), lambda a, b: a + b)))), "scored")
 
     # All rows: one row of numbers, smoothed so that no language is ruled out.
     total = scored.where("chance IS NOT NULL").groupBy().agg(*_sums(size)).first()
@@ -217,7 +277,7 @@ def identify(rows: DataFrame, models: TrigramModels, work: Workspace, key: Seque
             .select(*(F.col(o).alias(k) for k, o in zip(key, own, strict=True)),
                     best(F.col("logs")).alias("language"), "posterior",
                     best(F.col("likely")).alias("text_language"),
-                    F.coalesce(F.col("posterior") >= LEAST_POSTERIOR, F.lit(False)).alias("kept")))
+                    F.coalesce((F.col("posterior") >= LEAST_POSTERIOR) & F.col("fits"), F.lit(False)).alias("kept")))
 
 
 def document_evidence(docs: DataFrame) -> DataFrame:
