@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import bpe, decontaminate, embedding_dedup, jaccard, language_id, licence_scan, line_dedup, secret_scan, toxicity, warc
+from tidemart.llm import bpe, decontaminate, embedding_dedup, jaccard, language_id, licence_scan, line_dedup, merkle, secret_scan, toxicity, warc
 from tidemart.llm.common import Workspace, importable, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -187,3 +187,85 @@ reached AS (
 SELECT vec_id, coalesce(n, 0) AS n_links, component_id, vec_id = component_id AS kept
 FROM (SELECT x AS vec_id, min(y) AS component_id FROM reached GROUP BY x)
 LEFT JOIN (SELECT x AS vec_id, count(*) AS n FROM links GROUP BY x) USING (vec_id)"""
+
+
+@query
+def op13_merkle_manifest(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    altered = F.crc32(F.col("doc_id").cast("string")) % 7 == 0
+    other = merkle.leaf_of(*(F.col(c) + 1 if c == "n_chars" else F.col(c) for c in fields))
+    made = merkle.build(docs, fields, "lang", "doc_id", Workspace(spark, "op13"), {"altered": F.when(altered, other)})
+    folded = merkle.fold(F.coalesce("kept.altered", "leaf"), F.col("witness"))
+    return made.rows.select("kept.doc_id", "leaf", "subroot", "root", F.sha2(merkle.siblings(F.col("witness")), 256).alias("proof_sha256"),
+                            folded.alias("folded_root")).withColumn("verified", F.col("folded_root") == F.col("root"))
+
+
+# Checksums of byte strings: a table of 256 remainders, made by eight steps each, and a pass over the bytes.
+_CRC_TABLE = """
+crc_steps AS (
+  SELECT i AS byte, i AS value, 0 AS step FROM range(256) t(i)
+  UNION ALL SELECT byte, CASE WHEN value % 2 = 1 THEN xor(value >> 1, 3988292384) ELSE value >> 1 END, step + 1
+  FROM crc_steps WHERE step < 8),
+crc_table AS (SELECT list(value ORDER BY byte) AS remainders FROM crc_steps WHERE step = 8)"""
+
+
+def _crc(text: str) -> str:
+    """SQL of the checksum of a text, where ``remainders`` is in reach."""
+    byte = f"CAST('0x' || substr(hex(encode({text})), 2 * i - 1, 2) AS BIGINT)"
+    return (f"xor(list_reduce(list_prepend(4294967295, list_transform(range(1, strlen({text}) + 1), lambda i: {byte})), "
+            "lambda a, b: xor(a >> 8, remainders[(xor(a, b) & 255) + 1])), 4294967295)")
+
+
+def _field(value: str) -> str:
+    text = f"CAST({value} AS VARCHAR)"
+    return f"CASE WHEN {value} IS NULL THEN '-' ELSE strlen({text}) || ':' || {text} END"
+
+
+def _leaf(chars: str) -> str:
+    return f"sha256({' || '.join(_field(x) for x in ('doc_id', 'source', 'lang', chars, 'text'))})"
+
+
+def _levels(name: str, key: str) -> str:
+    """SQL of the levels of trees whose leaves are the rows of ``name`` (key, pos, n, digest)."""
+    return f"""
+{name}_levels AS (
+  SELECT {key}, 0 AS lvl, pos, n, digest FROM {name}
+  UNION ALL SELECT {key}, lvl + 1, pos // 2, (n + 1) // 2, sha256(string_agg(digest, '' ORDER BY pos))
+  FROM {name}_levels WHERE n > 1 GROUP BY {key}, lvl, pos // 2, n)"""
+
+
+def _paths(name: str, levels: str, key: str, start: str) -> str:
+    """SQL of the folded digests and the siblings so far of rows that start at leaves of those levels."""
+    return f"""
+{name} AS (
+  {start}
+  UNION ALL SELECT p.id, p.{key}, p.lvl + 1, p.pos // 2, (p.n + 1) // 2,
+    sha256(CASE WHEN p.pos % 2 = 1 THEN s.digest || p.folded ELSE p.folded || coalesce(s.digest, '') END),
+    p.proof || coalesce(s.digest, '')
+  FROM {name} p LEFT JOIN {levels} s ON s.{key} = p.{key} AND s.lvl = p.lvl AND s.pos = xor(p.pos, 1)
+  WHERE p.n > 1)"""
+
+
+SQL["op13_merkle_manifest"] = f"""
+WITH RECURSIVE {_CRC_TABLE},
+docs AS (
+  SELECT *, row_number() OVER () AS id, CASE WHEN lang IS NULL THEN '' ELSE '=' || lang END AS tree, {_leaf('n_chars')} AS digest,
+    CASE WHEN {_crc('CAST(doc_id AS VARCHAR)')} % 7 = 0 THEN {_leaf('(n_chars + 1)')} ELSE {_leaf('n_chars')} END AS given
+  FROM documents, crc_table),
+leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, digest) - 1 AS pos,
+    count(*) OVER (PARTITION BY tree) AS n FROM docs),
+{_levels('leaves', 'tree')},
+subroots AS (
+  SELECT tree, digest, '' AS top, row_number() OVER (ORDER BY encode(tree)) - 1 AS pos, count(*) OVER () AS n
+  FROM leaves_levels WHERE n = 1),
+{_levels('subroots', 'top')},
+{_paths('low', 'leaves_levels', 'tree',
+        "SELECT id, tree, 0 AS lvl, pos, n, given AS folded, '' AS proof FROM leaves")},
+{_paths('high', 'subroots_levels', 'top',
+        "SELECT l.id, '' AS top, 0 AS lvl, s.pos, s.n, l.folded, l.proof FROM low l JOIN subroots s USING (tree) WHERE l.n = 1")}
+SELECT doc_id, d.digest AS leaf, s.digest AS subroot, r.digest AS root, sha256(h.proof) AS proof_sha256,
+       h.folded AS folded_root, h.folded = r.digest AS verified
+FROM leaves d JOIN subroots s USING (tree) JOIN (SELECT * FROM high WHERE n = 1) h USING (id)
+CROSS JOIN (SELECT digest FROM subroots_levels WHERE n = 1) r"""
