@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import bpe, decontaminate, embedding_dedup, jaccard, language_id, licence_scan, line_dedup, merkle, secret_scan, toxicity, warc
+from tidemart.llm import bpe, decontaminate, embedding_dedup, jaccard, language_id, licence_scan, line_dedup, merkle, secret_scan, spelling, toxicity, warc
 from tidemart.llm.common import Workspace, importable, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -269,3 +269,43 @@ SELECT doc_id, d.digest AS leaf, s.digest AS subroot, r.digest AS root, sha256(h
        h.folded AS folded_root, h.folded = r.digest AS verified
 FROM leaves d JOIN subroots s USING (tree) JOIN (SELECT * FROM high WHERE n = 1) h USING (id)
 CROSS JOIN (SELECT digest FROM subroots_levels WHERE n = 1) r"""
+
+
+@query
+def op12_spelling_variants(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents", ["doc_id", "text"])
+    return spelling.variant_groups(spelling.count_words(docs, damage=199), Workspace(spark, "op12"))
+
+
+SQL["op12_spelling_variants"] = f"""
+WITH RECURSIVE {_CRC_TABLE},
+runs AS (
+  SELECT doc_id, run, count(*) AS n FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[A-Za-z\u00C0-\u00FF]+')) AS run FROM documents)
+  WHERE length(run) >= 6 GROUP BY doc_id, run),
+summed AS (
+  SELECT run, n, {_crc("(coalesce(CAST(doc_id AS VARCHAR), '') || ':' || run)")} AS h FROM runs, crc_table),
+words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (
+    SELECT n, CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word
+    FROM summed)
+  WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5),
+cut AS (
+  SELECT word, n, pos, substr(word, 1, pos - 1) || substr(word, pos + 1) AS rest
+  FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS pos FROM words)),
+replaced AS (SELECT a.word AS a, b.word AS b, b.n AS n FROM cut a JOIN cut b ON a.rest = b.rest AND a.pos = b.pos AND a.word <> b.word),
+shorter AS (SELECT DISTINCT c.word AS a, c.n AS n_a, w.word AS b, w.n AS n_b FROM cut c JOIN words w ON c.rest = w.word),
+near AS (
+  SELECT a, b, n FROM replaced UNION SELECT a, b, n_b FROM shorter UNION SELECT b, a, n_a FROM shorter),
+best AS (
+  SELECT a AS word, count(*) AS n_near, max(n) AS most FROM near GROUP BY a),
+formed AS (
+  SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN most >= 5 * w.n THEN most END AS form_n,
+    CASE WHEN most >= 5 * w.n THEN (SELECT min(encode(b)) FROM near x WHERE x.a = w.word AND x.n = most) END AS code
+  FROM words w LEFT JOIN best USING (word)),
+forms AS (SELECT word, n, n_near, form_n, decode(code) AS form FROM formed),
+ways AS (
+  SELECT word, word AS root, form AS next FROM forms
+  UNION ALL SELECT w.word, w.next, f.form FROM ways w JOIN forms f ON f.word = w.next)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN (SELECT word, root FROM ways WHERE next IS NULL) USING (word)"""
