@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemart.llm import bpe, decontaminate, embedding_dedup, jaccard, language_id, licence_scan, line_dedup, merkle, secret_scan, spelling, toxicity, warc
+from tidemart.llm import bpe, decontaminate, embedding_dedup, hamming_search, jaccard, language_id, licence_scan, line_dedup, merkle, secret_scan, spelling, toxicity, warc
 from tidemart.llm.common import Workspace, importable, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -309,3 +309,23 @@ ways AS (
   SELECT word, word AS root, form AS next FROM forms
   UNION ALL SELECT w.word, w.next, f.form FROM ways w JOIN forms f ON f.word = w.next)
 SELECT word, form, root, n, n_near, form_n FROM forms JOIN (SELECT word, root FROM ways WHERE next IS NULL) USING (word)"""
+
+
+@query
+def op11_nearest_neighbours(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings", ["vec_id", "embedding"])
+    return hamming_search.nearest(vectors, Workspace(spark, "op11"), F.col("vec_id") % 50 == 0)
+
+
+# Every pair, where the operator finds them by codes; its recall is tested apart.
+SQL["op11_nearest_neighbours"] = """
+WITH usable AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND list_bool_and(list_transform(embedding, lambda x: x IS NOT NULL AND isfinite(x)))
+    AND list_bool_or(list_transform(embedding, lambda x: x <> 0))),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_cosine_similarity(q.v, c.v) AS score
+  FROM usable q JOIN usable c ON q.vec_id % 50 = 0 AND len(q.v) = len(c.v) AND q.vec_id <> c.vec_id)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank, vec_id, score
+FROM scored QUALIFY rank <= 5"""
