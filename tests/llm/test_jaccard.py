@@ -71,11 +71,12 @@ def corpus(seed):
     return [*rows, (None, texts[0]), (5, rows[1][1]), (6, rows[1][1]), (2, rows[3][1])]
 
 
-@pytest.mark.parametrize(("words", "percent", "unit"), [(4, 85, jaccard.UNIT_GRAMS), (5, 80, 9_000), (2, 60, 20_000)])
-def test_equals_brute_force(spark, words, percent, unit):
+@pytest.mark.parametrize(("words", "percent", "unit", "nodes"),
+                         [(4, 85, jaccard.UNIT_GRAMS, jaccard.LIST_NODES), (5, 80, 9_000, 4), (2, 60, 20_000, jaccard.LIST_NODES), (1, 50, 20_000, 30)])
+def test_equals_brute_force(spark, words, percent, unit, nodes):
     rows = corpus(words + percent)
-    docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, n long").repartition(4)
-    join = jaccard.JaccardJoin(Workspace(spark, "jaccard"), words, percent, unit_grams=unit).run(docs)
+    docs = spark.createDataFrame([(*r, 1, "x", 2) for r in rows], "doc_id long, text string, n long, node string, gram int").repartition(4)
+    join = jaccard.JaccardJoin(Workspace(spark, "jaccard"), words, percent, unit_grams=unit, list_nodes=nodes).run(docs)
     got = [(r.doc_id, r.n_shingles, r.component_id) for r in join.components().collect()]
     assert sorted(got, key=repr) == sorted(brute(rows, words, percent), key=repr)
 
@@ -91,6 +92,49 @@ def test_all_links(spark):
         assert len({frozenset((r.a, r.b)) for r in links}) == len(links) == want
 
 
+def test_candidates_are_the_pairs_that_share_enough():
+    """Links of a list connect just what pairs with enough shared prefix grams connect."""
+    import numpy as np
+    rng, t = random.Random(3), jaccard.Threshold(70)
+    for _ in range(60):
+        rows = []
+        for node in range(rng.randrange(2, 40)):
+            grams = rng.sample(range(60), rng.randrange(3, 25))
+            rows.append({"node": node, "n": rng.randrange(20, 60), "matches": rng.randrange(1, 9), "grams": np.array(grams),
+                         "levels": np.array(sorted(rng.randrange(1, 9) for _ in grams))})
+        rows.sort(key=lambda x: (x["n"], x["node"]))
+        pairs = []
+        for j, r in enumerate(rows):
+            own = {g for g, level in zip(r["grams"].tolist(), r["levels"].tolist(), strict=True) if level <= r["matches"]}
+            for s in rows[:j]:
+                other = {g for g, level in zip(s["grams"].tolist(), s["levels"].tolist(), strict=True) if level <= r["matches"]}
+                if s["n"] >= t.least_shared(r["n"]) and len(own & other) >= r["matches"]:
+                    pairs.append((r["node"], s["node"]))
+
+        def parts(edges, nodes=len(rows)):
+            root = list(range(nodes))
+            for a, b in edges:
+                root = [root[a] if x == root[b] else x for x in root]
+            return {frozenset(i for i in range(nodes) if root[i] == x) for x in root}
+
+        found = jaccard.candidate_links(rows, t)
+        assert parts(found) == parts(pairs)
+        assert set(found) <= set(pairs) and len(found) < len(rows)
+
+
+def test_candidates_leave_few_documents(spark):
+    """Documents that merely share a passage come to no verification."""
+    rng = random.Random(5)
+    vocabulary = ["".join(rng.choices("abcdefg", k=5)) for _ in range(3_000)]
+    passages = [" ".join(rng.choices(vocabulary, k=15)) for _ in range(30)]
+    rows = [(i, " ".join([*rng.choices(vocabulary, k=60), rng.choice(passages), *rng.choices(vocabulary, k=60)])) for i in range(600)]
+    rows += [(1_000 + i, x) for i, x in enumerate(family(rng, vocabulary, 100, 20, 4))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    join = jaccard.JaccardJoin(Workspace(spark, "jaccard"), 5, 80).run(docs)
+    assert join.verified <= 40
+    assert join.components().where("component_id < 1000 AND component_id <> doc_id").count() == 0
+
+
 def test_longer_prefixes_ask_for_more():
     import numpy as np
     cheap = jaccard.choose_matches(100, np.array([1, 1, 2]), np.array([2, 2, 2]), 3)

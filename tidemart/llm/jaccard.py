@@ -16,18 +16,22 @@ How it runs:
   Sets that lack low grams are given further ones. Any fixed order is valid; this one is exact.
 * Equal sets are one node, and a task writes a node's grams once, so copies cost nothing further.
 * Grams of a single node only fill up prefixes. Most documents have enough of them and leave here.
-* Nodes that share a prefix gram form clusters, found from stars within the lists, not from pairs.
+* The prefixes of the nodes in a gram's list meet before any set is moved. Pairs whose sizes allow the
+  similarity and that share the asked-for grams are candidates; the links that connect them go out.
+  A list longer than ``LIST_NODES`` connects all its nodes of like sizes instead, by stars, which only
+  makes clusters larger. Clusters are the components of candidates.
+* Texts are read again only for nodes in clusters, and only their sets are moved.
   A cluster is verified in one task, with whole arrays; only the links that connect it go out. A
   cluster too large for a task is cut into chunks by size and hash, and each pair of chunks of
   neighbouring sizes is a task's work: memory stays bounded and rows grow with the chunks of a
   cluster, not with its pairs.
-* Texts are read again only for nodes in clusters.
 
 Defined results: words are runs of other than ASCII white space after lower-casing A-Z; fewer words
 than n give one gram of all; a null or blank text is empty and links with nothing. A row without an
 id links with nothing and has no component. Rows that repeat an id each stand for themselves; a
-component's id is the least of its rows. Copies need no order. Other columns are not read.
-64-bit hashes stand for grams and sets.
+component's id is the least of its rows. Copies need no order. A very long text is one set like others,
+held by a task while its unit is verified. An empty table gives no rows. Other columns are not read, so
+they may have any name. 64-bit hashes stand for grams and sets.
 """
 
 from __future__ import annotations
@@ -50,6 +54,8 @@ LOW_SHARE = 0.25
 # Grams (and a fixed weight per set) that a task verifies at once.
 UNIT_GRAMS = 500_000
 SET_WEIGHT = 200
+# Nodes whose prefixes are compared within a gram's list.
+LIST_NODES = 1_000
 # Cost of comparing a gram while verifying, against reading an entry of a list.
 VERIFY_COST = 0.05
 
@@ -181,12 +187,80 @@ class _Lists:
         return self.tokens[self.starts[i]:self.ends[i]]
 
     def sums(self, values: np.ndarray, first: int, after: int) -> np.ndarray:
-        """Sum of ``values`` (one per token) for each list from ``first`` to before ``after``."""
-        total = np.concatenate([[0], np.cumsum(values[self.starts[first]:self.ends[after - 1]], dtype=np.int64)])
+        """Sum of ``values``, one per token of the lists from ``first`` to before ``after``, for each of these."""
+        total = np.concatenate([[0], np.cumsum(values, dtype=np.int64)])
         base = self.starts[first]
         return total[self.ends[first:after] - base] - total[self.starts[first:after] - base]
 
 
+class _Prefixes:
+    """The prefixes of rows sorted by size and node."""
+
+    def __init__(self, rows: list[dict], t: Threshold):
+        self.t = t
+        self.sizes = np.array([x["n"] for x in rows])
+        self.wanted = [x["matches"] for x in rows]
+        self.lists = _Lists([x["grams"] for x in rows])
+        self.levels = np.concatenate([x["levels"] for x in rows])
+        names, self.lists.tokens = np.unique(self.lists.tokens, return_inverse=True)
+        self._marked = np.zeros(names.size, bool)
+
+    def near(self, r: int) -> np.ndarray:
+        """Rows before r, not too small, that share as many prefix grams with r as r asks for."""
+        lists, wanted = self.lists, self.wanted[r]
+        first = int(np.searchsorted(self.sizes, self.t.least_shared(int(self.sizes[r]))))
+        own = lists.of(r)[self.levels[lists.starts[r]:lists.ends[r]] <= wanted]
+        if first >= r or own.size < wanted:
+            return np.empty(0, np.int64)
+        self._marked[own] = True
+        span = slice(lists.starts[first], lists.ends[r - 1])
+        hits = self._marked[lists.tokens[span]] & (self.levels[span] <= wanted)
+        self._marked[own] = False
+        return first + np.flatnonzero(lists.sums(hits, first, r) >= wanted)
+
+
+def candidate_links(rows: list[dict], t: Threshold) -> list[tuple[int, int]]:
+    """Links that connect the candidates among rows, by node."""
+    rows = sorted(rows, key=lambda x: (x["n"], x["node"]))
+    root, found = np.arange(len(rows)), []
+    if t.least_shared(rows[-1]["n"]) > rows[-2]["n"] and len(rows) == 2:
+        return found
+    prefixes = _Prefixes(rows, t)
+    for r in range(1, len(rows)):
+        near = prefixes.near(r)
+        near = near[root[near] != root[r]]
+        while near.size:
+            s = int(near[0])
+            found.append((rows[r]["node"], rows[s]["node"]))
+            root[root == root[s]] = root[r]
+            near = near[root[near] != root[r]]
+    return found
+
+
+def _candidates(batches: Iterator[pa.RecordBatch], t: Threshold) -> Iterator[pa.RecordBatch]:
+    """Candidate links of gram lists; the rows of a partition come sorted by gram."""
+    gram, rows = None, []
+    for batch in batches:
+        found = []
+        plain = {name: batch.column(name).to_pylist() for name in ("gram", "node", "n", "matches")}
+        lists = {}
+        for name in ("grams", "levels"):
+            column = batch.column(name)
+            ends = column.offsets.to_numpy()
+            lists[name] = column.values.to_numpy(zero_copy_only=False), ends
+        for i in range(batch.num_rows):
+            if plain["gram"][i] != gram:
+                if len(rows) > 1:
+                    found += candidate_links(rows, t)
+                gram, rows = plain["gram"][i], []
+            rows.append({"node": plain["node"][i], "n": plain["n"][i], "matches": plain["matches"][i],
+                         **{name: values[ends[i]:ends[i + 1]] for name, (values, ends) in lists.items()}})
+        yield pa.record_batch([pa.array(c, pa.int64()) for c in (list(zip(*found, strict=True)) or [()] * 2)], names=["a", "b"])
+    if len(rows) > 1:
+        found = candidate_links(rows, t)
+        yield pa.record_batch([pa.array(c, pa.int64()) for c in (list(zip(*found, strict=True)) or [()] * 2)], names=["a", "b"])
+
+
 def verify_unit(rows: list[dict], t: Threshold, all_links: bool) -> list[tuple[int, int, int]]:
     """Links among the sets of one unit, as (node, node, grams shared).
 
@@ -194,35 +268,20 @@ def verify_unit(rows: list[dict], t: Threshold, all_links: bool) -> list[tuple[i
     sides (0, 1) are compared across the sides only.
     """
     rows = sorted(rows, key=lambda x: (x["n"], x["node"]))
-    sizes = np.array([x["n"] for x in rows])
     sides = np.array([x["side"] for x in rows])
+    prefixes = _Prefixes(rows, t)
+    sizes = prefixes.sizes
     sets = _Lists([x["set"] for x in rows])
-    prefixes = _Lists([x["grams"] for x in rows])
-    levels = np.concatenate([x["levels"] for x in rows])
-    names, both = np.unique(np.concatenate([sets.tokens, prefixes.tokens]), return_inverse=True)
-    sets.tokens, prefixes.tokens = both[:sets.tokens.size], both[sets.tokens.size:]
-    marked = np.zeros(names.size, np.int8)
+    names, sets.tokens = np.unique(sets.tokens, return_inverse=True)
+    marked = np.zeros(names.size, bool)
     root = np.arange(len(rows))
     across = sides.any()
     found = []
     for r in range(1, len(rows)):
-        # Smaller sets come first; those too small to be near enough are cut off.
-        first = int(np.searchsorted(sizes, t.least_shared(int(sizes[r]))))
-        if first >= r:
-            continue
-        wanted = rows[r]["matches"]
-        own = prefixes.of(r)[levels[prefixes.starts[r]:prefixes.ends[r]] <= wanted]
-        if own.size < wanted:
-            continue
-        marked[own] = 1
-        span = slice(prefixes.starts[first], prefixes.ends[r - 1])
-        hits = np.zeros(prefixes.tokens.size, np.int8)
-        hits[span] = marked[prefixes.tokens[span]] & (levels[span] <= wanted)
-        near = first + np.flatnonzero(prefixes.sums(hits, first, r) >= wanted)
-        marked[own] = 0
+        near = prefixes.near(r)
         if across:
             near = near[sides[near] != sides[r]]
-        marked[sets.of(r)] = 1
+        marked[sets.of(r)] = True
         while near.size:
             if not all_links:
                 near = near[root[near] != root[r]]
@@ -235,7 +294,7 @@ def verify_unit(rows: list[dict], t: Threshold, all_links: bool) -> list[tuple[i
                     found.append((rows[r]["node"], rows[s]["node"], shared))
                     root[root == root[s]] = root[r]
             near = near[16:]
-        marked[sets.of(r)] = 0
+        marked[sets.of(r)] = False
     return found
 
 
@@ -277,15 +336,34 @@ def _sets(batches: Iterator[pa.RecordBatch], words: int) -> Iterator[pa.RecordBa
             yield part.filter(pa.array(right, pa.bool_()))
 
 
-def _units(entries: DataFrame, clusters: DataFrame, t: Threshold, work: Workspace, unit_grams: int) -> DataFrame:
-    """``node`` and the units it belongs to: its cluster, or pairs of chunks of a large one.
+def _size_bin(t: Threshold):
+    """Bins of sizes as wide as the similarity allows two sizes to differ: a pair lies in one bin or in two that follow each other."""
+    return F.floor(F.log(F.col("n")) / F.lit(float(np.log(t.den / t.num)))).cast("int").alias("bin")
+
+
+def _clusters(entries: DataFrame, t: Threshold, work: Workspace, list_nodes: int) -> DataFrame:
+    """``node, component``: components of the candidates among the nodes of each gram's list."""
+    lists = entries.select("node", "n", F.explode("grams").alias("gram"))
+    held = work.save(lists.groupBy("gram").count().where("count > 1"), "held")
+    long = small_side(work.save(held.where(F.col("count") > list_nodes).select("gram"), "long"))
+    short = (entries.select("node", "n", "matches", "grams", "levels", F.explode("grams").alias("gram"))
+             .join(long, "gram", "left_anti").repartition("gram").sortWithinPartitions("gram"))
+    # Those too long for that: a star in each bin of sizes, and the centres of bins that follow each other.
+    binned = lists.join(long, "gram").select("gram", "node", _size_bin(t))
+    heads = work.save(binned.groupBy("gram", "bin").agg(F.min("node").alias("a")), "heads")
+    after = heads.select("gram", (F.col("bin") - 1).alias("bin"), F.col("a").alias("b"))
+    edges = (short.mapInArrow(lambda x: _candidates(x, t), "a long, b long")
+             .unionByName(binned.join(small_side(heads), ["gram", "bin"]).select("a", F.col("node").alias("b")))
+             .unionByName(heads.join(after, ["gram", "bin"]).select("a", "b")))
+    found = components(edges, work, "clusters")
+    work.drop("held", "long", "heads")
+    return found
 
-    Sizes fall in bins as wide as the similarity allows two sizes to differ, so that a pair lies in
-    one bin or in two that follow each other.
-    """
+
+def _units(entries: DataFrame, clusters: DataFrame, t: Threshold, work: Workspace, unit_grams: int) -> DataFrame:
+    """``node`` and the units it belongs to: its cluster, or pairs of chunks of a large one."""
     weight = F.sum(F.col("n") + SET_WEIGHT)
-    bin_ = F.floor(F.log(F.col("n")) / F.lit(float(np.log(t.den / t.num)))).cast("int")
-    sized = work.save(entries.select("node", "n").join(clusters, "node").withColumn("bin", bin_), "sized")
+    sized = work.save(entries.select("node", "n").join(clusters, "node").select("*", _size_bin(t)), "sized")
     bins = work.save(sized.groupBy("component", "bin").agg(weight.alias("grams"))
                      .withColumn("chunks", F.ceil(F.col("grams") / (unit_grams / 2)).cast("int")), "bins")
     large = work.save(bins.groupBy("component").agg(F.sum("grams").alias("all"))
@@ -330,9 +408,9 @@ class JaccardJoin:
     """
 
     def __init__(self, work: Workspace, words: int = 5, percent: int = 80, all_links: bool = False,
-                 unit_grams: int = UNIT_GRAMS):
+                 unit_grams: int = UNIT_GRAMS, list_nodes: int = LIST_NODES):
         self.work, self.words, self.t = work, words, Threshold(percent)
-        self.all_links, self.unit_grams = all_links, unit_grams
+        self.all_links, self.unit_grams, self.list_nodes = all_links, unit_grams, list_nodes
 
     def run(self, docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> JaccardJoin:
         work, words, t, all_links = self.work, self.words, self.t, self.all_links
@@ -354,11 +432,9 @@ class JaccardJoin:
         entries = work.save(shared.join(self.classes.select("node", "doc_id", "n", "low"), "node")
                             .mapInArrow(lambda x: _entries(x, t), _ENTRIES), "entries")
 
-        lists = work.save(entries.select("node", F.explode("grams").alias("gram")), "lists")
-        heads = lists.groupBy("gram").agg(F.min("node").alias("a"), F.max("node").alias("last")).where("a <> last")
-        stars = lists.join(work.save(heads.select("gram", "a"), "heads"), "gram").select("a", F.col("node").alias("b"))
-        clusters = components(stars, work, "clusters")
-
+        clusters = _clusters(entries, t, work, self.list_nodes)
+        # Sets that go on to verification.
+        self.verified = clusters.count()
         units = work.save(_units(entries, clusters, t, work, self.unit_grams), "units")
         wanted = work.save(entries.join(units, "node"), "wanted")
         ids = small_side(work.save(wanted.select("doc_id", "node"), "wanted_ids"))
@@ -371,7 +447,7 @@ class JaccardJoin:
                  .repartition("unit").sortWithinPartitions("unit"))
         self.links = work.save(dealt.mapInArrow(lambda x: _verified(x, t, all_links),
                                                 "a long, b long, shared long"), "links")
-        work.drop("counted", "lists", "heads", "sized", "bins", "large", "units", "wanted", "wanted_ids", "entries")
+        work.drop("counted", "sized", "bins", "large", "units", "wanted", "wanted_ids", "entries")
         return self
 
     def components(self) -> DataFrame:
