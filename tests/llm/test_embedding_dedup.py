@@ -5,6 +5,7 @@ from tidemart.llm import embedding_dedup as dedup
 from tidemart.llm.common import Workspace
 
 COLUMNS = "vec_id long, embedding array<double>, label int"
+MORE = f"{COLUMNS}, node string, filter int, `count` int, clique string"
 
 
 def brute(rows, least=dedup.LEAST_COSINE):
@@ -66,7 +67,7 @@ def test_recall_at_the_threshold():
 @pytest.mark.parametrize("unit", [dedup.UNIT, 15])
 def test_recall_and_no_false_link(spark, unit):
     rows = vectors(1)
-    frame = spark.createDataFrame(rows, COLUMNS).repartition(3)
+    frame = spark.createDataFrame([(*r, "x", 1, 2, "y") for r in rows], MORE).repartition(3)
     got = sorted((tuple(r) for r in dedup.link_vectors(frame, Workspace(spark, "vectors"), unit=unit).collect()), key=repr)
     want = brute(rows)
     assert [r[0] for r in got] == [w[0] for w in want]
@@ -75,6 +76,31 @@ def test_recall_and_no_false_link(spark, unit):
     assert sum(r[2] == w[2] for r, w in zip(got, want, strict=True)) >= 0.98 * len(want)
 
 
+def test_cliques_count_exactly(spark):
+    """A third of the rows in one tight group, near but distinct vectors around it: every link is counted once."""
+    rng = np.random.default_rng(21)
+    base = rng.standard_normal(64)
+    rows = near(rng, base, 0.05, 300) + near(rng, base, 0.22, 40) + near(rng, base, 0.3, 40) + near(rng, rng.standard_normal(64), 0.1, 200)
+    rows += list(rng.standard_normal((320, 64))) + [rows[3]] * 5
+    rows = [(i, x.tolist(), 1) for i, x in enumerate(rows)]
+    got = {r.vec_id: (r.n_links, r.component_id) for r in dedup.link_vectors(
+        spark.createDataFrame(rows, COLUMNS), Workspace(spark, "vectors"), unit=100).collect()}
+    want = {r[0]: (r[1], r[2]) for r in brute(rows)}
+    assert all(got[i][0] <= want[i][0] for i in want)
+    # Members of a clique link with each other exactly; others miss a link now and then.
+    assert [got[i] for i in range(300, 340)] and sum(got[i][0] for i in want) >= 0.99 * sum(n for n, _ in want.values())
+    assert all(got[i][1] == want[i][1] for i in range(300)) and sum(got[i][1] == want[i][1] for i in want) >= 0.99 * len(want)
+
+
+def test_lower_shared_filters():
+    rng = np.random.default_rng(4)
+    filters = [np.sort(rng.choice(9_000, rng.integers(1, 900), replace=False)) for _ in range(40)]
+    a, b = np.triu_indices(40, 1)
+    for number in (0, 500, 8_999):
+        want = [bool({*filters[i][filters[i] < number]} & {*filters[j][filters[j] < number]}) for i, j in zip(a, b, strict=True)]
+        assert dedup._lower_shared(filters, number, a, b).tolist() == want
+
+
 def test_cases(spark):
     one = [1.0, 2.0, 3.0, 4.0]
     rows = [(1, one, 1), (2, [2.0, 4.0, 6.0, 8.0], 1), (3, one, 2), (4, one, None), (5, None, 1), (6, [], 1),

@@ -14,15 +14,19 @@ at every size, and the cap's height follows from it and from the number of filte
 quarter of them are exceeded, the best quarter count. Nothing limits what a filter holds.
 
 Equal vectors of a label are one class with a number of copies. Filters of one class go no further.
-A filter's classes are verified in one task; a filter larger than ``UNIT`` is dealt into chunks, and
-each pair of chunks is a task's work. A linked pair is counted only in the first filter that both
+Crowded filters hand out a representative, and classes within half the least cosine's angle of one
+representative form a clique: all of them are linked, so their links are counted by size, and pairs
+within a clique are never compared. A filter's classes are verified in one task; a filter larger than
+``UNIT`` is dealt into chunks, its large cliques into chunks of their own, and each pair of
+chunks, but for those of one clique, is a task's work. A linked pair is counted only in the first filter that both
 share. Out of a task come a number of links per class and the links that connect its classes, never
 all pairs.
 
 Defined results: vectors that are null, empty, zero, or hold null or non-finite numbers link with
 nothing, nor do those with a null label or a null id; vectors of different lengths do not link. A
 row with a null id has no component and is not kept. Rows that repeat an id count as others of
-each other. Equality of classes is by 64-bit hash. Other columns are not read.
+each other. An empty table gives no rows. Equality of classes is by 64-bit hash. Other columns are
+not read, so they may have any name.
 """
 
 from __future__ import annotations
@@ -35,11 +39,11 @@ from statistics import NormalDist
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemart.llm.common import Workspace
+from tidemart.llm.common import Workspace, join_hot, small_side
 from tidemart.llm.components import components
 
 LEAST_COSINE = 0.93
@@ -47,6 +51,8 @@ PARTS = 2
 # Classes that a filter holds on average, and that one task verifies at once.
 HELD = 16
 UNIT = 2_000
+# Representatives whose vectors may be sent to all executors.
+MOST_CENTRES = 20_000
 _SEED = 20_240_607
 
 
@@ -162,14 +168,25 @@ def _decode(batches: Iterator[pa.RecordBatch], classes: int, kind: str) -> Itera
             yield part.append_column("filters", pa.array(filters, pa.list_(pa.int64())))
 
 
-def _first_shared(a: np.ndarray, b: np.ndarray, number: int) -> np.ndarray:
-    """Whether ``number`` is the least filter that rows of a and b (padded with -1 and -2) share."""
-    out = np.ones(len(a), bool)
-    step = max(1, 4_000_000 // (a.shape[1] * b.shape[1]))
-    for start in range(0, len(a), step):
-        x, y = a[start:start + step], b[start:start + step]
-        lower = (x[:, :, None] == y[:, None, :]) & (x[:, :, None] < number)
-        out[start:start + step] = ~lower.any(axis=(1, 2))
+def _lower_shared(filters: list[np.ndarray], number: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Whether rows a and b, pair by pair, share a filter below ``number``; filters come sorted."""
+    out = np.zeros(len(a), bool)
+    named, at = np.unique(np.concatenate([a, b]), return_inverse=True)
+    lower = [filters[i][:np.searchsorted(filters[i], number)] for i in named.tolist()]
+    row = np.repeat(np.arange(len(named)), [x.size for x in lower])
+    _, column, held = np.unique(np.concatenate(lower), return_inverse=True, return_counts=True)
+    several = held[column] > 1
+    row, column = row[several], np.unique(column[several], return_inverse=True)[1]
+    a, b = at[:len(a)], at[len(a):]
+    # Bitmaps of filters that several rows have, a stretch of filters at a time.
+    for start in range(0, int(column.max(initial=-1)) + 1, 4_096):
+        inside = (column >= start) & (column < start + 4_096)
+        bits = np.zeros((len(named), 4_096), bool)
+        bits[row[inside], column[inside] - start] = True
+        words = np.packbits(bits, axis=1).view(np.uint64)
+        for first in range(0, len(a), 20_000):
+            part = slice(first, first + 20_000)
+            out[part] |= (words[a[part]] & words[b[part]]).any(axis=1)
     return out
 
 
@@ -178,29 +195,31 @@ def verify_unit(rows: list[dict], number: int, least: float, kind: str = "<f8")
     vectors = np.stack([_unit(x["vector"], kind) for x in rows])
     sides = np.array([x["side"] for x in rows])
     copies = np.array([x["copies"] for x in rows])
-    width = max(len(x["filters"]) for x in rows)
-    padded = np.full((len(rows), width), -1, np.int64)
-    for i, row in enumerate(rows):
-        padded[i, :len(row["filters"])] = row["filters"]
-    other = np.where(padded < 0, -2, padded)
+    filters = [np.asarray(x["filters"]) for x in rows]
+    # Rows without a clique have one of their own.
+    cliques = np.array([-1 if x["clique"] is None else x["clique"] for x in rows])
+    alone = np.array([x["clique"] is None for x in rows])
     links, root, edges = np.zeros(len(rows), np.int64), np.arange(len(rows)), []
     across = sides.any()
     for start in range(0, len(rows), 500):
         near = vectors[start:start + 500] @ vectors.T >= least
+        near &= (cliques[start:start + 500, None] != cliques) | alone[start:start + 500, None] | alone
         i, j = np.nonzero(near)
         i += start
         pick = i < j
         if across:
             pick &= sides[i] != sides[j]
         i, j = i[pick], j[pick]
-        first = _first_shared(padded[i], other[j], number)
+        if not i.size:
+            continue
+        first = ~_lower_shared(filters, number, i, j)
         i, j = i[first], j[first]
         np.add.at(links, i, copies[j])
         np.add.at(links, j, copies[i])
         while (apart := root[i] != root[j]).any():
-            a, b = int(i[apart][0]), int(j[apart][0])
-            edges.append((a, b))
-            root[root == root[b]] = root[a]
+            x, y = int(i[apart][0]), int(j[apart][0])
+            edges.append((x, y))
+            root[root == root[y]] = root[x]
             i, j = i[apart], j[apart]
     return {i: int(links[i]) for i in np.flatnonzero(links)}, edges
 
@@ -217,16 +236,82 @@ def _verified(batches: Iterator[pa.RecordBatch], least: float, kind: str) -> Ite
                                names=["node", "links", "other"])
 
     for batch in batches:
-        for row in batch.to_pylist():
+        column = batch.column("filters")
+        ends, values = column.offsets.to_numpy(), column.values.to_numpy(zero_copy_only=False)
+        for i, row in enumerate(batch.drop_columns(["filters"]).to_pylist()):
             if row["unit"] != unit and len(rows) > 1:
                 yield found()
             if row["unit"] != unit:
                 unit, rows = row["unit"], []
+            row["filters"] = values[ends[i]:ends[i + 1]]
             rows.append(row)
     if len(rows) > 1:
         yield found()
 
 
+def _near(batches: Iterator[pa.RecordBatch], least: float, kind: str) -> Iterator[pa.RecordBatch]:
+    """Keep the rows whose vector is safely within half the angle of ``least`` of the representative's."""
+    inner = math.cos(math.acos(least) / 2) + 1e-9
+    for batch in batches:
+        near = [float(_unit(x, kind) @ _unit(y, kind)) >= inner
+                for x, y in zip(batch.column("vector").to_pylist(), batch.column("middle").to_pylist(), strict=True)]
+        yield batch.select(["node", "clique"]).filter(pa.array(near, pa.bool_()))
+
+
+def _cliques(decoded: DataFrame, shared: DataFrame, crowd: int, least: float, kind: str, work: Workspace) -> DataFrame:
+    """``node, clique`` of classes that are all near one representative; each class is in one clique at most.
+
+    A class takes the representative of its fullest filter or, better, that one's own representative.
+    """
+    own = work.save(shared.where(F.col("count") > crowd).groupBy("node").agg(F.max(F.struct("count", "filter", "least")).alias("most"))
+                    .select("node", F.col("most.least").alias("clique")), "own")
+    onward = own.select(F.col("node").alias("clique"), F.col("clique").alias("second"))
+    middles = work.save(own.select("clique").distinct().join(onward, "clique", "left")
+                        .select("clique", F.coalesce("second", "clique").alias("second")), "middles")
+    ways = work.save(own.join(small_side(middles), "clique"), "ways")
+    vectors = decoded.select("node", "vector")
+
+    def within(way: str, name: str) -> DataFrame:
+        centres = work.save(ways.select(F.col(way).alias("clique")).distinct()
+                            .join(vectors.withColumnRenamed("node", "clique"), "clique")
+                            .select("clique", F.col("vector").alias("middle")), f"centres-{name}")
+        asked = ways.select("node", F.col(way).alias("clique")).join(vectors, "node")
+        joined = (asked.join(F.broadcast(centres), "clique") if centres.count() <= MOST_CENTRES
+                  else join_hot(asked, centres, "clique", F.col("node"), "inner"))
+        return joined.select("node", "clique", "vector", "middle").mapInArrow(lambda x: _near(x, least, kind), "node long, clique long")
+
+    second = work.save(within("second", "second"), "second")
+    first = within("clique", "first").join(second.select("node"), "node", "left_anti")
+    found = work.save(second.unionByName(first), "cliques")
+    work.drop("own", "middles", "ways", "second", "centres-first", "centres-second")
+    return found
+
+
+def _dealt(shared: DataFrame, unit: int, work: Workspace) -> DataFrame:
+    """``node, filter, unit, side``: the pairs of chunks that each class of a filter is verified in."""
+    filter_, part = ["label", "size", "filter"], F.when(F.col("held") > unit // 2, F.col("clique"))
+    sizes = shared.where("clique IS NOT NULL").groupBy(*filter_, "clique").agg(F.count("*").alias("held"))
+    large = work.save(sizes.where(F.col("held") > unit // 2), "large")
+    parted = shared.join(small_side(large), [*filter_, "clique"], "left").withColumn("part", part)
+    order = Window.partitionBy(*filter_).orderBy("part").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    chunks = F.ceil(F.col("n") / unit).cast("int")
+    parts = work.save(parted.groupBy(*filter_, "part").agg(F.count("*").alias("n")).withColumn("chunks", chunks)
+                      .withColumn("after", F.sum("chunks").over(order).cast("int"))
+                      .withColumn("all", F.sum("chunks").over(Window.partitionBy(*filter_)).cast("int"))
+                      # A filter with nothing but one clique has nothing to compare.
+                      .where("part IS NULL OR chunks < all").select(*filter_, F.coalesce("part", F.lit(0)).alias("name"),
+                                                                    F.col("part").isNotNull().alias("pure"), "chunks", "after", "all"), "parts")
+    placed = (parted.withColumn("name", F.coalesce("part", F.lit(0))).withColumn("pure", F.col("part").isNotNull())
+              .join(small_side(parts), [*filter_, "name", "pure"])
+              .withColumn("chunk", F.col("after") - F.col("chunks") + F.pmod(F.xxhash64("node"), "chunks").cast("int")))
+    every = F.sequence(F.lit(0), F.col("all") - 1)
+    others = F.filter(every, lambda j: ~F.col("pure") | (j < F.col("after") - F.col("chunks")) | (j >= F.col("after")))
+    pairs = F.transform(others, lambda j: F.struct(
+        F.concat_ws("/", "label", "size", F.least("chunk", j), F.greatest("chunk", j), "filter").alias("unit"),
+        (F.col("chunk") > j).cast("int").alias("side")))
+    return placed.select("node", "filter", "clique", F.explode(pairs).alias("u")).select("node", "filter", "clique", "u.unit", "u.side")
+
+
 def link_vectors(frame: DataFrame, work: Workspace, vec_id: str = "vec_id", embedding: str = "embedding", label: str = "label",
                  least: float = LEAST_COSINE, unit: int = UNIT) -> DataFrame:
     """One row per input row: vec_id, n_links, component_id, kept."""
@@ -245,19 +330,20 @@ def link_vectors(frame: DataFrame, work: Workspace, vec_id: str = "vec_id", embe
         "filters array<long>").withColumn("filters", F.col("filters").cast(f"array<{numbers}>")), "decoded")
 
     entries = decoded.select("node", "label", "size", F.explode("filters").alias("filter"))
-    held = work.save(entries.groupBy("label", "size", "filter").count().where("count > 1")
-                     .withColumn("chunks", F.ceil(F.col("count") / unit).cast("int")).drop("count"), "held")
-    chunk = F.pmod(F.xxhash64("node"), F.col("chunks")).cast("int")
-    shared = work.save(entries.join(held, ["label", "size", "filter"]).withColumn("chunk", chunk), "shared")
-    all_chunks = F.sequence(F.lit(0), F.col("chunks") - 1)
-    pairs = F.transform(all_chunks, lambda j: F.struct(
-        F.concat_ws("/", "label", "size", F.least("chunk", j), F.greatest("chunk", j), "filter").alias("unit"),
-        (F.col("chunk") > j).cast("int").alias("side")))
-    dealt = (shared.select("node", "filter", F.explode(pairs).alias("u")).select("node", "filter", "u.unit", "u.side")
-             .join(decoded.select("node", "copies", "vector", "filters"), "node")
+    held = work.save(entries.groupBy("label", "size", "filter").agg(F.count("*").alias("count"), F.min("node").alias("least"))
+                     .where("count > 1"), "held")
+    shared = work.save(entries.join(held, ["label", "size", "filter"]), "shared")
+    cliques = _cliques(decoded, shared, max(1, unit // 10), least, kind, work)
+    with_clique = work.save(shared.select("node", "label", "size", "filter").join(small_side(cliques), "node", "left"), "cliqued")
+    dealt = (_dealt(with_clique, unit, work).join(decoded.select("node", "copies", "vector", "filters"), "node")
              .repartition("unit").sortWithinPartitions("unit"))
-    found = work.save(dealt.mapInArrow(lambda x: _verified(x, least, kind), "node long, links long, other long"), "found")
-    work.drop("shared", "held", "decoded")
+    verified = dealt.mapInArrow(lambda x: _verified(x, least, kind), "node long, links long, other long")
+    members = cliques.join(decoded.select("node", "copies"), "node")
+    sizes = work.save(members.groupBy("clique").agg(F.sum("copies").alias("all"), F.min("node").alias("first")), "clique-sizes")
+    within = members.join(small_side(sizes), "clique").select(
+        "node", (F.col("all") - F.col("copies")).alias("links"), F.when(F.col("node") != F.col("first"), F.col("first")).alias("other"))
+    found = work.save(verified.unionByName(within), "found")
+    work.drop("shared", "cliqued", "held", "decoded", "large", "parts")
 
     linked = components(found.where("other IS NOT NULL").select(F.col("node").alias("a"), F.col("other").alias("b")), work, "linked")
     counts = found.where("links > 0").groupBy("node").agg(F.sum("links").alias("links"))
