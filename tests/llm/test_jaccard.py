@@ -100,8 +100,9 @@ def test_candidates_are_the_pairs_that_share_enough():
         rows = []
         for node in range(rng.randrange(2, 40)):
             grams = rng.sample(range(60), rng.randrange(3, 25))
-            rows.append({"node": node, "n": rng.randrange(20, 60), "matches": rng.randrange(1, 9), "grams": np.array(grams),
-                         "levels": np.array(sorted(rng.randrange(1, 9) for _ in grams))})
+            levels = np.array([rng.randrange(1, 9) for _ in grams])
+            rows.append({"node": node, "family": node, "n": rng.randrange(20, 60), "matches": rng.randrange(1, 9),
+                         "grams": np.array(grams), "levels": levels, "prefix": jaccard.packed(np.array(grams), levels)})
         rows.sort(key=lambda x: (x["n"], x["node"]))
         pairs = []
         for j, r in enumerate(rows):

@@ -18,6 +18,8 @@ How it runs:
 * Grams of a single node only fill up prefixes. Most documents have enough of them and leave here.
 * The prefixes of the nodes in a gram's list meet before any set is moved. Pairs whose sizes allow the
   similarity and that share the asked-for grams are candidates; the links that connect them go out.
+  First each node goes to the lists of ``PROBES`` of its grams, which connects most families of near copies.
+  Then the nodes meet in the other lists, but only where nodes of like sizes from different families do.
   A list longer than ``LIST_NODES`` connects all its nodes of like sizes instead, by stars, which only
   makes clusters larger. Clusters are the components of candidates.
 * Texts are read again only for nodes in clusters, and only their sets are moved.
@@ -56,6 +58,8 @@ UNIT_GRAMS = 500_000
 SET_WEIGHT = 200
 # Nodes whose prefixes are compared within a gram's list.
 LIST_NODES = 1_000
+# Lists in which a node meets others first.
+PROBES = 4
 # Cost of comparing a gram while verifying, against reading an entry of a list.
 VERIFY_COST = 0.05
 
@@ -146,11 +150,25 @@ def choose_matches(n: int, levels: np.ndarray, counts: np.ndarray, most: int) ->
     return best
 
 
-_ENTRIES = "node long, doc_id long, n long, matches int, grams array<long>, levels array<int>"
+_ENTRIES = "node long, doc_id long, n long, matches int, prefix binary, first array<long>, probes array<long>"
+
+
+def packed(grams: np.ndarray, levels: np.ndarray) -> bytes:
+    """A prefix as 32-bit words: how many grams are in it at each level, then the lower halves of the grams, by level.
+
+    Grams with equal halves only make more candidates.
+    """
+    order = np.argsort(levels, kind="stable")
+    ends = np.searchsorted(levels[order], np.arange(1, MOST_MATCHES + 1), "right")
+    return np.concatenate([ends, grams[order] & 0xFFFFFFFF]).astype("<u4").tobytes()
 
 
 def _entries(batches: Iterator[pa.RecordBatch], t: Threshold) -> Iterator[pa.RecordBatch]:
-    """Each node's prefix grams that others share, with their levels, and its number of matches."""
+    """Each node's prefix grams that others share, packed with their levels, and its number of matches.
+
+    ``first`` are those of the plain prefix, of which near sets share one; ``probes`` are some of
+    them, from rare to common.
+    """
     for batch in batches:
         rows = []
         for row in batch.to_pylist():
@@ -165,14 +183,17 @@ def _entries(batches: Iterator[pa.RecordBatch], t: Threshold) -> Iterator[pa.Rec
             if not inside.any():
                 continue
             sets = {x["gram"]: x["sets"] for x in row["shared"]}
-            grams = [x[2] for x, held in zip(shared, inside, strict=True) if held]
-            counts = np.array([sets[x] for x in grams], np.int64)
-            rows.append((row["node"], row["doc_id"], n, choose_matches(n, levels[inside], counts, most),
-                         grams, levels[inside].tolist()))
-        columns = list(zip(*rows, strict=True)) or [()] * 6
-        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.list_(pa.int32())]
+            grams = np.array([x[2] for x, held in zip(shared, inside, strict=True) if held], np.int64)
+            levels = levels[inside]
+            counts = np.array([sets[x] for x in grams.tolist()], np.int64)
+            first = grams[levels == 1]
+            by_count = first[np.argsort(counts[levels == 1], kind="stable")]
+            probes = by_count[np.unique(np.linspace(0, len(by_count) - 1, PROBES).astype(int))] if len(by_count) else by_count
+            rows.append((row["node"], row["doc_id"], n, choose_matches(n, levels, counts, most), packed(grams, levels), first, probes))
+        columns = list(zip(*rows, strict=True)) or [()] * 7
+        kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
         yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                              names=["node", "doc_id", "n", "matches", "grams", "levels"])
+                              names=["node", "doc_id", "n", "matches", "prefix", "first", "probes"])
 
 
 class _Lists:
@@ -200,8 +221,10 @@ class _Prefixes:
         self.t = t
         self.sizes = np.array([x["n"] for x in rows])
         self.wanted = [x["matches"] for x in rows]
-        self.lists = _Lists([x["grams"] for x in rows])
-        self.levels = np.concatenate([x["levels"] for x in rows])
+        words = [np.frombuffer(x["prefix"], "<u4") for x in rows]
+        self.lists = _Lists([x[MOST_MATCHES:] for x in words])
+        levels = np.arange(1, MOST_MATCHES + 1)
+        self.levels = np.concatenate([np.repeat(levels, np.diff(x[:MOST_MATCHES].astype(np.int64), prepend=0)) for x in words])
         names, self.lists.tokens = np.unique(self.lists.tokens, return_inverse=True)
         self._marked = np.zeros(names.size, bool)
 
@@ -220,10 +243,11 @@ class _Prefixes:
 
 
 def candidate_links(rows: list[dict], t: Threshold) -> list[tuple[int, int]]:
-    """Links that connect the candidates among rows, by node."""
+    """Links that connect the families (``family``) of candidates among rows, by family."""
     rows = sorted(rows, key=lambda x: (x["n"], x["node"]))
-    root, found = np.arange(len(rows)), []
-    if t.least_shared(rows[-1]["n"]) > rows[-2]["n"] and len(rows) == 2:
+    families = np.array([x["family"] for x in rows])
+    root, found = np.unique(families, return_inverse=True)[1], []
+    if (root == root[0]).all() or (len(rows) == 2 and t.least_shared(rows[1]["n"]) > rows[0]["n"]):
         return found
     prefixes = _Prefixes(rows, t)
     for r in range(1, len(rows)):
@@ -231,7 +255,7 @@ def candidate_links(rows: list[dict], t: Threshold) -> list[tuple[int, int]]:
         near = near[root[near] != root[r]]
         while near.size:
             s = int(near[0])
-            found.append((rows[r]["node"], rows[s]["node"]))
+            found.append((int(families[r]), int(families[s])))
             root[root == root[s]] = root[r]
             near = near[root[near] != root[r]]
     return found
@@ -240,25 +264,21 @@ def candidate_links(rows: list[dict], t: Threshold) -> list[tuple[int, int]]:
 def _candidates(batches: Iterator[pa.RecordBatch], t: Threshold) -> Iterator[pa.RecordBatch]:
     """Candidate links of gram lists; the rows of a partition come sorted by gram."""
     gram, rows = None, []
+
+    def links(found: list[tuple[int, int]]) -> pa.RecordBatch:
+        return pa.record_batch([pa.array(c, pa.int64()) for c in (list(zip(*found, strict=True)) or [()] * 2)], names=["a", "b"])
+
     for batch in batches:
         found = []
-        plain = {name: batch.column(name).to_pylist() for name in ("gram", "node", "n", "matches")}
-        lists = {}
-        for name in ("grams", "levels"):
-            column = batch.column(name)
-            ends = column.offsets.to_numpy()
-            lists[name] = column.values.to_numpy(zero_copy_only=False), ends
-        for i in range(batch.num_rows):
-            if plain["gram"][i] != gram:
+        for row in batch.to_pylist():
+            if row["gram"] != gram:
                 if len(rows) > 1:
                     found += candidate_links(rows, t)
-                gram, rows = plain["gram"][i], []
-            rows.append({"node": plain["node"][i], "n": plain["n"][i], "matches": plain["matches"][i],
-                         **{name: values[ends[i]:ends[i + 1]] for name, (values, ends) in lists.items()}})
-        yield pa.record_batch([pa.array(c, pa.int64()) for c in (list(zip(*found, strict=True)) or [()] * 2)], names=["a", "b"])
+                gram, rows = row["gram"], []
+            rows.append(row)
+        yield links(found)
     if len(rows) > 1:
-        found = candidate_links(rows, t)
-        yield pa.record_batch([pa.array(c, pa.int64()) for c in (list(zip(*found, strict=True)) or [()] * 2)], names=["a", "b"])
+        yield links(candidate_links(rows, t))
 
 
 def verify_unit(rows: list[dict], t: Threshold, all_links: bool) -> list[tuple[int, int, int]]:
@@ -309,15 +329,14 @@ def _verified(batches: Iterator[pa.RecordBatch], t: Threshold, all_links: bool)
 
     for batch in batches:
         columns = {name: batch.column(name) for name in batch.schema.names}
-        plain = {name: columns[name].to_pylist() for name in ("unit", "node", "n", "matches", "side")}
+        plain = {name: columns[name].to_pylist() for name in ("unit", "node", "n", "matches", "prefix", "side")}
         for i in range(batch.num_rows):
             if plain["unit"][i] != unit and rows:
                 yield links()
                 rows = []
             unit = plain["unit"][i]
             row = {name: values[i] for name, values in plain.items()}
-            for name in ("set", "grams", "levels"):
-                row[name] = columns[name][i].values.to_numpy(zero_copy_only=False).copy()
+            row["set"] = columns["set"][i].values.to_numpy(zero_copy_only=False).copy()
             rows.append(row)
     if rows:
         yield links()
@@ -343,20 +362,40 @@ def _size_bin(t: Threshold):
 
 def _clusters(entries: DataFrame, t: Threshold, work: Workspace, list_nodes: int) -> DataFrame:
     """``node, component``: components of the candidates among the nodes of each gram's list."""
-    lists = entries.select("node", "n", F.explode("grams").alias("gram"))
-    held = work.save(lists.groupBy("gram").count().where("count > 1"), "held")
-    long = small_side(work.save(held.where(F.col("count") > list_nodes).select("gram"), "long"))
-    short = (entries.select("node", "n", "matches", "grams", "levels", F.explode("grams").alias("gram"))
-             .join(long, "gram", "left_anti").repartition("gram").sortWithinPartitions("gram"))
-    # Those too long for that: a star in each bin of sizes, and the centres of bins that follow each other.
-    binned = lists.join(long, "gram").select("gram", "node", _size_bin(t))
-    heads = work.save(binned.groupBy("gram", "bin").agg(F.min("node").alias("a")), "heads")
+    compared = ["gram", "node", "family", "n", "matches", "prefix"]
+    kind = "a long, b long"
+
+    def links(lists: DataFrame) -> DataFrame:
+        return (lists.select(*compared).repartition("gram").sortWithinPartitions("gram")
+                .mapInArrow(lambda x: _candidates(x, t), kind))
+
+    def long_of(lists: DataFrame, name: str) -> DataFrame:
+        return small_side(work.save(lists.groupBy("gram").count().where(F.col("count") > list_nodes).select("gram"), name))
+
+    probed = entries.select("*", F.col("node").alias("family"), F.explode("probes").alias("gram"))
+    probed = probed.join(long_of(probed, "long-probed"), "gram", "left_anti")
+    edges = work.save(links(probed), "probed")
+    families = work.save(components(edges, work, "families"), "families-found")
+
+    # Lists again, without those where nodes of like sizes are all of one family.
+    known = work.save(entries.join(families, "node", "left").select(
+        "node", "n", "matches", "prefix", "first", F.coalesce("component", "node").alias("family"), _size_bin(t)), "known")
+    listed = known.select("node", "family", "bin", F.explode("first").alias("gram"))
+    met = listed.groupBy("gram", "bin").agg(F.min("family").alias("least"), F.max("family").alias("most"))
+    around = met.select("gram", "least", "most", F.explode(F.array(*(F.col("bin") + i for i in (-1, 0, 1)))).alias("bin"))
+    mixed = work.save(around.groupBy("gram", "bin").agg(F.min("least").alias("least"), F.max("most").alias("most"))
+                      .where("least <> most").select("gram", "bin"), "mixed")
+    listed = work.save(listed.join(mixed, ["gram", "bin"]), "listed")
+    long = long_of(listed, "long")
+    short = listed.join(long, "gram", "left_anti").select("gram", "node").join(known.drop("first"), "node")
+    # Those too long to compare: a star in each bin of sizes, and the centres of bins that follow each other.
+    binned = listed.join(long, "gram").select("gram", "bin", "family")
+    heads = work.save(binned.groupBy("gram", "bin").agg(F.min("family").alias("a")), "heads")
     after = heads.select("gram", (F.col("bin") - 1).alias("bin"), F.col("a").alias("b"))
-    edges = (short.mapInArrow(lambda x: _candidates(x, t), "a long, b long")
-             .unionByName(binned.join(small_side(heads), ["gram", "bin"]).select("a", F.col("node").alias("b")))
-             .unionByName(heads.join(after, ["gram", "bin"]).select("a", "b")))
-    found = components(edges, work, "clusters")
-    work.drop("held", "long", "heads")
+    more = (links(short).unionByName(binned.join(small_side(heads), ["gram", "bin"]).select("a", F.col("family").alias("b")))
+            .unionByName(heads.join(after, ["gram", "bin"]).select("a", "b")))
+    found = components(edges.unionByName(work.save(more, "more")), work, "clusters")
+    work.drop("probed", "long-probed", "families-found", "known", "mixed", "listed", "long", "heads", "more")
     return found
 
 
@@ -436,14 +475,14 @@ class JaccardJoin:
         # Sets that go on to verification.
         self.verified = clusters.count()
         units = work.save(_units(entries, clusters, t, work, self.unit_grams), "units")
-        wanted = work.save(entries.join(units, "node"), "wanted")
+        wanted = work.save(entries.drop("first", "probes").join(units, "node"), "wanted")
         ids = small_side(work.save(wanted.select("doc_id", "node"), "wanted_ids"))
         sets = (docs.join(ids, "doc_id").mapInArrow(
             lambda x: _sets(x, words), "doc_id long, node long, set array<long>")
             .dropDuplicates(["node"]).drop("doc_id"))
-        dealt = (wanted.join(sets, "node")
-                 .select("node", "n", "matches", "grams", "levels", "set", F.explode("units").alias("u"))
-                 .select("node", "n", "matches", "grams", "levels", "set", "u.unit", "u.side")
+        dealt = (wanted.drop("doc_id").join(sets, "node")
+                 .select("node", "n", "matches", "prefix", "set", F.explode("units").alias("u"))
+                 .select("node", "n", "matches", "prefix", "set", "u.unit", "u.side")
                  .repartition("unit").sortWithinPartitions("unit"))
         self.links = work.save(dealt.mapInArrow(lambda x: _verified(x, t, all_links),
                                                 "a long, b long, shared long"), "links")
