@@ -146,7 +146,8 @@ ORDER_DETAIL = (LINE + " " + ORDER.removeprefix("id ")
                 + " activity_id activity_rule_id coupon_id coupon_use_id").split()
 
 
-def shape_order_detail(rows: DataFrame, dictionary: DataFrame | None = None) -> DataFrame:
+def shape_order_detail(rows: DataFrame, dictionary: DataFrame | None = None,
+                       keep: tuple[str, ...] = ()) -> DataFrame:
     """The published columns, and four more that the payment job reads."""
     if dictionary is None:
         named = rows.withColumn("source_type_name", F.lit(None).cast("string"))
@@ -154,7 +155,7 @@ def shape_order_detail(rows: DataFrame, dictionary: DataFrame | None = None) ->
         named = joins.lookup_join(rows, dictionary, "source_type", "source_type_name", "left")
     return named.select(
         *ORDER_DETAIL, scalars.format_day(F.col("create_time")).alias("date_id"),
-        "source_type_name", "split_original_amount", "ts")
+        "source_type_name", "split_original_amount", "ts", *keep)
 
 
 def dwd_order_detail(log: DataFrame, dictionary: DataFrame | None = None,

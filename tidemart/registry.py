@@ -752,21 +752,15 @@ def stream_order_cancel(spark, d):
 
 @query
 def state_ttl(spark, d):
-    """Lines with the state of the left joins kept for 910 seconds, over a log in order. Last
-    come messages far in the future, so that no line stays in the state."""
+    """Lines with the state of the left joins kept for 910 seconds, over a log in order."""
     raw = feeds.union(feeds.order_details(spark, d),
                       feeds.detail_activities(spark, d), feeds.detail_coupons(spark, d))
-    end = [f'{{"database":"shop","table":"{t}","type":"insert","ts":4000000000,"data":{{"{k}":"end"}}}}'
-           for t, k in (("order_detail", "id"), ("order_detail_activity", "order_detail_id"),
-                        ("order_detail_coupon", "order_detail_id"))]
-    log = change_log.read_change_log(
-        ordered_stream(spark, raw.select("value"), "in", json_number("$.ts"),
-                       last=messages_of(spark, raw.select("value").schema, *end)))
+    log = change_log.read_change_log(ordered_stream(spark, raw.select("value"), "in", json_number("$.ts")))
     table = KeyedTable(spark, session.shared_dir(spark, "fact"), ["id"])
-    finish(jobs.bounded_promotion_job(
+    finish(jobs.retracting_job(
         facts.order_lines(log), facts.activities(log), facts.coupons(log), table,
-        session.shared_dir(spark, "ck"), timedelta(seconds=910), lambda b, keep: b))
-    return table.read().where("id <> 'end'").select("id", "activity_id", "coupon_id")
+        session.shared_dir(spark, "ck"), timedelta(seconds=910)))
+    return table.read().select("id", "activity_id", "coupon_id")
 
 
 @query

@@ -20,6 +20,7 @@ from tidemart.plans import facts, warehouse
 from tidemart.sinks import writers
 from tidemart.sinks.keyed import REMOVED, KeyedTable
 from tidemart.sources import page_log, tables
+from tidemart.streaming import retracting
 from tidemart.schemas import ROUTE
 
 # Reads a side table as it is now.
@@ -105,19 +106,20 @@ def bounded_left_join(lines: DataFrame, activity: DataFrame, coupon: DataFrame,
     return wide.drop("line_time")
 
 
-def bounded_promotion_job(lines: DataFrame, activity: DataFrame, coupon: DataFrame,
-                          table: KeyedTable, checkpoint: str, ttl: timedelta,
-                          shape: Callable[[DataFrame, tuple[str, ...]], DataFrame]) -> StreamingQuery:
-    return upsert(bounded_left_join(lines, activity, coupon, ttl), table, checkpoint, shape)
+def retracting_job(lines: DataFrame, activity: DataFrame, coupon: DataFrame, table: KeyedTable, checkpoint: str,
+                   ttl: timedelta, shape: Callable[[DataFrame, tuple[str, ...]], DataFrame] = lambda rows, keep: rows.drop("retracts"),
+                   delay: str = "0 seconds") -> StreamingQuery:
+    """The retracting left joins with state for ``ttl``: lines reach the table at once, and again with each part."""
+    return upsert(retracting.retracting_join(lines, activity, coupon, ttl, delay), table, checkpoint, shape)
 
 
 def bounded_cancel_job(log: DataFrame, table: KeyedTable, checkpoint: str,
                        ttl: timedelta = timedelta(seconds=910)) -> StreamingQuery:
     """Cancellations in one query: three native joins, all with state for ``ttl``."""
     lines = bounded_order_join(facts.order_lines(log), facts.cancelled_orders(log), ttl)
-    return bounded_promotion_job(
-        lines, facts.activities(log), facts.coupons(log), table, checkpoint, ttl,
-        lambda b, keep: facts.shape_order_cancel(facts.take_order_time(b), keep))
+    joined = bounded_left_join(lines, facts.activities(log), facts.coupons(log), ttl)
+    return upsert(joined, table, checkpoint,
+                  lambda b, keep: facts.shape_order_cancel(facts.take_order_time(b), keep))
 
 
 def pay_job(log: DataFrame, order_detail: DataFrame, dictionary: Snapshot, table: KeyedTable,
