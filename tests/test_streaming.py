@@ -235,7 +235,7 @@ def test_traffic_state_over_batches(spark, small, tmp_path):
     got = spark.read.option(
         "basePath", out).text(f"{out}/batch=*/output=*").drop("batch")
     assert rows(got) == rows(registry.dwd_traffic_log(spark, small))
-    assert sorted(p.name for p in (tmp_path / "visits/base").iterdir()) == ["upto=1", "upto=3"]
+    assert len(visits.version().runs) <= 2
     assert visits.read().count() == visits.rows().count()
 
 

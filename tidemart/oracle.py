@@ -485,6 +485,7 @@ FROM customer""",
     "watermark_bounded": KEYWORD_COUNTS,
     "watermark_monotonous": SQL["emp_dept_interval"],
     "stream_traffic_log": SQL["dwd_traffic_log"],
+    "stream_pay_success": SQL["dwd_pay_success"],
     "stream_refund": SQL["dwd_order_refund"],
     "stream_refund_pay": SQL["dwd_refund_pay_success"],
     "stream_comment_info": SQL["dwd_comment_info"],

@@ -548,7 +548,7 @@ def upsert_by_key(spark, d):
     events = feeds.table(spark, d, "events").select(
         "user_id", "event_id", "event_type", feeds.money("value").alias("value"), "ts")
     table = KeyedTable(spark, session.shared_dir(spark, "upsert"), ["user_id"])
-    day = F.dayofmonth("ts")
+    day = F.coalesce(F.dayofmonth("ts"), F.lit(0))
     for number, part in enumerate((day > 20, (day > 10) & (day <= 20), day <= 10)):
         table.merge(events.where(part).drop("ts"), number, [F.col("event_id")])
     return table.read()
@@ -662,8 +662,9 @@ def stream_of(spark: SparkSession, raw: DataFrame, purpose: str, **options: str)
         landed(spark, raw, purpose))
 
 
-# Files that a micro-batch takes at most, and slices of the input, each of so many files.
-FILES, SLICES = 4, 4
+# Files that a micro-batch takes at most. An ordered input is cut into slices of so many files, as many
+# slices as keep each below so many bytes, and four at least.
+FILES, SLICES, SLICE_BYTES = 4, 4, 256 * 1024 * 1024
 BOUNDED = {"maxFilesPerTrigger": str(FILES)}
 
 
@@ -671,19 +672,19 @@ def ordered_stream(spark: SparkSession, raw: DataFrame, purpose: str, place: Col
                    bounds: list[float] | None = None, last: DataFrame | None = None) -> DataFrame:
     """Raw messages as a stream that meets them in order, a slice of them in each micro-batch.
 
-    Slices are cut by ``place`` and written one after another, as a log's segments are. ``last``
-    are messages that end the input.
+    The messages are landed once; slices are cut by ``place`` and written one after another, as a
+    log's segments are. Messages without a place come first. ``last`` are messages that end the input.
     """
     path = session.shared_dir(spark, purpose)
-    placed = raw.withColumn("_place", place)
-    bounds = bounds if bounds is not None else quantiles(placed)
+    placed = placed_messages(spark, raw, purpose, place)
+    bounds = bounds if bounds is not None else quantiles(spark, placed)
     edges = [None, *bounds, None]
     for low, high in zip(edges, edges[1:], strict=False):
         keep = F.lit(True)
         if low is not None:
             keep = keep & (F.col("_place") > low)
         if high is not None:
-            keep = keep & (F.col("_place") <= high)
+            keep = keep & ((F.col("_place") <= high) | (F.col("_place").isNull() if low is None else F.lit(False)))
         part = placed.where(keep).drop("_place")
         part.repartition(FILES).write.mode("append").parquet(path)
     if last is not None:
@@ -691,8 +692,16 @@ def ordered_stream(spark: SparkSession, raw: DataFrame, purpose: str, place: Col
     return spark.readStream.schema(raw.schema).options(**BOUNDED).parquet(path)
 
 
-def quantiles(placed: DataFrame) -> list[float]:
-    return placed.approxQuantile("_place", [i / SLICES for i in range(1, SLICES)], 0.01)
+def placed_messages(spark: SparkSession, raw: DataFrame, purpose: str, place: Column) -> DataFrame:
+    """Messages landed with their ``_place``."""
+    return spark.read.parquet(landed(spark, raw.withColumn("_place", place), f"{purpose}-placed"))
+
+
+def quantiles(spark: SparkSession, placed: DataFrame) -> list[float]:
+    """Places at which landed messages are cut into slices of bounded size."""
+    folder = placed.inputFiles()[0].rpartition("/")[0]
+    slices = max(SLICES, -(-session.input_bytes(spark, folder) // SLICE_BYTES))
+    return sorted(set(placed.approxQuantile("_place", [i / slices for i in range(1, slices)], 0.01 * SLICES / slices)))
 
 
 def json_number(path: str) -> Column:
@@ -785,7 +794,7 @@ def watermark_monotonous(spark, d):
     emps, depts = feeds.employee_lines(spark, d), feeds.department_lines(spark, d)
     place = F.element_at(F.split("value", ","), -1).cast("double")
     # Both logs are cut at the same times, so that neither runs ahead of the other.
-    bounds = quantiles(depts.withColumn("_place", place))
+    bounds = quantiles(spark, placed_messages(spark, depts, "in", place))
 
     def lines(raw: DataFrame, schema) -> DataFrame:
         return tables.with_event_ms(tables.parse_csv_lines(
@@ -810,6 +819,22 @@ def stream_traffic_log(spark, d):
     return spark.read.text(out).select("output", "value")
 
 
+@query
+def stream_pay_success(spark, d):
+    """Order lines kept in an upsert table by four batches and compacted twice; then its changes, as a
+    stream, meet the payments."""
+    lines = KeyedTable(spark, session.shared_dir(spark, "lines"), ["id"], compact_every=2)
+    rows = _order_line_facts(spark, d).drop("row_time")
+    for number in range(4):
+        lines.merge(rows.where(F.pmod(F.xxhash64("id"), F.lit(4)) == number), number)
+    raw = feeds.payment_updates(spark, d)
+    log = change_log.with_event_time(change_log.read_change_log(ordered_stream(spark, raw, "in", json_number("$.ts"))))
+    table = KeyedTable(spark, session.shared_dir(spark, "fact"), ["order_detail_id"])
+    finish(jobs.pay_job(log, jobs.fact_stream(spark, lines, schemas.ORDER_LINE_FACT),
+                        lambda: feeds.dictionary(spark, d), table, session.shared_dir(spark, "ck")))
+    return table.read()
+
+
 @query
 def stream_refund(spark, d):
     """Refund requests; the order they are joined with changes twice within a second."""

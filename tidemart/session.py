@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -26,9 +27,19 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings to a session that somebody else built."""
     for name, value in RUNTIME_CONF.items():
         spark.conf.set(name, value)
+    importable(spark)
     return spark
 
 
+def importable(spark: SparkSession) -> None:
+    """Let Python workers find this package where the driver has found it."""
+    here = str(Path(__file__).resolve().parents[1])
+    environment = spark.sparkContext.environment
+    paths = environment.get("PYTHONPATH", "")
+    if here not in paths.split(":"):
+        environment["PYTHONPATH"] = f"{paths}:{here}".lstrip(":")
+
+
 def build_session(app: str = "tidemart", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:

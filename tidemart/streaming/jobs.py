@@ -19,7 +19,7 @@ from tidemart.operators import latest, traffic
 from tidemart.plans import facts, warehouse
 from tidemart.sinks import writers
 from tidemart.sinks.keyed import REMOVED, KeyedTable
-from tidemart.sources import page_log, tables
+from tidemart.sources import page_log, table_feed, tables
 from tidemart.streaming import retracting
 from tidemart.schemas import ROUTE
 
@@ -220,11 +220,11 @@ def emp_dept_job(employees: DataFrame, departments: DataFrame, path: str, checkp
     return writers.stream_append_table(pairs, path, checkpoint)
 
 
-def fact_stream(spark, table: KeyedTable, schema: T.StructType, **options: str) -> DataFrame:
-    """Re-reads the changes of an upsert table as an append stream with event time.
+def fact_stream(spark, table: KeyedTable, schema: T.StructType, delay: str = "0 seconds") -> DataFrame:
+    """The changes of an upsert table as an append stream with event time.
 
     Each upsert is a new row, as in a compacted topic read from its start.
     """
-    rows = spark.readStream.schema(schema).options(**options).parquet(f"{table.path}/changes/*")
+    rows = table_feed.read_table_feed(spark, table.path, schema)
     return rows.withColumn(
-        "row_time", epoch_seconds_to_timestamp(F.col("ts"))).withWatermark("row_time", "0 seconds")
+        "row_time", epoch_seconds_to_timestamp(F.col("ts"))).withWatermark("row_time", delay)
