@@ -491,5 +491,16 @@ FROM customer""",
     "stream_comment_info": SQL["dwd_comment_info"],
     "stream_changes": SQL["snapshot_changelog_table"],
     "stream_dims": SQL["dim_tables"],
+    "stream_dims_as_of": f"""WITH {DIMENSIONS}, halves AS (
+  SELECT 1700000000 + (SELECT max(c_custkey) // 2 FROM customer) AS users,
+    1700000000 + (SELECT max(s_suppkey) // 2 FROM supplier) AS shops),
+routed AS (
+  SELECT CASE WHEN tbl = 'user_info' AND ts >= users THEN 'dim_user_new' ELSE 'dim_' || tbl END AS sink_table, pk AS row_key,
+    CASE WHEN tbl = 'user_info' AND ts >= users THEN left(dim, len(dim) - 1) || ',"segment"' || split_part(fact, ',"segment"', 2)
+      ELSE dim END AS payload, ts, place
+  FROM dimensions, halves
+  WHERE kind NOT IN ('bootstrap-start', 'bootstrap-complete') AND (tbl <> 'shop_info' OR ts < shops))
+SELECT sink_table, row_key, payload FROM routed
+QUALIFY row_number() OVER (PARTITION BY sink_table, row_key ORDER BY ts DESC, place DESC) = 1""",
     "stream_routes": SQL["apply_config_changes"],
 }

@@ -886,6 +886,43 @@ def stream_dims(spark, d):
         "sink_table", "row_key", scalars.map_to_json(F.col("payload")).alias("payload"))
 
 
+def _route_feed(spark, d):
+    """The configuration's change feed: its first read; half-way through the customers' log their table gets
+    another destination and more columns; half-way through the shops' log their route is deleted."""
+    known = spark.sql(ROUTES).where("sink_type = 'dim'")
+    row = F.struct(*known.columns)
+
+    def half(name: str, column: str) -> int:
+        return 1_700_000_000 + feeds.table(spark, d, name).agg(F.max(column)).first()[0] // 2
+
+    def record(rows, op, at, before=None, after=None):
+        empty = F.lit(None).cast(rows.select(row.alias("r")).schema["r"].dataType)
+        return rows.select(F.to_json(F.struct(
+            (empty if before is None else before).alias("before"), (empty if after is None else after).alias("after"),
+            F.lit(op).alias("op"), F.lit(at * 1000).alias("ts_ms"))).alias("value"))
+
+    users, shops = known.where("source_table = 'user_info'"), known.where("source_table = 'shop_info'")
+    new = F.struct(*(F.lit({"sink_table": "dim_user_new", "sink_columns": "id,name,province_id,segment"}[c]).alias(c)
+                     if c in ("sink_table", "sink_columns") else F.col(c) for c in known.columns))
+    return (record(known, "r", 1_800_000_000, after=row)
+            .unionByName(record(users, "u", half("customer", "c_custkey"), before=row, after=new))
+            .unionByName(record(shops, "d", half("supplier", "s_suppkey"), before=row)))
+
+
+@query
+def stream_dims_as_of(spark, d):
+    """Dimension rows under the routes of their own time, though all changes of the routes came before."""
+    history = KeyedTable(spark, session.shared_dir(spark, "routes"), routing.HISTORY_KEYS)
+    feed = stream_of(spark, _route_feed(spark, d), "feed")
+    finish(jobs.route_history_job(feed, routing.DIM, history, session.shared_dir(spark, "ck")))
+    table = KeyedTable(spark, session.shared_dir(spark, "dims"), ["sink_table", "row_key"])
+    finish(jobs.dim_job(
+        change_log.read_change_log(stream_of(spark, feeds.dimension_rows(spark, d), "in", **BOUNDED)),
+        lambda: routing.route_versions(history.read(), routing.DIM), table, session.shared_dir(spark, "ck")))
+    return table.read().select(
+        "sink_table", "row_key", scalars.map_to_json(F.col("payload")).alias("payload"))
+
+
 @query
 def stream_routes(spark, d):
     """Routing rows kept current; the files of the feed come in no order."""

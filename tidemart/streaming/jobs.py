@@ -1,7 +1,8 @@
 """Structured Streaming jobs. Each takes streams and returns its started query or queries.
 
 Joins and windows run as native stateful operators (state in RocksDB, checkpointed). What must
-be looked up as it is now, dictionaries and routing rows, is read again in each micro-batch.
+be looked up as it is now, dictionaries and routing rows, is read again in each micro-batch; routes
+that know when they held (``route_history_job``) are met by each message at its own time.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemart.functions.scalars import epoch_seconds_to_timestamp
-from tidemart.operators import latest, traffic
+from tidemart.operators import latest, routing, traffic
 from tidemart.plans import facts, warehouse
 from tidemart.sinks import writers
 from tidemart.sinks.keyed import REMOVED, KeyedTable
@@ -161,6 +162,14 @@ def routes_job(feed: DataFrame, sink_type: str, table: KeyedTable, checkpoint: s
     return changes_job(own, table, checkpoint)
 
 
+def route_history_job(feed: DataFrame, sink_type: str, table: KeyedTable, checkpoint: str) -> StreamingQuery:
+    """Keep every change of the routing rows; ``routing.route_versions`` of the table are routes that know
+    when they held. The table's keys are ``routing.HISTORY_KEYS``."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        table.merge(routing.route_writes(tables.read_table_changes(batch, ROUTE), sink_type), batch_id)
+    return writers.start(feed, write, checkpoint)
+
+
 def simple_facts_job(log: DataFrame, routes: Snapshot, path: str, checkpoint: str) -> StreamingQuery:
     """Configured facts below the directory of their destination."""
     write = writers.batches_by_destination(path, "sink_table")
