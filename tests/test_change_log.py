@@ -228,7 +228,7 @@ def test_dictionary_match_equals_brute_force(spark):
 def test_finest_words(spark):
     rows = spark.createDataFrame([(1, "Java程序员 好 v2")], "id int, text string")
     vocabulary = spark.createDataFrame([("程序",), ("程序员",)], "word string")
-    got = keywords.keyword_finest(rows, "text", ["id"], vocabulary)
+    got = keywords.keyword_finest(rows, "text", vocabulary)
     assert sorted(r.word for r in got.collect()) == sorted(["java", "程序", "程序员", "好", "v2"])
 
 

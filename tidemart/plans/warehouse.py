@@ -21,16 +21,21 @@ def dwd_traffic_log(parsed: DataFrame, arrival: str) -> DataFrame:
     return traffic.log_split(traffic.visitor_flag_repair(parsed, arrival))
 
 
-def search_words(page_view: DataFrame) -> DataFrame:
-    """Words of all searches with their event time."""
+def search_words(page_view: DataFrame, dictionary: DataFrame | None = None) -> DataFrame:
+    """Words of all searches with their event time; with a dictionary (a batch only) the finest ones."""
     found = predicates.searches(page_view).select(F.col("page")["item"].alias("item"), "rt")
+    if dictionary is not None:
+        return keywords.keyword_finest(found, "item", dictionary)
     return keywords.keyword_split(found, "item")
 
 
-def dws_keyword_window(page_view: DataFrame, width: str = "10 seconds") -> DataFrame:
+def dws_keyword_window(page_view: DataFrame, width: str = "10 seconds", dictionary: DataFrame | None = None) -> DataFrame:
     """Searched words per window. ``ts`` is the second of the write."""
-    return keywords.keyword_tumbling_count(search_words(page_view), width=width).withColumn(
-        "ts", scalars.write_second())
+    return word_windows(search_words(page_view, dictionary), width)
+
+
+def word_windows(words: DataFrame, width: str = "10 seconds") -> DataFrame:
+    return keywords.keyword_tumbling_count(words, width=width).withColumn("ts", scalars.write_second())
 
 
 def current_routes(feed: DataFrame, sink_type: str) -> DataFrame:

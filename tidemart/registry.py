@@ -581,7 +581,7 @@ def keyword_finest(spark, d):
     words = keywords.keyword_split(turns.where("role <> 'user'").select("text"), "text").distinct()
     path = session.shared_dir(spark, "dictionary")
     words.write.parquet(path)
-    return keywords.keyword_finest(said, "text", ["conv_id", "turn"], spark.read.parquet(path))
+    return keywords.keyword_finest(said, "text", spark.read.parquet(path))
 
 
 # Sinks: written below the shared folder and read back

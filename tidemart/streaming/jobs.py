@@ -222,6 +222,23 @@ def keyword_job(page_view: DataFrame, write: writers.BatchWriter, checkpoint: st
     return writers.start(warehouse.dws_keyword_window(page_view), write, checkpoint)
 
 
+def fine_words_job(page_view: DataFrame, dictionary: Snapshot, path: str, checkpoint: str) -> StreamingQuery:
+    """Finest words of the searches with their event time, to files that the window job reads.
+
+    Each micro-batch reads the dictionary anew; a batch that is repeated replaces its own directory.
+    """
+    searched = page_view.select("page", "rt")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        warehouse.search_words(batch, dictionary()).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+    return writers.start(searched, write, checkpoint)
+
+
+def fine_keyword_job(words: DataFrame, write: writers.BatchWriter, checkpoint: str) -> StreamingQuery:
+    """Closed windows of words that another query has made; ``words`` has ``rt`` with its watermark."""
+    return writers.start(warehouse.word_windows(words), write, checkpoint)
+
+
 def emp_dept_job(employees: DataFrame, departments: DataFrame, path: str, checkpoint: str,
                  lower: timedelta = timedelta(milliseconds=-5),
                  upper: timedelta = timedelta(milliseconds=5)) -> StreamingQuery:
