@@ -202,7 +202,7 @@ def test_fact_route_needs_the_operation(spark):
                 message("a", "update", {"id": 2}))
     got = routing.fact_message(routing.fact_route(
         frame, routes(spark, route(source_type="insert", sink_type="dwd", sink_columns="id,name,ts"))))
-    assert [json.loads(r.value) for r in got.collect()] == [{"id": "1", "ts": "100"}]
+    assert [json.loads(r.value) for r in got.collect()] == [{"id": "1", "ts": 100}]
 
 
 def test_latest_per_key(spark):

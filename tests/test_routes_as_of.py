@@ -66,3 +66,15 @@ def test_two_messages_of_one_batch_meet_two_routes(spark, tmp_path):
     log = change_log.read_change_log(text_stream(spark, put(tmp_path / "log", [LOG])))
     finish(jobs.dim_job(log, lambda: routing.route_versions(history.read(), routing.DIM), table, str(tmp_path / "ck2")))
     assert sorted((r.sink_table, r.row_key) for r in table.read().collect()) == WANT
+
+
+def test_routed_facts_keep_their_json_types(spark):
+    data = {"id": 7, "price": 1.50, "name": "n", "paid": True, "note": None, "tags": ["a", 1], "ts": 5, "other": 1}
+    text = json.dumps({"database": "shop", "table": "t", "type": "insert", "ts": 300, "data": data})
+    routes = spark.createDataFrame([tuple(route("t", "dwd_t", "id,price,name,paid,note,tags,ts", "dwd", "insert").values())], ROUTE)
+    got = {}
+    for typed in (True, False):
+        log = change_log.read_change_log(frame(spark, [text]), typed=typed)
+        got[typed] = json.loads(warehouse.dwd_simple_facts(log, routes).first().value)
+    assert got[True] == {"id": 7, "price": 1.5, "name": "n", "paid": True, "tags": ["a", 1], "ts": 300}
+    assert got[False] == {"id": "7", "price": "1.5", "name": "n", "paid": "true", "tags": '["a",1]', "ts": 300}

@@ -104,7 +104,10 @@ def dim_route(log: DataFrame, routes: DataFrame, apply_deletes: bool = False) ->
 
 
 def fact_route(log: DataFrame, routes: DataFrame) -> DataFrame:
-    """Rows of configured facts, keyed by table and operation: pruned payload and ``ts``."""
+    """Rows of configured facts, keyed by table and operation: pruned payload and ``ts``.
+
+    The payload keeps its JSON types where the log has them (``typed``).
+    """
     validity, holds = _held(routes)
     config = routes.select(
         F.col("source_table").alias("_table"), F.col("source_type").alias("_type"),
@@ -113,14 +116,15 @@ def fact_route(log: DataFrame, routes: DataFrame) -> DataFrame:
         log, config, (F.col("table") == F.col("_table")) & (F.col("type") == F.col("_type")) & holds)
     return routed.select(
         "sink_table",
-        scalars.keep_listed(F.col("data"), F.col("sink_columns")).alias("payload"),
+        scalars.keep_listed(F.col("typed" if "typed" in log.columns else "data"), F.col("sink_columns")).alias("payload"),
         F.col("ts").try_cast("bigint").alias("ts"))
 
 
 def fact_message(routed: DataFrame) -> DataFrame:
-    """Destination and JSON text of routed facts: the payload's columns and ``ts``."""
+    """Destination and JSON text of routed facts: the payload's columns and ``ts``, a number."""
+    columns = F.transform_values(F.map_filter("payload", lambda k, v: k != "ts"), lambda k, v: v.cast("variant"))
     body = F.map_concat(
-        F.map_filter(scalars.without_nulls(F.col("payload")), lambda k, v: k != "ts"),
-        F.when(F.col("ts").isNotNull(), F.create_map(F.lit("ts"), F.col("ts").cast("string")))
-        .otherwise(F.create_map().cast("map<string,string>")))
+        F.map_filter(columns, lambda k, v: v.isNotNull() & ~F.is_variant_null(v)),
+        F.when(F.col("ts").isNotNull(), F.create_map(F.lit("ts"), F.col("ts").cast("variant")))
+        .otherwise(F.create_map().cast("map<string,variant>")))
     return routed.select("sink_table", F.to_json(body).alias("value"))

@@ -94,7 +94,7 @@ dimensions AS (
   SELECT 'base_region' AS tbl, unnest(['bootstrap-start', 'bootstrap-insert', 'bootstrap-complete']) AS kind,
     1700000000 AS ts, CAST(r_regionkey AS VARCHAR) AS id, CAST(r_regionkey AS VARCHAR) AS pk,
     '{"id":"' || r_regionkey || '","region_name":"' || r_name || '"}' AS dim,
-    '{"id":"' || r_regionkey || '"}' AS fact, 0 AS place FROM region
+    '{"id":' || r_regionkey || '}' AS fact, 0 AS place FROM region
   UNION ALL SELECT 'base_province', 'bootstrap-insert', 1700000000, CAST(n_nationkey AS VARCHAR),
     CAST(n_nationkey AS VARCHAR),
     '{"id":"' || n_nationkey || '","name":"' || n_name || '","region_id":"' || n_regionkey || '"}',
@@ -102,15 +102,15 @@ dimensions AS (
   UNION ALL SELECT 'user_info', 'insert', 1700000000 + c_custkey, CAST(c_custkey AS VARCHAR),
     CAST(c_custkey AS VARCHAR),
     '{"id":"' || c_custkey || '","name":"' || c_name || '","province_id":"' || c_nationkey || '"}',
-    '{"id":"' || c_custkey || '","name":"' || c_name || '","segment":"' || c_mktsegment || '"}', 0 FROM customer
+    '{"id":' || c_custkey || ',"name":"' || c_name || '","segment":"' || c_mktsegment || '"}', 0 FROM customer
   UNION ALL SELECT 'shop_info', 'insert', 1700000000 + s_suppkey, CAST(s_suppkey AS VARCHAR),
     CAST(s_suppkey AS VARCHAR),
     '{"id":"' || s_suppkey || '","name":"' || s_name || '"}', NULL, 0 FROM supplier
   UNION ALL SELECT 'base_brand', 'update', 1700000000 + p_partkey // 100, NULL, p_brand,
     '{"tm_id":"' || p_brand || '","tm_name":"' || p_name || '"}', NULL, p_partkey FROM part)"""
 
-COMMENT_FACT = """SELECT 'dwd_comment' AS sink_table, '{"id":"' || o_orderkey || '","user_id":"' || o_custkey
-    || '","appraise":"N' || (o_custkey % 30) || '"}' AS payload, CAST(epoch(o_orderdate) AS BIGINT) AS ts
+COMMENT_FACT = """SELECT 'dwd_comment' AS sink_table, '{"id":' || o_orderkey || ',"user_id":' || o_custkey
+    || ',"appraise":"N' || (o_custkey % 30) || '"}' AS payload, CAST(epoch(o_orderdate) AS BIGINT) AS ts
   FROM orders"""
 FACT_ROWS = f"""
   SELECT CASE tbl WHEN 'user_info' THEN 'dwd_user_register' END AS sink_table, fact AS payload,
@@ -438,7 +438,7 @@ FROM lines JOIN changed ON lines.order_id = changed.id AND code = '1006'
 JOIN requests ON lines.order_id = requests.order_id AND lines.sku_id = requests.sku_id
 JOIN dictionary ON dic_code = 'N' || (l_partkey % 30) WHERE l_returnflag = 'R'""",
     "dwd_simple_facts": f"""WITH {DIMENSIONS}, rows AS ({FACT_ROWS})
-SELECT sink_table, left(payload, len(payload) - 1) || ',"ts":"' || ts || '"}}' AS value FROM rows""",
+SELECT sink_table, left(payload, len(payload) - 1) || ',"ts":' || ts || '}}' AS value FROM rows""",
     "dim_tables": f"""WITH {DIMENSIONS}
 SELECT 'dim_' || tbl AS sink_table, pk AS row_key, dim AS payload FROM dimensions
 WHERE kind NOT IN ('bootstrap-start', 'bootstrap-complete')

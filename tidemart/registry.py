@@ -31,8 +31,8 @@ def query(function: Query) -> Query:
     return function
 
 
-def log_of(*raw: DataFrame) -> DataFrame:
-    return change_log.read_change_log(feeds.union(*raw))
+def log_of(*raw: DataFrame, typed: bool = False) -> DataFrame:
+    return change_log.read_change_log(feeds.union(*raw), typed=typed)
 
 
 def second_text(column: str) -> Column:
@@ -437,7 +437,7 @@ def dim_route(spark, d):
 
 @query
 def fact_route(spark, d):
-    log = predicates.without_bootstrap(log_of(feeds.dimension_rows(spark, d), feeds.comments(spark, d)))
+    log = predicates.without_bootstrap(log_of(feeds.dimension_rows(spark, d), feeds.comments(spark, d), typed=True))
     return routing.fact_route(log, routes(spark, routing.FACT)).select(
         "sink_table", scalars.map_to_json(F.col("payload")).alias("payload"), "ts")
 
@@ -519,7 +519,7 @@ def dwd_refund_pay_success(spark, d):
 
 @query
 def dwd_simple_facts(spark, d):
-    log = log_of(feeds.dimension_rows(spark, d), feeds.comments(spark, d))
+    log = log_of(feeds.dimension_rows(spark, d), feeds.comments(spark, d), typed=True)
     return warehouse.dwd_simple_facts(log, routes(spark, routing.FACT))
 
 
@@ -596,7 +596,7 @@ def write_topic(spark, d):
 @query
 def write_by_destination(spark, d):
     path = session.shared_dir(spark, "destinations")
-    log = log_of(feeds.dimension_rows(spark, d), feeds.comments(spark, d))
+    log = log_of(feeds.dimension_rows(spark, d), feeds.comments(spark, d), typed=True)
     writers.write_by_destination(
         warehouse.dwd_simple_facts(log, routes(spark, routing.FACT)), path)
     return spark.read.text(path).select("sink_table", "value")

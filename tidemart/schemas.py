@@ -22,6 +22,10 @@ CHANGE = T.StructType([
     T.StructField("old", TEXT_MAP),
 ])
 
+# The same with the payload's JSON types kept.
+CHANGE_TYPED = T.StructType([
+    T.StructField("data", T.MapType(T.StringType(), T.VariantType())) if f.name == "data" else f for f in CHANGE])
+
 # Page log. Maps keep fields that are not known in advance, and values keep their JSON types.
 VALUE_MAP = T.MapType(T.StringType(), T.VariantType())
 PAGE_LOG = T.StructType([

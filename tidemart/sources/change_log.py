@@ -23,19 +23,23 @@ def may_name(value: Column, tables: list[str]) -> Column:
     return keep
 
 
-def read_change_log(raw: DataFrame, tables: list[str] | None = None) -> DataFrame:
+def read_change_log(raw: DataFrame, tables: list[str] | None = None, typed: bool = False) -> DataFrame:
     """Typed envelope of each message; works on a batch and on a stream.
 
     Text that is no JSON object parses to an envelope of nulls, which no table filter keeps.
     With ``tables`` other messages are dropped before the costly parse. ``seq`` says which of two
     changes came later: by second, and within a second by the log's offset, or the topic's where
-    the message has none.
+    the message has none. ``typed`` adds the column ``typed``: the payload with its JSON types.
     """
     if tables:
         raw = raw.where(may_name(F.col("value"), tables))
     offset = F.coalesce("xoffset", "offset") if "offset" in raw.columns else F.col("xoffset")
     seq = F.struct(F.col("ts").try_cast("bigint").alias("second"), offset.alias("offset"))
-    return messages.parsed(raw, schemas.CHANGE).withColumn("seq", seq).drop("xoffset")
+    rows = messages.parsed(raw, schemas.CHANGE_TYPED if typed else schemas.CHANGE)
+    if typed:
+        as_text = F.transform_values("data", lambda k, v: v.cast("string"))
+        rows = rows.withColumns({"typed": F.col("data"), "data": as_text})
+    return rows.withColumn("seq", seq).drop("xoffset")
 
 
 def with_event_time(log: DataFrame, delay: str = "0 seconds") -> DataFrame:
