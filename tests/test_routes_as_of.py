@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidemart.operators import routing
 from tidemart.plans import warehouse
 from tidemart.schemas import ROUTE
+from tidemart.sinks.dimensions import DimensionTables
 from tidemart.sinks.keyed import KeyedTable
 from tidemart.sources import change_log, tables
 from tidemart.streaming import jobs
@@ -78,3 +79,31 @@ def test_routed_facts_keep_their_json_types(spark):
         got[typed] = json.loads(warehouse.dwd_simple_facts(log, routes).first().value)
     assert got[True] == {"id": 7, "price": 1.5, "name": "n", "paid": True, "tags": ["a", 1], "ts": 300}
     assert got[False] == {"id": "7", "price": "1.5", "name": "n", "paid": "true", "tags": '["a",1]', "ts": 300}
+
+
+def test_tables_come_with_their_routes_and_grow(spark, tmp_path):
+    """A route added mid-stream has its table before its first row; a column added later is null in earlier rows."""
+    dims, folder = DimensionTables(spark, str(tmp_path / "dims"), compact_every=2), tmp_path / "feed"
+    config = {"now": spark.createDataFrame([tuple(route("t", "dim_t").values())], ROUTE)}
+
+    def configure(*texts):
+        finish(jobs.dim_catalog_job(text_stream(spark, put(folder, [list(texts)])), dims, str(tmp_path / "ck")))
+
+    def write(*texts):
+        log = change_log.read_change_log(text_stream(spark, put(tmp_path / "log", [list(texts)])))
+        finish(jobs.dim_job(log, lambda: config["now"], dims.rows, str(tmp_path / "ck2")))
+
+    old, wide = route("t", "dim_t"), route("t", "dim_t", "id,name")
+    configure(change("r", 1, after=old))
+    assert dims.tables() == ["dim_t"] and dims.read("dim_t").columns == ["id"] and dims.read("dim_t").count() == 0
+    write(message("t", 50, "1"))
+    configure(change("u", 60_000, old, wide), change("c", 70_000, after=route("u", "dim_u", "id,x")))
+    assert dims.tables() == ["dim_t", "dim_u"] and dims.read("dim_u").count() == 0
+    config["now"] = spark.createDataFrame([tuple(wide.values()), tuple(route("u", "dim_u", "id,x").values())], ROUTE)
+    write(message("t", 100, "2"), message("u", 100, "9"))
+    assert sorted(map(tuple, dims.read("dim_t").collect())) == [("1", None), ("2", "n")]
+    assert [tuple(r) for r in dims.read("dim_u").collect()] == [("9", None)]
+    # The same row again, or one with fewer columns, makes no version; the key stays marked.
+    configure(change("u", 80_000, wide, wide), change("u", 90_000, wide, old))
+    assert [v.fieldNames() for v in dims.versions("dim_t")] == [["id"], ["id", "name"]]
+    assert dims.versions("dim_t")[-1]["id"].metadata == {"primary_key": True}

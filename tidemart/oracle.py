@@ -109,6 +109,17 @@ dimensions AS (
   UNION ALL SELECT 'base_brand', 'update', 1700000000 + p_partkey // 100, NULL, p_brand,
     '{"tm_id":"' || p_brand || '","tm_name":"' || p_name || '"}', NULL, p_partkey FROM part)"""
 
+# Dimension rows with the destination that held at their time.
+AS_OF = f"""WITH {DIMENSIONS}, halves AS (
+  SELECT 1700000000 + (SELECT max(c_custkey) // 2 FROM customer) AS users,
+    1700000000 + (SELECT max(s_suppkey) // 2 FROM supplier) AS shops),
+routed AS (
+  SELECT CASE WHEN tbl = 'user_info' AND ts >= users THEN 'dim_user_new' ELSE 'dim_' || tbl END AS sink_table, pk AS row_key,
+    CASE WHEN tbl = 'user_info' AND ts >= users THEN left(dim, len(dim) - 1) || ',"segment"' || split_part(fact, ',"segment"', 2)
+      ELSE dim END AS payload, ts, place
+  FROM dimensions, halves
+  WHERE kind NOT IN ('bootstrap-start', 'bootstrap-complete') AND (tbl <> 'shop_info' OR ts < shops))"""
+
 COMMENT_FACT = """SELECT 'dwd_comment' AS sink_table, '{"id":' || o_orderkey || ',"user_id":' || o_custkey
     || ',"appraise":"N' || (o_custkey % 30) || '"}' AS payload, CAST(epoch(o_orderdate) AS BIGINT) AS ts
   FROM orders"""
@@ -491,16 +502,18 @@ FROM customer""",
     "stream_comment_info": SQL["dwd_comment_info"],
     "stream_changes": SQL["snapshot_changelog_table"],
     "stream_dims": SQL["dim_tables"],
-    "stream_dims_as_of": f"""WITH {DIMENSIONS}, halves AS (
-  SELECT 1700000000 + (SELECT max(c_custkey) // 2 FROM customer) AS users,
-    1700000000 + (SELECT max(s_suppkey) // 2 FROM supplier) AS shops),
-routed AS (
-  SELECT CASE WHEN tbl = 'user_info' AND ts >= users THEN 'dim_user_new' ELSE 'dim_' || tbl END AS sink_table, pk AS row_key,
-    CASE WHEN tbl = 'user_info' AND ts >= users THEN left(dim, len(dim) - 1) || ',"segment"' || split_part(fact, ',"segment"', 2)
-      ELSE dim END AS payload, ts, place
-  FROM dimensions, halves
-  WHERE kind NOT IN ('bootstrap-start', 'bootstrap-complete') AND (tbl <> 'shop_info' OR ts < shops))
+    "stream_dims_as_of": f"""{AS_OF}
 SELECT sink_table, row_key, payload FROM routed
 QUALIFY row_number() OVER (PARTITION BY sink_table, row_key ORDER BY ts DESC, place DESC) = 1""",
+    "stream_dim_catalog": f"""{AS_OF},
+kept AS (SELECT sink_table, row_key, payload FROM routed
+  QUALIFY row_number() OVER (PARTITION BY sink_table, row_key ORDER BY ts DESC, place DESC) = 1),
+named(sink_table, columns, last) AS (VALUES
+  ('dim_base_region', 'id,region_name', 'region_name'), ('dim_base_province', 'id,name,region_id,area_code', 'area_code'),
+  ('dim_user_info', 'id,name,province_id', 'province_id'), ('dim_shop_info', 'id,name', 'name'),
+  ('dim_base_brand', 'tm_id,tm_name', 'tm_name'), ('dim_user_new', 'id,name,province_id,segment', 'segment'))
+SELECT sink_table, columns, count(row_key) AS n_rows,
+  count(*) FILTER (WHERE row_key IS NOT NULL AND contains(payload, '"' || last || '"')) AS n_last
+FROM named LEFT JOIN kept USING (sink_table) GROUP BY sink_table, columns, last""",
     "stream_routes": SQL["apply_config_changes"],
 }

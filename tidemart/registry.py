@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 from datetime import timedelta
 
@@ -13,6 +14,7 @@ from tidemart.functions import predicates, scalars
 from tidemart.operators import joins, keywords, latest, routing, traffic
 from tidemart.plans import facts, warehouse
 from tidemart.sinks import writers
+from tidemart.sinks.dimensions import DimensionTables
 from tidemart.sinks.keyed import KeyedTable
 from tidemart.sources import change_log, messages, page_log, tables
 from tidemart.streaming import jobs
@@ -923,6 +925,28 @@ def stream_dims_as_of(spark, d):
         "sink_table", "row_key", scalars.map_to_json(F.col("payload")).alias("payload"))
 
 
+@query
+def stream_dim_catalog(spark, d):
+    """Dimension tables that a stream of routing rows creates, filled under the routes of each message's time: their
+    columns, rows, and rows with a value in the last column."""
+    dims = DimensionTables(spark, session.shared_dir(spark, "dims"))
+    history = KeyedTable(spark, session.shared_dir(spark, "routes"), routing.HISTORY_KEYS)
+    feed = _route_feed(spark, d)
+    finish(jobs.dim_catalog_job(stream_of(spark, feed, "feed"), dims, session.shared_dir(spark, "ck")))
+    finish(jobs.route_history_job(stream_of(spark, feed, "feed"), routing.DIM, history, session.shared_dir(spark, "ck")))
+    finish(jobs.dim_job(
+        change_log.read_change_log(stream_of(spark, feeds.dimension_rows(spark, d), "in", **BOUNDED)),
+        lambda: routing.route_versions(history.read(), routing.DIM), dims.rows, session.shared_dir(spark, "ck")))
+
+    def described(name: str) -> DataFrame:
+        rows = dims.read(name)
+        return rows.agg(F.lit(name).alias("sink_table"), F.lit(",".join(rows.columns)).alias("columns"),
+                        F.count("*").alias("n_rows"), F.count(rows.columns[-1]).alias("n_last"))
+
+    parts = [described(name) for name in dims.tables()]
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
 @query
 def stream_routes(spark, d):
     """Routing rows kept current; the files of the feed come in no order."""

@@ -19,6 +19,7 @@ from tidemart.functions.scalars import epoch_seconds_to_timestamp
 from tidemart.operators import latest, routing, traffic
 from tidemart.plans import facts, warehouse
 from tidemart.sinks import writers
+from tidemart.sinks.dimensions import DimensionTables
 from tidemart.sinks.keyed import REMOVED, KeyedTable
 from tidemart.sources import page_log, table_feed, tables
 from tidemart.streaming import retracting
@@ -170,6 +171,16 @@ def route_history_job(feed: DataFrame, sink_type: str, table: KeyedTable, checkp
     return writers.start(feed, write, checkpoint)
 
 
+def dim_catalog_job(feed: DataFrame, dims: DimensionTables, checkpoint: str) -> StreamingQuery:
+    """Create or widen dimension tables as their routing rows come. Configuration rows are few; a micro-batch's
+    are met one by one, in their order."""
+    def write(batch: DataFrame, batch_id: int) -> None:
+        writes = routing.route_writes(tables.read_table_changes(batch, ROUTE), routing.DIM)
+        for route in writes.where("NOT ended").orderBy("seq", "sink_table").toLocalIterator():
+            dims.create(route)
+    return writers.start(feed, write, checkpoint)
+
+
 def simple_facts_job(log: DataFrame, routes: Snapshot, path: str, checkpoint: str) -> StreamingQuery:
     """Configured facts below the directory of their destination."""
     write = writers.batches_by_destination(path, "sink_table")
