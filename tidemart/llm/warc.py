@@ -26,6 +26,7 @@ from __future__ import annotations
 import hashlib
 import zlib
 from bisect import bisect_left
+import uuid
 from collections.abc import Iterator
 from decimal import Decimal
 from typing import NamedTuple
@@ -41,6 +42,8 @@ LEAST_REVISIT = 100
 FILE_BYTES = 256_000_000
 BLOCK_CAPTURES = 3_000
 READ_BYTES = 4_000_000
+# Bytes of records that one task reads.
+TASK_BYTES = 64 * 1024 * 1024
 _LEVEL = 4
 _NO_ID = 2**63 - 1
 
@@ -297,8 +300,14 @@ _RECORD_DDL = ("id long, url string, record_type string, refers_to long, payload
 
 
 def fetch(captures: DataFrame, work: Workspace, payloads: bool = True) -> DataFrame:
-    """The records of captures; digests of responses are computed from what was read."""
+    """The records of captures; digests of responses are computed from what was read.
+
+    References are small and records are not: the number of tasks follows from the records' bytes.
+    """
     folder = work.path("warc")
+    wanted = work.save(captures.select("file", "offset", "length"), f"wanted-{uuid.uuid4().hex}")
+    size = wanted.agg(F.sum("length")).first()[0] or 0
+    tasks = max(-(-size // TASK_BYTES), min(work.spark.sparkContext.defaultParallelism, -(-size // READ_BYTES)), 1)
 
     def read(spans):
         ranges = _Ranges()
@@ -321,7 +330,7 @@ def fetch(captures: DataFrame, work: Workspace, payloads: bool = True) -> DataFr
                     rows, size = [], 0
             yield pa.RecordBatch.from_pylist(rows, pa.schema(_RECORD))
 
-    return (captures.select("file", "offset", "length").repartitionByRange("file", "offset")
+    return (wanted.repartitionByRange(tasks, "file", "offset")
             .sortWithinPartitions("file", "offset").mapInArrow(run, _RECORD_DDL))
 
 
