@@ -9,8 +9,8 @@ score nothing. A document's score is a logistic function of the scores of its ma
 
 Insults are learned: whole words and stems (word beginnings) that labelled toxic documents hold far
 more often than others, with the log odds ratio as their weight. Grammar words are given below.
-Both fits use at most ``LABELLED_ROWS`` labelled rows, those with the least hashes of their ids;
-their lexicon holds at most ``LEXICON`` entries. All documents are scored, over whole texts.
+Both fits use at most ``LABELLED_ROWS`` labelled rows, those with the least hashes of their ids, and
+keep every entry that parts toxic from other documents clearly. All documents are scored, over whole texts.
 
 Defined results: a null text is an empty one, whose score is that of a document without matched
 clauses. Labels that are null are not used; of several labels of an id the greatest counts; labels
@@ -36,7 +36,6 @@ from pyspark.sql import types as T
 from tidemart.llm.common import Workspace
 
 LABELLED_ROWS = 20_000
-LEXICON = 2_000
 # Entries must part toxic from other documents by this many standard errors.
 LEAST_Z = 4.0
 _STEMS = range(4, 9)
@@ -177,7 +176,7 @@ def _lexicon(sample: DataFrame, toxic: int, clean: int) -> Lexicon:
         error = math.sqrt(1 / (a + 0.5) + 1 / (toxic - a + 0.5) + 1 / (b + 0.5) + 1 / (clean - b + 0.5))
         if odds >= 1.5 and odds / error >= LEAST_Z:
             scored.append((odds / error, odds, entry))
-    best = sorted(scored, reverse=True)[:LEXICON]
+    best = sorted(scored, reverse=True)
     return Lexicon({e[1:]: odds for _, odds, e in best if e[0] == "="},
                    {e: odds for _, odds, e in best if e[0] != "="})
 
