@@ -24,9 +24,9 @@ are percent-coded in keys and headers. Repeated rows give a record each. Empty t
 from __future__ import annotations
 
 import hashlib
+import uuid
 import zlib
 from bisect import bisect_left
-import uuid
 from collections.abc import Iterator
 from decimal import Decimal
 from typing import NamedTuple
