@@ -36,11 +36,17 @@ def brute(docs, items, window=dc.WINDOW):
         n = min(len(asked), window)
         usable = [a for a in range(len(asked) - n + 1) if n and sum(not k for k, _ in asked[a:a + n]) >= dc.LEAST_WORDS]
         for doc, texts in held.items():
-            ats, changed = set(), False
+            ats, changed, most = set(), False, 0
             for given in texts:
                 for shift in range(-len(asked), len(given)):
                     match = [a for a in usable if 0 <= a + shift and a + shift + n <= len(given) and all(
                         x[0] == y[0] and (x[0] or x[1] == y[1]) for x, y in zip(asked[a:a + n], given[a + shift:a + shift + n], strict=True))]
+                    literal = {a for a in match if not any(k for k, _ in asked[a:a + n])}
+                    for a in literal - {x + 1 for x in literal}:
+                        end = a
+                        while end + 1 in literal:
+                            end += 1
+                        most = max(most, end - a + n)
                     slots = {i for a in match for i in range(a, a + n) if asked[i][0]}
                     fills = {}
                     for i in slots:
@@ -48,8 +54,8 @@ def brute(docs, items, window=dc.WINDOW):
                         changed = changed or asked[i] != given[i + shift]
                     bad = any(len(x) > 1 for x in fills.values())
                     ats |= {a for a in match if not (bad and any(asked[i][0] for i in range(a, a + n)))}
-            if usable and len(ats) / len(usable) >= dc.LEAST_COVERAGE:
-                found.add((doc, item, len(ats), len(ats) / len(usable), changed))
+            if usable and (len(ats) / len(usable) >= dc.LEAST_COVERAGE or most >= dc.RUN):
+                found.add((doc, item, len(ats), len(ats) / len(usable), changed, most))
     return found
 
 
@@ -145,3 +151,35 @@ def test_case_and_white_space(spark, tmp_path):
     docs += [(30, textwrap.fill(CHANGED, 20)), (31, CHANGED.replace(" ", "  ")), (32, CHANGED.replace("Peter", "Anna").lower()),
              (33, TORN.replace(" ", "\n"))]
     assert query(spark, tmp_path, docs, items) == want | {(30, 1): True, (31, 1): True, (32, 1): True}
+
+
+def test_a_question_out_of_a_long_item(spark, tmp_path):
+    rng = random.Random(5)
+    passage = [" ".join("".join(rng.choices("abcdefgh", k=5)) for _ in range(60)) for _ in range(2)]
+    question = "which of the two rivers named in the text above was crossed by the army before the winter came"
+    items = [(1, f"{passage[0]}. {question}?"), (2, " ".join(["12 14"] * 10 + passage[1].split()[:40]))]
+    docs = [(10, f"Some words. {question.capitalize()}? More words."), (11, " ".join(question.split()[:13])), (12, " ".join(question.split()[:12])),
+            (13, " ".join(question.split()[:9] + ["not"] + question.split()[9:18])), (14, " ".join(passage[0].split()[20:45])),
+            (15, " ".join(["12 14"] * 8)), (None, question.upper())]
+    assert set(query(spark, tmp_path, docs, items)) == {(10, 1), (11, 1), (14, 1), (None, 1)}
+
+
+def test_short_items_stand_alone(spark, tmp_path):
+    items = [(1, "alpha"), (2, "Who was it? Anna."), (3, "2 + 2 = 4"), (4, "..."), (5, "Name the five great lakes")]
+    docs = [(10, "An alphabet of alpha."), (11, "The answer: Alpha! And on."), (12, "one\n  ALPHA \ntwo"), (13, "alpha"), (14, "alpha beta"),
+            (20, "Text.\nWho was it?  Anna.\nText."), (21, "Who was it? Anna went."), (30, "So 2 + 2 = 4 holds"), (31, "Sure: 2+2=4. Yes."),
+            (40, "..."), (50, "now name the five great lakes please"), (60, "x " * 50_000 + ". alpha. alpha."), (61, "Who was it")]
+    assert set(query(spark, tmp_path, docs, items)) == {(11, 1), (12, 1), (13, 1), (20, 2), (31, 3), (50, 5), (60, 1)}
+
+
+def test_documents_are_scanned_once(spark, tmp_path):
+    path = str(tmp_path / "docs")
+    spark.createDataFrame([(1, ITEM)], "doc_id long, text string").write.parquet(path)
+    items = spark.createDataFrame([(i, " ".join(PLAIN.split()[:i])) for i in range(1, 12)], "item_id long, text string")
+    work, saved = Workspace(spark, "leaks"), []
+    save = work.save
+    work.save = lambda frame, name: saved.append((name, frame._jdf.queryExecution().optimizedPlan().toString())) or save(frame, name)
+    dc.contaminated(spark.read.parquet(path), items, work, copies=True)
+    plan = dict(saved)["matches"]
+    # One relation is the documents, the other the windows.
+    assert plan.count("Relation [") == 2
