@@ -8,10 +8,12 @@ even size whatever the lines are. A shard is a minimal perfect hash, whose slot
 of fingerprints (the other half of the hash), of first documents and of counts. Keys of one
 document need no slot: their probes meet a foreign fingerprint.
 
-Documents are read again in blocks of ``BLOCK_CHARS``; a block's hashes are sorted by shard, so that
-it opens each shard once. Neither lines nor texts are shuffled or joined. A worker holds one block,
-and shards of up to ``HELD_BYTES`` between blocks. When the index outgrows that, a block reads all
-of it: larger blocks then trade memory for reads.
+An index of at most ``HELD_BYTES`` comes to the documents: they are read again in blocks of
+``BLOCK_CHARS``, a worker opens each shard once and keeps it, and nothing is shuffled. Beyond that the
+hashes go to the index: documents are written with a number for each row, a row of five numbers for
+every line goes to its line's shard, each shard is opened once and says which lines go, and a row's
+verdicts meet its text again by number. A shard asked for more than ``PROBES`` lines, as a frequent
+line makes it, is opened by so many tasks more. Both ways give the same results.
 
 Defined results: a null text is one empty line and comes back empty; ``\\n`` alone parts lines. A
 null id counts as one document, after all others. Rows that repeat an id are the same document. All
@@ -22,17 +24,16 @@ tables give empty tables.
 from __future__ import annotations
 
 import io
-from collections import OrderedDict
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemart.llm.common import Workspace
+from tidemart.llm.common import Workspace, small_side
 from tidemart.llm.perfect_hash import PerfectHash
 from tidemart.llm.shared_files import get, put
 
@@ -40,6 +41,7 @@ LEAST_CHARS = 10
 SHARD_KEYS = 500_000
 BLOCK_CHARS = 16_000_000
 HELD_BYTES = 64_000_000
+PROBES = 4_000_000
 
 _WHITE = b" \t\n\x0b\x0c\r"
 _NO_ID = np.iinfo(np.int64).max
@@ -106,7 +108,6 @@ def repeated_lines(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
 class _Shard:
     def __init__(self, data: bytes):
         arrays = np.load(io.BytesIO(data))
-        self.bytes = 3 * len(data) // 2
         self.hash = PerfectHash([arrays[f"level{i}"] for i in range(int(arrays["levels"]))])
         self.prints, self.first, self.counts = arrays["prints"], arrays["first"], arrays["counts"]
 
@@ -128,83 +129,96 @@ class _Shard:
 
 
 def _build(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
-    """Write the shards of a partition; its rows come sorted by shard."""
+    """Write the shards of a partition; its rows come sorted by shard. ``met`` is how often its lines occur."""
     held: list[pa.RecordBatch] = []
 
     def written(shard: int) -> pa.RecordBatch:
         rows = pa.Table.from_batches(held)
         lo, hi, first, n = (rows.column(c).to_numpy() for c in ("lo", "hi", "first", "n"))
         data = _Shard.packed(lo.view(np.uint64), hi.view(np.uint64), first, n)
-        return pa.record_batch([[shard], [put(folder, f"shard-{shard:06d}", data)]], names=["shard", "file"])
+        file = put(folder, f"shard-{shard:06d}", data).rsplit("/", 1)[1]
+        return pa.record_batch([pa.array([shard], pa.int32()), [file], [len(data)], [int(n.sum())]], names=["shard", "file", "bytes", "met"])
 
     current = None
+    for part in _by_shard(batches):
+        shard = part.column("shard")[0].as_py()
+        if held and shard != current:
+            yield written(current)
+            held.clear()
+        current = shard
+        held.append(part)
+    if held:
+        yield written(current)
+
+
+def _by_shard(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches sorted by shard, cut where the shard changes."""
     for batch in batches:
         shards = batch.column("shard").to_numpy()
         cuts = [0, *(np.flatnonzero(shards[1:] != shards[:-1]) + 1).tolist(), len(shards)]
-        for start, end in zip(cuts, cuts[1:], strict=False):
-            if start == end:
-                continue
-            if held and shards[start] != current:
-                yield written(int(current))
-                held.clear()
-            current = shards[start]
-            held.append(batch.slice(start, end - start))
-    if held:
-        yield written(int(current))
+        yield from (batch.slice(start, end - start) for start, end in zip(cuts, cuts[1:], strict=False) if start < end)
 
 
 class LineIndex:
-    """Where the shards lie; a row of this small list stands for ``SHARD_KEYS`` keys."""
+    """Where the shards lie: a written table of one row per shard, which holds ``SHARD_KEYS`` keys."""
 
-    def __init__(self, files: dict[int, str], shards: int):
-        self.files, self.shards = files, shards
+    def __init__(self, folder: str, directory: DataFrame, shards: int):
+        self.folder, self.directory, self.shards = folder, directory, shards
+        # Arrays in memory are somewhat larger than in their files.
+        self.bytes = 3 * (directory.agg(F.sum("bytes")).first()[0] or 0) // 2
 
     @classmethod
     def build(cls, keys: DataFrame, work: Workspace, shard_keys: int = SHARD_KEYS) -> LineIndex:
         """``keys`` is a written table, as ``repeated_lines`` gives it."""
         shards = max(1, -(-keys.count() // shard_keys))
-        dealt = (keys.withColumn("shard", (F.shiftrightunsigned("lo", 20) % shards).cast("int"))
+        dealt = (keys.withColumn("shard", _shard("lo", shards))
                  .repartition(shards, "shard").sortWithinPartitions("shard"))
         folder = work.path("shards")
-        built = dealt.mapInArrow(lambda x: _build(x, folder), "shard long, file string")
+        built = dealt.mapInArrow(lambda x: _build(x, folder), "shard int, file string, bytes long, met long")
         # Saved, so that one attempt's names are final.
-        return cls({r.shard: r.file for r in work.save(built, "directory").collect()}, shards)
+        return cls(folder, work.save(built, "directory"), shards)
+
+    def files(self) -> dict[int, str]:
+        """Shards by number, of an index that a worker can hold."""
+        return {r.shard: f"{self.folder}/{r.file}" for r in self.directory.select("shard", "file").collect()}
 
 
 class _Probe:
-    """Looks hashes up shard by shard; keeps the shards used last."""
+    """Looks hashes up shard by shard; keeps the shards."""
 
-    def __init__(self, index: LineIndex):
-        self.index, self.held, self.bytes = index, OrderedDict(), 0
+    def __init__(self, files: dict[int, str]):
+        self.files, self.held = files, {}
 
     def shard(self, number: int) -> _Shard:
-        if number in self.held:
-            self.held.move_to_end(number)
-            return self.held[number]
-        shard = _Shard(get(self.index.files[number]))
-        self.held[number] = shard
-        self.bytes += shard.bytes
-        while self.bytes > HELD_BYTES and len(self.held) > 1:
-            self.bytes -= self.held.popitem(last=False)[1].bytes
-        return shard
+        if number not in self.held:
+            self.held[number] = _Shard(get(self.files[number]))
+        return self.held[number]
 
     def first_of(self, numbers: np.ndarray, lo: np.ndarray, hi: np.ndarray):
         first, own = np.full(lo.size, -1, np.int64), np.zeros(lo.size, bool)
         order = np.argsort(numbers, kind="stable")
         cuts = np.flatnonzero(np.diff(numbers[order])) + 1
         for rows in np.split(order, cuts):
-            if rows.size and int(numbers[rows[0]]) in self.index.files:
+            if rows.size and int(numbers[rows[0]]) in self.files:
                 first[rows], own[rows] = self.shard(int(numbers[rows[0]])).first_of(lo[rows], hi[rows])
         return first, own
 
 
+def _shard(lo: str, shards: int) -> Column:
+    return (F.shiftrightunsigned(lo, 20) % shards).cast("int")
+
+
 def _shard_of(lo: np.ndarray, shards: int) -> np.ndarray:
     return (lo >> np.uint64(20)) % np.uint64(shards)
 
 
 def drop_repeated(docs: DataFrame, index: LineIndex, doc_id: str = "doc_id", text: str = "text",
                   least: int = LEAST_CHARS) -> DataFrame:
-    """Documents without the lines that an earlier document holds, with n_lines and n_dropped."""
+    """Documents without the lines that an earlier document holds, with n_lines and n_dropped.
+
+    For an index that a worker can hold: the shards come to the documents.
+    """
+    files, shards = index.files(), index.shards
     added = {"n_lines": pa.int64(), "n_dropped": pa.int64()}
     fields = [f for f in docs.schema if f.name not in added]
     schema = T.StructType([*fields, *(T.StructField(name, T.LongType()) for name in added)])
@@ -216,7 +230,7 @@ def drop_repeated(docs: DataFrame, index: LineIndex, doc_id: str = "doc_id", tex
         ids = [_NO_ID if x is None else x for x in block.column(at_id).to_pylist()]
         parts = [_hashes(x, least) for x in texts]
         lo, hi = _halves(b"".join(p[2] for p in parts))
-        first, own = probe.first_of(_shard_of(lo, index.shards), lo, hi)
+        first, own = probe.first_of(_shard_of(lo, shards), lo, hi)
         lengths = np.array([len(p[1]) for p in parts], np.int64)
         lost = own & (first != np.repeat(np.array(ids, np.int64), lengths))
         ends = np.cumsum(lengths)
@@ -224,15 +238,14 @@ def drop_repeated(docs: DataFrame, index: LineIndex, doc_id: str = "doc_id", tex
         dropped = sums[ends] - sums[ends - lengths]
         for i in np.flatnonzero(dropped):
             start = ends[i] - lengths[i]
-            gone = {parts[i][1][j] for j in np.flatnonzero(lost[start:ends[i]])}
-            texts[i] = "\n".join([x for j, x in enumerate(texts[i].split("\n")) if j not in gone])
+            texts[i] = _without(texts[i], {parts[i][1][j] for j in np.flatnonzero(lost[start:ends[i]])})
         columns = list(block.columns)
         columns[at_text] = pa.array([x or "" for x in texts], pa.string())
         return pa.record_batch([*columns, pa.array([p[0] for p in parts], pa.int64()),
                                 pa.array(dropped, pa.int64())], names=[*rest, *added])
 
     def run(batches):
-        probe = _Probe(index)
+        probe = _Probe(files)
         held, size = [], 0
         for batch in batches:
             for start in range(0, batch.num_rows, 1000):
@@ -248,10 +261,101 @@ def drop_repeated(docs: DataFrame, index: LineIndex, doc_id: str = "doc_id", tex
     return docs.select(*(F.col(f"`{name}`") for name in rest)).mapInArrow(run, schema)
 
 
+def _without(text: str, gone: set[int]) -> str:
+    return "\n".join([x for i, x in enumerate(text.split("\n")) if i not in gone])
+
+
+def _fresh_name(name: str, taken: list[str]) -> str:
+    while name in taken:
+        name += "_"
+    return name
+
+
+def _lines(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """A row of numbers for each line that may go."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, 1000):
+            part = batch.slice(start, 1000)
+            parts = [_hashes(x, least) for x in part.column(2).to_pylist()]
+            lengths = np.array([len(p[1]) for p in parts], np.int64)
+            lo, hi = _halves(b"".join(p[2] for p in parts))
+            ids = part.column(1).fill_null(_NO_ID).to_numpy()
+            yield pa.record_batch([np.repeat(part.column(0).to_numpy(), lengths), np.repeat(ids, lengths),
+                                   np.array([i for p in parts for i in p[1]], np.int32),
+                                   lo.view(np.int64), hi.view(np.int64)], names=["row", "doc", "at", "lo", "hi"])
+
+
+def dealt_lines(lines: DataFrame, index: LineIndex, total: int, probes: int = PROBES) -> DataFrame:
+    """Lines (row, doc, at, lo, hi) with their shard's file, in tasks of about ``probes`` lines of one shard.
+
+    ``total`` is how many lines there are at most. Lines that occur once are even over the shards, those of the
+    index are counted in its directory, so that a frequent line's shard is known beforehand.
+    """
+    met = index.directory.agg(F.sum("met")).first()[0] or 0
+    even = max(0, total - met) // index.shards
+    directory = index.directory.select("shard", "file", F.ceil((F.col("met") + even + 1) / probes).alias("pieces"))
+    tasks = directory.agg(F.sum("pieces")).first()[0] or 1
+    return (lines.withColumn("shard", _shard("lo", index.shards)).join(small_side(directory), "shard")
+            .withColumn("piece", F.pmod(F.xxhash64("row"), F.col("pieces")))
+            .repartition(int(tasks), "shard", "piece").sortWithinPartitions("shard"))
+
+
+def _lost(batches: Iterator[pa.RecordBatch], folder: str) -> Iterator[pa.RecordBatch]:
+    """Rows and positions of the lines that go; a task's lines come sorted by shard."""
+    file = shard = None
+    for part in _by_shard(batches):
+        if part.column("file")[0].as_py() != file:
+            file = part.column("file")[0].as_py()
+            shard = _Shard(get(f"{folder}/{file}"))
+        lo, hi, doc = (part.column(c).to_numpy() for c in ("lo", "hi", "doc"))
+        first, own = shard.first_of(lo.view(np.uint64), hi.view(np.uint64))
+        gone = own & (first != doc)
+        yield pa.record_batch([part.column(c).to_numpy()[gone] for c in ("row", "at")], names=["row", "at"])
+
+
+def drop_repeated_routed(docs: DataFrame, index: LineIndex, work: Workspace, doc_id: str = "doc_id",
+                         text: str = "text", least: int = LEAST_CHARS, probes: int = PROBES) -> DataFrame:
+    """As ``drop_repeated``, for an index of any size: the lines go to the shards."""
+    fields = [f for f in docs.schema if f.name not in ("n_lines", "n_dropped")]
+    rest = [f.name for f in fields]
+    row, gone, n = (_fresh_name(x, rest) for x in ("row", "gone", "n_lines"))
+    content = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    # Written, so that a row keeps its number.
+    rows = work.save(docs.select(*(F.col(f"`{c}`") for c in rest), F.monotonically_increasing_id().alias(row),
+                                 (F.char_length(content) - F.char_length(F.replace(content, F.lit("\n"), F.lit(""))) + 1)
+                                 .cast("long").alias(n)), "rows")
+    total = rows.agg(F.sum(n)).first()[0] or 0
+    lines = (rows.select(row, F.col(f"`{doc_id}`").cast("long"), F.col(f"`{text}`"))
+             .mapInArrow(lambda x: _lines(x, least), "row long, doc long, at int, lo long, hi long"))
+    folder = index.folder
+    lost = dealt_lines(lines, index, total, probes).mapInArrow(lambda x: _lost(x, folder), "row long, at int")
+    # At most a number for each line of one text.
+    lost = work.save(lost.groupBy(F.col("row").alias(row)).agg(F.collect_list("at").alias(gone)), "lost")
+    schema = T.StructType([*fields, T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType())])
+    at_text = rest.index(text)
+
+    def cut(batches):
+        for batch in batches:
+            for start in range(0, batch.num_rows, 1000):
+                part = batch.slice(start, 1000)
+                lost = part.column(part.num_columns - 1).to_pylist()
+                texts = [_without(x, set(g)) if g else x or ""
+                         for x, g in zip(part.column(at_text).to_pylist(), lost, strict=True)]
+                columns = list(part.columns[:-1])
+                columns[at_text] = pa.array(texts, pa.string())
+                yield pa.record_batch([*columns, pa.array([len(g or ()) for g in lost], pa.int64())],
+                                      names=[*rest, "n_lines", "n_dropped"])
+
+    joined = rows.join(lost, row, "left").select(*(F.col(f"`{c}`") for c in rest), n, gone)
+    return joined.mapInArrow(cut, schema)
+
+
 def dedup_lines(docs: DataFrame, work: Workspace, doc_id: str = "doc_id", text: str = "text",
                 least: int = LEAST_CHARS) -> DataFrame:
     """Count, index and cut in one call; reads ``docs`` twice."""
     keys = work.save(repeated_lines(docs, doc_id, text, least), "line_keys")
     index = LineIndex.build(keys, work)
     work.drop("line_keys")
-    return drop_repeated(docs, index, doc_id, text, least)
+    if index.bytes <= HELD_BYTES:
+        return drop_repeated(docs, index, doc_id, text, least)
+    return drop_repeated_routed(docs, index, work, doc_id, text, least)
