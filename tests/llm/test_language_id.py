@@ -6,7 +6,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tidemart.llm import language_id
+from tidemart.llm import language_id, queries
 from tidemart.llm.common import Workspace
 
 WORDS = {"en": "the of and that with from house water street over night", "de": "der und die nicht mit auf haus straße über nacht",
@@ -27,7 +27,7 @@ def models(spark):
 
 def brute(rows, models):
     """The fusion, row by row, in plain numbers."""
-    langs = language_id.LANGUAGES
+    langs = models.languages
     likely = models.likelihoods(pa.array([r[1] for r in rows], pa.string()))
     chance = [None if x is None else np.exp(x) / np.exp(x).sum() for x in likely]
 
@@ -142,7 +142,33 @@ def test_languages_are_the_labels_met(spark):
     rows = [(text(rng, lang), lang) for lang in ("en", "de") for _ in range(80)]
     rows += [(" ".join(rng.choices("il della che con casa acqua strada notte sono anche".split(), k=30)), "it") for _ in range(80)]
     models = language_id.train(spark.createDataFrame([*rows, ("seldom met", "xx")], "text string, lang string"))
-    assert models.languages == ("en", "de", "it")
+    assert models.languages == ("en", "de", "it", "xx")
     given = [(1, "della casa che sono anche con acqua della strada", None, None, None, None)]
     got = language_id.identify(spark.createDataFrame(given, COLUMNS), models, Workspace(spark, "language")).collect()
     assert got[0].language == "it" and got[0].kept
+
+
+@pytest.mark.parametrize("n", [1, 49, 50])
+def test_few_rows_make_a_language(spark, n):
+    """A label's rows count from the first on; nothing changes at any number of them."""
+    rng = random.Random(4)
+    rows = [(text(rng, lang), lang) for lang in ("en", "de") for _ in range(300)]
+    italian = "il della che con casa acqua strada notte sono anche".split()
+    rows += [(" ".join(rng.choices(italian, k=60)), "IT-ch") for _ in range(n)]
+    models = language_id.train(spark.createDataFrame([*rows, ("the of and", "not a tag")], "text string, lang string"))
+    assert models.languages == ("en", "de", "it")
+    given = [(1, " ".join(rng.choices(italian, k=40)), None, None, None, None), (2, text(rng, "en"), None, None, None, None),
+             (3, FOREIGN[0], None, None, None, None)]
+    got = {r.doc_id: r for r in language_id.identify(
+        spark.createDataFrame(given, COLUMNS), models, Workspace(spark, "language")).collect()}
+    assert (got[1].language, got[2].language, got[2].kept, got[3].kept) == ("it", "en", True, False)
+
+
+def test_query_reports_rows_it_was_not_trained_on(spark, small):
+    folder = small.replace("sf0.001", "sf0.01")
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang")
+    told = queries.QUERIES["op6_language_id"](spark, folder)
+    rows = told.where("held_out").join(docs, "doc_id").collect()
+    assert 120 < len(rows) < 280 and told.where("page_id IS NOT NULL AND held_out").count() == 0
+    # By the text alone: no label of these rows, nor one declared by them, has a part in it.
+    assert np.mean([r.text_language == r.lang for r in rows if r.text_language]) >= 0.95

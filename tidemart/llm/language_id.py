@@ -11,9 +11,12 @@ For each row the log chances of every language are added up from
 
 The last three are learned from all rows at once: the texts' own posteriors are summed by declared
 language, suffix, domain and host in grouped aggregations, which sum up in each task first. Rows
-travel without their texts. The trigram models are counted over all labelled rows, in tables of a
-fixed size for each language. Languages are the labels met: those of ``LANGUAGES`` with any row, others
-with ``LEAST_ROWS`` rows. Where no label is met, all of ``LANGUAGES`` have even models.
+travel without their texts. The trigram models are counted over all rows given to ``train``, in tables
+of a fixed size for each language. Languages are all labels met that are language tags: two or three
+letters, whatever their case, with or without a region (``pt-BR`` is ``pt``), so there are 18,252 at most. A
+language of few rows is smoothed: each model counts ``BACKGROUND`` trigrams of all languages' mixture as its
+own. Where no label is met, all of ``LANGUAGES`` have even models. Who wants to know how well labels are met
+trains on a share of the rows (``training_share``) and looks at the others.
 
 A text must also fit some language: its mean log likelihood a trigram must reach that language's floor,
 which is taken from the labelled rows (their median less ``SPREADS`` times its distance to the twentieth
@@ -41,8 +44,10 @@ from tidemart.llm.common import Workspace, small_side
 LANGUAGES = ("en", "de", "fr", "es")
 TEXT_WEIGHT = 60.0
 LEAST_POSTERIOR = 0.5
-# Labelled rows that make a language of a label not named above.
-LEAST_ROWS = 50
+# Trigrams of all languages together that each language's model counts as its own.
+BACKGROUND = 2_000.0
+# One row in so many, by the hash of its key, is left out of a training share.
+HELD_OUT = 5
 SPREADS = 3.0
 LEAST_SPREAD = 0.2
 # Allowance in a text of n trigrams: SHORT / sqrt(n).
@@ -75,7 +80,8 @@ def _bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 class TrigramModels:
     def __init__(self, counts: np.ndarray, languages: Sequence[str] = LANGUAGES, floors: Sequence[float] | None = None):
-        smooth = counts + 0.5
+        together = counts.sum(axis=0)
+        smooth = counts + 0.5 + BACKGROUND * together / max(together.sum(), 1.0)
         self.logs = np.log(smooth / smooth.sum(axis=1, keepdims=True)).astype(np.float32)
         self.languages = tuple(languages)
         self.floors = np.full(len(self.logs), -np.inf) if floors is None else np.array(floors)
@@ -113,11 +119,21 @@ class TrigramModels:
         return [sums / n if letters and n >= TEXT_WEIGHT else None for sums, n, letters in self._sums(texts)]
 
 
+def language_tag(label: Column) -> Column:
+    """The language of a label, in lower case; null where it names none."""
+    return F.nullif(F.lower(F.regexp_extract(label, r"^\s*([A-Za-z]{2,3})(?:[-_][A-Za-z0-9_-]*)?\s*$", 1)), F.lit(""))
+
+
+def training_share(*key: str) -> Column:
+    """Whether a row is one to train on: four of five, by the hash of its key."""
+    return F.pmod(F.xxhash64(*key), F.lit(HELD_OUT)) != 0
+
+
 def _languages(samples: DataFrame, language: str) -> tuple[str, ...]:
-    """Labels met often enough, those of ``LANGUAGES`` first."""
-    met = samples.where(F.trim(F.col(language)) != "").groupBy(F.col(language).alias("label")).agg(F.count("*").alias("n"))
-    # At most a row per language learned.
-    labels = {r.label for r in met.where(F.col("label").isin(*LANGUAGES) | (F.col("n") >= LEAST_ROWS)).collect()}
+    """Languages met, those of ``LANGUAGES`` first."""
+    met = samples.select(language_tag(F.col(language)).alias("label")).where("label IS NOT NULL").distinct()
+    # At most a row per tag of two or three letters.
+    labels = {r.label for r in met.collect()}
     return (*(x for x in LANGUAGES if x in labels), *sorted(labels - set(LANGUAGES))) or LANGUAGES
 
 
@@ -134,7 +150,7 @@ def _floors(samples: DataFrame, models: TrigramModels, text: str, language: str)
                                   names=["language", "mean"])
 
     floors = [-np.inf] * len(places)
-    means = samples.select(text, language).mapInArrow(run, "language int, mean double")
+    means = samples.select(text, language_tag(F.col(language))).mapInArrow(run, "language int, mean double")
     for row in means.groupBy("language").agg(F.percentile_approx("mean", [0.05, 0.5], 1000).alias("p")).collect():
         low, middle = row.p
         floors[row.language] = middle - SPREADS * max(middle - low, LEAST_SPREAD)
@@ -145,30 +161,35 @@ def _floors(samples: DataFrame, models: TrigramModels, text: str, language: str)
 
 def train(samples: DataFrame, languages: Sequence[str] | None = None, text: str = "text",
           language: str = "lang") -> TrigramModels:
-    """Count trigrams of all samples by their labels; rows of other labels are not used."""
+    """Count trigrams of all samples by their labels; rows of other ``languages``, if given, are not used."""
     languages = _languages(samples, language) if languages is None else tuple(languages)
     places = {name: i for i, name in enumerate(languages)}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        totals = np.zeros((len(places), _BUCKETS), np.int64)
+        # Tables of the languages that this task meets.
+        totals: dict[str, np.ndarray] = {}
         for batch in batches:
             labels = batch.column(1).to_pylist()
             data, offsets = _bytes(batch.column(0))
             for label, start, end in zip(labels, offsets[:-1].tolist(), offsets[1:].tolist(), strict=True):
                 if label in places:
+                    if label not in totals:
+                        totals[label] = np.zeros(_BUCKETS, np.int64)
+                    total = totals[label]
                     for at in range(start, end, _CHUNK):
                         piece = data[at:min(at + _CHUNK + 2, end)]
                         if piece.size >= 3:
                             codes = _trigrams(piece)
                             if codes.size > _BUCKETS // 4:
-                                totals[places[label]] += np.bincount(codes, minlength=_BUCKETS)
+                                total += np.bincount(codes, minlength=_BUCKETS)
                             else:
-                                np.add.at(totals[places[label]], codes, 1)
-        kind, bucket = np.nonzero(totals)
-        yield pa.record_batch([kind.astype(np.int32), bucket.astype(np.int32), totals[kind, bucket]],
-                              names=["language", "bucket", "n"])
+                                np.add.at(total, codes, 1)
+        for label, total in totals.items():
+            bucket = np.flatnonzero(total)
+            yield pa.record_batch([np.full(bucket.size, places[label], np.int32), bucket.astype(np.int32), total[bucket]],
+                                  names=["language", "bucket", "n"])
 
-    counted = samples.select(text, language).mapInArrow(run, "language int, bucket int, n long")
+    counted = samples.select(text, language_tag(F.col(language))).mapInArrow(run, "language int, bucket int, n long")
     totals = np.zeros((len(places), _BUCKETS))
     # At most a row per language and bucket.
     for row in counted.groupBy("language", "bucket").agg(F.sum("n").alias("n")).collect():
