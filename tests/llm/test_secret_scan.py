@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import string
 
 import pytest
 
@@ -76,3 +77,34 @@ def test_frames(spark, models):
     empty = docs.limit(0)
     assert secret_scan.scan(empty, secret_scan.fit(secret_scan.labelled_runs(empty))).count() == 0
     assert secret_scan.fit(secret_scan.labelled_runs(docs)).ratio.shape == (68, 67)
+
+
+def test_markov_finds_planted_keys(spark, small):
+    """Keys written into real documents where no rule sees them: how many the models find, and what else they find."""
+    rng = random.Random(8)
+    folder = small.replace("sf0.001", "sf0.01")
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text")
+    models = secret_scan.fit(secret_scan.labelled_runs(docs))
+    alphabets = {"letters and digits": string.ascii_letters + string.digits, "base64": string.ascii_letters + string.digits + "+/",
+                 "capitals": string.ascii_uppercase + string.digits, "small": string.ascii_lowercase + string.digits}
+    texts = [r.text or "" for r in docs.orderBy("doc_id").limit(300).collect()]
+    found = {}
+    for name, alphabet in alphabets.items():
+        hits = 0
+        for text in texts:
+            key = "".join(rng.choices(alphabet, k=rng.choice([20, 24, 32, 40])))[:-2] + "k7"
+            at = rng.choice([0, *(m.end() for m in re.finditer(" ", text))])
+            spans = find_spans(f"{text[:at]}{key} {text[at:]}", models)
+            hits += any(x["kind"] == "markov" and x["start"] == at and x["end"] == at + len(key) for x in spans)
+        found[name] = hits / len(texts)
+    plain = sum(any(x["kind"] == "markov" for x in find_spans(t, models)) for t in texts) / len(texts)
+    print("recall", found, "documents with other spans", plain)
+    assert min(found.values()) >= 0.85 and plain <= 0.05
+
+
+def test_long_and_repeated_rows(spark, models):
+    long = "word " * 200_000 + "token=" + "b" * 20 + " q7Zk9XwPf2LmB4tR8vYc"
+    docs = spark.createDataFrame([(1, long), (2, "x"), (2, "x"), (2, "x")], "doc_id long, text string")
+    got = secret_scan.scan(docs, models).collect()
+    assert sorted(r.doc_id for r in got) == [1, 2, 2, 2]
+    assert [x.kind for r in got if r.doc_id == 1 for x in r.spans] == ["assign", "markov"]

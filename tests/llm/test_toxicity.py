@@ -1,5 +1,8 @@
+import math
 import random
+import re
 
+import numpy as np
 import pytest
 
 from tidemart.llm import queries, toxicity
@@ -46,3 +49,62 @@ def test_cases(spark):
     none = toxicity.train(docs, labels.limit(0), Workspace(spark, "toxicity"))
     assert {round(r.score, 6) for r in toxicity.score(docs, none).collect()} == {0.25}
     assert toxicity.score(docs.limit(0), none).count() == 0
+
+
+def brute_clause(text, words, stems):
+    """The grammar as a loop over the words before each one."""
+    kinds, weights = [], []
+    for word in re.findall(r"\w+(?:['’]\w+)*", text):
+        weight = words.get(word) or next((stems[word[:n]] for n in (8, 7, 6, 5, 4) if n <= len(word) and word[:n] in stems), 0)
+        weights.append(weight)
+        kinds.append(toxicity.INSULT if weight else toxicity._CLASS.get(word, toxicity.OTHER))
+    total = 0.0
+    for i, kind in enumerate(kinds):
+        if kind not in (toxicity.INSULT, toxicity.THREAT):
+            continue
+        threat = kind == toxicity.THREAT
+        value = weights[i] or 1.0
+        if threat:
+            value *= 1.5 if toxicity.MODAL in kinds[max(0, i - 3):i] else 0.4
+        if toxicity.TARGET in kinds[max(0, i - 5):i]:
+            value *= 1.3
+        if toxicity.NEGATION in kinds[max(0, i - 3):i]:
+            value *= 0.2 if threat else 0.4
+        if toxicity.REPORT in kinds[max(0, i - 40):i]:
+            value *= 0.6
+        total += value
+    return total
+
+
+def brute_features(text, words, stems):
+    if not text:
+        return [0.0] * 4
+    text = text.lower()
+    scores = [x for x in (brute_clause(c, words, stems) for c in re.split(r"[.!?;\n]", text)) if x]
+    if not scores:
+        return [0.0] * 4
+    total = sum(scores)
+    return [math.log1p(len(scores)), math.log1p(total), min(max(scores), 20.0) / 5,
+            math.log1p(100 * total / (text.count(" ") + text.count("\n") + 21))]
+
+
+def test_grammar_equals_brute_force():
+    rng = random.Random(10)
+    words, stems = {"moron": 3.0, "twit": 1.5}, {"achl": 1.0, "achlich": 2.0, "scou": 2.5}
+    lexicon = toxicity.Lexicon(words, stems)
+    parts = ["you", "kill", "will", "not", "said", "moron", "twit", "achliche", "achlos", "Scoundrel", "isn't", "they", "house", "tree",
+             "walks", "oxymoron", "the_moron", "shoot", "nie", "dit", "é", "word", "small", "light", "over", "river"]
+    marks = [" ", " ", " ", " ", " ", " ", ". ", "\n", "; ", "!", "-", "’"]
+    for n in [*range(60), *[rng.randrange(200) for _ in range(400)], 60_000]:
+        text = "".join(rng.choice(parts) + rng.choice(marks) for _ in range(n))
+        assert lexicon.features(text) == pytest.approx(brute_features(text, words, stems))
+
+
+def test_repeated_rows_and_own_columns(spark):
+    model = toxicity.ToxicityModel(toxicity.Lexicon({"moron": 3.0}, {}), np.array([-2.0, 3.0, 1.0, 0.0, 0.0]))
+    docs = spark.createDataFrame([(1, "A moron.", "x", 7), (1, "A moron.", "x", 7), (2, "moron " * 100_000, "y", None)],
+                                 "doc_id long, text string, score string, toxic int")
+    got = toxicity.score(docs, model).collect()
+    assert [c for c in got[0].asDict()] == ["doc_id", "text", "toxic", "score"]
+    assert sorted((r.doc_id, r.toxic) for r in got) == [(1, 7), (1, 7), (2, None)]
+    assert len({r.score for r in got if r.doc_id == 1}) == 1 and all(r.score > 0.5 for r in got)
