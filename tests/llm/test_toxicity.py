@@ -1,6 +1,7 @@
 import math
 import random
 import re
+import zlib
 
 import numpy as np
 import pytest
@@ -108,3 +109,12 @@ def test_repeated_rows_and_own_columns(spark):
     assert [c for c in got[0].asDict()] == ["doc_id", "text", "toxic", "score"]
     assert sorted((r.doc_id, r.toxic) for r in got) == [(1, 7), (1, 7), (2, None)]
     assert len({r.score for r in got if r.doc_id == 1}) == 1 and all(r.score > 0.5 for r in got)
+
+
+def test_a_document_without_id_is_not_held_out(spark, tmp_path):
+    docs = [(i, "you are a moron" if i % 2 else "a house by the river") for i in range(40)]
+    spark.createDataFrame([*docs, (None, "a moron"), (None, None)], "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([*((i, i % 2) for i in range(40)), (None, 1)], "doc_id long, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    got = queries.QUERIES["op9_toxicity"](spark, str(tmp_path)).collect()
+    assert [r.held_out for r in got if r.doc_id is None] == [False, False] and len(got) == 42
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) for r in got if r.doc_id is not None)

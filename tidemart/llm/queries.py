@@ -90,7 +90,8 @@ def op4_secret_scan(spark, sf_dir):
 
 @query
 def op9_toxicity(spark, sf_dir):
-    held_out = F.crc32(F.col("doc_id").cast("string")) % 5 == 0
+    # A document without an id has no labels and is not held out.
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
     docs = table(spark, sf_dir, "documents", ["doc_id", "text"])
     labels = table(spark, sf_dir, "labels", ["doc_id", "toxic"]).where(~held_out)
     model = toxicity.train(docs, labels, Workspace(spark, "op9"))

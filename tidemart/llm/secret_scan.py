@@ -13,7 +13,9 @@ ordinary. With no sample of a kind, its model is even over all characters.
 Defined results: a null text is empty and has no spans. Offsets count code points, ends are
 exclusive. Spans of one kind never overlap; a ``markov`` span touches no base span. All other
 columns pass through, and ``spans`` replaces a column of that name. A run without an ASCII letter
-and an ASCII digit, or shorter than ``LEAST_RUN``, is never scored. Empty tables give empty tables.
+and an ASCII digit, or shorter than ``LEAST_RUN``, is never scored. A run whose ratio is just the margin
+is a span. Repeated rows get equal spans, each one; very long texts are read whole. Empty tables give
+empty tables.
 """
 
 from __future__ import annotations

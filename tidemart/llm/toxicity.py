@@ -14,8 +14,10 @@ keep every entry that parts toxic from other documents clearly. All documents ar
 
 Defined results: a null text is an empty one, whose score is that of a document without matched
 clauses. Labels that are null are not used; of several labels of an id the greatest counts; labels
-without a document are ignored. Without a labelled row the score is 0.25. Columns pass through;
-``score`` replaces a column of that name.
+without a document are ignored. Without a labelled row the score is 0.25. Repeated rows are scored
+alike, each one; very long texts are scored whole, clause by clause. Of entries that part the labels
+equally well all stay. Columns pass through; ``score`` replaces a column of that name. Empty tables
+give empty tables.
 """
 
 from __future__ import annotations
