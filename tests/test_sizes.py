@@ -4,7 +4,8 @@ import json
 
 from pyspark.sql import functions as F
 
-from tidemart import registry, session
+from tidemart import feeds, registry, session
+from tidemart.plans import facts
 from stream_files import texts
 
 
@@ -73,6 +74,11 @@ def test_files_are_written_again_where_times_cannot_be_set(spark, tmp_path, monk
     assert [spark.read.parquet(str(f)).agg(F.min("id")).first()[0] for f in files] == [0, 100, 200, 300]
 
 
+def test_cancellations_carry_only_their_own_columns(spark, small):
+    log = registry.log_of(feeds.order_details(spark, small), feeds.order_changes(spark, small))
+    assert not {"source_type", "source_id", "create_time", "order_price"} & set(facts.cancelled_lines(log).columns)
+
+
 def test_batches_are_sized_for_messages_and_streams_for_slices(spark, small, monkeypatch):
     asked = []
     monkeypatch.setattr(session, "size_shuffles", lambda _, size: asked.append(size))
