@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemart import feeds, registry, session
 from tidemart.plans import facts
+from tidemart.sources import change_log
 from stream_files import texts
 
 
@@ -74,6 +75,20 @@ def test_files_are_written_again_where_times_cannot_be_set(spark, tmp_path, monk
     assert [spark.read.parquet(str(f)).agg(F.min("id")).first()[0] for f in files] == [0, 100, 200, 300]
 
 
+def test_landing_a_log_shuffles_nothing(spark, small, tmp_path, monkeypatch):
+    raw = feeds.union(feeds.order_details(spark, small), feeds.comments(spark, small)).select("value")
+    seen = []
+    hint = type(raw).hint
+    monkeypatch.setattr(type(raw), "hint", lambda self, name, *a: seen.append(name) or hint(self, name, *a))
+    change_log.land_change_log(raw, str(tmp_path / "a"))
+    assert seen == []
+    change_log.land_change_log(raw, str(tmp_path / "b"), gather=True)
+    assert seen == ["rebalance"]
+    a, b = (change_log.read_landed_log(spark, str(tmp_path / p)) for p in "ab")
+    kinds = [{r[0]: r[1] for r in x.groupBy("src_table").count().collect()} for x in (a, b)]
+    assert kinds[0] == kinds[1] and len(kinds[0]) == 2
+
+
 def test_cancellations_carry_only_their_own_columns(spark, small):
     log = registry.log_of(feeds.order_details(spark, small), feeds.order_changes(spark, small))
     assert not {"source_type", "source_id", "create_time", "order_price"} & set(facts.cancelled_lines(log).columns)

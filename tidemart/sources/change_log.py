@@ -49,16 +49,18 @@ def with_event_time(log: DataFrame, delay: str = "0 seconds") -> DataFrame:
     ).withWatermark("row_time", delay)
 
 
-def land_change_log(raw: DataFrame, path: str, mode: str = "append") -> None:
+def land_change_log(raw: DataFrame, path: str, mode: str = "append", gather: bool = False) -> None:
     """Parse the log once and store it by table.
 
     Every fact job reads a few tables of one log. Landed, each job scans only the
-    directories of its tables and never parses JSON again. Rebalancing gathers a table's rows
-    into files of good size, and splits a table that holds most of the log.
+    directories of its tables and never parses JSON again. Each task writes the tables that it meets, so that
+    nothing is shuffled. ``gather`` rebalances the parsed log first, at the price of shuffling all of it: few
+    files per table, for a log that mixes very many tables in small pieces.
     """
-    log = read_change_log(raw).drop(LANDED_BY)
-    (log.withColumn(LANDED_BY, F.coalesce("table", F.lit("none"))).hint("rebalance", LANDED_BY)
-        .write.mode(mode).partitionBy(LANDED_BY).parquet(path))
+    log = read_change_log(raw).drop(LANDED_BY).withColumn(LANDED_BY, F.coalesce("table", F.lit("none")))
+    if gather:
+        log = log.hint("rebalance", LANDED_BY)
+    log.write.mode(mode).partitionBy(LANDED_BY).parquet(path)
 
 
 def read_landed_log(spark: SparkSession, path: str) -> DataFrame:
