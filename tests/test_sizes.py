@@ -107,3 +107,9 @@ def test_batches_are_sized_for_messages_and_streams_for_slices(spark, small, mon
     registry.stream_query(stream_of_nothing)
     registry.QUERIES.pop("stream_of_nothing")(spark, small)
     assert asked[1:] == [size]
+
+
+def test_events_are_dealt_before_they_become_records(spark, small):
+    plan = plan_of(feeds.page_log(spark, small))
+    assert "RoundRobinPartitioning" in plan
+    assert plan.index("Project") < plan.index("RoundRobinPartitioning") < plan.index("FileScan")

@@ -247,6 +247,9 @@ def dimension_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def page_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as page-log text, with ``arrival``; some records are broken or lack the device."""
     events = table(spark, sf_dir, "events")
+    if not spark.conf.get(FEED_PARTITIONS, None):
+        # An event is short and its record long: few row groups would be few and long tasks.
+        events = events.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
     k = _event_number()
     started = F.col("event_type") == "signup"
     failed = F.col("event_type") == "error"
