@@ -84,3 +84,18 @@ def test_stored_rows_are_sorted_once(spark, tmp_path):
     assert plan.count("Exchange") == 1 and plan.index("partial_max_by") < plan.index("Exchange")
     assert {r.id: r.v for r in table.read().collect()} == {
         str(i): str(max(b for b in range(3) if b <= i < b + 50)) for i in range(52)}
+
+
+def test_a_message_is_parsed_by_its_own_table_only(spark, shop, monkeypatch):
+    landed = []
+    ordered = registry.ordered_stream
+
+    def ordered_stream(spark, raw, *args, **named):
+        landed.append(raw.columns)
+        return ordered(spark, raw, *args, **named)
+    monkeypatch.setattr(registry, "ordered_stream", ordered_stream)
+    out = registry.QUERIES["state_ttl"](spark, shop)
+    assert landed == [["src_table", "value"]]
+    log = registry.log_of(feeds.order_details(spark, shop), feeds.detail_activities(spark, shop), feeds.detail_coupons(spark, shop))
+    wide = facts.with_promotions(facts.order_lines(log), facts.activities(log), facts.coupons(log))
+    assert rows(out) == rows(wide.select("id", "activity_id", "coupon_id"))
