@@ -99,3 +99,9 @@ def test_a_message_is_parsed_by_its_own_table_only(spark, shop, monkeypatch):
     log = registry.log_of(feeds.order_details(spark, shop), feeds.detail_activities(spark, shop), feeds.detail_coupons(spark, shop))
     wide = facts.with_promotions(facts.order_lines(log), facts.activities(log), facts.coupons(log))
     assert rows(out) == rows(wide.select("id", "activity_id", "coupon_id"))
+
+
+def test_cancellations_leave_only_their_table(spark, shop, folders):
+    out = registry.QUERIES["stream_order_cancel"](spark, shop)
+    assert left(folders) == ["fact"]
+    assert rows(out) == rows(facts.dwd_order_cancel(registry.trade_log(spark, shop))) != []
