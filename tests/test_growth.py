@@ -105,3 +105,18 @@ def test_cancellations_leave_only_their_table(spark, shop, folders):
     out = registry.QUERIES["stream_order_cancel"](spark, shop)
     assert left(folders) == ["fact"]
     assert rows(out) == rows(facts.dwd_order_cancel(registry.trade_log(spark, shop))) != []
+
+
+@pytest.mark.parametrize("name", ["stream_refund", "stream_refund_pay", "state_ttl", "stream_order_detail"])
+def test_streams_leave_only_their_table(spark, shop, folders, name):
+    registry.QUERIES[name](spark, shop).count()
+    assert left(folders) == ["fact"]
+
+
+def test_a_join_of_streams_has_one_store_a_partition(spark, shop, folders, monkeypatch):
+    monkeypatch.setattr(session, "remove", lambda *_: None)
+    out = registry.QUERIES["stream_refund_pay"](spark, shop)
+    stores = {p.name for made in folders if made.name.endswith("-ck") for p in made.glob("state/*/0/*") if p.is_dir()}
+    assert not any("keyToNumValues" in s for s in stores)
+    batch = registry.QUERIES["dwd_refund_pay_success"](spark, shop)
+    assert rows(out) == rows(batch) != []
