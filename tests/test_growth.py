@@ -1,8 +1,10 @@
 """What large inputs would cost: partitions of state, copies on disk, passes over messages. On rows of the tests' own."""
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemart import feeds, registry, session
+from tidemart.operators import slices
 from tidemart.plans import facts
 from tidemart.sinks.keyed import KeyedTable
 from tidemart.streaming import jobs
@@ -120,3 +122,33 @@ def test_a_join_of_streams_has_one_store_a_partition(spark, shop, folders, monke
     assert not any("keyToNumValues" in s for s in stores)
     batch = registry.QUERIES["dwd_refund_pay_success"](spark, shop)
     assert rows(out) == rows(batch) != []
+
+
+def test_slices_give_what_the_whole_gives(spark, folders):
+    a = spark.range(500).selectExpr("if(id % 9 = 0, null, string(id % 40)) AS k", "id AS x")
+    b = spark.range(60).selectExpr("if(id % 9 = 0, null, string(id)) AS k2", "id AS y").where("y % 2 = 0")
+
+    def build(left_rows, right_rows):
+        return left_rows.join(right_rows, F.col("k").eqNullSafe(F.col("k2")), "left").select("k", "x", "y")
+    whole = rows(build(a, b))
+    first = slices.by_slices([slices.stored(a, "k", 5), slices.Scanned(b, "k2", 5)], build, "x")
+    again = slices.by_slices([first], lambda r: r)
+    assert rows(again) == whole
+    assert left(folders) == ["facts"]
+
+
+def test_order_details_go_slice_by_slice(spark, shop, folders, monkeypatch):
+    asked = []
+    add = slices.Stored.add
+    monkeypatch.setattr(slices.Stored, "add", lambda self, frame: asked.append(self.key) or add(self, frame))
+    out = registry.QUERIES["dwd_order_detail"](spark, shop)
+    assert {"order_id", "_order", "id", "order_detail_id"} == set(asked) and left(folders) == ["facts"]
+    assert rows(out) == rows(facts.dwd_order_detail(registry.trade_log(spark, shop), feeds.dictionary(spark, shop), feeds.DATABASE)) != []
+
+
+def test_slices_leave_no_shuffles(spark, folders):
+    before = spark.sparkContext._jsc.sc().env().mapOutputTracker().shuffleStatuses().size()
+    a = slices.stored(spark.range(1000).selectExpr("string(id % 50) AS k"), "k", 4)
+    out = slices.by_slices([a], lambda r: r.groupBy("k").agg(F.count("*").alias("n")))
+    assert spark.sparkContext._jsc.sc().env().mapOutputTracker().shuffleStatuses().size() <= before
+    assert out.count() == 50
