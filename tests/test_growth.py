@@ -146,6 +146,12 @@ def test_order_details_go_slice_by_slice(spark, shop, folders, monkeypatch):
     assert rows(out) == rows(facts.dwd_order_detail(registry.trade_log(spark, shop), feeds.dictionary(spark, shop), feeds.DATABASE)) != []
 
 
+def test_landed_cancellations_go_slice_by_slice(spark, shop, folders):
+    out = registry.QUERIES["landed_log"](spark, shop)
+    assert left(folders) == ["facts", "log"]
+    assert rows(out) == rows(facts.dwd_order_cancel(registry.trade_log(spark, shop))) != []
+
+
 def test_slices_leave_no_shuffles(spark, folders):
     before = spark.sparkContext._jsc.sc().env().mapOutputTracker().shuffleStatuses().size()
     a = slices.stored(spark.range(1000).selectExpr("string(id % 50) AS k"), "k", 4)

@@ -205,11 +205,13 @@ CANCELLED_LINE = ("id order_id sku_id sku_name sku_num split_original_amount spl
                   "split_coupon_amount split_total_amount seq").split()
 
 
+def cancelled(lines: DataFrame, orders: DataFrame, salts: int = 1) -> DataFrame:
+    return take_order_time(joins.salted_join(lines, orders, "order_id", "_order", salts, "id"))
+
+
 def cancelled_lines(log: DataFrame, database: str | None = None, salts: int = 1) -> DataFrame:
     """Order lines joined with the cancellation of their order."""
-    return take_order_time(joins.salted_join(
-        order_lines(log, database).select(*CANCELLED_LINE), cancelled_orders(log, database),
-        "order_id", "_order", salts, "id"))
+    return cancelled(order_lines(log, database).select(*CANCELLED_LINE), cancelled_orders(log, database), salts)
 
 
 def shape_order_cancel(rows: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -220,10 +222,21 @@ def shape_order_cancel(rows: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame
         "split_activity_amount", "split_coupon_amount", "split_total_amount", "ts", *keep)
 
 
-def dwd_order_cancel(log: DataFrame, database: str | None = None) -> DataFrame:
-    """Lines of cancelled orders with their amounts, activity and coupon. Key: id."""
-    return shape_order_cancel(with_promotions(
-        cancelled_lines(log, database), activities(log, database), coupons(log, database)))
+def dwd_order_cancel(log: DataFrame, database: str | None = None, number: int = 1) -> DataFrame:
+    """Lines of cancelled orders with their amounts, activity and coupon. Key: id.
+
+    In more than one slice of the orders, and then of the lines, the log must be a landed one, which is read for each slice.
+    """
+    def build(*parts: DataFrame) -> DataFrame:
+        return shape_order_cancel(with_promotions(*parts))
+
+    if number == 1:
+        return build(cancelled_lines(log, database), activities(log, database), coupons(log, database))
+    key = "order_detail_id"
+    lines = slices.by_slices([slices.Scanned(order_lines(log, database).select(*CANCELLED_LINE), "order_id", number),
+                              slices.Scanned(cancelled_orders(log, database), "_order", number)], cancelled, "id")
+    return slices.by_slices([lines, slices.Scanned(activities(log, database), key, number),
+                             slices.Scanned(coupons(log, database), key, number)], build)
 
 
 def paid(log: DataFrame, require_success: bool = True) -> DataFrame:

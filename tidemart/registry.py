@@ -510,7 +510,7 @@ def landed_log(spark, d):
     raw = feeds.union(feeds.order_details(spark, d), feeds.order_changes(spark, d), feeds.comments(spark, d),
                       feeds.detail_activities(spark, d), feeds.detail_coupons(spark, d))
     change_log.land_change_log(raw.select("value"), path)
-    return facts.dwd_order_cancel(change_log.read_landed_log(spark, path))
+    return facts.dwd_order_cancel(change_log.read_landed_log(spark, path), number=KEY_SLICES)
 
 
 @query
